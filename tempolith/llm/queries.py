@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sentencepiece_codec
+from . import langid, probminhash, sentencepiece_codec
 
 MODEL = "piece_bpe_32k.model"
 
@@ -20,8 +20,18 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(MODEL))
 
 
+def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op5_probminhash": op5_probminhash,
+    "op10_rank_profiles": op10_rank_profiles,
 }
 
 ORACLE: dict[str, str] = {}
