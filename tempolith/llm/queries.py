@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, probminhash, sentencepiece_codec
+from . import langid, probminhash, quality, sentencepiece_codec, spaced_seeds
 
 MODEL = "piece_bpe_32k.model"
 
@@ -24,6 +24,14 @@ def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spaced_seeds.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op10_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -31,6 +39,8 @@ def op10_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op5_probminhash": op5_probminhash,
+    "op6_spaced_seeds": op6_spaced_seeds,
+    "op9_adaptive_quality": op9_adaptive_quality,
     "op10_rank_profiles": op10_rank_profiles,
 }
 
