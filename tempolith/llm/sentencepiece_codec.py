@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-MAX_ENTRIES = 800_000
-BLOCK_BYTES = 1 << 22
+MAX_ENTRIES = 250_000
+BLOCK_BYTES = 1 << 21
 
 
 class ChunkTable:
