@@ -7,9 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, probminhash, quality, sentencepiece_codec, spaced_seeds
+from . import langid, probminhash, pseudonyms, quality, secrets, sentencepiece_codec, sharding, spaced_seeds, url_filter
 
 MODEL = "piece_bpe_32k.model"
+#: the key of the pseudonyms in these queries; a deployment passes its own secret
+PSEUDONYM_KEY = "tempolith"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +22,15 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(MODEL))
 
 
+def op3_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
+
+
+def op4_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -28,6 +39,14 @@ def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spaced_seeds.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op9_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -38,8 +57,12 @@ def op10_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_feistel_pseudonyms": op3_feistel_pseudonyms,
+    "op4_redirect_equivalence": op4_redirect_equivalence,
     "op5_probminhash": op5_probminhash,
     "op6_spaced_seeds": op6_spaced_seeds,
+    "op7_label_propagation": op7_label_propagation,
+    "op8_credential_linking": op8_credential_linking,
     "op9_adaptive_quality": op9_adaptive_quality,
     "op10_rank_profiles": op10_rank_profiles,
 }
