@@ -1,12 +1,46 @@
-"""Corpus cleaning in five stages; each takes (spark, docs, sf_dir) and returns a DataFrame."""
+"""Corpus cleaning in five stages; each takes (spark, docs, sf_dir) and returns a DataFrame.
+
+All stages but the last return the columns they were given.  A row without doc_id can't be
+named by a verdict and stays; a null text counts as empty, which has no language and goes.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tempolith.llm import langid, probminhash, pseudonyms, sentencepiece_codec, spaced_seeds, storage
+from tempolith.llm.queries import MODEL, PSEUDONYM_KEY, table
+
+#: texts that resemble no profile by more than this have no language
+MIN_SCORE = 0.2
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told by the profiles learned from these documents."""
+    learned = langid.learn(docs.where(langid.fold(F.col("doc_id")) != 0))
+    told = langid.predict(docs, learned, keep=tuple(docs.columns), names=("__lang_pred", "__score"))
+    return told.where((F.col("__lang_pred") != langid.UNDETERMINED) & (F.col("__score") >= MIN_SCORE)).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document with the least id."""
+    classes = probminhash.near_duplicates(docs)
+    return docs.join(classes.where("doc_id <> class_id").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap with no benchmark item."""
+    return spaced_seeds.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
 
-from tempolith.llm import sentencepiece_codec, storage
-from tempolith.llm.queries import MODEL, table
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The same documents with pseudonyms in their texts, n_chars following."""
+    named = pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
+    if "n_chars" in docs.columns:
+        named = named.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return named.select(docs.columns)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,7 +48,13 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(docs, public_tokenizers.path(MODEL))
 
 
-STAGES = [("sentencepiece", encoding)]
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("sentencepiece", encoding),
+]
 
 #: SQL expresses neither the language profiles nor the near-duplicate search; the tests hold the pipeline against brute force.
 ORACLE_SQL = None

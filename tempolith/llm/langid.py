@@ -189,8 +189,8 @@ class Profiles:
         return lang, score
 
 
-def predict(docs: DataFrame, profiles: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, lang_pred and score for every row of ``docs``.
+def predict(docs: DataFrame, profiles: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``keep`` columns, lang_pred and score (under ``names``) for every row of ``docs``.
 
     ``und`` with score 0 where the text is null or has no letter, or where no language
     was learned.  Ties go to the language first in order.  Only the profiles reach the
@@ -198,14 +198,14 @@ def predict(docs: DataFrame, profiles: DataFrame, text: str = "text", keep: tupl
     """
     learned = Profiles([(r["lang"], r["rank"], r["gram"]) for r in profiles.collect()])
     source = docs.select(*keep, F.col(text).alias("__text"))
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]) + ", lang_pred string, score double"
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]) + f", {names[0]} string, {names[1]} double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in _pieces(batch.column(batch.num_columns - 1)):
                 lang, score = learned.predict(texts)
                 same = [c.slice(at, len(texts)) for c in batch.columns[:-1]]
-                yield pa.RecordBatch.from_arrays([*same, pa.array(lang, pa.string()), pa.array(score)], names=[*batch.schema.names[:-1], "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*same, pa.array(lang, pa.string()), pa.array(score)], names=[*batch.schema.names[:-1], *names])
 
     return source.mapInArrow(run, out)
 

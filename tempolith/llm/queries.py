@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, probminhash, pseudonyms, quality, secrets, sentencepiece_codec, sharding, spaced_seeds, url_filter
+from . import langid, probminhash, pseudonyms, quality, secrets, sentencepiece_codec, sharding, spaced_seeds, storage, token_shards, url_filter
 
 MODEL = "piece_bpe_32k.model"
 #: the key of the pseudonyms in these queries; a deployment passes its own secret
 PSEUDONYM_KEY = "tempolith"
+SHUFFLE_KEY = "epoch 0"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,12 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(MODEL))
 
 
+def op2_training_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = storage.fresh_path(spark, "shards")
+    told, _ = token_shards.write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path(MODEL), folder, SHUFFLE_KEY)
+    return told
+
+
 def op3_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
@@ -57,6 +64,7 @@ def op10_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_training_shards": op2_training_shards,
     "op3_feistel_pseudonyms": op3_feistel_pseudonyms,
     "op4_redirect_equivalence": op4_redirect_equivalence,
     "op5_probminhash": op5_probminhash,

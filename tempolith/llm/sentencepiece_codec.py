@@ -46,26 +46,26 @@ class ChunkTable:
         self.ids: dict[str, bytes] = {}
         self.text: dict[str, str] = {}
 
-    def _learn(self, need: list[str]) -> None:
+    def _learn(self, need: list[str], decoded: bool) -> None:
         new = [c for c in need if c not in self.ids]
         if len(self.ids) + len(new) > self.max_entries:
             self.ids.clear()
             self.text.clear()
             new = need
-        if not new:
-            return
         cut = len(self.shield)
-        found = self.sp.encode(["\n" + c for c in new], num_threads=1)
-        flat = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
-        end = 0
-        for chunk, ids in zip(new, found, strict=True):
-            start, end = end + 4 * cut, end + 4 * len(ids)
-            self.ids[chunk] = flat[start:end]
-        for chunk, text in zip(new, self.sp.decode(found, num_threads=1), strict=True):
-            self.text[chunk] = text[1:]
-
-    def encode(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
-        """For each text its ids (begin and end ids included, little-endian u32) and their decoded text."""
+        if new:
+            found = self.sp.encode(["\n" + c for c in new], num_threads=1)
+            flat = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+            end = 0
+            for chunk, ids in zip(new, found, strict=True):
+                start, end = end + 4 * cut, end + 4 * len(ids)
+                self.ids[chunk] = flat[start:end]
+        if decoded and (new := [c for c in need if c not in self.text]):
+            found = [[*self.shield, *memoryview(self.ids[c]).cast("I")] for c in new]
+            self.text.update(zip(new, (t[1:] for t in self.sp.decode(found, num_threads=1)), strict=True))
+
+    def encode(self, texts: pa.Array, decoded: bool = True) -> tuple[pa.Array, pa.Array | None]:
+        """For each text its ids (begin and end ids included, little-endian u32) and, if asked for, their decoded text."""
         texts = pc.replace_substring(texts.cast(pa.large_string()).fill_null(""), MARK, " ")
         # the marker that the library puts before every text but an empty one
         lead = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", " ").cast(pa.large_string())
@@ -86,7 +86,7 @@ class ChunkTable:
         chunks = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data))
         chunks = chunks.dictionary_encode()
         distinct = chunks.dictionary.to_pylist()
-        self._learn(distinct)
+        self._learn(distinct, decoded)
         at = np.searchsorted(offsets, bounds)
 
         def joined(kind: pa.DataType, table: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -100,6 +100,8 @@ class ChunkTable:
         raw, cut = joined(pa.large_binary(), self.ids)
         ids = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(cut.copy()), pa.py_buffer(raw)])
         ids = pc.binary_join_element_wise(self.ends[0], ids, self.ends[1], pa.scalar(b"", pa.large_binary()))
+        if not decoded:
+            return ids, None
         raw, cut = joined(pa.large_string(), self.text)
         led = cut[1:] > cut[:-1]  # texts with a leading marker, which decoding drops
         raw = np.delete(raw, cut[:-1][led])
