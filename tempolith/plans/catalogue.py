@@ -1,6 +1,499 @@
-"""Catalogue of the engine's own queries and their SQL twins."""
+"""Catalogue of the engine's own queries and their SQL twins.
+
+The driver's tables hold no notes, so each operator runs on an input that both engines
+derive from those tables by the same rule.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+import tempfile
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import iso as iso_fn
+from ..functions import text as text_fn
+from ..functions.timenorm import normalize
+from ..operators import align, header, parse, relations, sections, tables, timeline
+from ..schemas import TABLE_HEADER
+from ..sinks import render
+from ..streaming import timelines
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+PROMPT = "List every event with its time.\n"
+
+
+def query(sql: str | None = None):
+    """Register a query under its own name, with its SQL twin."""
+
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- inputs derived from the tables
+
+
+def links(spark: SparkSession, d: str) -> DataFrame:
+    """Links of users: events as therapies, kinds of events as relations, days as times."""
+    kind = F.when(F.col("event_type") == "signup", "BEGINS-ON").when(F.col("event_type") == "error", "ENDS-ON").otherwise("CONTAINS-1")
+    med = F.concat(F.when(F.col("event_id") % 2 == 0, "Drug").otherwise("drug"), (F.col("event_id") % 7).cast("string"))
+    return table(spark, d, "events").select(
+        F.col("user_id").cast("string").alias("patient_id"),
+        F.concat(F.lit("d"), (F.col("event_id") % 3).cast("string")).alias("doc_id"),
+        F.col("event_id").alias("tlink_id"),
+        med.alias("med_text"),
+        kind.alias("relation"),
+        F.date_format("ts", "yyyy-MM-dd").alias("time_normal"),
+    )
+
+
+TL = """tl as (select cast(user_id as varchar) patient_id, 'd' || cast(event_id % 3 as varchar) doc_id, event_id tlink_id,
+ case when event_id % 2 = 0 then 'Drug' else 'drug' end || cast(event_id % 7 as varchar) med_text,
+ case event_type when 'signup' then 'BEGINS-ON' when 'error' then 'ENDS-ON' else 'CONTAINS-1' end relation,
+ strftime(ts, '%Y-%m-%d') time_normal from events)"""
+
+
+def normals(spark: SparkSession, d: str) -> DataFrame:
+    """Relations with normalized times: a tenth durations, a tenth failures, the rest instants."""
+    e = links(spark, d)
+    n = F.col("tlink_id")
+    iso = F.when(n % 10 == 0, F.concat(F.lit("P"), (n % 9 + 1).cast("string"), F.lit("M"))).when(n % 10 == 1, "").otherwise(F.col("time_normal"))
+    return e.select(
+        "patient_id",
+        "doc_id",
+        "tlink_id",
+        F.col("relation").alias("category"),
+        "med_text",
+        F.concat(F.lit("on "), F.col("time_normal")).alias("time_text"),
+        iso_fn.time_class(iso).alias("time_type"),
+        iso_fn.normal_text(iso).alias("time_normal"),
+        iso.alias("iso"),
+        F.concat(F.lit("<"), F.col("time_normal"), F.lit(">")).alias("timex"),
+        F.concat_ws(",", n.cast("string"), (n + 10).cast("string")).alias("timex_span"),
+    )
+
+
+NORMALS = (
+    TL
+    + """, nm as (select patient_id, doc_id, tlink_id, relation category, med_text, 'on ' || time_normal time_text,
+ case when tlink_id % 10 = 0 then 'DURATION' when tlink_id % 10 = 1 then 'FAILED_NORMALIZATION' else 'INSTANT' end time_type,
+ case when tlink_id % 10 = 0 then cast(tlink_id % 9 + 1 as varchar) || ' Month' when tlink_id % 10 = 1 then '' else time_normal || ' 00:00' end time_normal,
+ case when tlink_id % 10 = 0 then 'P' || cast(tlink_id % 9 + 1 as varchar) || 'M' when tlink_id % 10 = 1 then '' else time_normal end iso,
+ '<' || time_normal || '>' timex, cast(tlink_id as varchar) || ',' || cast(tlink_id + 10 as varchar) timex_span from tl)"""
+)
+
+
+def event_mentions(spark: SparkSession, d: str) -> DataFrame:
+    """A mention of each link's event, and one of its time."""
+    e = links(spark, d)
+    n = F.col("tlink_id").cast("int")
+    med = e.select("patient_id", "doc_id", F.lit("MED").alias("kind"), F.col("med_text").alias("concept_text"), (n % 50).alias("begin"), (n % 50 + 5).alias("end"), F.col("med_text").alias("covered_text"), F.lit(1.0).alias("confidence"))
+    when = e.select("patient_id", "doc_id", F.lit("TIME").alias("kind"), F.concat(F.lit("on "), F.col("time_normal")).alias("concept_text"), (n % 40 + 60).alias("begin"), (n % 40 + 70).alias("end"), F.col("time_normal").alias("covered_text"), F.lit(1.0).alias("confidence"))
+    return med.unionByName(when).distinct()
+
+
+MENTIONS = """mn as (select distinct patient_id, doc_id, 'MED' kind, med_text concept_text, cast(tlink_id % 50 as int) b, cast(tlink_id % 50 + 5 as int) e, med_text covered from tl
+ union select distinct patient_id, doc_id, 'TIME', 'on ' || time_normal, cast(tlink_id % 40 + 60 as int), cast(tlink_id % 40 + 70 as int), time_normal from tl)"""
+
+
+# --- sources, headers, sections
+
+
+@query("select doc_id, cast(length(text) as int) n_text, md5(text) digest from documents")
+def scan_notes(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.length("text").alias("n_text"), F.md5("text").alias("digest"))
+
+
+def _headers(spark: SparkSession, d: str) -> DataFrame:
+    o = F.col("o_orderdate")
+    day = F.concat(F.lit("Report\nPrincipal Date......"), F.date_format(o, "yyyyMMdd"))
+    when = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit(" "), F.date_format(o, "HHmm"))).otherwise("")
+    kind = F.concat(F.lit("\nRecord Type....."), F.expr("substring(o_orderpriority, 3)"), F.lit(" note-"), F.col("o_orderkey").cast("string"))
+    return table(spark, d, "orders").select("o_orderkey", F.concat(day, when, kind).alias("text"))
+
+
+HEADERS = """hd as (select o_orderkey, 'Report' || chr(10) || 'Principal Date......' || strftime(o_orderdate, '%Y%m%d') || case when o_orderkey % 2 = 0 then ' ' || strftime(o_orderdate, '%H%M') else '' end
+ || chr(10) || 'Record Type.....' || substr(o_orderpriority, 3) || ' note-' || cast(o_orderkey as varchar) as text from orders)"""
+
+
+@query(f"""with {HEADERS}, t as (select o_orderkey, regexp_extract(text, 'Principal Date[.]+(\\d+)( \\d+)?', 1) || replace(regexp_extract(text, 'Principal Date[.]+(\\d+)( \\d+)?', 2), ' ', '') x from hd),
+ u as (select o_orderkey, case when length(x) = 8 then x || '1200' else x end digits from t)
+ select o_orderkey, digits, strftime(try_strptime(digits, '%Y%m%d%H%M'), '%Y-%m-%d %H:%M') doc_time from u""")
+def header_doc_time(spark, d):
+    digits = header.doc_time_text(F.col("text"))
+    return _headers(spark, d).select("o_orderkey", digits.alias("digits"), F.date_format(header.parse_doc_time(digits), "yyyy-MM-dd HH:mm").alias("doc_time"))
+
+
+@query(f"with {HEADERS} select o_orderkey, regexp_extract(text, 'Record Type[.]+([a-zA-Z ]+)', 1) doc_type from hd")
+def header_doc_type(spark, d):
+    return _headers(spark, d).select("o_orderkey", header.doc_type(F.col("text")).alias("doc_type"))
+
+
+@query(f"""with {HEADERS} select cast(o_orderkey % 97 as varchar) patient_id, cast(o_orderkey as varchar) doc_id,
+ strftime(case when o_orderkey % 2 = 0 then cast(strptime(regexp_extract(text, 'Date[.]+(\\d+ \\d+)', 1), '%Y%m%d %H%M') as timestamp) else strptime(regexp_extract(text, 'Date[.]+(\\d+)', 1) || '1200', '%Y%m%d%H%M') end, '%Y-%m-%d %H:%M') doc_time,
+ regexp_extract(text, 'Record Type[.]+([a-zA-Z ]+)', 1) doc_type from hd""")
+def header_doc_meta(spark, d):
+    notes = _headers(spark, d).select((F.col("o_orderkey") % 97).cast("string").alias("patient_id"), F.col("o_orderkey").cast("string").alias("doc_id"), "text")
+    meta = header.doc_meta(sections.whole_sections(notes))
+    return meta.select("patient_id", "doc_id", F.date_format("doc_ts", "yyyy-MM-dd HH:mm").alias("doc_time"), "doc_type")
+
+
+@query("select o_orderkey, strftime(o_orderdate, '%m%d%Y') || case when hour(o_orderdate) = 0 then '24' else strftime(o_orderdate, '%H') end || strftime(o_orderdate, '%M%S') source_date from orders")
+def header_cas_date_format(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", header.source_date(F.col("o_orderdate")).alias("source_date"))
+
+
+LINES = """ln as (select doc_id, unnest(string_split(text, chr(10))) line, generate_subscripts(string_split(text, chr(10)), 1) - 1 section_id from documents),
+ sec as (select doc_id, section_id, line, sum(length(line) + 1) over (partition by doc_id order by section_id) - 1 e from ln)"""
+
+
+@query(f"with {LINES} select doc_id, cast(section_id as int) section_id, cast(e - length(line) as int) \"begin\", cast(e as int) \"end\", md5(line) digest from sec")
+def split_sections(spark, d):
+    parts = sections.line_sections(table(spark, d, "documents"), ("doc_id",))
+    return parts.select("doc_id", "section_id", "begin", "end", F.md5("text").alias("digest"))
+
+
+@query("select doc_id, 0 section_id, 0 \"begin\", cast(length(text) as int) \"end\" from documents")
+def whole_sections(spark, d):
+    notes = table(spark, d, "documents").select(F.col("source").alias("patient_id"), "doc_id", "text")
+    return sections.whole_sections(notes).select("doc_id", "section_id", "begin", "end")
+
+
+@query("select doc_id, 'user' as role, md5('List every event with its time.' || chr(10) || text || '/no_think') digest from documents")
+def llm_instruction(spark, d):
+    asked = F.element_at(sections.messages(PROMPT, F.col("text")), 1)
+    return table(spark, d, "documents").select("doc_id", asked["role"].alias("role"), F.md5(asked["content"]).alias("digest"))
+
+
+@query(f"with {LINES} select doc_id, cast(floor(section_id / 4) as int) batch_id, count(*) n from sec group by 1, 2")
+def message_batches(spark, d):
+    parts = sections.line_sections(table(spark, d, "documents"), ("doc_id",))
+    return sections.batches(parts, 4).groupBy("doc_id", "batch_id").agg(F.count("*").alias("n"))
+
+
+# --- model output
+
+
+def _outputs(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("event_id")
+    body = F.concat(F.lit('[{"SACT": "s'), n.cast("string"), F.lit('", "relation": "'), F.col("event_type"), F.lit('", "time": "t'), (n % 10).cast("string"), F.lit('"}'))
+    good = F.concat(F.lit("<think>\n[no]</think>\n"), body, F.lit("] bye"))
+    out = F.when(n % 5 == 0, F.concat(F.lit("nothing "), n.cast("string"))).when(n % 5 == 1, F.concat(body, F.lit(",]"))).when(n % 5 == 2, F.concat(F.lit("[{'SACT': None, 'x'"), n.cast("string"))).otherwise(good)
+    return table(spark, d, "events").select("event_id", out.alias("llm_out"))
+
+
+PARSED = "select event_id, cast(0 as int) pos, 's' || cast(event_id as varchar) sact, event_type relation, 't' || cast(event_id % 10 as varchar) \"time\" from events where event_id % 5 not in (0, 2)"
+
+
+@query(PARSED)
+def parse_llm_list(spark, d):
+    return parse.parse_outputs(_outputs(spark, d))[0]
+
+
+@query("select event_id, case event_id % 5 when 0 then 'nothing ' || cast(event_id as varchar) else '[{''SACT'': None, ''x''' || cast(event_id as varchar) end llm_out from events where event_id % 5 in (0, 2)")
+def parse_llm_quarantine(spark, d):
+    return parse.parse_outputs(_outputs(spark, d))[1]
+
+
+@query("""select event_id, 'x' || cast(event_id as varchar) stripped, case when event_id % 2 = 0 then '[a]x]' end list, case when event_id % 2 = 0 then 17 else -1 end first_at, case when event_id % 2 = 0 then 21 else -1 end last_at from events""")
+def think_and_brackets(spark, d):
+    n = F.col("event_id")
+    tagged = F.concat(F.lit("<think>hm</think> \n x"), n.cast("string"), F.lit("\n"))
+    listed = F.when(n % 2 == 0, "<think>hm</think>[a]x]").otherwise("none")
+    return table(spark, d, "events").select("event_id", text_fn.strip_think(tagged).alias("stripped"), text_fn.bracketed(listed).alias("list"), text_fn.find(listed, "[").alias("first_at"), text_fn.find_last(listed, "]").alias("last_at"))
+
+
+@query("""select event_id, case when event_id % 3 = 0 then 'Unknown_SACT' else 'drug' end sact, case when event_id % 3 = 1 then 'Unknown_relation' else event_type end relation, case when event_id % 3 = 2 then 'Unknown_time' else '7' end "time" from events""")
+def tlink_defaults(spark, d):
+    n = F.col("event_id")
+    out = F.when(n % 3 == 0, F.concat(F.lit('[{"relation": "'), F.col("event_type"), F.lit('", "time": 7}]')))
+    out = out.when(n % 3 == 1, '[{"SACT": "drug", "relation": null, "time": "7"}]').otherwise(F.concat(F.lit('[{"SACT": "drug", "relation": "'), F.col("event_type"), F.lit('"}]')))
+    return parse.parse_outputs(table(spark, d, "events").select("event_id", out.alias("llm_out")))[0].drop("pos")
+
+
+@query(f"with {TL} select distinct patient_id, doc_id from tl where relation = 'BEGINS-ON'")
+def tlink_route(spark, d):
+    return parse.has_links(links(spark, d).where("relation = 'BEGINS-ON'"), ("patient_id", "doc_id"))
+
+
+@query(f"with {TL} select patient_id, doc_id, count(*) n from tl group by 1, 2")
+def tlink_count_per_section(spark, d):
+    return links(spark, d).groupBy("patient_id", "doc_id").agg(F.count("*").alias("n"))
+
+
+@query("select cast(user_id as varchar) patient_id, event_id from events where user_id % 4 <> 0")
+def section_count_guard(spark, d):
+    e = table(spark, d, "events").select(F.col("user_id").cast("string").alias("patient_id"), "event_id", (F.col("user_id") % 4).alias("k"))
+    raw = e.groupBy("patient_id", "k").agg(F.count("*").alias("n"))
+    one = raw.select("patient_id")
+    parts = one.union(raw.where("k = 0").select("patient_id"))
+    return parse.guard_sections(e.select("patient_id", "event_id"), one, parts, ("patient_id",))
+
+
+# --- alignment
+
+
+@query("select doc_id, item_id, cast(strpos(d.text, b.text) - 1 as int) \"begin\", cast(strpos(d.text, b.text) - 1 + length(b.text) as int) \"end\" from documents d join benchmark b on contains(d.text, b.text)")
+def align_exact_first(spark, d):
+    return align.contained(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query("""with p as (select doc_id, unnest(string_split(text, 'the')) gap, generate_subscripts(string_split(text, 'the'), 1) - 1 n, len(string_split(text, 'the')) k from documents),
+ q as (select doc_id, n, k, sum(length(gap) + 3) over (partition by doc_id order by n) e from p)
+ select doc_id, cast(n as int) n, cast(e - 3 as int) "begin", cast(e as int) "end" from q where n < k - 1""")
+def align_exact_all(spark, d):
+    pairs = table(spark, d, "documents").select("doc_id", "text", F.lit("the").alias("quote"))
+    return align.exact_spans(pairs, ["doc_id"])
+
+
+@query("select doc_id, cast(case when strpos(text, 'zu ') > 0 then strpos(text, 'zu ') - 1 end as int) \"begin\", cast(case when strpos(text, 'zu ') > 0 then strpos(text, 'zu ') + 2 end as int) \"end\", case when strpos(text, 'zu ') > 0 then 1.0::double else 0.0::double end score, case when strpos(text, 'zu ') > 0 then 'match_exact' else 'not_found' end status from documents")
+def align_status(spark, d):
+    return table(spark, d, "documents").select("doc_id", align.first_span(F.col("text"), F.lit("zu ")).alias("m")).select("doc_id", "m.*")
+
+
+@query("select item_id from benchmark b where not exists (select 1 from documents d where contains(d.text, b.text))")
+def align_not_found(spark, d):
+    bench = table(spark, d, "benchmark")
+    return bench.select("item_id").join(align.contained(table(spark, d, "documents"), bench), "item_id", "left_anti")
+
+
+@query()
+def align_fuzzy(spark, d):
+    """Every text against a quote of 200 characters of its own with one of them changed."""
+    text = F.col("text")
+    quote = F.when(F.length(text) >= 300, F.concat(F.substring(text, 51, 99), F.lit("§"), F.substring(text, 151, 100)))
+    found = align.align(table(spark, d, "documents").select("doc_id", "text", quote.alias("quote")))
+    return found.select("doc_id", F.explode("mentions").alias("m")).select("doc_id", "m.*")
+
+
+# --- concepts and relations
+
+
+@query(f"with {TL}, {MENTIONS} select patient_id, doc_id, kind, concept_text, cast(count(*) as int) n, min(b) first_begin from mn group by 1, 2, 3, 4")
+def mention_concepts(spark, d):
+    e = links(spark, d).select("patient_id", "doc_id", F.col("med_text").alias("sact"), F.concat(F.lit("on "), F.col("time_normal")).alias("time"))
+    found = relations.concepts(e, event_mentions(spark, d))
+    return found.select("patient_id", "doc_id", "kind", "concept_text", F.size("mentions").alias("n"), F.array_min(F.transform("mentions", lambda m: m["begin"])).alias("first_begin"))
+
+
+@query(f"with {TL}, {MENTIONS}, c as (select patient_id, doc_id, kind, concept_text, cast(count(*) as int) n from mn group by 1, 2, 3, 4) select t.patient_id, t.doc_id, t.tlink_id, t.relation category, m.n med_mentions, w.n time_mentions from tl t left join c m on m.patient_id = t.patient_id and m.doc_id = t.doc_id and m.kind = 'MED' and m.concept_text = t.med_text left join c w on w.patient_id = t.patient_id and w.doc_id = t.doc_id and w.kind = 'TIME' and w.concept_text = 'on ' || t.time_normal")
+def relation_lookup(spark, d):
+    e = links(spark, d).select("patient_id", "doc_id", "tlink_id", "relation", F.col("med_text").alias("sact"), F.concat(F.lit("on "), F.col("time_normal")).alias("time"))
+    c = relations.concepts(e, event_mentions(spark, d)).select("patient_id", "doc_id", "kind", "concept_text", F.size("mentions").alias("n"))
+    of = lambda kind, text, n: c.where(F.col("kind") == kind).select("patient_id", "doc_id", F.col("concept_text").alias(text), F.col("n").alias(n))
+    edges = relations.relations(e)
+    joined = edges.join(of("MED", "med_text", "med_mentions"), ["patient_id", "doc_id", "med_text"], "left").join(of("TIME", "time_text", "time_mentions"), ["patient_id", "doc_id", "time_text"], "left")
+    return joined.select("patient_id", "doc_id", "tlink_id", "category", "med_mentions", "time_mentions")
+
+
+# --- times
+
+
+def _normalized(spark: SparkSession, d: str, text: Column) -> DataFrame:
+    o = table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("anchor"), text.alias("text"))
+    return o.select("o_orderkey", "text", normalize(F.col("text"), F.col("anchor")).alias("iso"))
+
+
+@query("""select o_orderkey, case o_orderkey % 5 when 0 then strftime(o_orderdate, '%B %-d, %Y') when 1 then strftime(o_orderdate, '%-m/%-d/%Y') when 2 then strftime(o_orderdate, '%B %Y') when 3 then strftime(o_orderdate, '%Y') else strftime(o_orderdate, '%-d %b %Y') end as text,
+ case o_orderkey % 5 when 2 then strftime(o_orderdate, '%Y-%m') when 3 then strftime(o_orderdate, '%Y') else strftime(o_orderdate, '%Y-%m-%d') end iso from orders""")
+def time_norm_absolute(spark, d):
+    o, k = F.col("o_orderdate"), F.col("o_orderkey") % 5
+    f = lambda form: F.date_format(o, form)
+    return _normalized(spark, d, F.when(k == 0, f("MMMM d, yyyy")).when(k == 1, f("M/d/yyyy")).when(k == 2, f("MMMM yyyy")).when(k == 3, f("yyyy")).otherwise(f("d MMM yyyy")))
+
+
+@query("""with t as (select o_orderkey, cast(o_orderdate as date) a, o_orderkey % 6 k, cast(o_orderkey % 9 + 1 as int) n from orders)
+ select o_orderkey, case k when 0 then 'yesterday' when 1 then n || ' weeks ago' when 2 then n || ' months ago' when 3 then 'in ' || n || ' days' when 4 then 'last week' else 'next year' end as text,
+ case k when 0 then strftime(a - 1, '%Y-%m-%d') when 1 then strftime(a - 7 * n, '%Y-%m-%d') when 2 then strftime(a - to_months(n), '%Y-%m') when 3 then strftime(a + n, '%Y-%m-%d')
+ when 4 then strftime(a - 7, '%Y') || '-W' || lpad(cast((dayofyear(a - 7) - 1) // 7 + 1 as varchar), 2, '0') else strftime(a + to_years(1), '%Y') end iso from t""")
+def time_norm_relative(spark, d):
+    k, n = F.col("o_orderkey") % 6, (F.col("o_orderkey") % 9 + 1).cast("string")
+    text = F.when(k == 0, "yesterday").when(k == 1, F.concat(n, F.lit(" weeks ago"))).when(k == 2, F.concat(n, F.lit(" months ago"))).when(k == 3, F.concat(F.lit("in "), n, F.lit(" days"))).when(k == 4, "last week").otherwise("next year")
+    return _normalized(spark, d, text)
+
+
+@query("""select o_orderkey, (o_orderkey % 12 + 1) || case o_orderkey % 3 when 0 then ' months' when 1 then ' weeks' else ' hours' end as text,
+ case o_orderkey % 3 when 2 then 'PT' else 'P' end || (o_orderkey % 12 + 1) || case o_orderkey % 3 when 0 then 'M' when 1 then 'W' else 'H' end iso,
+ (o_orderkey % 12 + 1) || case o_orderkey % 3 when 0 then ' Month' when 1 then ' Week' else ' Hour' end time_normal, cast(o_orderkey % 12 + 1 as int) number_value from orders""")
+def time_norm_duration(spark, d):
+    k = F.col("o_orderkey")
+    text = F.concat((k % 12 + 1).cast("string"), F.when(k % 3 == 0, " months").when(k % 3 == 1, " weeks").otherwise(" hours"))
+    found = _normalized(spark, d, text)
+    return found.withColumn("f", iso_fn.duration_fields(F.col("iso"))).select("o_orderkey", "text", "iso", F.col("f.text").alias("time_normal"), F.col("f.number_value").alias("number_value"))
+
+
+def _isos(spark: SparkSession, d: str) -> DataFrame:
+    o, k = F.col("o_orderdate"), F.col("o_orderkey")
+    f = lambda form: F.date_format(o, form)
+    week = F.concat(f("yyyy"), F.lit("-W"), F.lpad((k % 52 + 1).cast("string"), 2, "0"))
+    stamp = F.concat(f("yyyy-MM-dd"), F.lit("T"), f("HH:mm:ss"), F.when(k % 2 == 0, "Z").otherwise(""))
+    iso = F.when(k % 7 == 0, f("yyyy")).when(k % 7 == 1, f("yyyy-MM")).when(k % 7 == 2, f("yyyy-MM-dd")).when(k % 7 == 3, week)
+    iso = iso.when(k % 7 == 4, stamp).when(k % 7 == 5, F.concat(F.lit("P"), (k % 30).cast("string"), F.lit("D"))).otherwise("")
+    return table(spark, d, "orders").select("o_orderkey", "o_orderdate", iso.alias("iso"))
+
+
+ISOS = """iso as (select o_orderkey, o_orderdate o, o_orderkey % 7 k, case o_orderkey % 7 when 0 then strftime(o_orderdate, '%Y') when 1 then strftime(o_orderdate, '%Y-%m') when 2 then strftime(o_orderdate, '%Y-%m-%d')
+ when 3 then strftime(o_orderdate, '%Y') || '-W' || lpad(cast(o_orderkey % 52 + 1 as varchar), 2, '0') when 4 then strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || case when o_orderkey % 2 = 0 then 'Z' else '' end
+ when 5 then 'P' || cast(o_orderkey % 30 as varchar) || 'D' else '' end iso from orders)"""
+
+
+@query(f"""with {ISOS} select o_orderkey, case k when 0 then strftime(o, '%Y') when 1 then strftime(o, '%Y-%m') when 3 then strftime(make_date(cast(year(o) as bigint), 1, 1) + cast(7 * (o_orderkey % 52) as int), '%Y-%m-%d') else strftime(o, '%Y-%m-%d') end as text,
+ cast(year(o) as int) year_value, cast(case k when 0 then 0 when 3 then month(make_date(cast(year(o) as bigint), 1, 1) + cast(7 * (o_orderkey % 52) as int)) else month(o) end as int) month_value,
+ cast(case when k in (0, 1) then 0 when k = 3 then day(make_date(cast(year(o) as bigint), 1, 1) + cast(7 * (o_orderkey % 52) as int)) else day(o) end as int) day_value from iso where k < 5""")
+def iso_to_date_parts(spark, d):
+    found = _isos(spark, d).where("o_orderkey % 7 < 5").select("o_orderkey", iso_fn.date_fields(F.col("iso")).alias("f"))
+    return found.select("o_orderkey", "f.text", "f.year_value", "f.month_value", "f.day_value")
+
+
+@query("select o_orderkey, strftime(make_date(cast(year(o_orderdate) as bigint), 1, 1) + cast(7 * (o_orderkey % 53) as int), '%Y-%m-%d') first_day from orders")
+def iso_week_date(spark, d):
+    week = (F.col("o_orderkey") % 53 + 1).cast("int")
+    return table(spark, d, "orders").select("o_orderkey", F.date_format(iso_fn.week_date(F.year("o_orderdate"), week), "yyyy-MM-dd").alias("first_day"))
+
+
+@query(f"""with {ISOS} select o_orderkey, case when k = 4 then strftime(o, '%H:%M') else '00:00' end as text, cast(case when k = 4 then hour(o) else 0 end as int) hour_value, cast(case when k = 4 then minute(o) else 0 end as int) minute_value, cast(case when k = 4 then second(o) else 0 end as int) second_value from iso where k < 5""")
+def iso_time_parts(spark, d):
+    found = _isos(spark, d).where("o_orderkey % 7 < 5").select("o_orderkey", iso_fn.time_fields(F.col("iso")).alias("f"))
+    return found.select("o_orderkey", "f.text", "f.hour_value", "f.minute_value", "f.second_value")
+
+
+@query(f"with {ISOS} select o_orderkey, iso, case k when 5 then 'DURATION' when 6 then 'FAILED_NORMALIZATION' else 'INSTANT' end time_class, case when k = 4 then strftime(o, '%Y-%m-%d') else iso end timeline_text from iso")
+def time_class(spark, d):
+    iso = F.col("iso")
+    return _isos(spark, d).select("o_orderkey", "iso", iso_fn.time_class(iso).alias("time_class"), iso_fn.timeline_text(iso).alias("timeline_text"))
+
+
+@query("select o_orderkey, 'PRESENT_REF' date_iso, strftime(o_orderdate, '%Y-%m-%d %H:%M') time_normal, strftime(o_orderdate, '%Y-%m-%d') timeline_text from orders")
+def present_ref(spark, d):
+    iso = F.lit("PRESENT_REF")
+    o = F.col("o_orderdate")
+    return table(spark, d, "orders").select("o_orderkey", iso_fn.date_iso(iso).alias("date_iso"), iso_fn.normal_text(iso, o).alias("time_normal"), iso_fn.timeline_text(iso, o).alias("timeline_text"))
+
+
+@query(f"with {TL} select distinct patient_id, doc_id, tlink_id, relation category, 'INSTANT' time_type, time_normal || ' 00:00' time_normal, time_normal iso, time_normal timex, cast(b as varchar) || ',' || cast(e as varchar) timex_span from tl join (select distinct patient_id p, doc_id q, time_normal t, cast(tlink_id % 40 + 60 as int) b, cast(tlink_id % 40 + 70 as int) e from tl) on p = patient_id and q = doc_id and t = time_normal")
+def time_normals(spark, d):
+    e = links(spark, d).select("patient_id", "doc_id", "tlink_id", "relation", F.col("med_text").alias("sact"), F.concat(F.lit("on "), F.col("time_normal")).alias("time"))
+    meta = e.select("patient_id", "doc_id").distinct().withColumns({"doc_ts": F.lit("2024-02-01 00:00:00").cast("timestamp"), "doc_date": F.lit("2024-02-01").cast("date")})
+    times = relations.normalize_mentions(event_mentions(spark, d), meta)
+    found = relations.time_normals(relations.relations(e), times)
+    return found.select("patient_id", "doc_id", "tlink_id", "category", "time_type", "time_normal", "iso", "timex", "timex_span")
+
+
+# --- tables
+
+
+@query(f"with {NORMALS} select patient_id, doc_id, '-- SACT --' kind, med_text med, category relation, time_type, iso, time_normal, timex from nm")
+def table_rows7(spark, d):
+    return tables.table_rows(normals(spark, d)).drop("sort_key")
+
+
+@query(f"""with {NORMALS}, {MENTIONS} select distinct nm.patient_id, nm.doc_id, med_text med_normal, covered med_text, cast(b as varchar) || ',' || cast(e as varchar) med_span, category relation, time_normal, timex, timex_span, time_type, iso
+ from nm join mn on mn.patient_id = nm.patient_id and mn.doc_id = nm.doc_id and kind = 'MED' and concept_text = med_text""")
+def span_rows9(spark, d):
+    return tables.span_rows(normals(spark, d), event_mentions(spark, d)).drop("sort_key")
+
+
+def _event_notes(spark: SparkSession, d: str) -> DataFrame:
+    of = links(spark, d).select("patient_id", "doc_id").distinct()
+    return of.withColumn("text", F.repeat(F.concat("patient_id", F.lit("-"), "doc_id", F.lit(" ")), 40))
+
+
+@query(f"""with {NORMALS}, {MENTIONS}, nt as (select distinct patient_id, doc_id, repeat(patient_id || '-' || doc_id || ' ', 40) note from tl)
+ select patient_id, doc_id, med_text med, category relation, iso, time_normal, timex, '' snippet from nm
+ union all select nm.patient_id, nm.doc_id, m.covered, '', '', '', w.covered, substr(note, least(m.b, w.b) + 1, greatest(m.e, w.e) - least(m.b, w.b)) from nm
+ join mn m on m.patient_id = nm.patient_id and m.doc_id = nm.doc_id and m.kind = 'MED' and m.concept_text = med_text
+ join mn w on w.patient_id = nm.patient_id and w.doc_id = nm.doc_id and w.kind = 'TIME' and w.concept_text = time_text
+ join nt on nt.patient_id = nm.patient_id and nt.doc_id = nm.doc_id""")
+def mention_rows6(spark, d):
+    return tables.mention_rows(normals(spark, d), event_mentions(spark, d), _event_notes(spark, d)).drop("sort_key")
+
+
+def _rendered(form: str):
+    def run(spark, d):
+        return tables.table_rows(normals(spark, d)).select(F.col("sort_key.tlink_id").alias("tlink_id"), render.row(form, list(tables.ROW7)).alias("line"))
+
+    return run
+
+
+_CELLS = [f"coalesce({c}, '')" for c in ("'-- SACT --'", "med_text", "category", "time_type", "iso", "time_normal", "timex")]
+QUERIES |= {f"render_{form}": _rendered(form) for form in render.FORMATS}
+for _form, _sep in (("bsv", "'|'"), ("csv", "','"), ("tab", "chr(9)")):
+    ORACLE[f"render_{_form}"] = f"with {NORMALS} select tlink_id, " + f" || {_sep} || ".join(_CELLS) + " as line from nm"
+ORACLE["render_html"] = f"with {NORMALS} select tlink_id, '  <tr>' || chr(10) || " + " || ".join(f"'    <td>' || replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</td>' || chr(10)" for c in _CELLS) + " || '  </tr>' || chr(10) as line from nm"
+
+
+@query()
+def document_tables(spark, d):
+    """Whole tables of each document as they are written to files."""
+    rows = tables.table_rows(normals(spark, d))
+    return render.document_tables(rows, "bsv", TABLE_HEADER, list(tables.ROW7), ["patient_id", "doc_id"])
+
+
+# --- timelines
+
+DEDUP = f"""{TL}, dd as (select patient_id, med_text, relation, time_normal, doc_id, tlink_id from (select *, row_number() over (partition by patient_id, lower(med_text), lower(relation), lower(time_normal) order by doc_id, tlink_id) rn from tl) where rn = 1)"""
+RESOLVED = f"""{DEDUP}, fl as (select *, starts_with(lower(relation), 'begin') b, starts_with(lower(relation), 'ends') e, starts_with(lower(relation), 'contains') c,
+ bool_or(starts_with(lower(relation), 'begin')) over w hb, bool_or(starts_with(lower(relation), 'ends')) over w he,
+ row_number() over (partition by patient_id, lower(med_text), lower(time_normal), starts_with(lower(relation), 'contains') order by doc_id, tlink_id) rn
+ from dd window w as (partition by patient_id, lower(med_text), lower(time_normal))),
+ rs as (select patient_id, med_text, relation, time_normal from fl where not ((hb and he and (b or e)) or ((hb or he) and c))
+ union all select patient_id, med_text, 'contains-1', time_normal from fl where hb and he and (b or e) and rn = 1)"""
+
+
+@query(f"with {DEDUP} select patient_id, med_text, relation, time_normal from dd")
+def timeline_dedup(spark, d):
+    return timeline.distinct_links(links(spark, d)).select("patient_id", *timeline.LINK)
+
+
+@query(f"with {RESOLVED} select * from rs")
+def timeline_resolved(spark, d):
+    return timeline.resolve(links(spark, d))
+
+
+@query(f"""with {TL}, a as (select * from tl where tlink_id % 2 = 0), r as (select * from tl where tlink_id % 3 = 0),
+ u as (select patient_id, med_text, relation, time_normal from (select *, row_number() over (partition by patient_id, lower(med_text), lower(relation), lower(time_normal) order by doc_id, tlink_id) rn from (select * from a union all select * from tl where tlink_id % 5 = 0)) where rn = 1)
+ select * from u where not exists (select 1 from r where r.patient_id = u.patient_id and lower(r.med_text) = lower(u.med_text) and lower(r.relation) = lower(u.relation) and lower(r.time_normal) = lower(u.time_normal))""")
+def timeline_set_ops(spark, d):
+    e = links(spark, d)
+    union = timeline.union_links(e.where("tlink_id % 2 = 0"), e.where("tlink_id % 5 = 0")).select("patient_id", *timeline.LINK)
+    return timeline.except_links(union, e.where("tlink_id % 3 = 0"))
+
+
+@query(f"""with {RESOLVED} select patient_id, '[' || string_agg('["' || med_text || '","' || relation || '","' || time_normal || '"]', ',' order by med_text, relation, time_normal) || ']' json from rs group by 1""")
+def patient_json(spark, d):
+    return timeline.patient_json(timeline.resolve(links(spark, d)))
+
+
+@query(f"""with {RESOLVED}, p as (select distinct cast(c_custkey as varchar) patient_id from customer) select p.patient_id, count(rs.med_text) n from p left join rs on rs.patient_id = p.patient_id group by 1""")
+def patients_without_links(spark, d):
+    everyone = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("patient_id"))
+    found = timeline.patient_entries(timeline.resolve(links(spark, d)), everyone)
+    return found.select("patient_id", F.size("entries").cast("long").alias("n"))
+
+
+@query(f"with {NORMALS} select patient_id, doc_id, tlink_id, med_text, category relation, iso time_normal from nm where time_type = 'INSTANT'")
+def timeline_instants(spark, d):
+    return timeline.instants(normals(spark, d))
+
+
+@query(f"with {RESOLVED} select * from rs")
+def stream_equals_batch(spark, d):
+    """Links written as files, read as a stream, stored by micro-batch, resolved from the store."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.gettempdir()
+    root = f"{base.rstrip('/')}/links-{uuid.uuid4().hex}"
+    links(spark, d).write.mode("overwrite").parquet(f"{root}/in")
+    stream = spark.readStream.schema(timelines.LINKS).option("maxFilesPerTrigger", 4).parquet(f"{root}/in")
+    timelines.start(stream, f"{root}/store", f"{root}/state").awaitTermination()
+    return timelines.timelines(spark, f"{root}/store")
