@@ -8,18 +8,20 @@ from pyspark.sql.streaming import DataStreamReader
 
 from ..schemas import RECORDED
 
-_TEXT = {"wholetext": "true", "recursiveFileLookup": "true", "pathGlobFilter": "*.txt"}
+#: Spark passes over files of no bytes, so a note has at least one
+_OPTIONS = {"recursiveFileLookup": "true", "pathGlobFilter": "*.txt"}
+_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def _named(files: DataFrame, corpus: str) -> DataFrame:
-    path = F.col("_metadata.file_path")
+    path = F.col("path")
     return files.select(
         F.lit(corpus).alias("corpus"),
         _decoded(F.regexp_extract(path, "([^/]+)/[^/]+$", 1)).alias("patient_id"),
         _decoded(F.regexp_extract(path, r"([^/]+)\.txt$", 1)).alias("doc_id"),
-        path.alias("path"),
-        F.col("_metadata.file_modification_time").alias("mtime"),
-        F.col("value").alias("text"),
+        path,
+        F.col("modificationTime").alias("mtime"),
+        F.make_valid_utf8(F.col("content").cast("string")).alias("text"),
     )
 
 
@@ -34,12 +36,12 @@ def corpus_name(folder: str) -> str:
 
 def read_notes(spark: SparkSession, folder: str) -> DataFrame:
     """(corpus, patient_id, doc_id, path, mtime, text): one row for each ``patient/doc.txt`` below a folder."""
-    return _named(spark.read.format("text").options(**_TEXT).load(folder), corpus_name(folder))
+    return _named(spark.read.format("binaryFile").options(**_OPTIONS).load(folder), corpus_name(folder))
 
 
 def stream_notes(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     """The same as a stream; ``files_per_batch`` holds back what comes in faster than it is worked off."""
-    reader: DataStreamReader = spark.readStream.format("text").options(**_TEXT).option("maxFilesPerTrigger", files_per_batch).schema("value string")
+    reader: DataStreamReader = spark.readStream.format("binaryFile").options(**_OPTIONS).option("maxFilesPerTrigger", files_per_batch).schema(_SCHEMA)
     return _named(reader.load(folder), corpus_name(folder))
 
 
