@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from .storage import materialise
 
 SHARDS = 8
-ROUNDS = 4
+ROUNDS = 6
 _GRAIN = 1 << 20
 
 
@@ -59,21 +59,27 @@ def propagate(linked: DataFrame, shards: int, room: int, rounds: int = ROUNDS) -
     """
     for i in range(rounds):
         counts = materialise(linked.groupBy("g", "shard").agg(F.count("*").alias("n")), "labels")
-        best = F.max(F.struct("n", F.xxhash64("g", "shard").alias("tie"), "shard"))["shard"]
-        target = materialise(counts.groupBy("g").agg(best.alias("target"), F.sum("n").alias("size")), "targets")
-        moves = counts.join(target, "g").groupBy("shard", "target").agg(F.sum("n").alias("n")).collect()
         load = [0] * shards
-        for r in moves:
-            load[r["shard"]] += r["n"]
-        wanted = {(r["shard"], r["target"]): r["n"] for r in moves if r["shard"] != r["target"]}
+        for r in counts.groupBy("shard").agg(F.sum("n").alias("n")).collect():
+            load[r["shard"]] = r["n"]
+        # at first the shard with most neighbours; what finds it full goes on to the best one with room
+        full = [s for s in range(shards) if load[s] >= room] if i else []
+        size = counts.groupBy("g").agg(F.sum("n").alias("size"))
+        best = F.max(F.struct("n", F.xxhash64("g", "shard").alias("tie"), F.col("shard").alias("target")))
+        target = counts.where(~F.col("shard").isin(full)).groupBy("g").agg(best.alias("best")).select("g", "best.*")
+        target = materialise(target.withColumnRenamed("n", "there").join(size, "g"), "targets")
+        wish = counts.join(target, "g").where((F.col("shard") != F.col("target")) & (F.struct("n", F.xxhash64("g", "shard").alias("tie")) < F.struct(F.col("there").alias("n"), "tie")))
+        wish = materialise(wish.select("g", "shard", "target", "size", "n"), "wishes")
+        moves = wish.groupBy("shard", "target").agg(F.sum("n").alias("n")).collect()
+        wanted = {(r["shard"], r["target"]): r["n"] for r in moves}
         if not wanted:
             break
         share = quotas(wanted, load, room)
         rate = F.create_map(*(F.lit(x) for (s, t), v in sorted(share.items()) for x in (s * shards + t, float(v))))
         alone = F.xxhash64(F.when(F.col("size") > room / 16, F.col("doc_id")), "g", F.lit(i))
         drawn = F.pmod(alone, F.lit(_GRAIN)) / _GRAIN
-        goes = (F.col("shard") != F.col("target")) & (drawn < F.coalesce(F.try_element_at(rate, F.col("shard") * shards + F.col("target")), F.lit(0.0)))
-        joined = linked.join(target, "g")
+        goes = drawn < F.coalesce(F.try_element_at(rate, F.col("shard") * shards + F.col("target")), F.lit(0.0))
+        joined = linked.join(wish.drop("n"), ["g", "shard"], "left")
         linked = materialise(joined.select("doc_id", "key", "g", F.when(goes, F.col("target")).otherwise(F.col("shard")).alias("shard")), "shards")
     return linked
 
