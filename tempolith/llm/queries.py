@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, probminhash, pseudonyms, quality, secrets, sentencepiece_codec, sharding, spaced_seeds, storage, token_shards, url_filter
+from . import langid, oracles, probminhash, pseudonyms, quality, secrets, sentencepiece_codec, sharding, spaced_seeds, storage, token_shards, url_filter
 
 MODEL = "piece_bpe_32k.model"
 #: the key of the pseudonyms in these queries; a deployment passes its own secret
@@ -75,4 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_rank_profiles": op10_rank_profiles,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_redirect_equivalence": oracles.REDIRECT_EQUIVALENCE,
+    "op9_adaptive_quality": oracles.ADAPTIVE_QUALITY,
+}
