@@ -29,14 +29,14 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct()
     )
     pairs = materialise(pairs, "edges")
-    seen = None
     for _ in range(max_rounds):
-        size, state = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if size == 0 or (size, state) == seen:
+        # done when every edge leads to a node without smaller neighbours, and to one only
+        ends = pairs.groupBy("u").agg(F.count("*").alias("n"))
+        open_ = pairs.select(F.col("v").alias("u")).distinct().withColumn("end", F.lit(True)).join(ends, "u")
+        if ends.where("n > 1").isEmpty() and open_.isEmpty():
             break
-        seen = size, state
         # large star: every edge from both ends
-        both = materialise(pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))), "both")
+        both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = _least(both, "least").select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = materialise(large, "large")

@@ -6,24 +6,28 @@
    a register with probability equal to their probability Jaccard similarity.  Arrivals
    come in order of time, so a document stops as soon as all registers are final.
 2. *Banding.*  Equal texts are one class from the start and go on as one row.  Rows
-   that agree in all ``rows`` registers of a band are candidates: each is compared to two
-   pivots of the bucket (least and greatest id), never all to all.  Then, until nothing
-   changes, members that are still outside the largest class of their bucket become
-   pivots themselves, so that a link between two texts that no pivot resembles is found.
+   that agree in all ``rows`` registers of a band share a bucket, and each is compared to
+   the bucket's least id, never all to all.
 3. *Verification.*  Candidates whose signatures are far apart are dropped, the rest are
    compared on their whole shingle sets.  Connected components of the links are the classes.
+4. *Leftovers.*  In a bucket that still holds several classes, members outside the largest
+   one may resemble a member that is not the pivot.  They are joined to the members of such
+   buckets by an exact prefix filter: with shingles ordered from the rarest on, two similar
+   texts share one among the first fifth of each, and the places where it stands there bound
+   their similarity.  A version of a text that differs too much starts with shingles of its
+   own and so meets nobody.  What passes is verified as well, so no link is lost.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import textkernel as tk
 from .components import connected_components
@@ -85,19 +89,19 @@ def weights(times: np.ndarray) -> np.ndarray:
 
 
 def sign(docs: DataFrame, shingle: int = SHINGLE, registers: int = REGISTERS) -> DataFrame:
-    """(doc_id, sig): signature as little-endian u32, empty where a text has no word."""
+    """(doc_id, n, sig): distinct shingles, and the signature as little-endian u32; empty where a text has no word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in tk.blocks(batch.column(1)):
                 doc, h, times = tk.distinct(*tk.shingles(tk.words(block), shingle, block.size))
                 sig = signatures(doc, h, weights(times), block.size, registers)
-                some = np.bincount(doc, minlength=block.size) > 0
+                some = np.bincount(doc, minlength=block.size)
                 rows = [s.tobytes() if x else b"" for s, x in zip(sig.astype("<u4"), some, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.size), pa.array(rows, pa.binary())], names=["doc_id", "sig"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.size), pa.array(some), pa.array(rows, pa.binary())], names=["doc_id", "n", "sig"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, sig binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n bigint, sig binary")
 
 
 def _agree(pairs: DataFrame, least: float, registers: int) -> DataFrame:
@@ -139,9 +143,44 @@ def verify(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, similarity
     return whole.mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, registers: int = REGISTERS, rows: int = ROWS
-) -> DataFrame:
+def _tokens(texts: DataFrame, shingle: int) -> DataFrame:
+    """(id, h): the distinct shingles of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in tk.blocks(batch.column(1)):
+                doc, h, _ = tk.distinct(*tk.shingles(tk.words(block), shingle, block.size))
+                ids = batch.column(0).slice(block.first, block.size)
+                for i in range(0, len(h), 100_000):
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc[i : i + 100_000])), pa.array(h[i : i + 100_000].view(np.int64))], names=["id", "h"])
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return texts.select("doc_id", "text").mapInArrow(run, f"id {kind}, h bigint")
+
+
+def _leftovers(buckets: DataFrame, part: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Pairs (id, pivot) of different classes that may be similar, one outside the largest class of a bucket they may share."""
+    of = buckets.select("bucket", "id").join(part.select(F.col("node").alias("id"), "component"), "id", "left")
+    of = materialise(of.select("bucket", "id", F.coalesce("component", "id").alias("component")), "of")
+    sizes = of.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    split = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("classes")).where("classes > 1")
+    open_ = of.join(materialise(split.select("bucket", F.col("main.component").alias("main")), "split"), "bucket")
+    open_ = materialise(open_.groupBy("id", "component").agg(F.max(F.col("component") != F.col("main")).alias("outside")), "open")
+    tokens = materialise(_tokens(texts.join(open_.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), shingle), "tokens")
+    often = materialise(tokens.groupBy("h").agg(F.count("*").alias("df")), "often")
+    own = Window.partitionBy("id")
+    ranked = tokens.join(often, "h").select("id", "h", F.row_number().over(own.orderBy("df", "h")).alias("place"), F.count("*").over(own).alias("n"))
+    # one shared shingle stands at the first n - s n + 1 places of either text
+    first = ranked.where(F.col("place") <= F.col("n") - F.ceil(similarity * F.col("n") - 1e-9) + 1)
+    first = materialise(first.join(open_, "id"), "prefixes")
+    x, y = first.where("outside").alias("x"), first.alias("y")
+    rest = 1 + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    may = rest >= similarity / (1 + similarity) * (F.col("x.n") + F.col("y.n")) - 1e-6
+    met = x.join(y, (F.col("x.h") == F.col("y.h")) & may & (F.col("x.component") != F.col("y.component")))
+    return met.select(F.col("x.id").alias("id"), F.col("y.id").alias("pivot"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, registers: int = REGISTERS, rows: int = ROWS) -> DataFrame:
     """(doc_id, class_id, n_links) for every row of ``docs`` (doc_id, text).
 
     A class is a connected component of texts that are equal or similar; it bears its
@@ -155,47 +194,34 @@ def near_duplicates(
     keys = materialise(docs.select("doc_id", key.alias("text_key")), "keys")
     first = materialise(keys.groupBy("text_key").agg(F.min("doc_id").alias("rep")), "first")
     member = materialise(keys.join(first, "text_key").select("doc_id", "rep"), "member")
-    reps = sign(docs, shingle, registers).where(F.length("sig") > 0).join(member.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
+    reps = sign(docs, shingle, registers).where("n > 0").join(member.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
     reps = materialise(reps, "reps")
     width = 4 * rows
     bands = reps.select(F.col("doc_id").alias("id"), F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(registers // rows - 1)), lambda i: F.substring("sig", (i * width + 1).cast("int"), F.lit(width)))).alias("band", "part"))
-    bands = materialise(bands.select("id", F.xxhash64("band", "part").alias("bucket")), "bands")
-    ends = bands.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    buckets = materialise(bands.join(materialise(ends, "ends"), "bucket"), "buckets")
-    pairs = buckets.select("id", F.explode(F.array("low", "high")).alias("pivot")).where("id <> pivot")
+    bands = bands.select("id", F.xxhash64("band", "part").alias("bucket"))
+    ends = materialise(bands.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("bucket", "low"), "ends")
+    buckets = materialise(bands.join(ends, "bucket"), "buckets")
+    # only texts in some bucket go on
+    texts = materialise(docs.join(buckets.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), "texts")
     # signatures may be off by five standard deviations
     least = similarity - 5 * math.sqrt(similarity * (1 - similarity) / registers)
-    links = tested = None
-    for round_ in count(1):
-        pairs = pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        sig_a, sig_b = (reps.select(F.col("doc_id").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "ab")
+    sig_a, sig_b = (reps.select(F.col("doc_id").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "ab")
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        pairs = materialise(pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct(), "pairs")
         close = materialise(_agree(pairs.join(sig_b, "b").join(sig_a, "a"), least, registers), "close")
-        found = materialise(verify(close, docs, shingle, similarity), "found")
-        links = found if links is None else links.union(found)
-        if round_ == 1 or not found.isEmpty():
-            part = materialise(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "part")
-        # buckets that still hold several classes: members outside the largest one are the next pivots
-        of = buckets.select("bucket", "id").join(part.select(F.col("node").alias("id"), "component"), "id", "left")
-        of = materialise(of.select("bucket", "id", F.coalesce("component", "id").alias("component")), "of")
-        sizes = of.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        split = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("classes")).where("classes > 1")
-        split = materialise(split.select("bucket", F.col("main.component").alias("main"), (F.col("n") - F.col("main.n")).alias("outside")), "split")
-        if split.isEmpty():
-            break
-        left = materialise(of.join(split, "bucket"), "left")
-        # four times as many pivots each round, at last all of them: the rounds grow with the logarithm of a bucket
-        drawn = F.pmod(F.xxhash64("id", F.lit(round_)), F.lit(1 << 20)) * F.col("outside") < F.lit(4**round_ << 20)
-        pivot = left.where(F.col("component") != F.col("main")).where(drawn)
-        pivot = materialise(pivot.select("bucket", F.col("id").alias("pivot"), F.col("component").alias("other")), "pivot")
-        pairs = left.join(pivot, "bucket").where("component <> other").select("id", "pivot")
-        if left.agg(F.max("outside")).first()[0] <= 4 ** (round_ - 1):
-            break  # every member outside has been compared to its whole bucket
-    part = part.select(F.col("node").alias("rep"), "component")
-    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
-    found = part.join(degree, "rep", "left")
+        return materialise(verify(close, texts, shingle, similarity), "found")
+
+    def classes(links: DataFrame) -> DataFrame:
+        return materialise(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "part")
+
+    links = checked(buckets.where("id <> low").select("id", F.col("low").alias("pivot")))
+    part = classes(links)
+    more = checked(_leftovers(buckets, part, texts, shingle, similarity))
+    if not more.isEmpty():
+        links = links.union(more).distinct()
+        part = classes(links)
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    found = part.join(degree, "node", "left").select(F.col("node").alias("rep"), "component", "n_links")
     joined = member.join(materialise(found, "classes"), "rep", "left")
     return joined.select("doc_id", F.coalesce("component", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
