@@ -109,6 +109,10 @@ def duration_fields(iso: Column) -> Column:
     return let(part, build)
 
 
+#: a frequency has the same shape as a duration
+frequency_fields = duration_fields
+
+
 def normal_text(iso: Column, doc_ts: Column | None = None) -> Column:
     """The normalized time as people read it."""
     instant = F.concat_ws(" ", date_fields(iso, doc_ts)["text"], time_fields(iso, doc_ts)["text"])
@@ -119,3 +123,14 @@ def timeline_text(iso: Column, doc_ts: Column | None = None) -> Column:
     """The instant of a timeline: a date, or a coarser ISO form as it stands."""
     human = F.when(is_present(iso), date_fields(iso, doc_ts)["text"]).otherwise(date_iso(iso)) if doc_ts is not None else date_iso(iso)
     return F.when(iso.contains("T"), human).otherwise(iso)
+
+
+def instant_text(iso: Column, doc_ts: Column | None = None, style: str = "mix") -> Column:
+    """An instant as ``iso``, as people read it (``human``), or as ``mix``: dates for what has a time of day, else ISO."""
+    if style == "iso":
+        return iso
+    if style == "human":
+        return normal_text(iso, doc_ts)
+    if style == "mix":
+        return timeline_text(iso, doc_ts)
+    raise ValueError(f"{style} is none of iso, human, mix")

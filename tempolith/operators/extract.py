@@ -44,6 +44,14 @@ def lexicon(sections: DataFrame, drugs: list[str]) -> DataFrame:
     return pairs.select(*DOC, "section_id", F.col("sentence_id").alias("pos"), "sact", relation.alias("relation"), "time").distinct()
 
 
+def as_outputs(tlinks: DataFrame, sections: DataFrame) -> DataFrame:
+    """Triplets in the form of model outputs: one JSON list for each section, maybe empty."""
+    keys = [*DOC, "section_id"]
+    one = F.struct("pos", F.struct(F.col("sact").alias("SACT"), "relation", "time").alias("link"))
+    lists = tlinks.groupBy(*keys).agg(F.to_json(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["link"])).alias("llm_out"))
+    return recorded(sections, lists)
+
+
 def by_model(sections: DataFrame, prompt: str, load: Callable[[], Callable[[list[str]], list[str]]], size: int = 4) -> DataFrame:
     """Outputs of a model that ``load`` makes once in each task, asked ``size`` sections at a time."""
     asked = sections.select(*DOC, "section_id", instruction(prompt, F.col("text")).alias("ask"))

@@ -36,6 +36,12 @@ def parse_outputs(raw: DataFrame, out: str = "llm_out") -> tuple[DataFrame, Data
     return tlinks, again.where("links is null").select(*keys, out)
 
 
+def output_map(out: Column) -> Column:
+    """A model's output as a map of strings; what is no JSON object stands under ``llm_out`` as it is."""
+    found = F.from_json(bracketed(strip_think(out), "{", "}"), "map<string,string>", {"mode": "PERMISSIVE"})
+    return F.coalesce(found, F.create_map(F.lit("llm_out"), out))
+
+
 def has_links(tlinks: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Documents with any triplet: those that go through alignment."""
     return tlinks.select(*keys).distinct()

@@ -186,6 +186,21 @@ def message_batches(spark, d):
 # --- model output
 
 
+def _isos(spark: SparkSession, d: str) -> DataFrame:
+    o, k = F.col("o_orderdate"), F.col("o_orderkey")
+    f = lambda form: F.date_format(o, form)
+    week = F.concat(f("yyyy"), F.lit("-W"), F.lpad((k % 52 + 1).cast("string"), 2, "0"))
+    stamp = F.concat(f("yyyy-MM-dd"), F.lit("T"), f("HH:mm:ss"), F.when(k % 2 == 0, "Z").otherwise(""))
+    iso = F.when(k % 7 == 0, f("yyyy")).when(k % 7 == 1, f("yyyy-MM")).when(k % 7 == 2, f("yyyy-MM-dd")).when(k % 7 == 3, week)
+    iso = iso.when(k % 7 == 4, stamp).when(k % 7 == 5, F.concat(F.lit("P"), (k % 30).cast("string"), F.lit("D"))).otherwise("")
+    return table(spark, d, "orders").select("o_orderkey", "o_orderdate", iso.alias("iso"))
+
+
+ISOS = """iso as (select o_orderkey, o_orderdate o, o_orderkey % 7 k, case o_orderkey % 7 when 0 then strftime(o_orderdate, '%Y') when 1 then strftime(o_orderdate, '%Y-%m') when 2 then strftime(o_orderdate, '%Y-%m-%d')
+ when 3 then strftime(o_orderdate, '%Y') || '-W' || lpad(cast(o_orderkey % 52 + 1 as varchar), 2, '0') when 4 then strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || case when o_orderkey % 2 = 0 then 'Z' else '' end
+ when 5 then 'P' || cast(o_orderkey % 30 as varchar) || 'D' else '' end iso from orders)"""
+
+
 def _outputs(spark: SparkSession, d: str) -> DataFrame:
     n = F.col("event_id")
     body = F.concat(F.lit('[{"SACT": "s'), n.cast("string"), F.lit('", "relation": "'), F.col("event_type"), F.lit('", "time": "t'), (n % 10).cast("string"), F.lit('"}'))
@@ -223,6 +238,20 @@ def tlink_defaults(spark, d):
     return parse.parse_outputs(table(spark, d, "events").select("event_id", out.alias("llm_out")))[0].drop("pos")
 
 
+@query("""select event_id, case when event_id % 2 = 0 then 'k' || cast(event_id as varchar) end k, case when event_id % 2 = 1 then 'no object ' || cast(event_id as varchar) end llm_out from events""")
+def parse_llm_map(spark, d):
+    n = F.col("event_id").cast("string")
+    out = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('<think>{</think> see {"k": "k'), n, F.lit('"}.'))).otherwise(F.concat(F.lit("no object "), n))
+    found = table(spark, d, "events").select("event_id", parse.output_map(out).alias("m"))
+    return found.select("event_id", F.try_element_at("m", F.lit("k")).alias("k"), F.try_element_at("m", F.lit("llm_out")).alias("llm_out"))
+
+
+@query(f"with {ISOS} select o_orderkey, iso iso_text, case k when 4 then strftime(o, '%Y-%m-%d') else iso end mix_text, case k when 5 then cast(o_orderkey % 30 as varchar) || ' Day' when 4 then strftime(o, '%Y-%m-%d %H:%M') when 2 then strftime(o, '%Y-%m-%d') || ' 00:00' else '' end human_text from iso where k in (2, 4, 5, 6)")
+def instant_styles(spark, d):
+    rows = _isos(spark, d).where("o_orderkey % 7 in (2, 4, 5, 6)")
+    return rows.select("o_orderkey", *(iso_fn.instant_text(F.col("iso"), None, style).alias(f"{style}_text") for style in ("iso", "mix", "human")))
+
+
 @query(f"with {TL} select distinct patient_id, doc_id from tl where relation = 'BEGINS-ON'")
 def tlink_route(spark, d):
     return parse.has_links(links(spark, d).where("relation = 'BEGINS-ON'"), ("patient_id", "doc_id"))
@@ -334,21 +363,6 @@ def time_norm_duration(spark, d):
     return found.withColumn("f", iso_fn.duration_fields(F.col("iso"))).select("o_orderkey", "text", "iso", F.col("f.text").alias("time_normal"), F.col("f.number_value").alias("number_value"))
 
 
-def _isos(spark: SparkSession, d: str) -> DataFrame:
-    o, k = F.col("o_orderdate"), F.col("o_orderkey")
-    f = lambda form: F.date_format(o, form)
-    week = F.concat(f("yyyy"), F.lit("-W"), F.lpad((k % 52 + 1).cast("string"), 2, "0"))
-    stamp = F.concat(f("yyyy-MM-dd"), F.lit("T"), f("HH:mm:ss"), F.when(k % 2 == 0, "Z").otherwise(""))
-    iso = F.when(k % 7 == 0, f("yyyy")).when(k % 7 == 1, f("yyyy-MM")).when(k % 7 == 2, f("yyyy-MM-dd")).when(k % 7 == 3, week)
-    iso = iso.when(k % 7 == 4, stamp).when(k % 7 == 5, F.concat(F.lit("P"), (k % 30).cast("string"), F.lit("D"))).otherwise("")
-    return table(spark, d, "orders").select("o_orderkey", "o_orderdate", iso.alias("iso"))
-
-
-ISOS = """iso as (select o_orderkey, o_orderdate o, o_orderkey % 7 k, case o_orderkey % 7 when 0 then strftime(o_orderdate, '%Y') when 1 then strftime(o_orderdate, '%Y-%m') when 2 then strftime(o_orderdate, '%Y-%m-%d')
- when 3 then strftime(o_orderdate, '%Y') || '-W' || lpad(cast(o_orderkey % 52 + 1 as varchar), 2, '0') when 4 then strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || case when o_orderkey % 2 = 0 then 'Z' else '' end
- when 5 then 'P' || cast(o_orderkey % 30 as varchar) || 'D' else '' end iso from orders)"""
-
-
 @query(f"""with {ISOS} select o_orderkey, case k when 0 then strftime(o, '%Y') when 1 then strftime(o, '%Y-%m') when 3 then strftime(make_date(cast(year(o) as bigint), 1, 1) + cast(7 * (o_orderkey % 52) as int), '%Y-%m-%d') else strftime(o, '%Y-%m-%d') end as text,
  cast(year(o) as int) year_value, cast(case k when 0 then 0 when 3 then month(make_date(cast(year(o) as bigint), 1, 1) + cast(7 * (o_orderkey % 52) as int)) else month(o) end as int) month_value,
  cast(case when k in (0, 1) then 0 when k = 3 then day(make_date(cast(year(o) as bigint), 1, 1) + cast(7 * (o_orderkey % 52) as int)) else day(o) end as int) day_value from iso where k < 5""")

@@ -123,6 +123,8 @@ def test_lexicon_and_model(spark, corpus):
     rows = extract.lexicon(parts, ["cisplatin", "tamoxifen"]).collect()
     got = {(r.sact, r.relation, r.time) for r in rows}
     assert ("cisplatin", "BEGINS-ON", "January 2, 2024") in got and ("Cisplatin", "ENDS-ON", "January 9, 2024") in got
+    again, errors = parse.parse_outputs(extract.as_outputs(extract.lexicon(parts, ["cisplatin", "tamoxifen"]), parts))
+    assert {(r.sact, r.relation, r.time) for r in again.collect()} == got and errors.isEmpty()
     out = extract.by_model(parts, "P:", lambda: lambda asks: [f"[{len(a)}]" for a in asks], 2)
     lengths = {(r.doc_id, r.section_id): len(r.text) for r in parts.where("patient_id = 'p 1'").collect()}
     assert {(r.doc_id, r.section_id): r.llm_out for r in out.where("patient_id = 'p 1'").collect()} == {k: f"[{n + 2 + len('/no_think')}]" for k, n in lengths.items()}
