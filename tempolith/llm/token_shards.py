@@ -31,6 +31,8 @@ from .storage import materialise
 LENGTH = 1024
 SHARD_BYTES = 16 << 20
 PAD = 0
+WAVES = 4
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @dataclass(frozen=True)
@@ -103,18 +105,20 @@ def slots(index: Column, n: int, key: str) -> Column:
     return permute_index(index, n, key, F.lit("training order"))
 
 
-def write_shards(docs: DataFrame, model: str, folder: str, key: str, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, Layout]:
+def write_shards(docs: DataFrame, model: str, folder: str, key: str, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, waves: int = WAVES) -> tuple[DataFrame, Layout]:
     """Write all sequences of ``docs`` (doc_id, text) below ``folder``, and tell where each is.
 
     Returns one row for each sequence (slot, shard, byte_offset, first_doc_id, first_at,
-    n_tokens, ids_crc32) and the layout.  Without rows there are no sequences and no files.
+    n_tokens, ids_crc32) and the layout.  The shards are written in ``waves``, a run of shards
+    in each, below ``first=`` and the run's first shard, so that only a part of all ids
+    stands in shuffle files at a time.  Without rows there are no sequences and no files.
     """
     packed, width = pack(docs, model, length)
     end = int(chunk_table(model).sp.eos_id()).to_bytes(width, "little")
     if max(end) > 0x7F:
         raise ValueError("the end id must consist of bytes below 128, as it is written as a separator")
     # encoded once: what follows reads this table, also after an executor is lost
-    kept = materialise(packed.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}), "sequences")
+    kept = materialise(packed.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}), "sequences", level=9)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = kept.groupBy("part").agg(F.count("*").alias("n"))  # a row for each task of the encoding
     starts = materialise(parts.select("part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")), "starts")
@@ -125,8 +129,17 @@ def write_shards(docs: DataFrame, model: str, folder: str, key: str, length: int
     placed = placed.withColumn("shard", (F.col("slot") / layout.shard_rows).cast("int"))
     if n:
         shards = math.ceil(n / layout.shard_rows)
-        dealt = placed.select("slot", "shard", "ids").repartitionById(shards, "shard").sortWithinPartitions("slot")
-        dealt.select(F.col("ids").cast("string").alias("value")).write.option("lineSep", end.decode("ascii")).text(folder)
+        spark = docs.sparkSession
+        before_ = spark.conf.get(_CLEANUP, "false")
+        spark.conf.set(_CLEANUP, "true")  # a wave's shuffle files go when it has been written
+        try:
+            for wave in range(min(waves, shards)):
+                first, last = shards * wave // min(waves, shards), shards * (wave + 1) // min(waves, shards)
+                part = placed.where(F.col("shard").between(first, last - 1)).select("slot", (F.col("shard") - first).alias("place"), "ids")
+                dealt = part.repartitionById(last - first, "place").sortWithinPartitions("slot")
+                dealt.select(F.col("ids").cast("string").alias("value")).write.option("lineSep", end.decode("ascii")).text(f"{folder}/first={first:08d}")
+        finally:
+            spark.conf.set(_CLEANUP, before_)
     told = placed.select(
         "slot",
         "shard",
@@ -141,13 +154,20 @@ def write_shards(docs: DataFrame, model: str, folder: str, key: str, length: int
 
 def read_slots(layout: Layout, start: int = 0, count: int | None = None) -> Iterator[np.ndarray]:
     """Records from slot ``start`` on, from a folder that this machine sees; one open file at a time."""
-    files = sorted(f for f in os.listdir(layout.folder.removeprefix("file:")) if f.startswith("part-"))
-    by_shard = {int(f.split("-")[1]): f for f in files}
+    if not layout.sequences:
+        return
+    root = layout.folder.removeprefix("file:")
+    by_shard = {}
+    for run in os.listdir(root):
+        first = int(run.split("=")[1]) if run.startswith("first=") else None
+        for f in os.listdir(os.path.join(root, run)) if first is not None else ():
+            if f.startswith("part-"):
+                by_shard[first + int(f.split("-")[1])] = os.path.join(root, run, f)
     stop = layout.sequences if count is None else min(layout.sequences, start + count)
     at = start
     while at < stop:
         shard, row = divmod(at, layout.shard_rows)
-        with open(os.path.join(layout.folder.removeprefix("file:"), by_shard[shard]), "rb") as f:
+        with open(by_shard[shard], "rb") as f:
             f.seek(row * layout.stride)
             while at < stop and at // layout.shard_rows == shard:
                 yield np.frombuffer(f.read(layout.stride), f"<u{layout.width}")
