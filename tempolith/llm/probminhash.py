@@ -5,6 +5,8 @@
    registers, and a register keeps the shingle that came first.  Two documents agree in
    a register with probability equal to their probability Jaccard similarity.  Arrivals
    come in order of time, so a document stops as soon as all registers are final.
+   All weights are 1 here, however often a shingle occurs: then that probability is the
+   Jaccard similarity of the sets, which verification tests.
 2. *Banding.*  Equal texts are one class from the start and go on as one row.  Rows
    that agree in all ``rows`` registers of a band share a bucket, and each is compared to
    the bucket's least id, never all to all.
@@ -83,19 +85,14 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, docs: i
     return (owner >> U(32)).astype(np.uint32).reshape(docs, registers)
 
 
-def weights(times: np.ndarray) -> np.ndarray:
-    """Weight of a shingle that occurs ``times`` times: damped, so that one repeated line doesn't hide the rest."""
-    return 1.0 + np.log2(times)
-
-
 def sign(docs: DataFrame, shingle: int = SHINGLE, registers: int = REGISTERS) -> DataFrame:
     """(doc_id, n, sig): distinct shingles, and the signature as little-endian u32; empty where a text has no word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in tk.blocks(batch.column(1)):
-                doc, h, times = tk.distinct(*tk.shingles(tk.words(block), shingle, block.size))
-                sig = signatures(doc, h, weights(times), block.size, registers)
+                doc, h, _ = tk.distinct(*tk.shingles(tk.words(block), shingle, block.size))
+                sig = signatures(doc, h, np.ones(len(h)), block.size, registers)
                 some = np.bincount(doc, minlength=block.size)
                 rows = [s.tobytes() if x else b"" for s, x in zip(sig.astype("<u4"), some, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.size), pa.array(some), pa.array(rows, pa.binary())], names=["doc_id", "n", "sig"])

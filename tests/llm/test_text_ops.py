@@ -336,3 +336,15 @@ def test_components(spark, edges):
     frame = spark.createDataFrame(edges, "src long, dst long")
     got = [tuple(r) for r in components.connected_components(frame).collect()]
     assert dict(got) == {n: find(n) for n in parent} and len(got) == len(parent)
+
+
+def test_classes_of_repeated_lines(spark):
+    """Copies whose last words are repeated have nearly the same set of shingles, but other counts."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(40):
+        words = [f"v{rng.randint(0, 10**6)}" for _ in range(60 if i % 2 else 120)]
+        tail = words[-12:] if i % 2 else words[-40:]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words + tail * rng.choice([20, 30, 40])))]
+    got = {r.doc_id: r.class_id for r in probminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_classes(rows) == {i: i - i % 2 for i, _ in rows}
