@@ -4,10 +4,14 @@ A mask is a pattern of used and ignored token positions.  The used words below e
 placement of each mask are hashed, on the benchmark's side and on the documents'; equal
 hashes are hits even where words under ignored positions were replaced.  Every hit names
 a diagonal of (document, item), along which the whole item is then compared word by word.
+
+Items of fewer than ``SHORT`` words have masks of their length besides, under which no
+overlap of the whole item is missed.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,8 +29,8 @@ MASKS = ("11111111", "1101100110101", "1010111001011", "110010101000111001")
 MIN_MATCHED = 12
 #: ... and they are at least this share of the stretch they span; a shorter item must match as a whole by this share
 MIN_IDENTITY = 0.75
-#: items of fewer words can't be told from chance and aren't searched
-MIN_ITEM_WORDS = 5
+#: items of fewer words are short
+SHORT = 2 * MIN_MATCHED
 MAX_BROADCAST_BYTES = 32 << 20
 U = np.uint64
 _MISS = 1.5
@@ -45,6 +49,25 @@ def seeds(h: np.ndarray, owner: np.ndarray, mask: str) -> tuple[np.ndarray, np.n
     return tk.mix(out[at]), at
 
 
+def short_masks(n: int) -> list[tuple[str, int]]:
+    """Masks and their first words in an item of ``n`` words, one of which fits wherever enough of the item matches.
+
+    So many words as may be replaced can't touch more pieces of the item than their
+    number; the masks are all choices of as many pieces as are left.
+    """
+    misses = n - math.ceil(MIN_IDENTITY * n - 1e-9)
+    if not misses:
+        return [("1" * n, 0)]
+    # pieces of two words: the masks are few and the same for most lengths
+    pieces = misses + 2
+    bounds = list(range(n + 1)) if n < 5 else [min(2 * i, n) for i in range(pieces + 1)]
+    out = []
+    for chosen in itertools.combinations(range(len(bounds) - 1), len(bounds) - 1 - misses):
+        at = [k for i in chosen for k in range(bounds[i], bounds[i + 1])]
+        out.append(("".join("01"[k in at] for k in range(at[0], at[-1] + 1)), at[0]))
+    return out
+
+
 @dataclass
 class Index:
     """Seeds of one block of the benchmark, sorted, and its items' word hashes."""
@@ -55,6 +78,9 @@ class Index:
     offset: np.ndarray
     ids: list
     words: list[np.ndarray]
+    #: words of each item and, of short ones, their hashes
+    size: np.ndarray
+    short: np.ndarray
     filter: np.ndarray
     shift: int
 
@@ -63,27 +89,34 @@ class Index:
         block = next(tk.blocks(pa.array([t for _, t in items], pa.large_string()), 1 << 62))
         w = tk.words(block)
         size = np.diff(w.first)
-        used, keys, owners, offsets = list(masks), [], [], []
-        # an item shorter than a mask is searched as a whole
-        used += ["1" * n for n in range(MIN_ITEM_WORDS, len(min(masks, key=len)))]
-        for mask in used:
+        # where a mask of short items stands in an item of each length; the others stand everywhere
+        places: dict[str, np.ndarray | None] = dict.fromkeys(masks)
+        for n in sorted({int(n) for n in size if 0 < n < SHORT}):
+            for mask, at in short_masks(n):
+                if places.setdefault(mask, np.zeros((SHORT, SHORT), dtype=bool)) is not None:
+                    places[mask][n, at] = True
+        keys, owners, offsets = [], [], []
+        for mask, there in places.items():
             h, at = seeds(w.hash, w.doc, mask)
-            if mask not in masks:
-                whole = size[w.doc[at]] == len(mask)
-                h, at = h[whole], at[whole]
+            owner = w.doc[at]
+            offset = at - w.first[owner]
+            if there is not None:
+                fits = size[owner] < SHORT
+                fits[fits] = there[size[owner[fits]], offset[fits]]
+                h, owner, offset = h[fits], owner[fits], offset[fits]
             keys.append(h)
-            owners.append(w.doc[at])
-            offsets.append(at - w.first[w.doc[at]])
+            owners.append(owner)
+            offsets.append(offset)
         key, item, offset = map(np.concatenate, (keys, owners, offsets))
-        long = size[item] >= MIN_ITEM_WORDS
-        key, item, offset = key[long], item[long], offset[long]
         order = np.argsort(key, kind="stable")
         bits = max(16, min(26, int(len(key)).bit_length() + 5))
         there = np.zeros(1 << bits, dtype=bool)
         there[key >> U(64 - bits)] = True
-        lengths = set(size.tolist())
-        used = [m for m in used if m in masks or len(m) in lengths]
-        return cls(used, key[order], item[order], offset[order], [i for i, _ in items], np.split(w.hash, w.first[1:-1]), there, 64 - bits)
+        place = np.arange(SHORT - 1)
+        short = np.zeros((len(size), SHORT - 1), U)
+        inside = (place < size[:, None]) & (size < SHORT)[:, None]
+        short[inside] = w.hash[(w.first[:-1, None] + place)[inside]]
+        return cls(list(places), key[order], item[order], offset[order], [i for i, _ in items], np.split(w.hash, w.first[1:-1]), size, short, there, 64 - bits)
 
     def hits(self, w: tk.Words) -> Iterator[tuple[int, int, int]]:
         """Distinct (document, item, diagonal) of all equal seeds; the diagonal is the item's first word in the document."""
@@ -100,13 +133,31 @@ class Index:
             doc = w.doc[word]
             found.append(np.stack([doc, self.item[entry], word - w.first[doc] - self.offset[entry]]))
         if found:
-            yield from np.unique(np.concatenate(found, axis=1), axis=1).T.tolist()
+            yield from self._likely(w, np.unique(np.concatenate(found, axis=1), axis=1)).T.tolist()
+
+    def _likely(self, w: tk.Words, found: np.ndarray) -> np.ndarray:
+        """Hits without those of short items of which too few words match for any overlap."""
+        keep = np.ones(found.shape[1], dtype=bool)
+        of_short = np.flatnonzero(self.size[found[1]] < SHORT)
+        place = np.arange(SHORT - 1)
+        for i in range(0, len(of_short), 1 << 16):
+            part = of_short[i : i + (1 << 16)]
+            doc, item, diagonal = found[:, part]
+            at = (w.first[doc] + diagonal)[:, None] + place
+            inside = (place < self.size[item][:, None]) & (at >= w.first[doc][:, None]) & (at < w.first[doc + 1][:, None])
+            same = (w.hash[np.where(inside, at, 0)] == self.short[item]) & inside
+            matched = same.sum(axis=1)
+            keep[part] = matched >= np.minimum(MIN_MATCHED, MIN_IDENTITY * self.size[item])
+        return found[:, keep]
 
     def overlap(self, text: np.ndarray, item: int, diagonal: int) -> tuple[int, int, int] | None:
         """Best stretch along a diagonal: (matched words, first and last word in the text), if it is long enough."""
         own = self.words[item]
         low, high = max(0, -diagonal), min(len(own), len(text) - diagonal)
         same = own[low:high] == text[low + diagonal : high + diagonal]
+        if len(own) < SHORT and same.sum() >= MIN_IDENTITY * len(own):
+            at = np.flatnonzero(same)
+            return len(at), low + diagonal + int(at[0]), low + diagonal + int(at[-1])
         score = np.concatenate([[0.0], np.cumsum(np.where(same, 1.0, -_MISS))])
         floor = np.minimum.accumulate(score)
         end = int(np.argmax(score - floor))
@@ -114,10 +165,17 @@ class Index:
             return None
         start = int(np.flatnonzero(score[: end + 1] == floor[end])[-1])
         matched = int(same[start:end].sum())
-        enough = matched >= MIN_MATCHED and matched >= MIN_IDENTITY * (end - start)
-        short = len(own) < 2 * MIN_MATCHED and matched >= MIN_IDENTITY * len(own)
-        if not (enough or short):
-            return None
+        if matched < MIN_MATCHED or matched < MIN_IDENTITY * (end - start):
+            # the best score may lie in too thin a stretch; of all that qualify, take the one with most matches
+            total = np.concatenate([[0], np.cumsum(same)])
+            surplus = total - MIN_IDENTITY * np.arange(len(total))
+            starts = np.searchsorted(-np.minimum.accumulate(surplus), -surplus, "left")
+            end = int(np.argmax(total - total[starts]))
+            matched = int(total[end] - total[starts[end]])
+            if matched < MIN_MATCHED:
+                return None
+            at = int(starts[end]) + np.flatnonzero(same[starts[end] : end])
+            start, end = int(at[0]), int(at[-1]) + 1
         return matched, low + diagonal + start, low + diagonal + end - 1
 
 

@@ -348,3 +348,39 @@ def test_classes_of_repeated_lines(spark):
         rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words + tail * rng.choice([20, 30, 40])))]
     got = {r.doc_id: r.class_id for r in probminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute_classes(rows) == {i: i - i % 2 for i, _ in rows}
+
+
+def test_every_overlap_of_a_short_item_is_found(spark):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = {n: [f"i{n}_{k}" for k in range(n)] for n in range(1, 24)}
+    docs, want = [], set()
+    for n, item in items.items():
+        for trial in range(25):
+            for misses in {n // 4, n // 4 + 1}:
+                text = item.copy()
+                for k in rng.sample(range(n), misses):
+                    text[k] = "changed"
+                body = [rng.choice(vocabulary) for _ in range(30)]
+                at = rng.choice([0, 30, rng.randint(0, 30)])
+                body[at:at] = text
+                docs.append((len(docs), " ".join(body)))
+                same = [x == y for x, y in zip(text, item, strict=True)]
+                stretch = any(sum(same[a:b]) >= max(12, 0.75 * (b - a)) for a in range(n) for b in range(a + 1, n + 1))
+                if sum(same) >= 0.75 * n or stretch:
+                    want.add((len(docs) - 1, n, sum(same) >= 0.75 * n))
+    bench = spark.createDataFrame([(n, " ".join(t)) for n, t in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in spaced_seeds.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    whole = {(d, n) for d, n, all_ in want if all_}
+    print("missed", len(whole - got), "of", len(whole))
+    assert whole <= got <= {(d, n) for d, n, _ in want}
+
+
+def test_all_stretches_of_an_item_are_tested():
+    item = [f"i{k}" for k in range(52)]
+    # twelve equal words qualify; what follows scores more, but is too thin to qualify with them
+    text = [w if k < 12 or (k - 12) % 8 > 2 else "changed" for k, w in enumerate(item)]
+    index = spaced_seeds.Index.build([(0, " ".join(item))])
+    words = tk.words(next(tk.blocks(pa.array([" ".join(text)]))))
+    found = index.overlap(words.hash, 0, 0)
+    assert found and found[0] >= 12 and found[0] >= 0.75 * (found[2] - found[1] + 1)
