@@ -86,13 +86,15 @@ def resolve(base: Column, target: Column) -> Column:
 
 
 def links(pages: DataFrame) -> DataFrame:
-    """(src, dst) of redirects and canonical links found in ``pages`` (url, html)."""
+    """(src, dst) of all redirects and canonical links found in ``pages`` (url, html)."""
     html, url = F.col("html"), F.col("url")
 
-    def target(pattern: str, hint: str) -> Column:
-        return F.when(F.contains(F.lower(html), F.lit(hint)), F.regexp_extract(html, pattern, 1))
+    none = F.array().cast("array<string>")
 
-    found = F.array(target(CANONICAL, "canonical"), target(REFRESH, "refresh"), target(SCRIPT, "location"))
+    def targets(pattern: str, hint: str) -> Column:
+        return F.when(F.contains(F.lower(html), F.lit(hint)), F.regexp_extract_all(html, F.lit(pattern), F.lit(1))).otherwise(none)
+
+    found = F.flatten(F.array(targets(CANONICAL, "canonical"), targets(REFRESH, "refresh"), targets(SCRIPT, "location")))
     named = pages.where("url is not null and html is not null").select("url", F.explode(found).alias("target")).where("target <> '' and not startswith(target, '#')")
     named = named.withColumn("target", F.regexp_replace("target", "&amp;", "&"))
     return named.select(node(url).alias("src"), node(resolve(url, F.col("target"))).alias("dst")).where("src <> dst").distinct()

@@ -342,3 +342,19 @@ def test_pipeline_of_odd_rows(spark, sf_dir):
         out = stage(spark, frame, sf_dir)
         out.count()
         assert stage(spark, frame.limit(0), sf_dir).count() == 0
+
+
+def test_all_links_of_a_page(spark):
+    """A page may hold several links of one kind; each of them is an edge."""
+    pages = [
+        (1, "http://a.org/1", '<script>if (m) location = "http://m.org/1"; else location.href = "http://x.net/fr/1"</script>'),
+        (2, "http://a.org/2", '<script>location = "#top"; location.replace("http://x.net/fr/2")</script>'),
+        (3, "http://a.org/3", '<link rel="canonical" href="http://b.org/3"><LINK href=http://x.net/es/3 rel=canonical>'),
+        (4, "http://a.org/4", '<meta http-equiv="refresh" content="0; url=http://b.org/4"><meta http-equiv=refresh content="9;url=http://x.net/es/4">'),
+        (5, "http://m.org/1", None),
+        (6, "http://a.org/6", '<script>location = "http://b.org/6"</script><link rel="canonical" href="http://b.org/7">'),
+    ]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter.judge(frame).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "allow"}
+    assert url_filter.links(frame).count() == 9
