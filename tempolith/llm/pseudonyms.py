@@ -18,14 +18,35 @@ WALK = 96
 _FIRST_DAY, _DAYS = "1900-01-01", 73049  # to 2099-12-31
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+#: characters of an IBAN by country
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_form(length: int) -> str:
+    groups, rest = divmod(length - 4, 4)
+    return f"(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else "")
+
+
+_KNOWN = "|".join(f"(?:{'|'.join(names.split())})[0-9]{{2}}{_iban_form(n)}" for n, names in IBAN_LENGTHS.items())
+#: by the country's length, so that no token behind it is taken in; other countries and lengths as long as they go
+_IBAN = rf"(?<![0-9A-Za-z])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_KNOWN}|[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)(?![0-9A-Za-z])"
+_NANP = r"\+1[ .-]?(?:\([2-9][0-9]{2}\)|[2-9][0-9]{2})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+#: international form: at most 15 digits, with or without separators
+_ABROAD = r"\+(?=[2-9])(?=(?:[ .()-]{0,2}[0-9]){8,15}(?![0-9A-Za-z]))[0-9](?:[ .-]?(?:\([0-9]{1,4}\)|[0-9])){6,14}"
+#: calling code: one digit, one of the pairs, or three digits
+_CALLING = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}|[0-9]{1,2})[ .-]?"
 #: kind: pattern; where two fit at one place, the first of the list is tried first
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
+    "iban": _IBAN,
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|3[47][0-9]{2}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z-])",
     "date": r"(?<![0-9A-Za-z./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\2(?:19|20)[0-9]{2})(?![0-9A-Za-z]|[./-][0-9])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{4}(?![0-9A-Za-z])",
+    "phone": rf"(?<![0-9A-Za-z])(?:{_NANP}|{_ABROAD}|(?:\+[0-9]{{1,3}}[ .-]?)?(?:\([0-9]{{2,4}}\)[ .-]?[0-9]{{3,4}}[ .-]?|[0-9]{{2,4}}[ .-][0-9]{{3,4}}[ .-])[0-9]{{4}})(?![0-9A-Za-z])",
     "ip": rf"(?<![0-9A-Za-z.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z]|\.[0-9])",
 }
 #: a line that can hold none of them is passed over by this
@@ -177,7 +198,7 @@ def _date(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    prefix = F.regexp_extract(m, r"^\+[0-9]{1,3}[ .-]?", 0)
+    prefix = F.regexp_extract(m, _CALLING, 0)
     return _let(prefix, lambda p: _let(F.substring(m, F.length(p) + 1, F.length(m)), lambda rest: F.concat(p, _refill(rest, permute_digits(_digits(rest), key, F.lit("phone"))))))
 
 

@@ -358,3 +358,22 @@ def test_all_links_of_a_page(spark):
     got = {r.page_id: r.verdict for r in url_filter.judge(frame).collect()}
     assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "allow"}
     assert url_filter.links(frame).count() == 9
+
+
+def test_private_values_before_other_tokens(spark):
+    ibans = ["BE68 5390 0754 7034 BIC GKCCBEBB", "ES9121000418450200051332 2024", "AT611904300234573201 EUR 50", "PL61109010140000071219812874 A1", "CZ6508000000192000145399 XYZ", "NO93 8601 1117 947 EUR"]
+    phones = ["+14155552671", "(415) 5552671", "+33 1 42 68 53 00", "+49 30 901820", "+442071838750", "+1.415.555.2671"]
+    rows = [(i, f"x {v}") for i, v in enumerate(ibans + phones)]
+    got = {r.doc_id: r for r in pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    length = {"BE": 19, "ES": 24, "AT": 20, "PL": 28, "CZ": 24, "NO": 18}
+    for i, t in rows:
+        r = got[i]
+        assert r.n_private == 1 and re.sub("[0-9]", "0", r.text) == re.sub("[0-9]", "0", t), (t, r.text)
+        if i < len(ibans):
+            n = length[t[2:4]] + 2
+            assert r.text[:n] != t[:n] and r.text[n:] == t[n:] and mod97(r.text[2:n]) == 1
+        else:
+            assert r.text != t
+    forms = [(1, "+14155552671 and +1 415 555 2671 and +1 (415) 555-2671")]
+    a, b, c = pseudonyms.pseudonymise(spark.createDataFrame(forms, "doc_id long, text string"), "key").first().text.split(" and ")
+    assert a == re.sub("[^0-9+]", "", b) == re.sub("[^0-9+]", "", c) and a.startswith("+1")
