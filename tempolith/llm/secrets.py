@@ -2,9 +2,9 @@
 
 Base secrets are found by pattern alone.  Weaker candidates (an identifier, a short or
 unprefixed secret, an endpoint) are reported only where complementary parts stand within
-one scope: an interval join per document brings together a secret, an identifier and an
-endpoint that are at most ``SCOPE`` code points apart.  A base access key may stand for the
-identifier and a base assignment for the secret.
+one scope: an interval join per document brings together a secret and an identifier that
+are at most ``SCOPE`` code points apart, and the endpoints near such a secret.  A base
+access key may stand for the identifier, a base assignment or hex string for the secret.
 """
 
 from __future__ import annotations
@@ -80,14 +80,14 @@ def _near(left: DataFrame, right: DataFrame, scope: int) -> DataFrame:
 def link(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Weak spans (row, kind, start, end) whose complementary parts co-occur within ``scope``.
 
-    A secret needs an identifier and an endpoint near it; identifiers and endpoints are
-    reported where they are near such a secret.
+    A secret needs an identifier near it; identifiers and endpoints are reported where
+    they are near such a secret.  An endpoint makes the link a stronger one.
     """
     of = {k: i for i, k in enumerate(KINDS)}
     identifier = spans.where(F.col("kind").isin(of["identifier"], of["access"]))
-    secret = spans.where(F.col("kind").isin(of["weak_secret"], of["assign"]))
+    secret = spans.where(F.col("kind").isin(of["weak_secret"], of["assign"], of["hex"]))
     endpoint = spans.where(F.col("kind") == of["endpoint"])
-    whole = materialise(_near(_near(secret, endpoint, scope), identifier, scope), "linked")
+    whole = materialise(_near(secret, identifier, scope), "linked")
     parts = _near(endpoint, whole, scope).union(_near(identifier, whole, scope)).union(whole)
     return parts.where(F.col("kind") >= len(BASE))
 
