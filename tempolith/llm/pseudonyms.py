@@ -9,6 +9,8 @@ on the next larger product and is walked until it falls inside the domain again.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,7 +88,10 @@ def permute_index(index: Column, n: int, key: str, tweak: Column, inside=None) -
     def outside(v: Column) -> Column:
         return (v >= n) if inside is None else ((v >= n) | ~inside(v))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), step(index.cast("bigint")), lambda v, _: F.when(outside(v), step(v)).otherwise(v))
+    first = step(index.cast("bigint"))
+    # a walk passes each point outside once at most, and goes on with the share of them
+    walk = WALK if inside is not None else min(a * b - n, WALK, math.ceil(30 / math.log10(a * b / max(1, a * b - n))) if a * b > n else 0)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(walk)), first, lambda v, _: F.when(outside(v), step(v)).otherwise(v)) if walk else first
 
 
 def permute_digits(digits: Column, key: str, tweak: Column) -> Column:

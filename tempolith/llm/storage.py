@@ -56,4 +56,17 @@ def materialise(df: DataFrame, label: str, level: int = 3) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._tempolith_path = path
+    return table
+
+
+def reread(table: DataFrame, spark: SparkSession) -> DataFrame:
+    """A table of ``materialise`` in another session of the same application."""
+    return spark.read.schema(table.schema).parquet(table._tempolith_path)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``materialise`` that nothing will read again, lazily or after a loss."""
+    for table in tables:
+        delete(table.sparkSession, table._tempolith_path)

@@ -17,21 +17,22 @@ import math
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .pseudonyms import permute_index
 from .sentencepiece_codec import chunk_table, text_blocks
-from .storage import materialise
+from .storage import materialise, reread
 
 LENGTH = 1024
 SHARD_BYTES = 16 << 20
 PAD = 0
-WAVES = 4
+WAVES = 2
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -54,7 +55,7 @@ def pack(docs: DataFrame, model: str, length: int = LENGTH) -> tuple[DataFrame,
     """Sequences of ``length`` - 1 ids, and the bytes of an id.
 
     Rows: first_doc_id (the document of the first id), first_at (its place in that
-    document), n_tokens (ids that aren't padding), ids.  Documents follow each other in
+    document), n_tokens (ids that aren't padding), ids_crc32, ids.  Documents follow each other in
     the order of the table's partitions, each with its begin id and its end id; only the
     last sequence of a partition is padded.  A null text counts as empty.
     """
@@ -74,9 +75,10 @@ def pack(docs: DataFrame, model: str, length: int = LENGTH) -> tuple[DataFrame,
             body[: min(len(held), n * size)] = held[: n * size]
             raw = pa.py_buffer(body.tobytes())
             ends = pa.py_buffer(np.arange(0, n * size * width + 1, size * width, dtype=np.int32))
+            sums = pa.array([zlib.crc32(record) for record in body.reshape(n, size)], pa.int64())
             return pa.RecordBatch.from_arrays(
-                [pa.array([ids_of[d] for d in doc]), pa.array(at - starts[doc]), pa.array(np.minimum(len(held) - at, size)), pa.Array.from_buffers(pa.binary(), n, [None, ends, raw])],
-                names=["first_doc_id", "first_at", "n_tokens", "ids"],
+                [pa.array([ids_of[d] for d in doc]), pa.array(at - starts[doc]), pa.array(np.minimum(len(held) - at, size)), sums, pa.Array.from_buffers(pa.binary(), n, [None, ends, raw])],
+                names=["first_doc_id", "first_at", "n_tokens", "ids_crc32", "ids"],
             )
 
         for batch in batches:
@@ -97,7 +99,7 @@ def pack(docs: DataFrame, model: str, length: int = LENGTH) -> tuple[DataFrame,
             yield rows(1)
 
     doc_id = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"first_doc_id {doc_id}, first_at bigint, n_tokens bigint, ids binary"), width
+    return docs.select("doc_id", "text").mapInArrow(run, f"first_doc_id {doc_id}, first_at bigint, n_tokens bigint, ids_crc32 bigint, ids binary"), width
 
 
 def slots(index: Column, n: int, key: str) -> Column:
@@ -112,46 +114,67 @@ def write_shards(docs: DataFrame, model: str, folder: str, key: str, length: int
     n_tokens, ids_crc32) and the layout.  The shards are written in ``waves``, a run of shards
     in each, below ``first=`` and the run's first shard, so that only a part of all ids
     stands in shuffle files at a time.  Without rows there are no sequences and no files.
+
+    A null or empty text has its begin and end ids only, a text longer than a sequence goes
+    on in the next ones, and repeated rows and doc_ids are documents like any other; columns
+    besides doc_id and text are not read.  ``folder`` must not hold shards yet: a write that
+    broke off is done again in another folder, as the order of sequences is the run's own.
     """
     packed, width = pack(docs, model, length)
     end = int(chunk_table(model).sp.eos_id()).to_bytes(width, "little")
     if max(end) > 0x7F:
         raise ValueError("the end id must consist of bytes below 128, as it is written as a separator")
     # encoded once: what follows reads this table, also after an executor is lost
-    kept = materialise(packed.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}), "sequences", level=9)
+    kept = materialise(packed.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}), "sequences", level=1)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = kept.groupBy("part").agg(F.count("*").alias("n"))  # a row for each task of the encoding
     starts = materialise(parts.select("part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")), "starts")
     n = starts.agg(F.sum("n")).first()[0] or 0
     layout = Layout(folder, n, length, width, max(1, shard_bytes // (length * width)))
-    index = F.col("start") + F.col("at")
-    placed = kept.join(F.broadcast(starts.select("part", "start")), "part").withColumn("slot", slots(index, max(1, n), key))
-    placed = placed.withColumn("shard", (F.col("slot") / layout.shard_rows).cast("int"))
+
+    def place(rows: DataFrame, starts: DataFrame) -> DataFrame:
+        slot = slots(F.col("start") + F.col("at"), max(1, n), key)
+        return rows.join(F.broadcast(starts.select("part", "start")), "part").withColumn("slot", slot).withColumn("shard", (F.col("slot") / layout.shard_rows).cast("int"))
+
     if n:
         shards = math.ceil(n / layout.shard_rows)
-        spark = docs.sparkSession
-        before_ = spark.conf.get(_CLEANUP, "false")
-        spark.conf.set(_CLEANUP, "true")  # a wave's shuffle files go when it has been written
-        try:
-            for wave in range(min(waves, shards)):
-                first, last = shards * wave // min(waves, shards), shards * (wave + 1) // min(waves, shards)
-                part = placed.where(F.col("shard").between(first, last - 1)).select("slot", (F.col("shard") - first).alias("place"), "ids")
-                dealt = part.repartitionById(last - first, "place").sortWithinPartitions("slot")
-                dealt.select(F.col("ids").cast("string").alias("value")).write.option("lineSep", end.decode("ascii")).text(f"{folder}/first={first:08d}")
-        finally:
-            spark.conf.set(_CLEANUP, before_)
-    told = placed.select(
+        # a session of its own, in which a wave's shuffle files go when it has been written
+        own = docs.sparkSession.newSession()
+        own.conf.set(_CLEANUP, "true")
+        ordered = place(reread(kept, own), reread(starts, own))
+        for wave in range(min(waves, shards)):
+            first, last = shards * wave // min(waves, shards), shards * (wave + 1) // min(waves, shards)
+            part = ordered.where(F.col("shard").between(first, last - 1)).select("slot", (F.col("shard") - first).alias("place"), "ids")
+            dealt = part.repartitionById(last - first, "place").sortWithinPartitions("slot")
+            dealt.select(F.col("ids").cast("string").alias("value")).write.option("lineSep", end.decode("ascii")).text(f"{folder}/first={first:08d}")
+    told = place(kept, starts).select(
         "slot",
         "shard",
         ((F.col("slot") % layout.shard_rows) * layout.stride).alias("byte_offset"),
         "first_doc_id",
         "first_at",
         "n_tokens",
-        F.crc32("ids").alias("ids_crc32"),
+        "ids_crc32",
     )
     return told, layout
 
 
+def read_table(spark: SparkSession, layout: Layout) -> DataFrame:
+    """(slot, ids) of all records, wherever the folder lies; a task reads one shard at a time.
+
+    ids are the record's bytes, the end id included.  A filter on ``first``, the first shard
+    of the run a record belongs to, leaves out whole runs before they are read.
+    """
+    if not layout.sequences:
+        return spark.createDataFrame([], "first int, slot bigint, ids binary")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(layout.folder)
+    shard = F.col("first").cast("int") + F.regexp_extract("path", r"part-([0-9]+)[^/]*$", 1).cast("int")
+    row = F.explode(F.sequence(F.lit(0), (F.col("length") / layout.stride).cast("int") - 1))
+    rows = files.select(F.col("first").cast("int").alias("first"), shard.alias("shard"), "content", row.alias("row"))
+    record = F.substring("content", (F.col("row") * layout.stride + 1).cast("int"), F.lit(layout.stride))
+    return rows.select("first", (F.col("shard").cast("long") * layout.shard_rows + F.col("row")).alias("slot"), record.alias("ids"))
+
+
 def read_slots(layout: Layout, start: int = 0, count: int | None = None) -> Iterator[np.ndarray]:
     """Records from slot ``start`` on, from a folder that this machine sees; one open file at a time."""
     if not layout.sequences:

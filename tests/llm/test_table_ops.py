@@ -46,6 +46,20 @@ def test_shards_round_trip(spark, sf_dir, docs):
         assert len(record) == 256 and record[-1] == sp.eos_id() and record[: len(own)].tolist() == own
         assert zlib.crc32(record[:-1].tobytes()) == r.ids_crc32 and r.byte_offset == (r.slot % layout.shard_rows) * layout.stride
         assert not record[r.n_tokens : -1].any()
+    # all ids of all records: those of a partition's documents, one after the other, cut into sequences
+    whole = {}
+    parts = queries.table(spark, sf_dir, "documents").select(F.spark_partition_id().alias("part"), "doc_id").collect()
+    for part in sorted({r.part for r in parts}):
+        inside = [r.doc_id for r in parts if r.part == part]
+        stream = [x for i in inside for x in ids[i]]
+        at = [(i, k) for i in inside for k in range(len(ids[i]))]
+        for k in range(0, len(stream), 255):
+            whole[at[k]] = stream[k : k + 255]
+    assert len(whole) == len(rows)
+    for r, record in zip(rows, records, strict=True):
+        assert record[: r.n_tokens].tolist() == whole.pop((r.first_doc_id, r.first_at))
+    table = token_shards.read_table(spark, layout).collect()
+    assert sorted((r.slot, bytes(r.ids)) for r in table) == [(i, x.tobytes()) for i, x in enumerate(records)]
     resumed = list(token_shards.read_slots(layout, 100, 50))
     assert [x.tolist() for x in resumed] == [x.tolist() for x in records[100:150]]
     # every document stands somewhere as a whole: sequences of one partition follow each other
