@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialise
+from .storage import materialise, release
 
 
 def _least(edges: DataFrame, label: str) -> DataFrame:
@@ -37,14 +37,17 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         # large star: every edge from both ends
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = _least(both, "least").select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = _least(both, "least")
+        ends = least.select("u", F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(ends, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = materialise(large, "large")
+        release(pairs, least)
         # small star: u is the greater end of each edge
         least = _least(large, "least")
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         own = least.select("u", F.col("m").alias("v"))
         pairs = materialise(small.union(own).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        release(large, least)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(

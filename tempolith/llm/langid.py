@@ -20,10 +20,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .storage import mapped, materialise
+from .textkernel import tidied
+
 PROFILE = 300
 FOLDS = 5
 UNDETERMINED = "und"
-BLOCK_BYTES = 1 << 20
+MAX_LANGUAGES = 500
+BLOCK_BYTES = 1 << 19
 _BITS = 21  # of a code point; three of them fill a bigint
 _BORDER = 1  # stands for a word border in an n-gram; 0 stands for nothing
 _letters: np.ndarray | None = None
@@ -110,11 +114,12 @@ def fold(doc_id: Column, folds: int = FOLDS) -> Column:
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", size: int = PROFILE) -> DataFrame:
     """Profiles: (lang, rank from 0, gram), ``size`` ranks at most for each language.
 
-    Counts cover every row with a language; rows without text add nothing.  Ties in
-    count are broken by the n-gram itself.
+    Counts cover every row with a language, repeated rows each time, and whole texts; rows
+    without text add nothing.  Ties in count are broken by the n-gram itself.
     """
     source = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
 
+    @tidied
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -137,13 +142,16 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", size: int
                 for _, texts in _pieces(batch.column(1).filter(pa.array(langs == lang))):
                     found = grams(texts)
                     add(lang, found.gram, found.count)
+                    del found
             if sum(len(g) for g, _ in held.values()) > 1_000_000:  # bounded memory, whatever the scripts
                 yield from rows()
         yield from rows()
 
     total = source.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return total.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < size).select("lang", "rank", "gram")
+    # so written each task passes on its own first ranks of a language only
+    ranked = total.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
+    return ranked.select("lang", (F.col("place") - 1).alias("rank"), "gram")
 
 
 class Profiles:
@@ -154,7 +162,7 @@ class Profiles:
         self.langs = sorted({r[0] for r in rows})
         at = {x: i for i, x in enumerate(self.langs)}
         self.grams = np.unique(np.array([r[2] for r in rows], dtype=np.int64))
-        self.ranks = np.full((len(self.grams), len(self.langs)), -1, dtype=np.int32)
+        self.ranks = np.full((len(self.grams), len(self.langs)), -1, dtype=np.int16)
         for lang, rank, gram in rows:
             self.ranks[np.searchsorted(self.grams, gram), at[lang]] = rank
 
@@ -193,13 +201,17 @@ def predict(docs: DataFrame, profiles: DataFrame, text: str = "text", keep: tupl
     """``keep`` columns, lang_pred and score (under ``names``) for every row of ``docs``.
 
     ``und`` with score 0 where the text is null or has no letter, or where no language
-    was learned.  Ties go to the language first in order.  Only the profiles reach the
-    driver: at most PROFILE rows for each language.
+    was learned.  Ties go to the language first in order.  Repeated rows and doc_ids are
+    told one by one, and a text is told as a whole.  Only the profiles reach the driver and
+    the workers: at most PROFILE rows for each language, of MAX_LANGUAGES languages; more
+    are refused, as such a column holds something else.
     """
+    profiles = materialise(profiles, "profiles")
+    if profiles.select("lang").distinct().count() > MAX_LANGUAGES:
+        raise ValueError(f"profiles of over {MAX_LANGUAGES} languages")
     learned = Profiles([(r["lang"], r["rank"], r["gram"]) for r in profiles.collect()])
-    source = docs.select(*keep, F.col(text).alias("__text"))
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]) + f", {names[0]} string, {names[1]} double"
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in _pieces(batch.column(batch.num_columns - 1)):
@@ -207,7 +219,7 @@ def predict(docs: DataFrame, profiles: DataFrame, text: str = "text", keep: tupl
                 same = [c.slice(at, len(texts)) for c in batch.columns[:-1]]
                 yield pa.RecordBatch.from_arrays([*same, pa.array(lang, pa.string()), pa.array(score)], names=[*batch.schema.names[:-1], *names])
 
-    return source.mapInArrow(run, out)
+    return mapped(docs, keep, F.col(text), run, {names[0]: "string", names[1]: "double"})
 
 
 def identify(docs: DataFrame, folds: int = FOLDS, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -39,10 +39,10 @@ _SCRIPT = r"""(?s)\blocation(?:\.href)?\s*(?:=|\.(?:replace|assign)\()\s*["'']([
 
 REDIRECT_EQUIVALENCE = f"""
 with recursive found as (
-  select url, unnest([
-    regexp_extract(list_filter(regexp_extract_all(html, '(?is)<link\\b[^>]*>'), lambda x: regexp_matches(x, '{_REL}') and regexp_matches(x, '{_HREF}'))[1], '{_HREF}', 1),
-    regexp_extract(list_filter(regexp_extract_all(html, '(?is)<meta\\b[^>]*>'), lambda x: regexp_matches(x, '{_REFRESH}') and regexp_matches(x, '{_CONTENT}'))[1], '{_CONTENT}', 1),
-    regexp_extract(html, '{_SCRIPT}', 1)]) target
+  select url, unnest(list_concat(
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<link\\b[^>]*>'), lambda x: regexp_matches(x, '{_REL}') and regexp_matches(x, '{_HREF}')), lambda x: regexp_extract(x, '{_HREF}', 1)),
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\\b[^>]*>'), lambda x: regexp_matches(x, '{_REFRESH}') and regexp_matches(x, '{_CONTENT}')), lambda x: regexp_extract(x, '{_CONTENT}', 1)),
+    regexp_extract_all(html, '{_SCRIPT}', 1))) target
   from pages where url is not null and html is not null),
 named as (select url, replace(target, '&amp;', '&') t, split_part(url, '://', 1) scheme, {_host("url")} host, {_path("url")} path from found where target <> '' and not starts_with(target, '#')),
 links as (select distinct {_node("url")} src, {_node("dst")} dst from (
@@ -69,6 +69,10 @@ def _quartiles(level: str) -> str:
    from (select {by}metric, bucket, sum(n) n from cells group by all)) group by all)"""
 
 
+def _blended(q: str) -> str:
+    return f"(c.n * c.{q} + {quality.PRIOR} * ((l.n * l.{q} + {quality.PRIOR} * a.{q}) / (l.n + {quality.PRIOR}))) / (c.n + {quality.PRIOR})"
+
+
 _MEASURES = ", ".join(f"{e} as {m}" for m, (e, _, _) in quality.METRICS.items())
 _SPREAD = "case metric " + " ".join(f"when '{m}' then {least}" for m, (_, least, _) in quality.METRICS.items()) + " end"
 _BEYOND = " or ".join(f"coalesce(m.{m} > max(case when f.metric = '{m}' then f.high end), false)" + (f" or coalesce(m.{m} < max(case when f.metric = '{m}' then f.low end), false)" if both else "") for m, (_, _, both) in quality.METRICS.items())
@@ -88,7 +92,7 @@ measured as (select doc_id, lang, source, {_MEASURES} from f where not base_fail
 long as (select lang, source, unnest({list(quality.METRICS)}) metric, unnest([{", ".join(quality.METRICS)}]) v from measured),
 cells as (select lang, source, metric, case when v > 0 then cast(ceil(ln(v) / ln({quality.GAMMA})) as int) end bucket, count(*) n from long group by all),
 {_quartiles("cell")}, {_quartiles("lang")}, {_quartiles("corpus")},
-used as (select c.lang, c.source, metric, case when c.n >= {quality.MIN_ROWS} then c.q1 when l.n >= {quality.MIN_ROWS} then l.q1 else a.q1 end q1, case when c.n >= {quality.MIN_ROWS} then c.q3 when l.n >= {quality.MIN_ROWS} then l.q3 else a.q3 end q3
+used as (select c.lang, c.source, metric, {_blended("q1")} q1, {_blended("q3")} q3
   from q_cell c join q_lang l using (lang, metric) join q_corpus a using (metric)),
 fences as (select lang, source, metric, q3 + {quality.REACH} * greatest(q3 - q1, {_SPREAD}) high, q1 - {quality.REACH} * greatest(q3 - q1, {_SPREAD}) low from used),
 over as (select m.doc_id from measured m join fences f using (lang, source) group by m.doc_id, {", ".join(f"m.{m}" for m in quality.METRICS)} having {_BEYOND})

@@ -33,7 +33,7 @@ from pyspark.sql.window import Window
 
 from . import textkernel as tk
 from .components import connected_components
-from .storage import materialise
+from .storage import materialise, release
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -88,6 +88,7 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, docs: i
 def sign(docs: DataFrame, shingle: int = SHINGLE, registers: int = REGISTERS) -> DataFrame:
     """(doc_id, n, sig): distinct shingles, and the signature as little-endian u32; empty where a text has no word."""
 
+    @tk.tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in tk.blocks(batch.column(1)):
@@ -104,6 +105,7 @@ def sign(docs: DataFrame, shingle: int = SHINGLE, registers: int = REGISTERS) ->
 def _agree(pairs: DataFrame, least: float, registers: int) -> DataFrame:
     """Pairs (a, b) whose signatures agree in at least the share ``least``."""
 
+    @tk.tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 8192):
@@ -126,6 +128,7 @@ def verify(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, similarity
             doc, h, _ = tk.distinct(*tk.shingles(tk.words(block), shingle, block.size))
             yield from np.split(h, np.searchsorted(doc, np.arange(1, block.size)))
 
+    @tk.tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -143,6 +146,7 @@ def verify(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, similarity
 def _tokens(texts: DataFrame, shingle: int) -> DataFrame:
     """(id, h): the distinct shingles of each text."""
 
+    @tk.tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in tk.blocks(batch.column(1)):
@@ -163,6 +167,7 @@ def _leftovers(buckets: DataFrame, part: DataFrame, texts: DataFrame, shingle: i
     split = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("classes")).where("classes > 1")
     open_ = of.join(materialise(split.select("bucket", F.col("main.component").alias("main")), "split"), "bucket")
     open_ = materialise(open_.groupBy("id", "component").agg(F.max(F.col("component") != F.col("main")).alias("outside")), "open")
+    release(of)
     tokens = materialise(_tokens(texts.join(open_.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), shingle), "tokens")
     often = materialise(tokens.groupBy("h").agg(F.count("*").alias("df")), "often")
     own = Window.partitionBy("id")
@@ -170,6 +175,7 @@ def _leftovers(buckets: DataFrame, part: DataFrame, texts: DataFrame, shingle: i
     # one shared shingle stands at the first n - s n + 1 places of either text
     first = ranked.where(F.col("place") <= F.col("n") - F.ceil(similarity * F.col("n") - 1e-9) + 1)
     first = materialise(first.join(open_, "id"), "prefixes")
+    release(tokens, often, open_)
     x, y = first.where("outside").alias("x"), first.alias("y")
     rest = 1 + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
     may = rest >= similarity / (1 + similarity) * (F.col("x.n") + F.col("y.n")) - 1e-6
@@ -191,6 +197,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     keys = materialise(docs.select("doc_id", key.alias("text_key")), "keys")
     first = materialise(keys.groupBy("text_key").agg(F.min("doc_id").alias("rep")), "first")
     member = materialise(keys.join(first, "text_key").select("doc_id", "rep"), "member")
+    release(keys, first)
     reps = sign(docs, shingle, registers).where("n > 0").join(member.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
     reps = materialise(reps, "reps")
     width = 4 * rows
@@ -198,6 +205,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     bands = bands.select("id", F.xxhash64("band", "part").alias("bucket"))
     ends = materialise(bands.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("bucket", "low"), "ends")
     buckets = materialise(bands.join(ends, "bucket"), "buckets")
+    release(ends)
     # only texts in some bucket go on
     texts = materialise(docs.join(buckets.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), "texts")
     # signatures may be off by five standard deviations
@@ -207,7 +215,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     def checked(pairs: DataFrame) -> DataFrame:
         pairs = materialise(pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct(), "pairs")
         close = materialise(_agree(pairs.join(sig_b, "b").join(sig_a, "a"), least, registers), "close")
-        return materialise(verify(close, texts, shingle, similarity), "found")
+        found = materialise(verify(close, texts, shingle, similarity), "found")
+        release(pairs, close)
+        return found
 
     def classes(links: DataFrame) -> DataFrame:
         return materialise(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "part")
@@ -215,6 +225,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     links = checked(buckets.where("id <> low").select("id", F.col("low").alias("pivot")))
     part = classes(links)
     more = checked(_leftovers(buckets, part, texts, shingle, similarity))
+    release(texts, buckets, reps)
     if not more.isEmpty():
         links = links.union(more).distinct()
         part = classes(links)

@@ -3,7 +3,8 @@
 A validated number or date is a point of a finite domain (its digits, its day, its
 octets).  A keyed Feistel network permutes the domain, so the pseudonym has the same
 format, stays valid, and is the same wherever the same value occurs, while different
-values stay different.  Where the domain is no product of two numbers, the network runs
+values stay different.  E-mail addresses have no finite domain; they get keyed tags of
+64 bits for the mailbox and for the domain, so two of them share one by chance only.  Where the domain is no product of two numbers, the network runs
 on the next larger product and is walked until it falls inside the domain again.
 """
 
@@ -41,13 +42,16 @@ _NANP = r"\+1[ .-]?(?:\([2-9][0-9]{2}\)|[2-9][0-9]{2})[ .-]?[0-9]{3}[ .-]?[0-9]{
 _ABROAD = r"\+(?=[2-9])(?=(?:[ .()-]{0,2}[0-9]){8,15}(?![0-9A-Za-z]))[0-9](?:[ .-]?(?:\([0-9]{1,4}\)|[0-9])){6,14}"
 #: calling code: one digit, one of the pairs, or three digits
 _CALLING = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}|[0-9]{1,2})[ .-]?"
+#: months by their English names, behind the day or before it
+_MONTH = "(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:tember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)"
+_WRITTEN = rf"(?:{_MONTH} [0-9]{{1,2}},? |[0-9]{{1,2}} {_MONTH},? )(?:19|20)[0-9]{{2}}"
 #: kind: pattern; where two fit at one place, the first of the list is tried first
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "iban": _IBAN,
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|3[47][0-9]{2}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z-])",
-    "date": r"(?<![0-9A-Za-z./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\2(?:19|20)[0-9]{2})(?![0-9A-Za-z]|[./-][0-9])",
+    "date": rf"(?<![0-9A-Za-z./-])(?:(?:19|20)[0-9]{{2}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{1,2}}([./])[0-9]{{1,2}}\2(?:19|20)[0-9]{{2}}|{_WRITTEN})(?![0-9A-Za-z]|[./-][0-9])",
     "phone": rf"(?<![0-9A-Za-z])(?:{_NANP}|{_ABROAD}|(?:\+[0-9]{{1,3}}[ .-]?)?(?:\([0-9]{{2,4}}\)[ .-]?[0-9]{{3,4}}[ .-]?|[0-9]{{2,4}}[ .-][0-9]{{3,4}}[ .-])[0-9]{{4}})(?![0-9A-Za-z])",
     "ip": rf"(?<![0-9A-Za-z.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z]|\.[0-9])",
 }
@@ -195,11 +199,24 @@ def _date(m: Column, key: str) -> Column:
         return F.when(day.isNotNull(), F.date_format(F.date_add(first, moved.cast("int")), form))
 
     late = lambda v: F.dayofmonth(F.date_add(first, v.cast("int"))) > 12
-    iso, dotted = in_form("yyyy-MM-dd", "iso"), in_form("dd.MM.yyyy", "dotted")
-    # with strokes the day comes first where that is a date; else the month does, and then the day is over 12
-    slashed = F.coalesce(in_form("dd/MM/yyyy", "slashed"), in_form("MM/dd/yyyy", "month first", late))
-    new = F.when(m.contains("-"), iso).when(m.contains("."), dotted).otherwise(slashed)
-    return F.coalesce(new, m)
+    out = in_form("yyyy-MM-dd", "iso")
+    # a form with single digits is the same day as the one with two, so it moves alike
+    for mark, forms in ((".", (("d.M.yyyy", "dotted", None),)), ("/", (("d/M/yyyy", "slashed", None), ("M/d/yyyy", "month first", late)))):
+        # with strokes the day comes first where that is a date; else the month does, and then the day is over 12
+        padded = F.coalesce(*(in_form(f.replace("d", "dd").replace("M", "MM"), *how) for f, *how in forms))
+        plain = F.coalesce(*(in_form(f, *how) for f, *how in forms))
+        out = F.when(m.contains(mark), F.when(F.length(m) == 10, padded).otherwise(plain)).otherwise(out)
+    comma, lead = F.when(m.contains(","), ",").otherwise(""), m.rlike("^[0-9]")
+    written = None
+    for month in ("MMMM", "MMM"):
+        for front, form in ((True, f"d {month} yyyy"), (False, f"{month} d yyyy")):
+            fits = lead if front else ~lead
+            day = F.datediff(F.to_date(F.try_to_timestamp(F.when(fits, F.regexp_replace(m, ",", "")), F.lit(form))), first)
+            moved = permute_index(day, _DAYS, key, F.lit("written"))
+            date = F.date_add(first, moved.cast("int"))
+            text = F.when(day.isNotNull(), F.concat(F.date_format(date, form.removesuffix(" yyyy")), comma, F.lit(" "), F.date_format(date, "yyyy")))
+            written = text if written is None else F.coalesce(written, text)
+    return F.coalesce(F.when(m.rlike("[A-Z]"), written).otherwise(out), m)
 
 
 def _phone(m: Column, key: str) -> Column:
@@ -218,7 +235,7 @@ def _email(m: Column, key: str) -> Column:
         return F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit(what), F.lower(text), F.lit(key)).cast("binary"), 256), 1, n)
 
     domain = F.substring_index(m, "@", -1)
-    return F.concat(F.lit("u"), tag(m, "mailbox", 12), F.lit("@d"), tag(domain, "domain", 8), F.lit(".example"))
+    return F.concat(F.lit("u"), tag(m, "mailbox", 16), F.lit("@d"), tag(domain, "domain", 16), F.lit(".example"))
 
 
 _PSEUDONYM = {"email": _email, "iban": _iban, "card": _card, "ssn": _ssn, "date": _date, "phone": _phone, "ip": _ip}
@@ -226,10 +243,10 @@ _PSEUDONYM = {"email": _email, "iban": _iban, "card": _card, "ssn": _ssn, "date"
 
 def kind(m: Column) -> Column:
     """The kind of a match of the common pattern; the order is the pattern's."""
-    out = F.when(m.contains("@"), "email").when(m.rlike("^[A-Z]"), "iban")
+    out = F.when(m.contains("@"), "email").when(m.rlike("^[A-Z]{2}[0-9]{2}"), "iban")
     bare = m.rlike("^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\\1[0-9]{4}\\1[0-9]{1,7}|3[47][0-9]{2}[ -][0-9]{6}[ -][0-9]{5})$")
     out = out.when(bare, "card").when(m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
-    out = out.when(m.rlike(r"^(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1[0-9]{4})$"), "date")
+    out = out.when(m.rlike(r"^(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([./])[0-9]{1,2}\1[0-9]{4}|.*[A-Z].*)$"), "date")
     return out.when(m.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"), "ip").otherwise("phone")
 
 
@@ -242,11 +259,13 @@ def pseudonym(m: Column, key: str) -> Column:
     return out
 
 
-def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """``docs`` with pseudonyms in ``text`` and a new column ``n_private`` of how many stand there.
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | None = "n_private") -> DataFrame:
+    """``docs`` with pseudonyms in ``text`` and a new column ``count`` of how many stand there, if it is named.
 
-    Nothing but the matches changes; a null text stays null and has none.  An input
-    column named n_private is replaced.
+    Nothing but the matches changes; a null text stays null and has none.  Texts of any
+    length are read whole, and repeated rows get the same pseudonyms.  An input column
+    named ``count`` is replaced, all others stay.  Where two kinds fit at one place, the
+    first of PATTERNS is meant.
     """
     body = F.col(text)
     found = docs.withColumn("__found", F.when(body.rlike("[0-9@]"), F.regexp_extract_all(body, F.lit(_ANY), F.lit(0))))
@@ -254,5 +273,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     gaps = F.split(body, _ANY, -1)
     whole = F.array_join(F.zip_with(gaps, "__new", lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     changed = F.size(F.filter(F.zip_with("__found", "__new", lambda a, b: a != b), lambda x: x))
-    out = found.withColumns({text: F.when(F.col("__new").isNotNull(), whole).otherwise(body), "n_private": F.when(F.col("__new").isNotNull(), changed).otherwise(0).cast("long")})
+    out = found.withColumn(text, F.when(F.col("__new").isNotNull(), whole).otherwise(body))
+    if count is not None:
+        out = out.withColumn(count, F.when(F.col("__new").isNotNull(), changed).otherwise(0).cast("long"))
     return out.drop("__found", "__new")

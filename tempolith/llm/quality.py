@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import textkernel as tk
-from .storage import materialise
+from .storage import mapped, materialise
 
 WINDOW = 5
 GAMMA = 1.02
 REACH = 3.0
-#: cells with fewer documents take their language's fence, small languages the corpus's
-MIN_ROWS = 200
+#: documents that the wider sketch counts for: a cell's quartiles lean on its language's, and those on the
+#: corpus's, the more the fewer documents it has
+PRIOR = 200
 #: metric: (expression, least spread that counts, whether low values are judged too)
 METRICS = {
     "word_length": ("word_chars / n_words", 1.0, True),
@@ -34,6 +35,7 @@ METRICS = {
     "dup_lines": ("n_dup_lines / n_lines", 0.1, False),
     "repeats": ("n_repeat_words / n_words", 0.05, False),
 }
+FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
@@ -71,34 +73,27 @@ def block_features(block: tk.Block) -> dict[str, np.ndarray]:
     stop = np.append(start[1:], n)
     stop = stop - ((stop > start) & (data[np.maximum(stop, 1) - 1] == 0x0A)) if len(start) else stop
     worded = np.searchsorted(w.start, stop) > np.searchsorted(w.start, start)
-    dup, lines = np.zeros(block.size, np.int64), np.bincount(line_doc[worded], minlength=block.size)
-    raw, seen, last = data.tobytes(), set(), -1
-    for d, a, b in zip(line_doc[worded].tolist(), start[worded].tolist(), stop[worded].tolist(), strict=True):
-        if d != last:
-            seen, last = set(), d
-        line = raw[a:b]
-        if line in seen:
-            dup[d] += 1
-        seen.add(line)
+    lines = np.bincount(line_doc[worded], minlength=block.size)
+    # of equal lines of a document all but the first
+    where, h = line_doc[worded], tk.span_hash(w.total, start[worded], stop[worded])
+    order = np.lexsort((h, where))
+    again = (h[order][1:] == h[order][:-1]) & (where[order][1:] == where[order][:-1])
+    dup = np.bincount(where[order][1:][again], minlength=block.size)
     return {"n_words": n_words, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": dup, "n_repeat_words": repeats, "n_lines": lines}
 
 
-FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
-
-
-def features(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "lang", "source")) -> DataFrame:
-    """``keep`` columns and the counts in FEATURES for every row; a null text counts as empty."""
-    source = docs.select(*keep, F.col("text").alias("__text"))
+def features(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "lang", "source"), names: tuple[str, ...] = FEATURES) -> DataFrame:
+    """``keep`` columns and the counts in FEATURES, under ``names``, for every row; a null text counts as empty."""
 
+    @tk.tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in tk.blocks(batch.column(batch.num_columns - 1)):
                 found = block_features(block)
                 same = [c.slice(block.first, block.size) for c in batch.columns[:-1]]
-                yield pa.RecordBatch.from_arrays([*same, *(pa.array(found[n].astype(np.int64)) for n in FEATURES)], names=[*batch.schema.names[:-1], *FEATURES])
+                yield pa.RecordBatch.from_arrays([*same, *(pa.array(found[n].astype(np.int64)) for n in FEATURES)], names=[*batch.schema.names[:-1], *names])
 
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
-    return source.mapInArrow(run, out + "".join(f", {n} bigint" for n in FEATURES))
+    return mapped(docs, keep, F.col("text"), run, dict.fromkeys(names, "bigint"))
 
 
 def _bucket(value: Column) -> Column:
@@ -119,8 +114,13 @@ def _quartiles(counts: DataFrame, keys: list[str]) -> DataFrame:
     return ranked.groupBy(*keys, "metric").agg(F.max("total").alias("n"), at(0.25).alias("q1"), at(0.75).alias("q3"))
 
 
-def thresholds(measured: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
-    """(lang, source, and low and high of each metric) of every cell of ``measured`` (lang, source, metrics)."""
+def thresholds(measured: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """(lang, source, and low and high of each metric) of every cell of ``measured`` (lang, source, metrics).
+
+    Quartiles are means of the cell's own and its language's (itself so blended with the
+    corpus's), weighted by the cell's documents and ``prior``; with a prior of 0 they are
+    the cell's own.
+    """
     cells = materialise(
         measured.select("lang", "source", F.explode(F.create_map(*(x for m in METRICS for x in (F.lit(m), F.col(m))))).alias("metric", "value"))
         .groupBy("lang", "source", "metric", _bucket(F.col("value")).alias("bucket"))
@@ -135,8 +135,12 @@ def thresholds(measured: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
         return df.select(*(c for c in df.columns if c in ("lang", "source", "metric")), F.struct("n", "q1", "q3").alias(mark))
 
     joined = named(own, "own").join(named(lang, "of_lang"), ["lang", "metric"]).join(named(all_, "of_all"), "metric")
-    used = F.when(F.col("own.n") >= min_rows, F.col("own")).when(F.col("of_lang.n") >= min_rows, F.col("of_lang")).otherwise(F.col("of_all"))
-    picked = joined.select("lang", "source", "metric", used.alias("q"))
+
+    def blended(q: str) -> Column:
+        lang = (F.col("of_lang.n") * F.col(f"of_lang.{q}") + prior * F.col(f"of_all.{q}")) / (F.col("of_lang.n") + prior)
+        return ((F.col("own.n") * F.col(f"own.{q}") + prior * lang) / (F.col("own.n") + prior)).alias(q)
+
+    picked = joined.select("lang", "source", "metric", F.struct(blended("q1"), blended("q3")).alias("q"))
     spread = {m: F.greatest(F.col("q.q3") - F.col("q.q1"), F.lit(least)) for m, (_, least, _) in METRICS.items()}
     fences = []
     for m, (_, _, both) in METRICS.items():
@@ -153,7 +157,9 @@ def judge(docs: DataFrame) -> DataFrame:
     base_failed: fewer than ten words, or over a fifth of them in repeated five-word
     windows.  The rest is kept unless a metric lies beyond the fence of its (lang, source);
     null lang and source are cells of their own.  Rows that fail the base rules don't
-    enter the sketches.
+    enter the sketches.  A null or empty text has no words and fails; texts of any length
+    are counted whole.  Repeated rows are judged, and count in the sketches, one by one.
+    A value on a fence is kept.  Other columns of ``docs`` are not read.
     """
     found = features(docs.select("doc_id", "text", "lang", "source"))
     found = found.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in ("lang", "source")})

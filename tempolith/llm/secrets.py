@@ -9,6 +9,8 @@ access key may stand for the identifier, a base assignment or hex string for the
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -34,6 +36,15 @@ WEAK = {
 KINDS = (*BASE, *WEAK)
 
 
+#: a text without all of these, or any of a tuple's, holds no match of the kind; letters in lower case
+_HINTS = {
+    "assign": ((":", "="), ("password", "passwd", "secret", "token", "apikey", "api_key")),
+    "access": ("akia",),
+    "identifier": ((":", "="), ("access", "client", "app", "account", "user", "login")),
+    "endpoint": ((":", "="), ("://", "host", "server", "endpoint", "url")),
+}
+
+
 def _matches(text: Column, pattern: str, group: int, least: int) -> Column:
     """Array of (gap before the match, its length, whether it counts), null where there is none."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -44,6 +55,13 @@ def _matches(text: Column, pattern: str, group: int, least: int) -> Column:
     return F.when(text.rlike(pattern), F.filter(rows, lambda r: r["n"].isNotNull()))
 
 
+def _likely(lower: Column, kind: str) -> Column:
+    out = F.lit(True)
+    for hint in _HINTS.get(kind, ()):
+        out &= functools.reduce(lambda a, b: a | b, (F.contains(lower, F.lit(h)) for h in ((hint,) if isinstance(hint, str) else hint)))
+    return out
+
+
 def scan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, spans): doc_id with a row number of its own, and (row, kind, start, end) of all candidates.
 
@@ -51,7 +69,8 @@ def scan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     text = F.col("text")
     # the text is scanned once; what is kept is short
-    found = docs.select("doc_id", *(_matches(text, *how).alias(kind) for kind, how in (BASE | WEAK).items()))
+    named = docs.select("doc_id", "text", F.lower(text).alias("lower"))
+    found = named.select("doc_id", *(F.when(_likely(F.col("lower"), kind), _matches(text, *how)).alias(kind) for kind, how in (BASE | WEAK).items()))
     found = materialise(found.withColumn("row", F.monotonically_increasing_id()), "candidates")
     each = F.array(*(F.struct(F.lit(i).alias("kind"), F.col(k).alias("found")) for i, k in enumerate(KINDS)))
     some = found.where(" or ".join(f"`{k}` is not null" for k in KINDS))
@@ -70,22 +89,33 @@ def _binned(spans: DataFrame, reach: int, scope: int) -> DataFrame:
 
 
 def _near(left: DataFrame, right: DataFrame, scope: int) -> DataFrame:
-    """Rows of ``left`` with a row of ``right`` in the same document at most ``scope`` code points away."""
+    """Rows of ``left`` with a row of ``right`` in the same document beside it, at most ``scope`` code points away."""
     a, b = _binned(left, scope, scope).alias("a"), _binned(right, 0, scope).alias("b")
     close = (F.col("a.row") == F.col("b.row")) & (F.col("a.bin") == F.col("b.bin"))
-    close &= (F.col("b.start") - F.col("a.end") <= scope) & (F.col("a.start") - F.col("b.end") <= scope)
-    return a.join(b, close, "left_semi").drop("bin").distinct()
+    gap = F.greatest(F.col("b.start") - F.col("a.end"), F.col("a.start") - F.col("b.end"))
+    return a.join(b, close & gap.between(0, scope), "left_semi").drop("bin").distinct()
+
+
+def _apart(left: DataFrame, right: DataFrame, scope: int) -> DataFrame:
+    """Rows of ``left`` that share no code point with a row of ``right``."""
+    a, b = _binned(left, 0, scope).alias("a"), _binned(right, 0, scope).alias("b")
+    met = (F.col("a.row") == F.col("b.row")) & (F.col("a.bin") == F.col("b.bin")) & (F.col("a.start") < F.col("b.end")) & (F.col("b.start") < F.col("a.end"))
+    return left.join(a.join(b, met, "left_semi").drop("bin").distinct(), ["row", "kind", "start", "end"], "left_anti")
 
 
 def link(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Weak spans (row, kind, start, end) whose complementary parts co-occur within ``scope``.
 
-    A secret needs an identifier near it; identifiers and endpoints are reported where
-    they are near such a secret.  An endpoint makes the link a stronger one.
+    A secret needs an identifier beside it; identifiers and endpoints are reported where
+    they are near such a secret.  An endpoint makes the link a stronger one.  Parts that
+    overlap are no complements: a weak secret within a base span is that span's, and an
+    identifier is no company for the string that is its own value.
     """
     of = {k: i for i, k in enumerate(KINDS)}
     identifier = spans.where(F.col("kind").isin(of["identifier"], of["access"]))
-    secret = spans.where(F.col("kind").isin(of["weak_secret"], of["assign"], of["hex"]))
+    base = spans.where(F.col("kind").isin(of["assign"], of["hex"]))
+    weak = _apart(spans.where(F.col("kind") == of["weak_secret"]), spans.where(F.col("kind") < len(BASE)), scope)
+    secret = base.union(weak.select(base.columns))
     endpoint = spans.where(F.col("kind") == of["endpoint"])
     whole = materialise(_near(secret, identifier, scope), "linked")
     parts = _near(endpoint, whole, scope).union(_near(identifier, whole, scope)).union(whole)
@@ -101,8 +131,9 @@ def secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): counts of base kinds and all spans.
 
     Columns: doc_id, base and found, both arrays of (start, kind, end) in that order, base
-    without the linked parts.  A null text counts as empty: no spans.  Other columns of
-    ``docs`` are not read.
+    without the linked parts.  A null text counts as empty: no spans.  Texts of any length
+    are read whole, repeated rows one by one.  Spans of one start stand in the order of
+    KINDS.  Other columns of ``docs`` are not read.
     """
     rows, spans = scan(docs.select("doc_id", "text"))
     base = spans.where(F.col("kind") < len(BASE))

@@ -25,9 +25,12 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import mapped
+from .textkernel import tidied
+
 MARK = "▁"
 MAX_ENTRIES = 250_000
-BLOCK_BYTES = 1 << 23
+BLOCK_BYTES = 1 << 22
 SLICE = 1 << 21
 
 
@@ -174,50 +177,40 @@ def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[pa.Array
         at = max(at + 1, end)
 
 
-def encode(docs: DataFrame, model: str, text: str | Column = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode(docs: DataFrame, model: str, text: str | Column = "text", keep: tuple[str, ...] = ("doc_id",), names: tuple[str, str] = ("ids", "decoded")) -> DataFrame:
     """Encode every whole text and decode the ids again.
 
-    Returns the ``keep`` columns and ``ids`` (binary, little-endian u32, begin and end
-    ids included) and ``decoded`` (string).  Other columns are left out, whatever their
-    names.  A null text counts as empty: it has the begin and end ids only.
+    Returns the ``keep`` columns and, under ``names``, ids (binary, little-endian u32,
+    begin and end ids included) and decoded (string).  Other columns are left out, whatever
+    their names.  A null text counts as empty: it has the begin and end ids only.  Repeated
+    rows are encoded one by one, a text of any length as a whole.
     """
-    source = docs.select(*keep, (F.col(text) if isinstance(text, str) else text).cast("string").alias("__text"))
-    fields = [f for f in source.schema.fields if f.name != "__text"]
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", ids binary, decoded string"
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = chunk_table(model)
         for batch in batches:
-            names = batch.schema.names
-            column = batch.column(names.index("__text"))
             at = 0
-            for texts in text_blocks(column):
+            for texts in text_blocks(batch.column(batch.num_columns - 1)):
                 ids, decoded = table.encode(texts)
-                same = [batch.column(i).slice(at, len(texts)) for i, n in enumerate(names) if n != "__text"]
+                same = [c.slice(at, len(texts)) for c in batch.columns[:-1]]
                 at += len(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [*same, ids.cast(pa.binary()), decoded.cast(pa.string())],
-                    names=[*(n for n in names if n != "__text"), "ids", "decoded"],
-                )
+                yield pa.RecordBatch.from_arrays([*same, ids.cast(pa.binary()), decoded.cast(pa.string())], names=[*batch.schema.names[:-1], *names])
 
-    return source.mapInArrow(run, out)
+    return mapped(docs, keep, (F.col(text) if isinstance(text, str) else text).cast("string"), run, {names[0]: "binary", names[1]: "string"})
 
 
 def decode(rows: DataFrame, model: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Text of id sequences (binary, little-endian u32), as the library's decode gives it; null stays null."""
-    source = rows.select(*keep, F.col(ids).alias("__ids"))
-    fields = [f for f in source.schema.fields if f.name != "__ids"]
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", decoded string"
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = chunk_table(model).sp
         for batch in batches:
-            at = batch.schema.names.index("__ids")
-            text = [None if (v := x.as_py()) is None else sp.decode(np.frombuffer(v, "<u4").tolist()) for x in batch.column(at)]
-            same = [c for i, c in enumerate(batch.columns) if i != at]
-            yield pa.RecordBatch.from_arrays([*same, pa.array(text, pa.string())], names=[*(n for n in batch.schema.names if n != "__ids"), "decoded"])
+            text = [None if (v := x.as_py()) is None else sp.decode(np.frombuffer(v, "<u4").tolist()) for x in batch.column(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(text, pa.string())], names=[*batch.schema.names[:-1], "decoded"])
 
-    return source.mapInArrow(run, out)
+    return mapped(rows, keep, F.col(ids), run, {"decoded": "string"})
 
 
 def digests(docs: DataFrame, model: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .storage import materialise
+from .storage import materialise, release
 
 SHARDS = 8
 ROUNDS = 6
@@ -54,7 +54,8 @@ def quotas(wanted: dict[tuple[int, int], int], load: list[int], room: int) -> di
 def propagate(linked: DataFrame, shards: int, room: int, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, g, shard) after some rounds of label propagation under quotas.
 
-    Only a matrix of shards by shards reaches the driver.  Whole groups move together by
+    ``linked`` (doc_id, key, g, shard) is a table of ``materialise`` and is used up.  Only a
+    matrix of shards by shards reaches the driver.  Whole groups move together by
     their own draw, but the rows of a group larger than a sixteenth of a shard draw singly.
     """
     for i in range(rounds):
@@ -72,7 +73,9 @@ def propagate(linked: DataFrame, shards: int, room: int, rounds: int = ROUNDS) -
         wish = materialise(wish.select("g", "shard", "target", "size", "n"), "wishes")
         moves = wish.groupBy("shard", "target").agg(F.sum("n").alias("n")).collect()
         wanted = {(r["shard"], r["target"]): r["n"] for r in moves}
+        release(counts, target)
         if not wanted:
+            release(wish)
             break
         share = quotas(wanted, load, room)
         rate = F.create_map(*(F.lit(x) for (s, t), v in sorted(share.items()) for x in (s * shards + t, float(v))))
@@ -80,7 +83,9 @@ def propagate(linked: DataFrame, shards: int, room: int, rounds: int = ROUNDS) -
         drawn = F.pmod(alone, F.lit(_GRAIN)) / _GRAIN
         goes = drawn < F.coalesce(F.try_element_at(rate, F.col("shard") * shards + F.col("target")), F.lit(0.0))
         joined = linked.join(wish.drop("n"), ["g", "shard"], "left")
-        linked = materialise(joined.select("doc_id", "key", "g", F.when(goes, F.col("target")).otherwise(F.col("shard")).alias("shard")), "shards")
+        moved = materialise(joined.select("doc_id", "key", "g", F.when(goes, F.col("target")).otherwise(F.col("shard")).alias("shard")), "shards")
+        release(linked, wish)
+        linked = moved
     return linked
 
 
@@ -107,6 +112,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
     groups = materialise(base.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "groups")
     total = base.count()
     linked = materialise(base.join(groups, "g", "left_semi").select("doc_id", "key", "g", "shard"), "linked")
+    release(groups)
     linked = propagate(linked, shards, total // shards, rounds)
     placed = base.drop("shard").join(linked.select("key", "shard"), "key", "left").withColumn("label", F.coalesce("shard", F.lit(shards)))
     rows = numbered(placed.select("doc_id", "size", "text_crc32", "label", "g", "key"), ["label", "g", "doc_id", "key"], "placed")

@@ -5,8 +5,10 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _roots: dict[str, str] = {}
 
@@ -70,3 +72,23 @@ def release(*tables: DataFrame) -> None:
     """Delete tables of ``materialise`` that nothing will read again, lazily or after a loss."""
     for table in tables:
         delete(table.sparkSession, table._tempolith_path)
+
+
+def quoted(names: Iterable[str]) -> list[str]:
+    """Column names that may hold dots."""
+    return ["`" + c.replace("`", "``") + "`" for c in names]
+
+
+def mapped(docs: DataFrame, keep: Iterable[str], value: Column, run: Callable, added: dict[str, str]) -> DataFrame:
+    """``keep`` columns of any name, and columns ``added`` (name: type) that ``run`` makes of ``value``.
+
+    ``run`` maps Arrow batches whose last column is ``value`` to batches with the added
+    columns in its place.
+    """
+    keep = list(keep)
+    if clash := set(keep) & set(added):
+        raise ValueError(f"kept columns {sorted(clash)} need other names for the results")
+    # under plain names, as a map over batches finds no column with a dot in its name
+    source = docs.select(*(F.col(name).alias(f"kept{i}") for i, name in enumerate(quoted(keep))), value.alias("value"))
+    out = [f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
+    return source.mapInArrow(run, ", ".join([*out, *(f"`{n}` {t}" for n, t in added.items())])).toDF(*keep, *added)

@@ -7,7 +7,10 @@ bounded by that and by the longest single document, not by the Arrow batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,6 +52,21 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, giving freed memory back to the system at its end: Python workers outlive their tasks."""
+
+    @functools.wraps(run)
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps its memory
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return tidy
+
+
 @dataclass
 class Block:
     """Bytes of some whole documents, back to back; document i is data[bounds[i]:bounds[i + 1]]."""
@@ -89,6 +107,14 @@ class Words:
     hash: np.ndarray
     #: first word of each document, and one past the last of the block
     first: np.ndarray
+    #: running sums of the block's bytes, from which the hash of any span follows
+    total: np.ndarray
+
+
+def span_hash(total: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of a block; equal bytes have equal hashes wherever they stand."""
+    _, down = _power_tables(len(total) - 1)
+    return mix((total[end] - total[start]) * down[start] + (end - start).astype(U))
 
 
 def words(block: Block) -> Words:
@@ -96,7 +122,7 @@ def words(block: Block) -> Words:
     data, n = block.data, len(block.data)
     if not n:
         none = np.zeros(0, np.int64)
-        return Words(none, none, none, np.zeros(0, U), np.zeros(block.size + 1, np.int64))
+        return Words(none, none, none, np.zeros(0, U), np.zeros(block.size + 1, np.int64), np.zeros(1, U))
     inner = ~IS_SPACE[data]
     edge = np.zeros(n + 1, dtype=bool)
     edge[block.bounds] = True
@@ -108,14 +134,14 @@ def words(block: Block) -> Words:
     after[-1] = True
     np.logical_or(~inner[1:], edge[1:n], out=after[:-1])
     end = np.flatnonzero(inner & after) + 1
-    up, down = _power_tables(n)
+    up, _ = _power_tables(n)
     total = np.empty(n + 1, dtype=U)
     total[0] = 0
     np.cumsum(_BYTE[data] * up[:n], out=total[1:])
-    hashed = mix((total[end] - total[start]) * down[start] + (end - start).astype(U))
+    hashed = span_hash(total, start, end)
     first = np.searchsorted(start, block.bounds, "left")
     doc = np.repeat(np.arange(block.size), np.diff(first))
-    return Words(start, end, doc, hashed, first)
+    return Words(start, end, doc, hashed, first, total)
 
 
 def windows(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -28,6 +28,7 @@ from pyspark.sql.window import Window
 from .pseudonyms import permute_index
 from .sentencepiece_codec import chunk_table, text_blocks
 from .storage import materialise, reread
+from .textkernel import tidied
 
 LENGTH = 1024
 SHARD_BYTES = 16 << 20
@@ -63,6 +64,7 @@ def pack(docs: DataFrame, model: str, length: int = LENGTH) -> tuple[DataFrame,
     width = 2 if table.sp.vocab_size() <= 1 << 16 else 4
     kind = f"<u{width}"
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, size = chunk_table(model), length - 1
         held = np.zeros(0, kind)  # ids that don't fill a sequence yet

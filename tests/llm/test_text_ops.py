@@ -14,7 +14,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tempolith.llm import components, langid, probminhash, quality, queries, sentencepiece_codec, spaced_seeds
+from tempolith.llm import components, langid, oracles, probminhash, quality, queries, sentencepiece_codec, spaced_seeds
 from tempolith.llm import textkernel as tk
 
 ODD = [None, "", " ", "   ", "a", "a ", " a  b ", "▁", "x▁y", "\n\nfoo bar\n", "\x00a", "<s>", "é𝄞 ﷺ", "﻿ a", "\n", " \n \n", "a\r\nb\tc d", "</s> <unk>", "1234 5678", "word " * 4000, "x" * 50_000]
@@ -206,6 +206,29 @@ def test_quality_of_odd_rows(spark):
     assert quality.judge(odd_rows(spark).limit(0)).count() == 0
 
 
+def test_quality_equals_sql(spark, sf_dir, docs):
+    import duckdb
+
+    with duckdb.connect() as db:
+        db.register("documents", docs)
+        want = db.execute(oracles.ADAPTIVE_QUALITY).fetchall()
+    got = queries.op9_adaptive_quality(spark, sf_dir).collect()
+    assert sorted(map(tuple, got)) == sorted(want) and 0 < sum(not r.kept for r in got) < 0.5 * len(got)
+
+
+def test_fences_move_smoothly_with_the_size_of_a_cell(spark):
+    """One document more or less never moves a fence by much: nothing is switched by size."""
+    rng = random.Random(6)
+    wide = [("en", "big", rng.uniform(4, 6)) for _ in range(3000)]
+    own = [("en", "small", rng.uniform(8, 9)) for _ in range(400)]
+    fence = {}
+    for n in (1, 2, 100, 199, 200, 201, 400):
+        frame = spark.createDataFrame(wide + own[:n], "lang string, source string, word_length double").selectExpr("*", *(f"0.0D as {m}" for m in quality.METRICS if m != "word_length"))
+        fence[n] = {r.source: r.word_length_high for r in quality.thresholds(frame).collect()}["small"]
+    assert fence[1] < fence[100] < fence[200] < fence[400]
+    assert abs(fence[200] - fence[199]) < 0.05 and abs(fence[201] - fence[200]) < 0.05 and abs(fence[2] - fence[1]) < 0.05
+
+
 # --- decontamination
 
 
@@ -384,3 +407,35 @@ def test_all_stretches_of_an_item_are_tested():
     words = tk.words(next(tk.blocks(pa.array([" ".join(text)]))))
     found = index.overlap(words.hash, 0, 0)
     assert found and found[0] >= 12 and found[0] >= 0.75 * (found[2] - found[1] + 1)
+
+
+@pytest.mark.parametrize("span", [None, 16, 24, 40])
+def test_recall_of_seeds_by_length_and_rate(span):
+    """Of all overlaps that verification accepts, by a scan without seeds, at least 0.9 are found: whole items, and stretches of items of 60 words."""
+    rng = random.Random(span or 1)
+    for length in [span] if span else [1, 2, 3, 4, 5, 6, 8, 10, 12, 16, 20, 25, 32, 59]:
+        for rate in (0, 0.05, 0.1, 0.15, 0.2, 0.25):
+            items = [[f"t{t}w{k}" for k in range(60 if span else length)] for t in range(150)]
+            index = spaced_seeds.Index.build([(i, " ".join(t)) for i, t in enumerate(items)])
+            texts = []
+            for item in items:
+                at = rng.randint(0, len(item) - length)
+                part = [w if rng.random() >= rate else "changed" for w in item[at : at + length]]
+                lead = [f"x{rng.random()}" for _ in range(at + 3)]
+                texts.append(" ".join(lead + part + ["y"] * rng.randint(0, 9)))
+            w = tk.words(next(tk.blocks(pa.array(texts), 1 << 30)))
+            diagonals = {(t, t, d) for t in range(150) for d in range(min(64, w.first[t + 1] - w.first[t]))}
+            text = lambda t: w.hash[w.first[t] : w.first[t + 1]]  # noqa: E731, B023
+            accepted = {(t, i) for t, i, d in diagonals if index.overlap(text(t), i, d)}
+            found = {(t, i) for part in index.hits(w) for t, i, d in part if index.overlap(text(t), i, d)}
+            assert found <= accepted and len(found) >= 0.9 * len(accepted), (length, rate, len(found), len(accepted))
+
+
+def test_hits_of_a_seed_that_many_share(monkeypatch):
+    monkeypatch.setattr(spaced_seeds, "CHUNK", 64)  # many chunks, same result
+    boiler = " ".join(f"b{k}" for k in range(20))
+    index = spaced_seeds.Index.build([(i, f"{boiler} own{i} item{i}") for i in range(40)])
+    w = tk.words(next(tk.blocks(pa.array([f"{boiler} and {boiler}", "nothing here", boiler]))))
+    parts = list(index.hits(w))
+    assert len(parts) > 10
+    assert {(t, i) for part in parts for t, i, d in part if index.overlap(w.hash[w.first[t] : w.first[t + 1]], i, d)} == {(t, i) for t in (0, 2) for i in range(40)}
