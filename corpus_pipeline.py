@@ -21,13 +21,23 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told by the profiles learned from these documents."""
     learned = langid.learn(docs.where(langid.fold(F.col("doc_id")) != 0))
     told = langid.predict(docs, learned, keep=tuple(docs.columns), names=("__lang_pred", "__score"))
-    return told.where((F.col("__lang_pred") != langid.UNDETERMINED) & (F.col("__score") >= MIN_SCORE)).select(docs.columns)
+    return told.where((F.col("__lang_pred") != langid.UNDETERMINED) & (F.col("__score") >= MIN_SCORE)).select(storage.quoted(docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the least id."""
+    """Of each class of near duplicates the document with the least id; of its repeated rows (same id and text) one."""
     classes = probminhash.near_duplicates(docs)
-    return docs.join(classes.where("doc_id <> class_id").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    gone = storage.materialise(classes.where("doc_id <> class_id").select("doc_id").distinct(), "gone")
+    columns = storage.quoted(docs.columns)
+    kept = docs.join(gone, "doc_id", "left_anti").select(columns)
+    key = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    often = docs.where("doc_id is not null").groupBy("doc_id", key.alias("__key")).agg(F.count("*").alias("n")).where("n > 1")
+    often = storage.materialise(often.select("doc_id", "__key"), "repeated")
+    if often.isEmpty():
+        return kept
+    keyed = kept.withColumn("__key", key)
+    once = keyed.join(often, ["doc_id", "__key"], "left_semi").dropDuplicates(["doc_id", "__key"])
+    return keyed.join(often, ["doc_id", "__key"], "left_anti").select(columns).union(once.select(columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,10 +47,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with pseudonyms in their texts, n_chars following."""
-    named = pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
+    named = pseudonyms.pseudonymise(docs, PSEUDONYM_KEY, count=None)
     if "n_chars" in docs.columns:
         named = named.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return named.select(docs.columns)
+    return named.select(storage.quoted(docs.columns))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
