@@ -5,18 +5,19 @@
    registers, and a register keeps the shingle that came first.  Two documents agree in
    a register with probability equal to their probability Jaccard similarity.  Arrivals
    come in order of time, so a document stops as soon as all registers are final.
-   All weights are 1 here, however often a shingle occurs: then that probability is the
-   Jaccard similarity of the sets, which verification tests.
+   The weights are a choice: 1 for each shingle, when that probability is the Jaccard
+   similarity of the sets, or (``weighted``) how often it occurs.  Signatures, verification
+   and the search for leftovers all take the same measure.
 2. *Banding.*  Equal texts are one class from the start and go on as one row.  Rows
    that agree in all ``rows`` registers of a band share a bucket, and each is compared to
    the bucket's least id, never all to all.
 3. *Verification.*  Candidates whose signatures are far apart are dropped, the rest are
-   compared on their whole shingle sets.  Connected components of the links are the classes.
+   compared on all their shingles.  Connected components of the links are the classes.
 4. *Leftovers.*  In a bucket that still holds several classes, members outside the largest
    one may resemble a member that is not the pivot.  They are joined to the members of such
    buckets by an exact prefix filter: with shingles ordered from the rarest on, two similar
-   texts share one among the first fifth of each, and the places where it stands there bound
-   their similarity.  A version of a text that differs too much starts with shingles of its
+   texts share one among the first fifth of each one's weight, and the places where it stands
+   there bound their similarity.  A version of a text that differs too much starts with shingles of its
    own and so meets nobody.  What passes is verified as well, so no link is lost.
 """
 
@@ -85,15 +86,15 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, docs: i
     return (owner >> U(32)).astype(np.uint32).reshape(docs, registers)
 
 
-def sign(docs: DataFrame, shingle: int = SHINGLE, registers: int = REGISTERS) -> DataFrame:
+def sign(docs: DataFrame, shingle: int = SHINGLE, registers: int = REGISTERS, weighted: bool = False) -> DataFrame:
     """(doc_id, n, sig): distinct shingles, and the signature as little-endian u32; empty where a text has no word."""
 
     @tk.tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in tk.blocks(batch.column(1)):
-                doc, h, _ = tk.distinct(*tk.shingles(tk.words(block), shingle, block.size))
-                sig = signatures(doc, h, np.ones(len(h)), block.size, registers)
+                doc, h, count = tk.distinct(*tk.shingles(tk.words(block), shingle, block.size))
+                sig = signatures(doc, h, count.astype(float) if weighted else np.ones(len(h)), block.size, registers)
                 some = np.bincount(doc, minlength=block.size)
                 rows = [s.tobytes() if x else b"" for s, x in zip(sig.astype("<u4"), some, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.size), pa.array(some), pa.array(rows, pa.binary())], names=["doc_id", "n", "sig"])
@@ -117,16 +118,34 @@ def _agree(pairs: DataFrame, least: float, registers: int) -> DataFrame:
     return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def verify(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """Pairs (a, b) whose whole sets of word shingles have a Jaccard similarity of at least ``similarity``."""
+def probability_jaccard(x: np.ndarray, a: np.ndarray, y: np.ndarray, b: np.ndarray) -> float:
+    """Probability Jaccard similarity of elements ``x`` with weights ``a`` and ``y`` with ``b``, each distinct.
+
+    The sum over common i of 1 / sum over j of max(a_j / a_i, b_j / b_i).  In the order of
+    a / b the first term is the greater one from i on, the second before it.
+    """
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    own_a, own_b = a[i].astype(float), b[j].astype(float)
+    order = np.argsort(own_a / own_b, kind="stable")
+    own_a, own_b = own_a[order], own_b[order]
+    after, before = own_a.sum() - np.cumsum(own_a) + own_a, np.cumsum(own_b) - own_b
+    return float((1 / ((after + a.sum() - own_a.sum()) / own_a + (before + b.sum() - own_b.sum()) / own_b)).sum())
+
+
+def verify(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, weighted: bool = False) -> DataFrame:
+    """Pairs (a, b) whose whole texts have, by their word shingles, a Jaccard similarity of at least ``similarity``.
+
+    Of the sets, or ``weighted`` the probability Jaccard similarity of how often each occurs.
+    """
     text = docs.select("doc_id", "text")
     with_b = pairs.join(text.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     whole = with_b.join(text.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
 
-    def sets(column: pa.Array) -> Iterator[np.ndarray]:
+    def sets(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for block in tk.blocks(column):
-            doc, h, _ = tk.distinct(*tk.shingles(tk.words(block), shingle, block.size))
-            yield from np.split(h, np.searchsorted(doc, np.arange(1, block.size)))
+            doc, h, count = tk.distinct(*tk.shingles(tk.words(block), shingle, block.size))
+            cut = np.searchsorted(doc, np.arange(1, block.size))
+            yield from zip(np.split(h, cut), np.split(count, cut), strict=True)
 
     @tk.tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,32 +153,36 @@ def verify(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, similarity
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 same = []
-                for x, y in zip(sets(part.column(2)), sets(part.column(3)), strict=True):
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    same.append(common >= similarity * (len(x) + len(y) - common) - 1e-9)
+                for (x, p), (y, q) in zip(sets(part.column(2)), sets(part.column(3)), strict=True):
+                    if weighted:
+                        same.append(probability_jaccard(x, p, y, q) >= similarity - 1e-9)
+                    else:
+                        common = len(np.intersect1d(x, y, assume_unique=True))
+                        same.append(common >= similarity * (len(x) + len(y) - common) - 1e-9)
                 yield part.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
 
     kind = pairs.schema["a"].dataType.simpleString()
     return whole.mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _tokens(texts: DataFrame, shingle: int) -> DataFrame:
-    """(id, h): the distinct shingles of each text."""
+def _tokens(texts: DataFrame, shingle: int, weighted: bool) -> DataFrame:
+    """(id, h, w): the distinct shingles of each text and their weights."""
 
     @tk.tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in tk.blocks(batch.column(1)):
-                doc, h, _ = tk.distinct(*tk.shingles(tk.words(block), shingle, block.size))
-                ids = batch.column(0).slice(block.first, block.size)
+                doc, h, count = tk.distinct(*tk.shingles(tk.words(block), shingle, block.size))
+                ids, weight = batch.column(0).slice(block.first, block.size), count if weighted else np.ones(len(h), np.int64)
                 for i in range(0, len(h), 100_000):
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc[i : i + 100_000])), pa.array(h[i : i + 100_000].view(np.int64))], names=["id", "h"])
+                    here = slice(i, i + 100_000)
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc[here])), pa.array(h[here].view(np.int64)), pa.array(weight[here])], names=["id", "h", "w"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.select("doc_id", "text").mapInArrow(run, f"id {kind}, h bigint")
+    return texts.select("doc_id", "text").mapInArrow(run, f"id {kind}, h bigint, w bigint")
 
 
-def _leftovers(buckets: DataFrame, part: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+def _leftovers(buckets: DataFrame, part: DataFrame, texts: DataFrame, shingle: int, similarity: float, weighted: bool) -> DataFrame:
     """Pairs (id, pivot) of different classes that may be similar, one outside the largest class of a bucket they may share."""
     of = buckets.select("bucket", "id").join(part.select(F.col("node").alias("id"), "component"), "id", "left")
     of = materialise(of.select("bucket", "id", F.coalesce("component", "id").alias("component")), "of")
@@ -168,28 +191,33 @@ def _leftovers(buckets: DataFrame, part: DataFrame, texts: DataFrame, shingle: i
     open_ = of.join(materialise(split.select("bucket", F.col("main.component").alias("main")), "split"), "bucket")
     open_ = materialise(open_.groupBy("id", "component").agg(F.max(F.col("component") != F.col("main")).alias("outside")), "open")
     release(of)
-    tokens = materialise(_tokens(texts.join(open_.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), shingle), "tokens")
+    tokens = materialise(_tokens(texts.join(open_.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), shingle, weighted), "tokens")
     often = materialise(tokens.groupBy("h").agg(F.count("*").alias("df")), "often")
     own = Window.partitionBy("id")
-    ranked = tokens.join(often, "h").select("id", "h", F.row_number().over(own.orderBy("df", "h")).alias("place"), F.count("*").over(own).alias("n"))
-    # one shared shingle stands at the first n - s n + 1 places of either text
-    first = ranked.where(F.col("place") <= F.col("n") - F.ceil(similarity * F.col("n") - 1e-9) + 1)
+    upto = own.orderBy("df", "h").rowsBetween(Window.unboundedPreceding, -1)
+    # the weight of a shingle and of all rarer ones before it is what a text that shares none of these has lost
+    ranked = tokens.join(often, "h").select("id", "h", F.sum("w").over(own).alias("n"), F.coalesce(F.sum("w").over(upto), F.lit(0)).alias("before"))
+    ranked = ranked.select("id", "h", "n", (F.col("n") - F.col("before")).alias("left"))
+    first = ranked.where(F.col("left") >= similarity * F.col("n") - 1e-6)
     first = materialise(first.join(open_, "id"), "prefixes")
     release(tokens, often, open_)
     x, y = first.where("outside").alias("x"), first.alias("y")
-    rest = 1 + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
-    may = rest >= similarity / (1 + similarity) * (F.col("x.n") + F.col("y.n")) - 1e-6
+    rest = F.least(F.col("x.left"), F.col("y.left"))
+    may = F.lit(True) if weighted else rest >= similarity / (1 + similarity) * (F.col("x.n") + F.col("y.n")) - 1e-6
     met = x.join(y, (F.col("x.h") == F.col("y.h")) & may & (F.col("x.component") != F.col("y.component")))
     return met.select(F.col("x.id").alias("id"), F.col("y.id").alias("pivot"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, registers: int = REGISTERS, rows: int = ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, registers: int = REGISTERS, rows: int = ROWS, weighted: bool = False) -> DataFrame:
     """(doc_id, class_id, n_links) for every row of ``docs`` (doc_id, text).
 
     A class is a connected component of texts that are equal or similar; it bears its
     least doc_id.  n_links counts the verified links of a text's row in the search, equal
     texts apart.  A null text counts as empty; texts without words are alike only if equal.
     Rows with the same doc_id count as one document's versions and share its class.
+    ``weighted`` takes probability Jaccard similarity of how often shingles occur.
+    Texts are compared whole, however long.  A row without doc_id has the class of the equal
+    texts that have one, else null.
     Nothing in ``docs`` but doc_id and text is read.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -198,7 +226,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     first = materialise(keys.groupBy("text_key").agg(F.min("doc_id").alias("rep")), "first")
     member = materialise(keys.join(first, "text_key").select("doc_id", "rep"), "member")
     release(keys, first)
-    reps = sign(docs, shingle, registers).where("n > 0").join(member.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
+    reps = sign(docs, shingle, registers, weighted).where("n > 0").join(member.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
     reps = materialise(reps, "reps")
     width = 4 * rows
     bands = reps.select(F.col("doc_id").alias("id"), F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(registers // rows - 1)), lambda i: F.substring("sig", (i * width + 1).cast("int"), F.lit(width)))).alias("band", "part"))
@@ -215,7 +243,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     def checked(pairs: DataFrame) -> DataFrame:
         pairs = materialise(pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct(), "pairs")
         close = materialise(_agree(pairs.join(sig_b, "b").join(sig_a, "a"), least, registers), "close")
-        found = materialise(verify(close, texts, shingle, similarity), "found")
+        found = materialise(verify(close, texts, shingle, similarity, weighted), "found")
         release(pairs, close)
         return found
 
@@ -224,7 +252,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
 
     links = checked(buckets.where("id <> low").select("id", F.col("low").alias("pivot")))
     part = classes(links)
-    more = checked(_leftovers(buckets, part, texts, shingle, similarity))
+    more = checked(_leftovers(buckets, part, texts, shingle, similarity, weighted))
     release(texts, buckets, reps)
     if not more.isEmpty():
         links = links.union(more).distinct()

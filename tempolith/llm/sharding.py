@@ -98,7 +98,9 @@ def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
 
     Shards hold as many rows as each other, or one more in the first ones.  size is the
     text's UTF-8 bytes plus 1; a null text counts as empty.  slot is gapless from 0 in each
-    shard.  Rows without doc_id and repeated doc_ids are rows like any other.
+    shard.  Rows without doc_id, repeated doc_ids and repeated rows are rows like any other,
+    and a text of any length counts as one; ties are broken by hashes and by the row's place.
+    Other columns are not read.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select(

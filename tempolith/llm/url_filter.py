@@ -105,7 +105,9 @@ def judge(pages: DataFrame, edges: DataFrame | None = None, rules: tuple = RULES
 
     ``edges`` (src, dst: addresses) may add redirects known from elsewhere.  Pages that
     neither a rule nor an alias judges are allowed.  Null and malformed urls have an empty
-    host and path, fit no rule and have no aliases.
+    host and path, fit no rule and have no aliases.  Pages of any length are searched whole
+    for links; repeated rows, and pages of one address, are judged alike, each in its row;
+    of rules of equal length the first counts.  Columns besides these are not read.
     """
     found = links(pages)
     if edges is not None:

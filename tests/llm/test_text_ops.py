@@ -439,3 +439,55 @@ def test_hits_of_a_seed_that_many_share(monkeypatch):
     parts = list(index.hits(w))
     assert len(parts) > 10
     assert {(t, i) for part in parts for t, i, d in part if index.overlap(w.hash[w.first[t] : w.first[t + 1]], i, d)} == {(t, i) for t in (0, 2) for i in range(40)}
+
+
+def brute_probability_jaccard(x, y):
+    return sum(1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in {*x, *y}) for i in x if i in y)
+
+
+def test_probability_jaccard_equals_brute_force():
+    rng = random.Random(11)
+    for _ in range(200):
+        x, y = ({k: rng.randint(1, 6) for k in rng.sample(range(30), rng.randint(1, 25))} for _ in range(2))
+        sides = [(np.array(sorted(d), np.uint64), np.array([d[k] for k in sorted(d)])) for d in (x, y)]
+        got = probminhash.probability_jaccard(*sides[0], *sides[1])
+        assert abs(got - brute_probability_jaccard(x, y)) < 1e-9
+    ones = [(np.arange(0, 10, dtype=np.uint64), np.ones(10)), (np.arange(5, 20, dtype=np.uint64), np.ones(15))]
+    assert abs(probminhash.probability_jaccard(*ones[0], *ones[1]) - 5 / 20) < 1e-12  # of sets, Jaccard
+
+
+def edited_texts(rng, families, copies, repeats):
+    """Families of texts with edits of all sizes, some with a line that stands many times."""
+    rows = []
+    for _ in range(families):
+        base = [f"w{rng.randrange(4000)}" for _ in range(rng.randint(8, 160))]
+        line = [f"l{rng.randrange(4000)}" for _ in range(12)]
+        for _ in range(copies):
+            text = base.copy()
+            for _ in range(rng.randint(0, max(1, len(base) // 40))):
+                text[rng.randrange(len(text))] = f"e{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(text + line * rng.choice(repeats))))
+    return rows
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_recall_of_links_against_brute_force(spark, weighted):
+    """Of the pairs of different texts at 0.8 or more, by all shingles, 0.95 at least end in one class."""
+    rows = edited_texts(random.Random(21), 60, 7, [0, 0, 1, 3, 40] if not weighted else [0, 0, 2, 2, 5])
+    got = {r.doc_id: r.class_id for r in probminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), weighted=weighted).collect()}
+    counts = {i: collections.Counter(tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)) for i, t in rows}
+    linked, met, parent = 0, 0, {i: i for i, _ in rows}
+    for i, _ in rows:
+        for j in range(i + 1, min(len(rows), i + 7)):
+            x, y = counts[i], counts[j]
+            like = brute_probability_jaccard(x, y) if weighted else len({*x} & {*y}) / max(1, len({*x} | {*y}))
+            if like >= 0.8:
+                linked += 1
+                met += got[i] == got[j]
+                parent[j] = min(parent[j], parent[i])
+    assert linked > 300 and met >= 0.95 * linked, (met, linked)
+    # no class holds texts that no chain of such links joins
+    families = collections.defaultdict(set)
+    for i, c in got.items():
+        families[c].add(i // 7)
+    assert all(len(f) == 1 for f in families.values())
