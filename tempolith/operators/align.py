@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import collections
 import difflib
+import functools
+import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -55,44 +61,79 @@ def exact_spans(pairs: DataFrame, keys: list[str], text: str = "text", quote: st
     return placed.where("n < last").select(*keys, "n", (F.col("end") - F.col("q")).alias("begin"), "end")
 
 
-def _best_window(text: str, quote: str, how: Matching) -> tuple[int, float] | None:
-    """Begin and score of the nearest window of a text, if it is near enough."""
-    q, best, begin = len(quote), 0.0, 0
-    step = max(how.min_step, q // how.step_fraction)
-    for i in range(0, max(1, len(text) - q + 1), step):
-        window = text[i : i + q + how.padding]
-        most = 2 * min(q, len(window)) / (q + len(window))
-        if most < how.threshold or most <= best:
-            continue
-        pair = difflib.SequenceMatcher(a=quote, b=window, autojunk=False)
-        if pair.real_quick_ratio() < how.threshold or pair.quick_ratio() < how.threshold:
+def _common_bound(quote: str, window: str) -> int:
+    """Length of the longest common subsequence: no pair of texts has more characters in matching blocks.
+
+    One bit for each character of the quote; a window's character carries through the
+    places where it stands, all of them at once.
+    """
+    places: dict[str, int] = {}
+    for i, c in enumerate(quote):
+        places[c] = places.get(c, 0) | 1 << i
+    full = (1 << len(quote)) - 1
+    row = full
+    for c in window:
+        here = places.get(c, 0)
+        row = (row + (row & here) | row & ~here) & full
+    return len(quote) - row.bit_count()
+
+
+def nearest(text: str, quote: str, how: Matching = Matching()) -> tuple[int, float] | None:
+    """Begin and score of the stretch of a text that resembles a quote most, if it is near enough.
+
+    Windows of the quote's length and some padding stand at regular places; the score of
+    one is the share of its and the quote's characters in common blocks, and the longest
+    common block says where the quote would begin.  Of equal scores the first window's
+    counts.  Each window has upper bounds of its score, by its length, by the characters
+    it shares with the quote and by their order; only windows that can still win are
+    compared block by block, the most promising first.
+    """
+    q, n = len(quote), len(text)
+    starts = np.arange(0, max(1, n - q + 1), max(how.min_step, q // how.step_fraction))
+    sizes = np.minimum(n - starts, q + how.padding)
+    able = 2 * np.minimum(q, sizes) >= how.threshold * (q + sizes)
+    starts, sizes = starts[able], sizes[able]
+    if not len(starts):
+        return None
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    shared = np.zeros(len(starts), np.int64)
+    for c, wanted in collections.Counter(quote).items():
+        seen = np.concatenate([[0], np.cumsum(codes == ord(c))])
+        shared += np.minimum(wanted, seen[starts + sizes] - seen[starts])
+    bound = 2 * shared / (q + sizes)
+    best: tuple[float, int, int] | None = None
+    for k in np.lexsort((starts, -bound)):
+        if bound[k] < how.threshold or (best and bound[k] < best[0]):
+            break
+        begin = int(starts[k])
+        window = text[begin : begin + int(sizes[k])]
+        most = 2 * _common_bound(quote, window) / (q + len(window))
+        if most < how.threshold or (best and (most, -begin) < best[:2]):
             continue
+        pair = difflib.SequenceMatcher(None, quote, window, autojunk=False)
         score = pair.ratio()
-        if score > best:
-            block = max(pair.get_matching_blocks()[:-1], key=lambda x: x.size)
-            best, begin = score, max(0, i + block.b - block.a)
-    return (begin, best) if best >= how.threshold else None
+        if score >= how.threshold and (best is None or (score, -begin) > best[:2]):
+            block = pair.find_longest_match()
+            best = score, -begin, max(0, begin + block.b - block.a)
+    return (best[2], best[0]) if best else None
 
 
 def spans(text: str | None, quote: str | None, how: Matching = Matching()) -> list[tuple[int, int, float, str]]:
     """All mentions of a quote in a text: (begin, end, score, status), left to right.
 
-    After each mention the search goes on behind it, exact first; it stops where neither
-    way finds one.
+    The exact ones first, none overlapping; what is left behind the last is then searched
+    for near ones, each behind the one before, as long as there are any.
     """
-    found: list[tuple[int, int, float, str]] = []
     if not text or not quote:
-        return found
-    at = 0
-    while at < len(text):
-        begin, score = text.find(quote, at), 1.0
-        if begin < 0:
-            near = _best_window(text[at:], quote, how)
-            if near is None:
-                break
-            begin, score = at + near[0], near[1]
-        at = begin + len(quote)
-        found.append((begin, at, score, EXACT if score >= how.exact else FUZZY))
+        return []
+    size = len(quote)
+    exact = [m.start() for m in re.finditer(re.escape(quote), text)]
+    found = [(b, b + size, 1.0, EXACT) for b in exact]
+    rest = found[-1][1] if found else 0
+    while rest < len(text) and (near := nearest(text[rest:], quote, how)):
+        begin, score = rest + near[0], near[1]
+        rest = begin + size
+        found.append((begin, rest, score, EXACT if score >= how.exact else FUZZY))
     return found
 
 
@@ -142,40 +183,53 @@ def mentions(tlinks: DataFrame, sections: DataFrame, how: Matching | None = Matc
 def contained(docs: DataFrame, quotes: DataFrame, doc: str = "doc_id", item: str = "item_id", max_bytes: int = 32 << 20) -> DataFrame:
     """(doc, item, begin, end) of the first occurrence of every quote in every text that holds it.
 
-    A containment join in one pass: each task builds an automaton of the quotes and runs
-    every text through it once.  Quotes go out in blocks of at most about ``max_bytes``.
-    Null and empty quotes are in nothing.
+    A containment join in one pass: an automaton of the quotes, built once in each Python
+    worker, runs over every text.  Quotes go out in blocks of at most about ``max_bytes``,
+    each a broadcast of its own.  Null and empty quotes are in nothing.
     """
-    import ahocorasick
-
     some = quotes.select(item, "text").where("text <> ''")
     blocks = max(1, -(-(some.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // max_bytes))
     kinds = [x.schema[c].dataType.simpleString() for x, c in ((docs, doc), (quotes, item))]
     schema = f"`{doc}` {kinds[0]}, `{item}` {kinds[1]}, begin int, end int"
     source = docs.select(doc, "text").where("text is not null")
-    out = None
+    parts = []
     for i in range(blocks):
         rows = [tuple(r) for r in some.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == i).collect()]
+        sent = docs.sparkSession.sparkContext.broadcast(rows)
+        token = uuid.uuid4().hex
 
-        def run(frames: Iterator[pd.DataFrame], rows: list = rows) -> Iterator[pd.DataFrame]:
-            machine = ahocorasick.Automaton()
-            items: dict[str, list] = {}
-            for key, text in rows:
-                items.setdefault(text, []).append(key)
-            for text, keys in items.items():
-                machine.add_word(text, (len(text), keys))
-            if items:
-                machine.make_automaton()
+        def run(frames: Iterator[pd.DataFrame], sent: Broadcast = sent, token: str = token) -> Iterator[pd.DataFrame]:
+            machine = _automaton(token, sent)
             for frame in frames:
                 found = []
                 for key, text in zip(frame[doc], frame["text"], strict=True):
                     seen = set()
-                    for last, (n, keys) in machine.iter(text) if items else ():
+                    for last, (n, keys) in machine.iter(text) if machine else ():
                         if keys[0] not in seen:
                             seen.add(keys[0])
                             found += [(key, k, last + 1 - n, last + 1) for k in keys]
                 yield pd.DataFrame(found, columns=[doc, item, "begin", "end"])
 
-        part = source.mapInPandas(run, schema)
-        out = part if out is None else out.union(part)
-    return out
+        parts.append(source.mapInPandas(run, schema))
+    return functools.reduce(DataFrame.union, parts)
+
+
+_machines: dict[str, object] = {}
+
+
+def _automaton(token: str, sent: Broadcast):
+    """The automaton of a block of (item, text); a Python worker keeps the last one only."""
+    import ahocorasick
+
+    if token not in _machines:
+        items: dict[str, list] = {}
+        for key, text in sent.value:
+            items.setdefault(text, []).append(key)
+        machine = ahocorasick.Automaton()
+        for text, keys in items.items():
+            machine.add_word(text, (len(text), keys))
+        if items:
+            machine.make_automaton()
+        _machines.clear()
+        _machines[token] = machine if items else None
+    return _machines[token]
