@@ -29,4 +29,7 @@ _LINKS = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("S
 
 @F.pandas_udf(_LINKS)
 def literal_tlinks(body: pd.Series) -> pd.Series:
+    some = body.notna()
+    if not some.any():  # the usual case: everything was JSON
+        return pd.Series([None] * len(body), dtype=object)
     return body.map(read_literal)

@@ -6,14 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.literals import literal_tlinks
-from ..functions.text import bracketed, strip_think
-from ..schemas import TLINK_JSON, UNKNOWN
+from ..functions.text import bracketed, let, strip_think
+from ..schemas import DOC, TLINK_JSON, UNKNOWN
 
 
-def json_tlinks(out: Column) -> Column:
-    """Triplets of a model's output as JSON; null where that fails."""
-    found = F.from_json(bracketed(strip_think(out)), TLINK_JSON, {"mode": "PERMISSIVE"})
-    return F.when(~F.exists(found, lambda x: x.isNull()), found)
+_STRING = r"""\"[^\"\\]*+(?:\\.[^\"\\]*+)*+\"|'[^'\\]*+(?:\\.[^'\\]*+)*+'"""
+#: strings, which stay; commas before a closing bracket, which go; None, for which the end of the text holds the word
+_PYTHON = rf"(?s)({_STRING})|,(?=\s*[\]}}])|\bNone\b(?=.*\x01(null)\z)"
+
+
+def json_tlinks(body: Column) -> Column:
+    """Triplets of a bracketed list as JSON; null where that fails."""
+    found = F.from_json(body, TLINK_JSON, {"mode": "PERMISSIVE"})
+    return let(found, lambda x: F.when(~F.exists(x, lambda link: link.isNull()), x))
+
+
+def repaired(body: Column) -> Column:
+    """A list with what Python writes otherwise than JSON put right: commas behind the last item, None."""
+    marked = F.regexp_replace(F.concat(body, F.lit("\x01null")), _PYTHON, "$1$2")
+    return let(marked, lambda m: F.substring(m, F.lit(1), F.length(m) - 5))
 
 
 def with_defaults(link: Column) -> list[Column]:
@@ -24,16 +35,24 @@ def with_defaults(link: Column) -> list[Column]:
 def parse_outputs(raw: DataFrame, out: str = "llm_out") -> tuple[DataFrame, DataFrame]:
     """(tlinks, errors): exploded triplets with their place ``pos``, and the rows that can't be read.
 
-    JSON is read in the JVM.  Only the rows it can't read go to Python, where they may
-    still be Python literals; what is neither is quarantined and its document goes on.
+    One pass in the JVM: lists are read as JSON, else as JSON after a repair of what Python
+    spells otherwise.  Only texts that are neither go to Python, where they may still be
+    literals; what is none is quarantined and its document goes on.
     """
     keys = [c for c in raw.columns if c != out]
-    read = raw.withColumn("links", json_tlinks(F.col(out)))
-    good = read.where("links is not null").select(*keys, "links")
-    again = read.where("links is null").select(*keys, out, literal_tlinks(bracketed(strip_think(F.col(out)))).alias("links"))
-    links = good.unionByName(again.where("links is not null").select(*keys, "links"))
-    tlinks = links.select(*keys, F.posexplode("links").alias("pos", "link")).select(*keys, "pos", *with_defaults(F.col("link")))
-    return tlinks, again.where("links is null").select(*keys, out)
+    body = raw.select(*keys, out, bracketed(strip_think(F.col(out))).alias("__body"))
+    # JSON has no other letters outside its strings than those of three words and of numbers
+    tried = body.withColumn("__json", F.coalesce(json_tlinks(F.col("__body")), F.when(F.col("__body").rlike(r"None\b|,\s*[\]}]"), json_tlinks(repaired(F.col("__body"))))))
+    read = tried.withColumn("__literal", literal_tlinks(F.when(F.col("__json").isNull(), F.col("__body"))))
+    read = read.select(*keys, out, F.coalesce("__json", "__literal").alias("links"))
+    # outer, so that the list isn't read once more to filter empty ones
+    each = read.select(*keys, F.posexplode_outer("links").alias("pos", "link")).where("pos is not null")
+    return each.select(*keys, "pos", *with_defaults(F.col("link"))), read.where("links is null").select(*keys, out)
+
+
+def section_counts(tlinks: DataFrame, keys: tuple[str, ...] = (*DOC, "section_id")) -> DataFrame:
+    """``keys`` and n: triplets of each section that has any."""
+    return tlinks.groupBy(*keys).agg(F.count("*").alias("n"))
 
 
 def output_map(out: Column) -> Column:
