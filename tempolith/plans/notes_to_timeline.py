@@ -6,9 +6,10 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import align, header, parse, relations, sections, tables, timeline
-from ..schemas import DOC
+from ..schemas import DOC, FAILED
 
 
 @dataclass(frozen=True)
@@ -61,3 +62,22 @@ def plan(notes: DataFrame, extract: Callable[[DataFrame], DataFrame], config: Co
         timeline=timeline.resolve(timeline.instants(normals)),
         patients=notes.select("patient_id").distinct(),
     )
+
+
+def counters(run: Plan) -> DataFrame:
+    """(name, n) of what a run let go: outputs in quarantine, quotes found nowhere, times without a normal form."""
+    texts = relations.concepts(run.tlinks, run.mentions)
+    counted = (
+        ("documents", run.meta),
+        ("sections", run.sections),
+        ("triplets", run.tlinks),
+        ("outputs in quarantine", run.errors),
+        ("texts without mention", texts.where(F.size("mentions") == 0)),
+        ("relations without normal time", run.normals.where(F.col("time_type") == FAILED)),
+        ("timeline rows", run.timeline),
+    )
+    rows = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in counted]
+    out = rows[0]
+    for row in rows[1:]:
+        out = out.unionByName(row)
+    return out

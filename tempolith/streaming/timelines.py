@@ -2,33 +2,77 @@
 
 The links are kept as a table, a folder for each micro-batch; a batch that is run again
 overwrites its own folder.  A patient's timeline is derived from all its links, so a document
-that comes late changes its patient's timeline instead of starting another one.
+that comes late changes its patient's timeline instead of starting another one.  The table is
+divided by a hash of the patient, so a batch reads only the parts its patients are in, and
+the timelines it changes are written as its own version of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
-from ..operators.timeline import resolve
+from ..operators.timeline import LINK, resolve
 
 LINKS = "patient_id string, doc_id string, tlink_id bigint, med_text string, relation string, time_normal string"
+BUCKETS = 64
+_COLUMNS = ("patient_id", "doc_id", "tlink_id", *LINK)
+_TIMELINES = "patient_id string, med_text string, relation string, time_normal string"
 
 
-def start(links: DataFrame, store: str, checkpoint: str) -> StreamingQuery:
-    """Add a stream of links to ``store``: everything there is, then stop."""
+def bucket(patient: Column, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(patient), F.lit(buckets)).cast("int")
 
-    def add(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
 
-    return links.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def add(links: DataFrame, store: str, batch_id: int) -> None:
+    """Add one micro-batch of links; the same batch again takes its own place."""
+    named = links.select(*_COLUMNS, bucket(F.col("patient_id")).alias("bucket"))
+    named.write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/links/batch={batch_id}")
+
+
+def refresh(links: DataFrame, store: str, batch_id: int) -> None:
+    """Write the timelines of the patients of one micro-batch, which ``add`` has added.
+
+    A patient whose links leave nothing has a row without event, which hides older versions.
+    """
+    spark = links.sparkSession
+    changed = links.select("patient_id").distinct()
+    parts = [r[0] for r in changed.select(bucket(F.col("patient_id"))).distinct().collect()]  # BUCKETS at most
+    known = stored(spark, store).where(F.col("bucket").isin(parts) & (F.col("batch") <= batch_id)).join(changed, "patient_id", "left_semi")
+    found = resolve(known).select("patient_id", *LINK)
+    changed.join(found, "patient_id", "left").write.mode("overwrite").parquet(f"{store}/timelines/batch={batch_id}")
+
+
+def start(links: DataFrame, store: str, checkpoint: str, keep_timelines: bool = False) -> StreamingQuery:
+    """Add a stream of links to ``store``: everything there is, then stop.
+
+    With ``keep_timelines`` each micro-batch also brings its patients' timelines up to date.
+    An error ends the query; started again, it repeats the batch that broke off.
+    """
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        add(batch, store, batch_id)
+        if keep_timelines:
+            refresh(batch, store, batch_id)
+
+    return links.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stored(spark: SparkSession, store: str) -> DataFrame:
-    return spark.read.schema(LINKS).option("basePath", store).option("recursiveFileLookup", "true").parquet(store)
+    """All links of a store, with the batch they came in and the bucket of their patient."""
+    return spark.read.schema(f"{LINKS}, batch bigint, bucket int").parquet(f"{store}/links")
 
 
 def timelines(spark: SparkSession, store: str, patients: DataFrame | None = None) -> DataFrame:
     """Resolved timelines of all patients in a store, or only of those named."""
-    links = stored(spark, store)
+    links = stored(spark, store).select(*_COLUMNS)
     return resolve(links if patients is None else links.join(patients.select("patient_id").distinct(), "patient_id", "left_semi"))
+
+
+def current(spark: SparkSession, store: str) -> DataFrame:
+    """The timelines as the micro-batches have written them, each patient's last version."""
+    every = spark.read.schema(f"{_TIMELINES}, batch bigint").parquet(f"{store}/timelines")
+    newest = F.max("batch").over(Window.partitionBy("patient_id"))
+    return every.withColumn("newest", newest).where("batch = newest and med_text is not null").select("patient_id", *LINK)
