@@ -109,8 +109,15 @@ def duration_fields(iso: Column) -> Column:
     return let(part, build)
 
 
-#: a frequency has the same shape as a duration
-frequency_fields = duration_fields
+def frequency_fields(iso: Column) -> Column:
+    """struct(text, number, number_value, unit) of a period by which something recurs; ``text`` is the period itself."""
+    text = F.trim(iso)
+    return let(duration_fields(text), lambda d: F.struct(text.alias("text"), d["number"].alias("number"), d["number_value"].alias("number_value"), d["unit"].alias("unit")))
+
+
+def modifier(begin: Column, end: Column, form: Column) -> Column:
+    """struct(begin, end, form): a duration or a frequency where it stands in a text."""
+    return F.struct(begin.alias("begin"), end.alias("end"), form.alias("form"))
 
 
 def normal_text(iso: Column, doc_ts: Column | None = None) -> Column:

@@ -6,13 +6,14 @@ callable from a list of instructions to a list of outputs in batches on the exec
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import DOC
+from ..schemas import DOC, MAX_NEW_TOKENS
 from .sections import instruction
 
 #: cue words before a drug or after it; the rest is CONTAINS-1
@@ -52,15 +53,37 @@ def as_outputs(tlinks: DataFrame, sections: DataFrame) -> DataFrame:
     return recorded(sections, lists)
 
 
-def by_model(sections: DataFrame, prompt: str, load: Callable[[], Callable[[list[str]], list[str]]], size: int = 4) -> DataFrame:
-    """Outputs of a model that ``load`` makes once in each task, asked ``size`` sections at a time."""
+def prompt_length(mask: Column) -> Column:
+    """Tokens of a prompt that was padded on its left: the ones in its mask."""
+    return F.aggregate(mask, F.lit(0), lambda n, x: n + x.cast("int"))
+
+
+def generated(ids: Column, mask: Column) -> Column:
+    """The new tokens of an output that repeats its padded prompt."""
+    padding = F.size(mask) - prompt_length(mask)
+    return F.slice(ids, padding + prompt_length(mask) + 1, F.greatest(F.size(ids) - F.size(mask), F.lit(0)))
+
+
+_models: dict[str, Callable] = {}
+
+
+def by_model(sections: DataFrame, prompt: str, load: Callable[[], Callable[..., list[str]]], size: int = 4, max_new_tokens: int = MAX_NEW_TOKENS, limited: bool = False) -> DataFrame:
+    """Outputs of a model, asked ``size`` sections at a time.
+
+    ``load`` makes the model once in each Python worker: a callable from a list of
+    instructions, and with ``limited`` from ``max_new_tokens`` too, to a list of outputs.
+    """
     asked = sections.select(*DOC, "section_id", instruction(prompt, F.col("text")).alias("ask"))
+    token = uuid.uuid4().hex
+    more = {"max_new_tokens": max_new_tokens} if limited else {}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = load()
+        if token not in _models:
+            _models.clear()
+            _models[token] = load()
         for frame in frames:
             for i in range(0, len(frame), size):
                 part = frame.iloc[i : i + size]
-                yield part.drop(columns="ask").assign(llm_out=model(part["ask"].tolist()))
+                yield part.drop(columns="ask").assign(llm_out=_models[token](part["ask"].tolist(), **more))
 
     return asked.mapInPandas(run, "patient_id string, doc_id string, section_id int, llm_out string")

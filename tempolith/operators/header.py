@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import DOC
-
-DATE_LINE = r"Principal Date[.]+(\d+)( \d+)?"
-TYPE_LINE = r"Record Type[.]+([a-zA-Z ]+)"
+from ..schemas import DATE_LINE, DOC, TYPE_LINE
 
 
 def doc_time_text(text: Column) -> Column:

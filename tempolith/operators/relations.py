@@ -32,6 +32,14 @@ def relations(tlinks: DataFrame) -> DataFrame:
     return tlinks.select(*DOC, "tlink_id", F.col("relation").alias("category"), F.col("sact").alias("med_text"), F.col("time").alias("time_text"))
 
 
+def with_mentions(edges: DataFrame, concepts: DataFrame) -> DataFrame:
+    """``edges`` with ``med_mentions`` and ``time_mentions`` of their two concepts, null where there is no concept."""
+    for kind, text, name in (("MED", "med_text", "med_mentions"), ("TIME", "time_text", "time_mentions")):
+        own = concepts.where(F.col("kind") == kind).select(*DOC, F.col("concept_text").alias(text), F.col("mentions").alias(name))
+        edges = edges.join(own, [*DOC, text], "left")
+    return edges
+
+
 def normalize_mentions(mentions: DataFrame, meta: DataFrame) -> DataFrame:
     """TIME mentions with iso, time_class and the structs that fit their class.
 

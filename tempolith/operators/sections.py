@@ -36,6 +36,25 @@ def line_sections(docs: DataFrame, keys: tuple[str, ...] = DOC) -> DataFrame:
     return _placed(parts, keys, 1).select(*keys, "section_id", "begin", "end", "text")
 
 
+def _pieces(docs: DataFrame, keys: tuple[str, ...], pattern: str, name: str) -> DataFrame:
+    """Matches of a pattern that covers the whole text, without white space around them, with offsets."""
+    parts = docs.select(*keys, F.posexplode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("section_id", "text"))
+    lead = F.length(F.regexp_extract("text", r"^[\x20\x09-\x0D]*", 0))
+    trimmed = F.regexp_replace("text", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    placed = _placed(parts, keys, 0).withColumns({"begin": F.col("begin") + lead, "text": trimmed}).where("text <> ''")
+    return placed.select(*keys, F.col("section_id").alias(name), "begin", (F.col("begin") + F.length("text")).alias("end"), "text")
+
+
+def sentences(docs: DataFrame, keys: tuple[str, ...] = DOC) -> DataFrame:
+    """(keys, sentence_id, begin, end, text): stretches up to marks of their end; ids may have gaps where nothing but space stands."""
+    return _pieces(docs, keys, r"[^.!?]*[.!?]+|[^.!?]+$", "sentence_id")
+
+
+def tokens(docs: DataFrame, keys: tuple[str, ...] = DOC) -> DataFrame:
+    """(keys, token_id, begin, end, text): words, and every character that is neither letter, digit nor space by itself."""
+    return _pieces(docs, keys, r"[\x20\x09-\x0D]*(?:[\p{L}\p{N}]+|[^\x20\x09-\x0D\p{L}\p{N}])|[\x20\x09-\x0D]+$", "token_id")
+
+
 def instruction(prompt: str, text: Column) -> Column:
     """What a model is asked about one section."""
     return F.concat(F.lit(prompt), text, F.lit("/no_think"))
@@ -45,6 +64,12 @@ def messages(prompt: str, text: Column) -> Column:
     return F.array(F.struct(F.lit("user").alias("role"), instruction(prompt, text).alias("content")))
 
 
+def chat(messages: Column, opening: str = "<|im_start|>", closing: str = "<|im_end|>", role: str = "assistant") -> Column:
+    """Messages as one text for a model, which goes on in ``role``; the marks are the model's."""
+    said = F.transform(messages, lambda m: F.concat(F.lit(opening), m["role"], F.lit("\n"), m["content"], F.lit(f"{closing}\n")))
+    return F.concat(F.array_join(said, ""), F.lit(f"{opening}{role}\n"))
+
+
 def batches(sections: DataFrame, size: int = 4) -> DataFrame:
     """``sections`` with the number of the batch in which a section is sent to a model."""
     return sections.withColumn("batch_id", batch(F.col("section_id"), size))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,10 +16,10 @@ def write_documents(tables: DataFrame, folder: str, suffix: str, form: str) -> D
     """Write the content of each document below ``folder``, by patient; returns nothing but the frame of paths.
 
     The executors write, each file by a rename, so a repeated task leaves the same files.
-    ``folder`` must be a folder that all executors and the driver share.
+    ``folder`` must be a mount that all executors and the driver share; ``write_tables``
+    writes a corpus's tables on any file system.
     """
     import os
-    import uuid
     from collections.abc import Iterator
 
     import pandas as pd
@@ -57,12 +59,32 @@ def _json_string(c):
 
 
 def write_corpus_json(entries: DataFrame, path: str) -> None:
-    """One JSON file for a corpus, streamed partition by partition through the driver, never whole."""
-    lines = corpus_json(entries).orderBy("patient_id").toLocalIterator(prefetchPartitions=True)
-    with open(path.removeprefix("file:"), "w", encoding="utf-8") as f:
-        f.write("{\n")
-        first = True
-        for line in lines:
-            f.write(("" if first else ",\n") + line["line"])
-            first = False
-        f.write("\n}\n" if not first else "}\n")
+    """One JSON file for a corpus, on any Hadoop file system.
+
+    Spark sorts the patients by range and writes their lines in parallel; the parts are then
+    copied one behind the other, as bytes, so the driver holds a buffer and no rows.
+    """
+    spark = entries.sparkSession
+    lines = corpus_json(entries)
+    last = entries.agg(F.max("patient_id")).first()[0]
+    ended = lines.select("patient_id", F.concat("line", F.when(F.col("patient_id") < last, ",").otherwise("")).alias("value"))
+    parts = f"{path}.{uuid.uuid4().hex}.parts"
+    ended.repartitionByRange("patient_id").sortWithinPartitions("patient_id").select("value").write.text(parts)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target, source = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, parts))
+    fs = target.getFileSystem(conf)
+    fs.setWriteChecksum(False)
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(b"{\n"))
+        for part in sorted(str(f.getPath()) for f in fs.listStatus(source) if f.getPath().getName().startswith("part-")):
+            read = fs.open(jvm.org.apache.hadoop.fs.Path(part))
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(read, out, 1 << 16, False)
+            finally:
+                read.close()
+        out.write(bytearray(b"}\n"))
+    finally:
+        out.close()
+        fs.setWriteChecksum(True)
+    fs.delete(source, True)

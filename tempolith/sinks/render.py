@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FORMATS = ("bsv", "csv", "tab", "html")
+# fixed values: the frame of an HTML table, its foot as readers of such files know it
 _HTML_HEAD = "<!DOCTYPE html>\n<html>\n<head>\n<style>\ntable {\n  margin-left: auto;\n  margin-right: auto;\n}\n</style>\n</head>\n<body>\n\n<table>\n"
 _HTML_FOOT = " <tfoot>\n  <tf>\n  </tf>\n <tfoot>\n</table>\n</body>\n</html>\n"
 
@@ -43,9 +44,9 @@ def head(form: str, names: tuple[str, ...]) -> str:
 
 
 def document_tables(rows: DataFrame, form: str, names: tuple[str, ...], columns: list[str], keys: list[str]) -> DataFrame:
-    """(keys, content): the whole table of each document, rows in the order of ``sort_key``."""
+    """(keys, content): the whole table of each document, rows in the order of ``sort_key``; an empty line ends a table of text."""
     lines = rows.select(*keys, "sort_key", row(form, columns).alias("line"))
     body = F.transform(F.array_sort(F.collect_list(F.struct("sort_key", "line"))), lambda x: x["line"])
     end = "" if form == "html" else "\n"
-    text = F.concat(F.lit(head(form, names)), F.array_join(body, end), F.lit(end or _HTML_FOOT))
+    text = F.concat(F.lit(head(form, names)), F.array_join(body, end), F.lit(2 * end or _HTML_FOOT))
     return lines.groupBy(*keys).agg(text.alias("content"))
