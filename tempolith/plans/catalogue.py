@@ -6,6 +6,8 @@ derive from those tables by the same rule.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -16,10 +18,13 @@ from pyspark.sql import functions as F
 from ..functions import iso as iso_fn
 from ..functions import text as text_fn
 from ..functions.timenorm import normalize
-from ..operators import align, header, parse, relations, sections, tables, timeline
-from ..schemas import TABLE_HEADER
-from ..sinks import render
+from ..operators import align, extract, header, parse, relations, sections, tables, timeline
+from ..schemas import SPAN_HEADER, TABLE_HEADER
+from ..sinks import files, render
+from ..sources import notes as notes_source
+from ..streaming import notes as stream_notes
 from ..streaming import timelines
+from .notes_to_timeline import Config
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -111,9 +116,25 @@ MENTIONS = """mn as (select distinct patient_id, doc_id, 'MED' kind, med_text co
 # --- sources, headers, sections
 
 
-@query("select doc_id, cast(length(text) as int) n_text, md5(text) digest from documents")
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share: below ``spark.checkpoint.dir``, a local one on a local master only."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="tempolith-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("select source patient_id, doc_id, cast(length(text) as int) n_text, md5(text) digest from documents where length(text) > 0")
 def scan_notes(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.length("text").alias("n_text"), F.md5("text").alias("digest"))
+    """Documents written as files of notes, a folder for each source, and read again."""
+    content = table(spark, d, "documents").select(F.col("source").alias("patient_id"), F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("content"))
+    folder = _folder(spark, "notes")
+    files.write_documents(content, folder, "note", "txt").count()
+    read = notes_source.read_notes(spark, folder)
+    return read.select("patient_id", F.regexp_extract("doc_id", "^(.*)_note$", 1).cast("long").alias("doc_id"), F.length("text").alias("n_text"), F.md5("text").alias("digest"))
 
 
 def _headers(spark: SparkSession, d: str) -> DataFrame:
@@ -150,6 +171,17 @@ def header_doc_meta(spark, d):
     return meta.select("patient_id", "doc_id", F.date_format("doc_ts", "yyyy-MM-dd HH:mm").alias("doc_time"), "doc_type")
 
 
+@query(f"""with {HEADERS} select cast(o_orderkey % 97 as varchar) patient_id, cast(o_orderkey as varchar) doc_id, 'General' institution,
+ strftime(case when o_orderkey % 2 = 0 then cast(strptime(regexp_extract(text, 'Date[.]+(\\d+ \\d+)', 1), '%Y%m%d %H%M') as timestamp) else strptime(regexp_extract(text, 'Date[.]+(\\d+)', 1) || '1200', '%Y%m%d%H%M') end, '%Y-%m-%d %H:%M') doc_time,
+ regexp_extract(text, 'Record Type[.]+([a-zA-Z ]+)', 1) doc_type from hd""")
+def header_first_section(spark, d):
+    """Every line a section: the first that has a value gives it, later ones with others don't."""
+    later = F.concat("text", F.lit("\nRecord Type.....later one\nPrincipal Date......19990101 0101"))
+    notes = _headers(spark, d).select((F.col("o_orderkey") % 97).cast("string").alias("patient_id"), F.col("o_orderkey").cast("string").alias("doc_id"), later.alias("text"))
+    meta = header.doc_meta(sections.line_sections(notes), "General")
+    return meta.select("patient_id", "doc_id", "institution", F.date_format("doc_ts", "yyyy-MM-dd HH:mm").alias("doc_time"), "doc_type")
+
+
 @query("select o_orderkey, strftime(o_orderdate, '%m%d%Y') || case when hour(o_orderdate) = 0 then '24' else strftime(o_orderdate, '%H') end || strftime(o_orderdate, '%M%S') source_date from orders")
 def header_cas_date_format(spark, d):
     return table(spark, d, "orders").select("o_orderkey", header.source_date(F.col("o_orderdate")).alias("source_date"))
@@ -165,6 +197,35 @@ def split_sections(spark, d):
     return parts.select("doc_id", "section_id", "begin", "end", F.md5("text").alias("digest"))
 
 
+@query("""with t as (select o_orderkey, 'Report ' || o_orderkey || chr(10) a, 'HISTORY::' || chr(10) || o_orderstatus || chr(10) b, 'PLAN / CARE::' || chr(10) || 'end.' c from orders)
+ select cast(o_orderkey as varchar) doc_id, 0 section_id, 0 "begin", cast(length(a) as int) "end", md5(a) digest from t
+ union all select cast(o_orderkey as varchar), 1, cast(length(a) as int), cast(length(a || b) as int), md5(b) from t union all select cast(o_orderkey as varchar), 2, cast(length(a || b) as int), cast(length(a || b || c) as int), md5(c) from t""")
+def titled_sections(spark, d):
+    key = F.col("o_orderkey").cast("string")
+    text = F.concat(F.lit("Report "), key, F.lit("\nHISTORY::\n"), "o_orderstatus", F.lit("\nPLAN / CARE::\nend."))
+    parts = sections.titled_sections(table(spark, d, "orders").select(F.lit("p").alias("patient_id"), key.alias("doc_id"), text.alias("text")))
+    return parts.select("doc_id", "section_id", "begin", "end", F.md5("text").alias("digest"))
+
+
+def _pieces_sql(pattern: str, name: str) -> str:
+    space = "[\\x20\\x09-\\x0D]"
+    return f"""with p as (select doc_id, unnest(regexp_extract_all(text, '{pattern}')) x, generate_subscripts(regexp_extract_all(text, '{pattern}'), 1) - 1 i from documents),
+ q as (select doc_id, i, sum(length(x)) over (partition by doc_id order by i) - length(x) + length(regexp_extract(x, '^{space}*')) b, regexp_replace(x, '^{space}+|{space}+$', '', 'g') t from p)
+ select doc_id, cast(i as int) {name}, cast(b as int) "begin", cast(b + length(t) as int) "end", md5(t) digest from q where t <> ''"""
+
+
+@query(_pieces_sql("[^.!?]*[.!?]+|[^.!?]+$", "sentence_id"))
+def split_sentences(spark, d):
+    parts = sections.sentences(table(spark, d, "documents"), ("doc_id",))
+    return parts.select("doc_id", "sentence_id", "begin", "end", F.md5("text").alias("digest"))
+
+
+@query(_pieces_sql("[\\x20\\x09-\\x0D]*(?:[\\p{L}\\p{N}]+|[^\\x20\\x09-\\x0D\\p{L}\\p{N}])|[\\x20\\x09-\\x0D]+$", "token_id"))
+def split_tokens(spark, d):
+    parts = sections.tokens(table(spark, d, "documents"), ("doc_id",))
+    return parts.select("doc_id", "token_id", "begin", "end", F.md5("text").alias("digest"))
+
+
 @query("select doc_id, 0 section_id, 0 \"begin\", cast(length(text) as int) \"end\" from documents")
 def whole_sections(spark, d):
     notes = table(spark, d, "documents").select(F.col("source").alias("patient_id"), "doc_id", "text")
@@ -177,6 +238,22 @@ def llm_instruction(spark, d):
     return table(spark, d, "documents").select("doc_id", asked["role"].alias("role"), F.md5(asked["content"]).alias("digest"))
 
 
+@query("select doc_id, md5('<|im_start|>user' || chr(10) || 'List every event with its time.' || chr(10) || text || '/no_think<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)) digest from documents")
+def llm_chat(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.md5(sections.chat(sections.messages(PROMPT, F.col("text")))).alias("digest"))
+
+
+@query("""select event_id, cast(event_id % 5 + 1 as int) prompt, list_aggregate(list_transform(range(event_id % 4), lambda i: cast(900 + i as varchar)), 'string_agg', ',') new_ids from events""")
+def llm_generated(spark, d):
+    """Outputs that repeat prompts padded to eight tokens, and the new tokens behind them."""
+    n = F.col("event_id")
+    mask = F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: (i > 7 - n % 5).cast("int"))
+    new = F.when(n % 4 > 0, F.transform(F.sequence(F.lit(0), n % 4 - 1), lambda i: (i + 900).cast("int"))).otherwise(F.array().cast("array<int>"))
+    ids = F.concat(F.array_repeat(F.lit(7), 8), new)
+    found = table(spark, d, "events").select("event_id", extract.prompt_length(mask).alias("prompt"), extract.generated(ids, mask).alias("new"))
+    return found.select("event_id", "prompt", F.when(F.size("new") > 0, F.array_join("new", ",")).alias("new_ids"))
+
+
 @query(f"with {LINES} select doc_id, cast(floor(section_id / 4) as int) batch_id, count(*) n from sec group by 1, 2")
 def message_batches(spark, d):
     parts = sections.line_sections(table(spark, d, "documents"), ("doc_id",))
@@ -246,10 +323,13 @@ def parse_llm_map(spark, d):
     return found.select("event_id", F.try_element_at("m", F.lit("k")).alias("k"), F.try_element_at("m", F.lit("llm_out")).alias("llm_out"))
 
 
-@query(f"with {ISOS} select o_orderkey, iso iso_text, case k when 4 then strftime(o, '%Y-%m-%d') else iso end mix_text, case k when 5 then cast(o_orderkey % 30 as varchar) || ' Day' when 4 then strftime(o, '%Y-%m-%d %H:%M') when 2 then strftime(o, '%Y-%m-%d') || ' 00:00' else '' end human_text from iso where k in (2, 4, 5, 6)")
+_WEEK_DAY = "make_date(cast(year(o) as bigint), 1, 1) + cast(7 * (o_orderkey % 52) as int)"
+
+
+@query(f"""with {ISOS} select o_orderkey, iso iso_text, case k when 4 then strftime(o, '%Y-%m-%d') else iso end mix_text, case k when 0 then iso || ' 00:00' when 1 then iso || ' 00:00' when 2 then iso || ' 00:00'
+ when 3 then strftime({_WEEK_DAY}, '%Y-%m-%d') || ' 00:00' when 4 then strftime(o, '%Y-%m-%d %H:%M') when 5 then cast(o_orderkey % 30 as varchar) || ' Day' else '' end human_text from iso""")
 def instant_styles(spark, d):
-    rows = _isos(spark, d).where("o_orderkey % 7 in (2, 4, 5, 6)")
-    return rows.select("o_orderkey", *(iso_fn.instant_text(F.col("iso"), None, style).alias(f"{style}_text") for style in ("iso", "mix", "human")))
+    return _isos(spark, d).select("o_orderkey", *(iso_fn.instant_text(F.col("iso"), None, style).alias(f"{style}_text") for style in ("iso", "mix", "human")))
 
 
 @query(f"with {TL} select distinct patient_id, doc_id from tl where relation = 'BEGINS-ON'")
@@ -257,9 +337,9 @@ def tlink_route(spark, d):
     return parse.has_links(links(spark, d).where("relation = 'BEGINS-ON'"), ("patient_id", "doc_id"))
 
 
-@query(f"with {TL} select patient_id, doc_id, count(*) n from tl group by 1, 2")
+@query(f"with {TL} select patient_id, doc_id, cast(tlink_id % 5 as int) section_id, count(*) n from tl group by 1, 2, 3")
 def tlink_count_per_section(spark, d):
-    return links(spark, d).groupBy("patient_id", "doc_id").agg(F.count("*").alias("n"))
+    return parse.section_counts(links(spark, d).withColumn("section_id", (F.col("tlink_id") % 5).cast("int")))
 
 
 @query("select cast(user_id as varchar) patient_id, event_id from events where user_id % 4 <> 0")
@@ -298,13 +378,44 @@ def align_not_found(spark, d):
     return bench.select("item_id").join(align.contained(table(spark, d, "documents"), bench), "item_id", "left_anti")
 
 
-@query()
+@query("""with l as (select source patient_id, cast(doc_id as varchar) doc_id, unnest(string_split(text, chr(10))) line, generate_subscripts(string_split(text, chr(10)), 1) - 1 section_id from documents),
+ sec as (select *, sum(length(line) + 1) over (partition by doc_id order by section_id) - 1 - length(line) base from l),
+ qs as (select patient_id, doc_id, section_id, line, base, 'MED' kind, 'the' q from sec union all select patient_id, doc_id, section_id, line, base, 'TIME', 'un' from sec where section_id % 2 = 0),
+ p as (select *, unnest(string_split(line, q)) gap, generate_subscripts(string_split(line, q), 1) n, len(string_split(line, q)) k from qs),
+ e as (select *, base + sum(length(gap) + length(q)) over (partition by doc_id, section_id, kind order by n) e from p)
+ select patient_id, doc_id, cast(section_id as int) section_id, kind, q concept_text, cast(e - length(q) as int) "begin", cast(e as int) "end", q covered_text, 'match_exact' status from e where n < k""")
+def align_mentions(spark, d):
+    """All mentions of a section's own texts, with offsets in the document."""
+    notes = table(spark, d, "documents").select(F.col("source").alias("patient_id"), F.col("doc_id").cast("string").alias("doc_id"), "text")
+    parts = sections.line_sections(notes)
+    asked = parts.select("patient_id", "doc_id", "section_id", F.lit("the").alias("sact"), F.when(F.col("section_id") % 2 == 0, "un").alias("time"))
+    return align.mentions(asked, parts, None).drop("confidence")
+
+
+_HEX = " || ".join(f"md5('{c}' || c_custkey)" for c in "abcdefghijkl")
+
+
+@query(f"""with t as (select c_custkey, {_HEX} as text, cast(50 * (c_custkey % 3) + c_custkey % 7 as int) p, c_custkey % 4 kind from customer),
+ w as (select c_custkey, p, kind, unnest([0, 50, 100, 150]) i from t),
+ b as (select c_custkey, p, max(cast(398 as double) / (200 + least(384 - i, 264))) score from w where kind < 2 and i <= p and i + least(384 - i, 264) >= p + 200 group by 1, 2)
+ select c_custkey, p "begin", p + 200 "end", score, 'match_fuzzy' status from b
+ union all select c_custkey, p, p + 200, cast(1 as double), 'match_exact' from t where kind = 2""")
 def align_fuzzy(spark, d):
-    """Every text against a quote of 200 characters of its own with one of them changed."""
-    text = F.col("text")
-    quote = F.when(F.length(text) >= 300, F.concat(F.substring(text, 51, 99), F.lit("§"), F.substring(text, 151, 100)))
-    found = align.align(table(spark, d, "documents").select("doc_id", "text", quote.alias("quote")))
-    return found.select("doc_id", F.explode("mentions").alias("m")).select("doc_id", "m.*")
+    """Quotes of 200 characters, one in two with a character changed, one in four as they stand, one in four from nowhere.
+
+    The texts are such that only the quote's own place resembles it: 199 characters in the
+    best window that holds it whole.
+    """
+    k = F.col("c_custkey")
+    text = F.concat(*(F.md5(F.concat(F.lit(c), k.cast("string"))) for c in "abcdefghijkl"))
+    at = (50 * (k % 3) + k % 7).cast("int")
+    own = F.substring("text", F.col("p") + 1, F.lit(200))
+    changed = F.concat(F.substring("text", F.col("p") + 1, F.lit(99)), F.lit("§"), F.substring("text", F.col("p") + 101, F.lit(100)))
+    other = F.concat(*(F.md5(F.concat(F.lit(c), k.cast("string"))) for c in "mnopqrs"))
+    rows = table(spark, d, "customer").select("c_custkey", text.alias("text"), at.alias("p"))
+    rows = rows.withColumn("quote", F.when(k % 4 < 2, changed).when(k % 4 == 2, own).otherwise(F.substring(other, 1, 200)))
+    found = align.align(rows.select("c_custkey", "text", "quote"))
+    return found.select("c_custkey", F.explode("mentions").alias("m")).select("c_custkey", "m.*")
 
 
 # --- concepts and relations
@@ -320,11 +431,8 @@ def mention_concepts(spark, d):
 @query(f"with {TL}, {MENTIONS}, c as (select patient_id, doc_id, kind, concept_text, cast(count(*) as int) n from mn group by 1, 2, 3, 4) select t.patient_id, t.doc_id, t.tlink_id, t.relation category, m.n med_mentions, w.n time_mentions from tl t left join c m on m.patient_id = t.patient_id and m.doc_id = t.doc_id and m.kind = 'MED' and m.concept_text = t.med_text left join c w on w.patient_id = t.patient_id and w.doc_id = t.doc_id and w.kind = 'TIME' and w.concept_text = 'on ' || t.time_normal")
 def relation_lookup(spark, d):
     e = links(spark, d).select("patient_id", "doc_id", "tlink_id", "relation", F.col("med_text").alias("sact"), F.concat(F.lit("on "), F.col("time_normal")).alias("time"))
-    c = relations.concepts(e, event_mentions(spark, d)).select("patient_id", "doc_id", "kind", "concept_text", F.size("mentions").alias("n"))
-    of = lambda kind, text, n: c.where(F.col("kind") == kind).select("patient_id", "doc_id", F.col("concept_text").alias(text), F.col("n").alias(n))
-    edges = relations.relations(e)
-    joined = edges.join(of("MED", "med_text", "med_mentions"), ["patient_id", "doc_id", "med_text"], "left").join(of("TIME", "time_text", "time_mentions"), ["patient_id", "doc_id", "time_text"], "left")
-    return joined.select("patient_id", "doc_id", "tlink_id", "category", "med_mentions", "time_mentions")
+    found = relations.with_mentions(relations.relations(e), relations.concepts(e, event_mentions(spark, d)))
+    return found.select("patient_id", "doc_id", "tlink_id", "category", F.size("med_mentions").alias("med_mentions"), F.size("time_mentions").alias("time_mentions"))
 
 
 # --- times
@@ -363,11 +471,12 @@ def time_norm_duration(spark, d):
     return found.withColumn("f", iso_fn.duration_fields(F.col("iso"))).select("o_orderkey", "text", "iso", F.col("f.text").alias("time_normal"), F.col("f.number_value").alias("number_value"))
 
 
-@query(f"""with {ISOS} select o_orderkey, case k when 0 then strftime(o, '%Y') when 1 then strftime(o, '%Y-%m') when 3 then strftime(make_date(cast(year(o) as bigint), 1, 1) + cast(7 * (o_orderkey % 52) as int), '%Y-%m-%d') else strftime(o, '%Y-%m-%d') end as text,
- cast(year(o) as int) year_value, cast(case k when 0 then 0 when 3 then month(make_date(cast(year(o) as bigint), 1, 1) + cast(7 * (o_orderkey % 52) as int)) else month(o) end as int) month_value,
- cast(case when k in (0, 1) then 0 when k = 3 then day(make_date(cast(year(o) as bigint), 1, 1) + cast(7 * (o_orderkey % 52) as int)) else day(o) end as int) day_value from iso where k < 5""")
+@query(f"""with {ISOS} select o_orderkey, case k when 0 then strftime(o, '%Y') when 1 then strftime(o, '%Y-%m') when 3 then strftime({_WEEK_DAY}, '%Y-%m-%d') when 5 then '-2147483648' when 6 then '0' else strftime(o, '%Y-%m-%d') end as text,
+ cast(case k when 5 then -2147483648 when 6 then 0 else year(o) end as int) year_value, cast(case when k in (0, 5, 6) then 0 when k = 3 then month({_WEEK_DAY}) else month(o) end as int) month_value,
+ cast(case when k in (0, 1, 5, 6) then 0 when k = 3 then day({_WEEK_DAY}) else day(o) end as int) day_value from iso""")
 def iso_to_date_parts(spark, d):
-    found = _isos(spark, d).where("o_orderkey % 7 < 5").select("o_orderkey", iso_fn.date_fields(F.col("iso")).alias("f"))
+    """A period's text is no year, so its value is the sentinel; nothing has no fields."""
+    found = _isos(spark, d).select("o_orderkey", iso_fn.date_fields(F.col("iso")).alias("f"))
     return found.select("o_orderkey", "f.text", "f.year_value", "f.month_value", "f.day_value")
 
 
@@ -377,9 +486,9 @@ def iso_week_date(spark, d):
     return table(spark, d, "orders").select("o_orderkey", F.date_format(iso_fn.week_date(F.year("o_orderdate"), week), "yyyy-MM-dd").alias("first_day"))
 
 
-@query(f"""with {ISOS} select o_orderkey, case when k = 4 then strftime(o, '%H:%M') else '00:00' end as text, cast(case when k = 4 then hour(o) else 0 end as int) hour_value, cast(case when k = 4 then minute(o) else 0 end as int) minute_value, cast(case when k = 4 then second(o) else 0 end as int) second_value from iso where k < 5""")
+@query(f"""with {ISOS} select o_orderkey, case when k = 4 then strftime(o, '%H:%M') else '00:00' end as text, cast(case when k = 4 then hour(o) else 0 end as int) hour_value, cast(case when k = 4 then minute(o) else 0 end as int) minute_value, cast(case when k = 4 then second(o) else 0 end as int) second_value from iso""")
 def iso_time_parts(spark, d):
-    found = _isos(spark, d).where("o_orderkey % 7 < 5").select("o_orderkey", iso_fn.time_fields(F.col("iso")).alias("f"))
+    found = _isos(spark, d).select("o_orderkey", iso_fn.time_fields(F.col("iso")).alias("f"))
     return found.select("o_orderkey", "f.text", "f.hour_value", "f.minute_value", "f.second_value")
 
 
@@ -396,15 +505,49 @@ def present_ref(spark, d):
     return table(spark, d, "orders").select("o_orderkey", iso_fn.date_iso(iso).alias("date_iso"), iso_fn.normal_text(iso, o).alias("time_normal"), iso_fn.timeline_text(iso, o).alias("timeline_text"))
 
 
-@query(f"with {TL} select distinct patient_id, doc_id, tlink_id, relation category, 'INSTANT' time_type, time_normal || ' 00:00' time_normal, time_normal iso, time_normal timex, cast(b as varchar) || ',' || cast(e as varchar) timex_span from tl join (select distinct patient_id p, doc_id q, time_normal t, cast(tlink_id % 40 + 60 as int) b, cast(tlink_id % 40 + 70 as int) e from tl) on p = patient_id and q = doc_id and t = time_normal")
+_CLASSES = f"""{TL}, cl as (select distinct patient_id p, doc_id q, time_normal t, cast(tlink_id % 40 + 60 as int) b, cast(tlink_id % 40 + 70 as int) e,
+ case cast(substr(time_normal, 9, 2) as int) % 4 when 0 then (cast(substr(time_normal, 9, 2) as int) + 1) || ' months' when 1 then 'in due course' else time_normal end timex from tl),
+ cn as (select *, cast(substr(t, 9, 2) as int) % 4 k from cl)"""
+_OF_CLASS = """case k when 0 then 'DURATION' when 1 then 'FAILED_NORMALIZATION' else 'INSTANT' end time_type,
+ case k when 0 then replace(timex, ' months', ' Month') when 1 then '' else timex || ' 00:00' end time_normal, case k when 0 then 'P' || replace(timex, ' months', 'M') when 1 then '' else timex end iso"""
+
+
+def _classed_times(spark: SparkSession, d: str) -> DataFrame:
+    """Mentions of times, some periods and some without normal form, normalized."""
+    day = F.substring("covered_text", 9, 2).cast("int")
+    text = F.when(day % 4 == 0, F.concat((day + 1).cast("string"), F.lit(" months"))).when(day % 4 == 1, "in due course").otherwise(F.col("covered_text"))
+    found = event_mentions(spark, d).where("kind = 'TIME'").withColumn("covered_text", text)
+    meta = links(spark, d).select("patient_id", "doc_id").distinct().withColumns({"doc_ts": F.lit("2024-02-01 00:00:00").cast("timestamp"), "doc_date": F.lit("2024-02-01").cast("date")})
+    return relations.normalize_mentions(found, meta)
+
+
+@query(f"with {_CLASSES} select distinct patient_id, doc_id, tlink_id, relation category, {_OF_CLASS.replace('time_normal,', 'time_normal, ')}, timex, cast(b as varchar) || ',' || cast(e as varchar) timex_span from tl join cn on p = patient_id and q = doc_id and t = tl.time_normal")
 def time_normals(spark, d):
     e = links(spark, d).select("patient_id", "doc_id", "tlink_id", "relation", F.col("med_text").alias("sact"), F.concat(F.lit("on "), F.col("time_normal")).alias("time"))
-    meta = e.select("patient_id", "doc_id").distinct().withColumns({"doc_ts": F.lit("2024-02-01 00:00:00").cast("timestamp"), "doc_date": F.lit("2024-02-01").cast("date")})
-    times = relations.normalize_mentions(event_mentions(spark, d), meta)
-    found = relations.time_normals(relations.relations(e), times)
+    found = relations.time_normals(relations.relations(e), _classed_times(spark, d))
     return found.select("patient_id", "doc_id", "tlink_id", "category", "time_type", "time_normal", "iso", "timex", "timex_span")
 
 
+@query(f"""with {_CLASSES} select p patient_id, q doc_id, timex, b "begin", e "end", {_OF_CLASS}, '00:00' time_text, cast(0 as int) hour_value, case when k > 1 then cast(substr(t, 1, 4) as int) end year_value,
+ case when k > 1 then cast(substr(t, 6, 2) as int) end month_value, case when k > 1 then cast(substr(t, 9, 2) as int) end day_value,
+ case when k = 0 then cast(replace(timex, ' months', '') as int) end number_value, case when k = 0 then 'Month' end unit from cn""")
+def time_structs(spark, d):
+    """Mentions of times with the structs that fit their class: date for instants, duration for periods, time of day."""
+    return _classed_times(spark, d).select(
+        "patient_id", "doc_id", F.col("covered_text").alias("timex"), "begin", "end", F.col("time_class").alias("time_type"), "time_normal", "iso",
+        F.col("time.text").alias("time_text"), "time.hour_value", "date.year_value", "date.month_value", "date.day_value", "duration.number_value", "duration.unit",
+    )
+
+
+@query("""select o_orderkey, cast(o_orderkey % 100 as int) "begin", cast(o_orderkey % 100 + 9 as int) "end", 'P' || case o_orderkey % 3 when 2 then 'T' else '' end || (o_orderkey % 12 + 1) || case o_orderkey % 3 when 0 then 'D' when 1 then 'W' else 'M' end as text,
+ cast(o_orderkey % 12 + 1 as int) number_value, case o_orderkey % 3 when 0 then 'Day' when 1 then 'Week' else 'Minute' end unit from orders""")
+def frequency_modifiers(spark, d):
+    k = F.col("o_orderkey")
+    iso = F.concat(F.when(k % 3 == 2, " PT").otherwise(" P"), (k % 12 + 1).cast("string"), F.when(k % 3 == 0, "D ").when(k % 3 == 1, "W ").otherwise("M "))
+    found = table(spark, d, "orders").select("o_orderkey", iso_fn.modifier((k % 100).cast("int"), (k % 100 + 9).cast("int"), iso_fn.frequency_fields(iso)).alias("m"))
+    return found.select("o_orderkey", "m.begin", "m.end", "m.form.text", "m.form.number_value", "m.form.unit")
+
+
 # --- tables
 
 
@@ -448,13 +591,29 @@ for _form, _sep in (("bsv", "'|'"), ("csv", "','"), ("tab", "chr(9)")):
 ORACLE["render_html"] = f"with {NORMALS} select tlink_id, '  <tr>' || chr(10) || " + " || ".join(f"'    <td>' || replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</td>' || chr(10)" for c in _CELLS) + " || '  </tr>' || chr(10) as line from nm"
 
 
-@query()
+_CLASS_ORDER = "case time_type when 'INSTANT' then 0 when 'FAILED_NORMALIZATION' then 1 else 2 end"
+_HEAD = lambda names: "|".join(f" {n} " for n in names)
+
+
+@query(f"""with {NORMALS} select patient_id, doc_id, '{_HEAD(TABLE_HEADER)}' || chr(10) || string_agg({" || '|' || ".join(_CELLS)}, chr(10) order by med_text, category, tlink_id, {_CLASS_ORDER}, time_normal, timex_span) || chr(10) || chr(10) as content from nm group by 1, 2""")
 def document_tables(spark, d):
-    """Whole tables of each document as they are written to files."""
+    """Whole tables of each document as they are written to files, rows in their order."""
     rows = tables.table_rows(normals(spark, d))
     return render.document_tables(rows, "bsv", TABLE_HEADER, list(tables.ROW7), ["patient_id", "doc_id"])
 
 
+_SPAN_CELLS = ("med_text", "covered", "span", "category", "time_normal", "timex", "timex_span", "time_type", "iso")
+
+
+@query(f"""with {NORMALS}, {MENTIONS}, sp as (select nm.*, covered, cast(b as varchar) || ',' || cast(e as varchar) span, b, e from nm join mn on mn.patient_id = nm.patient_id and mn.doc_id = nm.doc_id and kind = 'MED' and concept_text = med_text),
+ rk as (select *, row_number() over (partition by patient_id, doc_id, {", ".join(_SPAN_CELLS)} order by med_text, category, tlink_id, b, e, {_CLASS_ORDER}, time_normal, timex_span) rn from sp)
+ select patient_id, doc_id, '{_HEAD(SPAN_HEADER)}' || chr(10) || string_agg({" || '|' || ".join(_SPAN_CELLS)}, chr(10) order by med_text, category, tlink_id, b, e, {_CLASS_ORDER}, time_normal, timex_span) || chr(10) || chr(10) as content from rk where rn = 1 group by 1, 2""")
+def document_span_tables(spark, d):
+    """Whole span tables of each document, each row once, where it first stands."""
+    rows = tables.span_rows(normals(spark, d), event_mentions(spark, d))
+    return render.document_tables(rows, "bsv", SPAN_HEADER, list(tables.ROW9), ["patient_id", "doc_id"])
+
+
 # --- timelines
 
 DEDUP = f"""{TL}, dd as (select patient_id, med_text, relation, time_normal, doc_id, tlink_id from (select *, row_number() over (partition by patient_id, lower(med_text), lower(relation), lower(time_normal) order by doc_id, tlink_id) rn from tl) where rn = 1)"""
@@ -502,12 +661,53 @@ def timeline_instants(spark, d):
     return timeline.instants(normals(spark, d))
 
 
+def _stream(spark: SparkSession, d: str) -> tuple[DataFrame, str]:
+    root = _folder(spark, "links")
+    links(spark, d).write.mode("overwrite").parquet(f"{root}/in")
+    return spark.readStream.schema(timelines.LINKS).option("maxFilesPerTrigger", 4).parquet(f"{root}/in"), root
+
+
 @query(f"with {RESOLVED} select * from rs")
 def stream_equals_batch(spark, d):
     """Links written as files, read as a stream, stored by micro-batch, resolved from the store."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.gettempdir()
-    root = f"{base.rstrip('/')}/links-{uuid.uuid4().hex}"
-    links(spark, d).write.mode("overwrite").parquet(f"{root}/in")
-    stream = spark.readStream.schema(timelines.LINKS).option("maxFilesPerTrigger", 4).parquet(f"{root}/in")
+    stream, root = _stream(spark, d)
     timelines.start(stream, f"{root}/store", f"{root}/state").awaitTermination()
     return timelines.timelines(spark, f"{root}/store")
+
+
+@query(f"with {RESOLVED} select * from rs")
+def stream_refreshed_timelines(spark, d):
+    """The same, each micro-batch bringing the timelines of its own patients up to date."""
+    stream, root = _stream(spark, d)
+    timelines.start(stream, f"{root}/store", f"{root}/state", keep_timelines=True).awaitTermination()
+    return timelines.current(spark, f"{root}/store")
+
+
+@query("""with k as (select event_id, event_id % 10 k from events), r as (select k, count(*) n from k group by 1)
+ select 'documents' as name, sum(case when k < 9 then n else 0 end)::bigint n from r union all select 'malformed', sum(case when k = 9 then n else 0 end)::bigint from r
+ union all select 'outputs in quarantine', sum(case when k = 0 then n else 0 end)::bigint from r union all select 'texts without mention', sum(case when k = 1 then n else 0 end)::bigint from r
+ union all select 'timeline rows', sum(case when k between 1 and 8 then n else 0 end)::bigint from r""")
+def stream_of_messages(spark, d):
+    """Messages, some malformed and the last a stop mark, through the whole plan into a store."""
+    n = F.col("event_id")
+    text = F.concat(F.lit("Drug given on "), F.date_format("ts", "MMMM d, yyyy"), F.lit("."))
+    note = F.to_json(F.struct(F.lit("note").alias("kind"), F.lit("c").alias("corpus"), F.concat(F.lit("p"), n.cast("string")).alias("patient_id"), F.lit("d").alias("doc_id"), text.alias("text")))
+    events = table(spark, d, "events")
+    root = _folder(spark, "messages")
+    lines = events.select(F.when(n % 10 == 9, F.concat(F.lit("{no message "), n.cast("string"))).otherwise(note).alias("value"))
+    lines.union(spark.createDataFrame([('{"kind": "STOP"}',)], "value string")).write.text(f"{root}/in")
+
+    def told(parts: DataFrame) -> DataFrame:
+        """Outputs: one in ten can't be read, one in ten names a drug that isn't in the note."""
+        k = F.regexp_extract("patient_id", "([0-9]+)$", 1).cast("long") % 10
+        time = F.regexp_extract("text", "on (.*)[.]$", 1)
+        found = F.to_json(F.array(F.struct(F.when(k == 1, "Medicine").otherwise("Drug").alias("SACT"), F.lit("CONTAINS-1").alias("relation"), time.alias("time"))))
+        return parts.select("patient_id", "doc_id", "section_id", F.when(k == 0, "sorry").otherwise(found).alias("llm_out"))
+
+    stream = stream_notes.stream_messages(spark, f"{root}/in", 4)
+    stream_notes.start(stream, told, f"{root}/store", f"{root}/state", Config(matching=None)).awaitTermination()
+    counted = spark.read.parquet(f"{root}/store/counters").groupBy("name").agg(F.sum("n").alias("n"))
+    shown = counted.where(F.col("name").isin("documents", "outputs in quarantine", "texts without mention"))
+    malformed = spark.read.text(f"{root}/store/malformed").agg(F.count("*").alias("n")).select(F.lit("malformed").alias("name"), "n")
+    rows = timelines.current(spark, f"{root}/store").agg(F.count("*").alias("n")).select(F.lit("timeline rows").alias("name"), "n")
+    return shown.unionByName(malformed).unionByName(rows)

@@ -29,9 +29,8 @@ def test_query_equals_sql(spark, sf_dir, duck, name):
     assert rows(QUERIES[name](spark, sf_dir).toPandas()) == rows(duck.sql(ORACLE[name]).df())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
-def test_query_runs(spark, sf_dir, name):
-    assert QUERIES[name](spark, sf_dir).count() > 0
+def test_every_query_has_a_twin():
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):

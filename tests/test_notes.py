@@ -2,14 +2,20 @@
 
 import json
 import os
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tempolith.operators import align, extract, header, parse, sections, tables, timeline
-from tempolith.plans.notes_to_timeline import Config, plan
+from tempolith.__main__ import main
+from tempolith.functions.literals import read_literal
+from tempolith.plans import script
+from tempolith.plans.notes_to_timeline import Config, counters, plan
 from tempolith.schemas import RECORDED, SPAN_HEADER
 from tempolith.sinks import files, render
 from tempolith.sources import notes as sources
+from tempolith.streaming import notes as stream_notes
 from tempolith.streaming import timelines
 
 NOTE = """Report ID.....n1
@@ -182,3 +188,208 @@ def test_quotes_are_literal(spark):
     pairs = spark.createDataFrame([(1, "a.b a+b\\E a.b", "a.b"), (2, "x\\Ey", "\\E"), (3, "abc", ""), (4, None, "a")], "id int, text string, quote string")
     got = [tuple(r) for r in align.exact_spans(pairs, ["id"]).orderBy("id", "n").collect()]
     assert got == [(1, 0, 0, 3), (1, 1, 10, 13), (2, 0, 1, 3)]
+
+
+def common_blocks(a, b):
+    """Matching blocks by their definition: the longest common stretch, the earliest of such, then what is left and right of it."""
+    best = (0, 0, 0)
+    for i in range(len(a)):
+        for j in range(len(b)):
+            k = 0
+            while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k]:
+                k += 1
+            if k > best[2]:
+                best = (i, j, k)
+    i, j, k = best
+    if not k:
+        return []
+    return [*common_blocks(a[:i], b[:j]), best, *((x + i + k, y + j + k, z) for x, y, z in common_blocks(a[i + k :], b[j + k :]))]
+
+
+def brute_nearest(text, quote, how):
+    rows = []
+    for i in range(0, max(1, len(text) - len(quote) + 1), max(how.min_step, len(quote) // how.step_fraction)):
+        window = text[i : i + len(quote) + how.padding]
+        blocks = common_blocks(quote, window)
+        score = 2 * sum(z for *_, z in blocks) / (len(quote) + len(window))
+        if score >= how.threshold:
+            a, b, _ = max(blocks, key=lambda x: x[2])
+            rows.append((-score, i, max(0, i + b - a)))
+    return (min(rows)[2], -min(rows)[0]) if rows else None
+
+
+def test_nearest_window_equals_brute_force():
+    rng, found = random.Random(1), 0
+    for _ in range(800):
+        letters = rng.choice(["ab ", "abcdefgh ", "abé𝄞 "])
+        how = align.Matching(threshold=rng.choice([0.85, 0.6, 0.5, 0.75]), min_step=rng.choice([1, 2, 8]), padding=rng.choice([0, 4, 10]))
+        quote = "".join(rng.choice(letters) for _ in range(rng.randint(1, 22)))
+        near = list(quote)
+        for _ in range(rng.randint(0, 3)):
+            near[rng.randrange(len(near))] = rng.choice(letters + "x")
+        around = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(0, 25)))  # noqa: E731, B023
+        text = around() + "".join(near) + around()
+        want = brute_nearest(text, quote, how)
+        assert align.nearest(text, quote, how) == want, (text, quote, how)
+        found += want is not None
+    assert found > 300
+
+
+def test_python_lists_are_read_as_python_reads_them(spark):
+    """Lists that the JVM repairs and lists that go to Python give what a literal gives."""
+    rng = random.Random(2)
+    value = lambda: rng.choice(["'a'", '"b, ]"', "'it, }'", "None", "'None'", '"x None, ]"', "7", "1.5", "''", "'q\\'s'", '"\\u00b0"', "'\\x41'", "True", "(1, 2)", "'say \"hi\"'", "'a' 'b'"])
+    bodies = []
+    for _ in range(300):
+        items = ["{" + ", ".join(f"{rng.choice(chr(39) + chr(34))}{k}" + rng.choice("'\"") + f": {value()}" for k in rng.sample(["SACT", "relation", "time", "other"], rng.randint(0, 4))) + rng.choice(["", "", ","]) + "}" for _ in range(rng.randint(0, 3))]
+        bodies.append("[" + ", ".join(items) + rng.choice(["", ",", " , "]) + "]")
+    raw = spark.createDataFrame(list(enumerate(bodies)), "section_id int, llm_out string")
+    links, errors = parse.parse_outputs(raw)
+    got = {}
+    for r in links.orderBy("section_id", "pos").collect():
+        got.setdefault(r.section_id, []).append((r.sact, r.relation, r.time))
+    bad = {r.section_id for r in errors.collect()}
+    unknown = {"SACT": "Unknown_SACT", "relation": "Unknown_relation", "time": "Unknown_time"}
+    for i, body in enumerate(bodies):
+        want = read_literal(body)
+        if want is not None:
+            assert i not in bad and got.get(i, []) == [tuple(x[k] if x[k] is not None else u for k, u in unknown.items()) for x in want], body
+    assert sum(read_literal(b) is not None for b in bodies) > 60
+
+
+def test_long_outputs_are_repaired(spark):
+    body = "[" + ", ".join("{'SACT': 'drug %d', 'relation': None, 'time': '%s',}" % (i, "x" * 500) for i in range(3000)) + ",]"
+    links, errors = parse.parse_outputs(spark.createDataFrame([(0, body)], "section_id int, llm_out string"))
+    assert links.count() == 3000 and errors.isEmpty()
+
+
+def test_sentences_and_tokens_cover_the_text(spark):
+    texts = ["One. Two!  Three?", " lead. trail ", "", "no end", "...", "Dr. é𝄞 x\n\ny?z", "  "]
+    docs = spark.createDataFrame([("p", str(i), t) for i, t in enumerate(texts)], "patient_id string, doc_id string, text string")
+    for parts in (sections.sentences(docs), sections.tokens(docs)):
+        rows = parts.collect()
+        assert all(texts[int(r.doc_id)][r.begin : r.end] == r.text and r.text == r.text.strip() for r in rows)
+        for i, t in enumerate(texts):
+            assert "".join("".join(r.text.split()) for r in sorted((r for r in rows if r.doc_id == str(i)), key=lambda r: r.begin)) == "".join(t.split())
+
+
+def test_counters(run):
+    got = dict(map(tuple, counters(run).collect()))
+    assert got["documents"] == 4 and got["sections"] == 4 and got["triplets"] == 6 and got["outputs in quarantine"] == 1
+    assert got["texts without mention"] == 2 and got["timeline rows"] == 2  # aspirin, nowhere
+
+
+def test_models_and_their_limits(spark, corpus):
+    parts = sections.whole_sections(sources.read_notes(spark, corpus))
+    out = extract.by_model(parts, "P:", lambda: lambda asks, max_new_tokens: [a[:max_new_tokens] for a in asks], 2, max_new_tokens=4, limited=True)
+    assert {r.llm_out[:2] for r in out.collect()} == {"P:"} and all(len(r.llm_out) == 4 for r in out.collect())
+
+
+GOLDEN = """Report ID.....g1
+Principal Date................20240115 0930
+Record Type...................CLINIC NOTE
+
+HISTORY::
+Taxol was begun on January 2, 2024. taxol and Taxol again on January 2, 2024.
+Completed radiation yesterday; took aspirin for 6 months, or so.
+"""
+GOLDEN_LINKS = [("Taxol", "BEGINS-ON", "January 2, 2024"), ("radiation", "ENDS-ON", "yesterday"), ("aspirin", "CONTAINS-1", "6 months"), ("aspirin", "CONTAINS-1", "or so"), ("Taxol", "CONTAINS-1", "January 2, 2024")]
+#: begins of the mentions, counted by hand: Taxol 102 and 148, dates 121 and 163, radiation 190, yesterday 200, aspirin 216, 6 months 228, or so 238
+GOLDEN_SPANS = """ Medication Normal | Medication Text | Medication Span | Temporal Relation | Normalized Time | Time Text | Time Span | Time Type | TimeNorm ISO 
+Taxol|Taxol|{t1}|BEGINS-ON|2024-01-02 00:00|January 2, 2024|{d1}|INSTANT|2024-01-02
+Taxol|Taxol|{t1}|BEGINS-ON|2024-01-02 00:00|January 2, 2024|{d2}|INSTANT|2024-01-02
+Taxol|Taxol|{t2}|BEGINS-ON|2024-01-02 00:00|January 2, 2024|{d1}|INSTANT|2024-01-02
+Taxol|Taxol|{t2}|BEGINS-ON|2024-01-02 00:00|January 2, 2024|{d2}|INSTANT|2024-01-02
+Taxol|Taxol|{t1}|CONTAINS-1|2024-01-02 00:00|January 2, 2024|{d1}|INSTANT|2024-01-02
+Taxol|Taxol|{t1}|CONTAINS-1|2024-01-02 00:00|January 2, 2024|{d2}|INSTANT|2024-01-02
+Taxol|Taxol|{t2}|CONTAINS-1|2024-01-02 00:00|January 2, 2024|{d1}|INSTANT|2024-01-02
+Taxol|Taxol|{t2}|CONTAINS-1|2024-01-02 00:00|January 2, 2024|{d2}|INSTANT|2024-01-02
+aspirin|aspirin|{a}|CONTAINS-1|6 Month|6 months|{m}|DURATION|P6M
+aspirin|aspirin|{a}|CONTAINS-1||or so|{o}|FAILED_NORMALIZATION|
+radiation|radiation|{r}|ENDS-ON|2024-01-14 00:00|yesterday|{y}|INSTANT|2024-01-14
+
+"""
+
+
+def test_command_line_writes_whole_files(spark, tmp_path):
+    """Notes and recorded outputs to files, byte by byte, the run told by a file that loads another one."""
+    notes = tmp_path / "corpus"
+    (notes / "p1").mkdir(parents=True)
+    (notes / "p1" / "g1.txt").write_text(GOLDEN)
+    (tmp_path / "recorded.jsonl").write_text(json.dumps({"patient_id": "p1", "doc_id": "g1", "section_id": 0, "llm_out": output(GOLDEN_LINKS)}) + "\n")
+    (tmp_path / "base.json").write_text(json.dumps({"set": {"root": "nowhere"}, "notes": "${root}/corpus", "tables": "html"}))
+    (tmp_path / "run.json").write_text(json.dumps({"load": ["base.json"], "notes": "${root}/corpus", "recorded": "${root}/recorded.jsonl", "out": "${root}/out", "tables": "bsv,csv"}))
+    assert script.read(str(tmp_path / "base.json"))["notes"] == "nowhere/corpus"
+    main(["--script", str(tmp_path / "run.json"), "--set", f"root={tmp_path}"], spark)
+    at = lambda text, nth=1: f"{(b := [i for i in range(len(GOLDEN)) if GOLDEN.startswith(text, i)][nth - 1])},{b + len(text)}"
+    want = GOLDEN_SPANS.format(t1=at("Taxol"), t2=at("Taxol", 2), d1=at("January 2, 2024"), d2=at("January 2, 2024", 2), a=at("aspirin"), m=at("6 months"), o=at("or so"), r=at("radiation"), y=at("yesterday"))
+    assert (tmp_path / "out" / "p1" / "g1_medTimeSpans.bsv").read_text() == want
+    assert (tmp_path / "out" / "corpus_medTlinks.json").read_text() == '{\n  "p1": [\n    ["Taxol", "BEGINS-ON", "2024-01-02"],\n    ["radiation", "ENDS-ON", "2024-01-14"]\n  ]\n}\n'
+    assert sorted(os.listdir(tmp_path / "out" / "p1")) == sorted(f"g1_{k}.{f}" for k in ("medTimes", "medTimeSpans", "medTimeMentions") for f in ("bsv", "csv"))
+
+
+@pytest.mark.skipif("TEMPOLITH_SAMPLES" not in os.environ, reason="needs a folder of notes, recorded.jsonl and expected files")
+def test_sample_corpus(spark, tmp_path):
+    """Samples from elsewhere: ``notes``, ``recorded.jsonl`` and ``expected``, whose files must come out byte by byte."""
+    root = os.environ["TEMPOLITH_SAMPLES"]
+    main(["--notes", f"{root}/notes", "--recorded", f"{root}/recorded.jsonl", "--out", str(tmp_path), "--tables", "bsv,html"], spark)
+    seen = 0
+    for folder, _, names in os.walk(f"{root}/expected"):
+        for name in names:
+            path = os.path.relpath(os.path.join(folder, name), f"{root}/expected")
+            with open(os.path.join(folder, name), encoding="utf-8") as want, open(os.path.join(tmp_path, path), encoding="utf-8") as got:
+                assert got.read() == want.read(), path
+            seen += 1
+    assert seen
+
+
+def test_stream_of_notes_equals_batch(spark, corpus, run, tmp_path):
+    """Files of notes in small batches; a batch that is repeated leaves everything as it was."""
+    rows = run.sections.select("patient_id", "doc_id").join(spark.createDataFrame([("p 1", "n1", output(LINKS)), ("p 1", "n2", output([("cisplatin", "ENDS-ON", "January 2, 2024")])), ("p2", "n1", "sorry"), ("p3", "n1", "[]")], "patient_id string, doc_id string, llm_out string"), ["patient_id", "doc_id"])
+    recorded = rows.withColumn("section_id", F.lit(0))
+    take = lambda s: extract.recorded(s, recorded)
+    store, state = str(tmp_path / "store"), str(tmp_path / "state")
+    stream = lambda: sources.stream_notes(spark, corpus, files_per_batch=1)
+    stream_notes.start(stream(), take, store, state).awaitTermination()
+    want = {tuple(r) for r in run.timeline.collect()}
+    assert {tuple(r) for r in timelines.current(spark, store).collect()} == want == {tuple(r) for r in timelines.timelines(spark, store).collect()}
+    batches = sorted(int(x) for x in os.listdir(os.path.join(state, "commits")) if x.isdigit())
+    assert len(batches) == 4
+    # the last batch was written, but not yet marked as done: it is run again
+    os.remove(os.path.join(state, "commits", str(batches[-1])))
+    os.remove(os.path.join(state, "commits", f".{batches[-1]}.crc"))
+    stream_notes.start(stream(), take, store, state).awaitTermination()
+    assert {tuple(r) for r in timelines.current(spark, store).collect()} == want
+    assert timelines.stored(spark, store).count() == timeline.instants(run.normals).count()
+    assert [tuple(r) for r in spark.read.parquet(f"{store}/errors").select("patient_id", "llm_out").collect()] == [("p2", "sorry")]
+    counted = spark.read.parquet(f"{store}/counters").groupBy("name").sum("n").collect()
+    assert dict(map(tuple, counted))["documents"] == 4
+
+
+def test_messages(spark):
+    rows = [("note", "p", "d", "text", None, "l1"), ("STOP", None, None, None, None, "l2"), (None, None, None, None, "{x", "l3"), ("note", "p", None, "text", None, "l4")]
+    messages = spark.createDataFrame(rows, "kind string, patient_id string, doc_id string, text string, malformed string, line string").selectExpr("*", "'c' as corpus", "cast(null as timestamp) as mtime")
+    notes, malformed = stream_notes.route(messages)
+    assert [r.text for r in notes.collect()] == ["text"] and {r.line for r in malformed.collect()} == {"l3", "l4"}
+
+
+def test_timelines_of_changed_patients_only(spark, tmp_path):
+    store = str(tmp_path)
+    row = lambda p, n, r, t="2024": (p, "d", n, "med", r, t)
+    for batch, rows in enumerate([[row("a", 0, "BEGINS-ON"), row("b", 0, "CONTAINS-1")], [row("a", 1, "ENDS-ON"), row("c", 0, "BEGINS-ON")], [row("b", 1, "BEGINS-ON")]]):
+        links = spark.createDataFrame(rows, timelines.LINKS)
+        timelines.add(links, store, batch)
+        timelines.refresh(links, store, batch)
+    want = {("a", "med", "contains-1", "2024"), ("b", "med", "BEGINS-ON", "2024"), ("c", "med", "BEGINS-ON", "2024")}
+    assert {tuple(r) for r in timelines.current(spark, store).collect()} == want == {tuple(r) for r in timelines.timelines(spark, store).collect()}
+    written = spark.read.parquet(f"{store}/timelines").groupBy("batch").agg(F.collect_set("patient_id").alias("p")).collect()
+    assert {r.batch: set(r.p) for r in written} == {0: {"a", "b"}, 1: {"a", "c"}, 2: {"b"}}
+
+
+def test_header_choices(spark):
+    """Strict dates: what is no date gives none, and the file's time or the given day takes its place."""
+    notes = spark.createDataFrame([("p", "d1", "Principal Date....20241301"), ("p", "d2", "Principal Date....202401021"), ("p", "d3", "Principal Date....20240102 2460")], "patient_id string, doc_id string, text string").withColumn("mtime", F.lit(None).cast("timestamp"))
+    meta = header.doc_meta(sections.whole_sections(notes), "Clinic")
+    assert all(r.doc_ts is None and r.institution == "Clinic" for r in meta.collect())
+    anchored = header.anchor(meta, notes, F.lit("2024-05-06").cast("date"))
+    assert {str(r.doc_date) for r in anchored.collect()} == {"2024-05-06"}
