@@ -16,8 +16,8 @@
 4. *Leftovers.*  In a bucket that still holds several classes, members outside the largest
    one may resemble a member that is not the pivot.  They are joined to the members of such
    buckets by an exact prefix filter: with shingles ordered from the rarest on, two similar
-   texts share one among the first fifth of each one's weight, and the places where it stands
-   there bound their similarity.  A version of a text that differs too much starts with shingles of its
+   texts share one among the first fifth of each one's weight, in the smaller of two sets
+   among the first ninth, and the places where it stands there bound their similarity.  A version of a text that differs too much starts with shingles of its
    own and so meets nobody.  What passes is verified as well, so no link is lost.
 """
 
@@ -201,10 +201,18 @@ def _leftovers(buckets: DataFrame, part: DataFrame, texts: DataFrame, shingle: i
     first = ranked.where(F.col("left") >= similarity * F.col("n") - 1e-6)
     first = materialise(first.join(open_, "id"), "prefixes")
     release(tokens, often, open_)
-    x, y = first.where("outside").alias("x"), first.alias("y")
-    rest = F.least(F.col("x.left"), F.col("y.left"))
-    may = F.lit(True) if weighted else rest >= similarity / (1 + similarity) * (F.col("x.n") + F.col("y.n")) - 1e-6
-    met = x.join(y, (F.col("x.h") == F.col("y.h")) & may & (F.col("x.component") != F.col("y.component")))
+    x, y = F.col("x.n"), F.col("y.n")
+    fits = (F.col("x.h") == F.col("y.h")) & (F.col("x.component") != F.col("y.component"))
+    if weighted:
+        small = first.where("outside")
+    else:
+        # of sets, at least this many of both are common: the shared shingle must stand early enough in the
+        # smaller text for a partner of its own size, so a shingle that is early in none meets nobody
+        common = similarity / (1 + similarity)
+        small = first.where(F.col("left") >= 2 * common * F.col("n") - 1e-6)
+        fits &= (x <= y) & (F.col("x.outside") | F.col("y.outside"))
+        fits &= F.least(F.col("x.left"), F.col("y.left")) >= common * (x + y) - 1e-6
+    met = small.alias("x").join(first.alias("y"), fits)
     return met.select(F.col("x.id").alias("id"), F.col("y.id").alias("pivot"))
 
 

@@ -15,6 +15,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import unused
+
 ROUNDS = 8
 #: steps of a walk; the domains fill at least 0.6 of their product, so it ends long before
 WALK = 96
@@ -267,13 +269,13 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | Non
     named ``count`` is replaced, all others stay.  Where two kinds fit at one place, the
     first of PATTERNS is meant.
     """
-    body = F.col(text)
-    found = docs.withColumn("__found", F.when(body.rlike("[0-9@]"), F.regexp_extract_all(body, F.lit(_ANY), F.lit(0))))
-    found = found.withColumn("__new", F.when(F.size("__found") > 0, F.transform("__found", lambda m: pseudonym(m, key))))
+    body, there, new = F.col(text), unused("__found", docs.columns), unused("__new", docs.columns)
+    found = docs.withColumn(there, F.when(body.rlike("[0-9@]"), F.regexp_extract_all(body, F.lit(_ANY), F.lit(0))))
+    found = found.withColumn(new, F.when(F.size(there) > 0, F.transform(there, lambda m: pseudonym(m, key))))
     gaps = F.split(body, _ANY, -1)
-    whole = F.array_join(F.zip_with(gaps, "__new", lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    changed = F.size(F.filter(F.zip_with("__found", "__new", lambda a, b: a != b), lambda x: x))
-    out = found.withColumn(text, F.when(F.col("__new").isNotNull(), whole).otherwise(body))
+    whole = F.array_join(F.zip_with(gaps, new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    changed = F.size(F.filter(F.zip_with(there, new, lambda a, b: a != b), lambda x: x))
+    out = found.withColumn(text, F.when(F.col(new).isNotNull(), whole).otherwise(body))
     if count is not None:
-        out = out.withColumn(count, F.when(F.col("__new").isNotNull(), changed).otherwise(0).cast("long"))
-    return out.drop("__found", "__new")
+        out = out.withColumn(count, F.when(F.col(new).isNotNull(), changed).otherwise(0).cast("long"))
+    return out.drop(there, new)

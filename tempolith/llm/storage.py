@@ -79,6 +79,14 @@ def quoted(names: Iterable[str]) -> list[str]:
     return ["`" + c.replace("`", "``") + "`" for c in names]
 
 
+def unused(name: str, taken: Iterable[str]) -> str:
+    """``name``, or a longer one that none of ``taken`` equals, letter case apart."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name
+
+
 def mapped(docs: DataFrame, keep: Iterable[str], value: Column, run: Callable, added: dict[str, str]) -> DataFrame:
     """``keep`` columns of any name, and columns ``added`` (name: type) that ``run`` makes of ``value``.
 

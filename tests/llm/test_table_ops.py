@@ -506,12 +506,15 @@ def test_pipeline_of_odd_rows(spark, sf_dir):
     body = "the patient was seen by the doctor in the morning and the results of the tests are in the file"
     frame = odd_rows(spark).union(spark.createDataFrame([(90 + i % 3, f"{body} {i % 3} mail me@x.com", "row", 3, "own") for i in range(9)], odd_rows(spark).schema))
     frame = frame.withColumn("lang", F.lit("en")).withColumn("a.b", F.concat(F.lit("dotted "), "doc_id"))
+    for name in ("__key", "__score", "__lang_pred", "__found", "__new", "kept0", "value"):
+        frame = frame.withColumn(name, F.lit(name))
     for name, stage in p.STAGES:
         out = stage(spark, frame, sf_dir)
         rows = out.collect()
         if name != "sentencepiece":
             assert out.columns == frame.columns
             # columns of the caller keep their values
+            assert all(r[c] == c for r in rows for c in frame.columns[-7:])
             assert all(r["n_private"] in ("own", "kind") and r["a.b"] == (None if r.doc_id is None else f"dotted {r.doc_id}") for r in rows)
         if name == "near_duplicates":
             named = [(r.doc_id, r.text) for r in rows if r.doc_id is not None]
