@@ -20,8 +20,9 @@ MIN_SCORE = 0.2
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told by the profiles learned from these documents."""
     learned = langid.learn(docs.where(langid.fold(F.col("doc_id")) != 0))
-    told = langid.predict(docs, learned, keep=tuple(docs.columns), names=("__lang_pred", "__score"))
-    return told.where((F.col("__lang_pred") != langid.UNDETERMINED) & (F.col("__score") >= MIN_SCORE)).select(storage.quoted(docs.columns))
+    told, score = (storage.unused(name, docs.columns) for name in ("__lang_pred", "__score"))
+    judged = langid.predict(docs, learned, keep=tuple(docs.columns), names=(told, score))
+    return judged.where((F.col(told) != langid.UNDETERMINED) & (F.col(score) >= MIN_SCORE)).select(storage.quoted(docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,14 +31,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     gone = storage.materialise(classes.where("doc_id <> class_id").select("doc_id").distinct(), "gone")
     columns = storage.quoted(docs.columns)
     kept = docs.join(gone, "doc_id", "left_anti").select(columns)
-    key = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    often = docs.where("doc_id is not null").groupBy("doc_id", key.alias("__key")).agg(F.count("*").alias("n")).where("n > 1")
-    often = storage.materialise(often.select("doc_id", "__key"), "repeated")
+    key, name = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256), storage.unused("__key", docs.columns)
+    often = docs.where("doc_id is not null").groupBy("doc_id", key.alias(name)).agg(F.count("*").alias("n")).where("n > 1")
+    often = storage.materialise(often.select("doc_id", name), "repeated")
     if often.isEmpty():
         return kept
-    keyed = kept.withColumn("__key", key)
-    once = keyed.join(often, ["doc_id", "__key"], "left_semi").dropDuplicates(["doc_id", "__key"])
-    return keyed.join(often, ["doc_id", "__key"], "left_anti").select(columns).union(once.select(columns))
+    keyed = kept.withColumn(name, key)
+    once = keyed.join(often, ["doc_id", name], "left_semi").dropDuplicates(["doc_id", name])
+    return keyed.join(often, ["doc_id", name], "left_anti").select(columns).union(once.select(columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
