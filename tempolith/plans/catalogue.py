@@ -182,6 +182,18 @@ def header_first_section(spark, d):
     return meta.select("patient_id", "doc_id", "institution", F.date_format("doc_ts", "yyyy-MM-dd HH:mm").alias("doc_time"), "doc_type")
 
 
+@query("""select cast(o_orderkey as varchar) doc_id, strftime(case o_orderkey % 3 when 0 then case when o_orderkey % 2 = 0 then date_trunc('minute', o_orderdate) else date_trunc('day', o_orderdate) + interval 12 hour end
+ when 1 then o_orderdate else timestamp '2024-05-06 00:00:00' end, '%Y-%m-%d %H:%M') doc_time from orders""")
+def header_anchor(spark, d):
+    """The header's time, else the file's, else that of a given day."""
+    k = F.col("o_orderkey")
+    text = F.when(k % 3 == 0, F.col("text")).otherwise("Report without a date")
+    notes = _headers(spark, d).join(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
+    notes = notes.select(F.lit("p").alias("patient_id"), k.cast("string").alias("doc_id"), text.alias("text"), F.when(k % 3 == 1, F.col("o_orderdate")).cast("timestamp").alias("mtime"))
+    meta = header.anchor(header.doc_meta(sections.whole_sections(notes)), notes, F.lit("2024-05-06").cast("date"))
+    return meta.select("doc_id", F.date_format("doc_ts", "yyyy-MM-dd HH:mm").alias("doc_time"))
+
+
 @query("select o_orderkey, strftime(o_orderdate, '%m%d%Y') || case when hour(o_orderdate) = 0 then '24' else strftime(o_orderdate, '%H') end || strftime(o_orderdate, '%M%S') source_date from orders")
 def header_cas_date_format(spark, d):
     return table(spark, d, "orders").select("o_orderkey", header.source_date(F.col("o_orderdate")).alias("source_date"))
@@ -260,6 +272,15 @@ def message_batches(spark, d):
     return sections.batches(parts, 4).groupBy("doc_id", "batch_id").agg(F.count("*").alias("n"))
 
 
+@query(f"with {LINES} select cast(doc_id as varchar) doc_id, cast(section_id as int) section_id, case when section_id % 3 = 0 then '[{{\"SACT\": \"' || doc_id || '\"}}]' else '[]' end llm_out from sec")
+def recorded_outputs(spark, d):
+    """Stored outputs of one section in three; the others have an empty list."""
+    notes = table(spark, d, "documents").select(F.col("source").alias("patient_id"), F.col("doc_id").cast("string").alias("doc_id"), "text")
+    parts = sections.line_sections(notes)
+    stored = parts.where("section_id % 3 = 0").select("patient_id", "doc_id", "section_id", F.concat(F.lit('[{"SACT": "'), "doc_id", F.lit('"}]')).alias("llm_out"))
+    return extract.recorded(parts, stored).select("doc_id", "section_id", "llm_out")
+
+
 # --- model output
 
 
@@ -505,6 +526,13 @@ def present_ref(spark, d):
     return table(spark, d, "orders").select("o_orderkey", iso_fn.date_iso(iso).alias("date_iso"), iso_fn.normal_text(iso, o).alias("time_normal"), iso_fn.timeline_text(iso, o).alias("timeline_text"))
 
 
+@query("""select o_orderkey, case o_orderkey % 4 when 0 then null when 1 then '' when 2 then 'in due course' else ' ' end as text, '' iso from orders""")
+def time_norm_failures(spark, d):
+    """Null, empty and unreadable expressions have an empty normal form."""
+    k = F.col("o_orderkey") % 4
+    return _normalized(spark, d, F.when(k == 1, "").when(k == 2, "in due course").when(k == 3, " "))
+
+
 _CLASSES = f"""{TL}, cl as (select distinct patient_id p, doc_id q, time_normal t, cast(tlink_id % 40 + 60 as int) b, cast(tlink_id % 40 + 70 as int) e,
  case cast(substr(time_normal, 9, 2) as int) % 4 when 0 then (cast(substr(time_normal, 9, 2) as int) + 1) || ' months' when 1 then 'in due course' else time_normal end timex from tl),
  cn as (select *, cast(substr(t, 9, 2) as int) % 4 k from cl)"""

@@ -64,6 +64,12 @@ def test_source(spark, corpus):
     assert rows["p 1", "n1"].text == NOTE and rows["p 1", "n1"].corpus == "corpus" and rows["p3", "n1"].text == "\n"
 
 
+def test_prompt_and_corpus_name(spark, tmp_path):
+    (tmp_path / "prompt.txt").write_text("Say é.\n", encoding="utf-8")
+    assert sources.read_prompt(str(tmp_path / "prompt.txt")) == "Say é.\n"
+    assert sources.corpus_name("/a/b/") == "b" and sources.corpus_name("") == "Corpus not set"
+
+
 def test_meta(run):
     meta = {(r.patient_id, r.doc_id): r for r in run.meta.collect()}
     assert str(meta["p 1", "n1"].doc_ts) == "2024-01-10 09:30:00" and meta["p 1", "n1"].doc_type == "CLINIC NOTE"
