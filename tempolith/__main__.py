@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import functools
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -44,6 +45,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         split=sections.titled_sections if args.sections else sections.whole_sections,
         matching=None if args.exact else align.Matching(threshold=args.threshold),
         meta=functools.partial(header.doc_meta, institution=args.institution),
+        keep=files.keeper(work := f"{args.out}/_work-{uuid.uuid4().hex}"),
     )
     if args.recorded:
         recorded = read_recorded(spark, args.recorded)
@@ -60,6 +62,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     files.write_corpus_json(timeline.patient_entries(run.timeline, run.patients), os.path.join(args.out, f"{corpus_name(args.notes)}_medTlinks.json"))
     for name, n in counters(run).collect():
         print(f"{n:>12,}  {name}")
+    files.remove(spark, work)
     if own:
         spark.stop()
 

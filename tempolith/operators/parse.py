@@ -11,8 +11,10 @@ from ..schemas import DOC, TLINK_JSON, UNKNOWN
 
 
 _STRING = r"""\"[^\"\\]*+(?:\\.[^\"\\]*+)*+\"|'[^'\\]*+(?:\\.[^'\\]*+)*+'"""
-#: strings, which stay; commas before a closing bracket, which go; None, for which the end of the text holds the word
-_PYTHON = rf"(?s)({_STRING})|,(?=\s*[\]}}])|\bNone\b(?=.*\x01(null)\z)"
+#: strings, which stay, and commas before a closing bracket, which go
+_COMMAS = rf"(?s)({_STRING})|,(?=\s*[\]}}])"
+#: strings, the word None, and what is between them
+_WORDS = rf"(?s){_STRING}|\bNone\b|[^\"'N]++|."
 
 
 def json_tlinks(body: Column) -> Column:
@@ -23,8 +25,9 @@ def json_tlinks(body: Column) -> Column:
 
 def repaired(body: Column) -> Column:
     """A list with what Python writes otherwise than JSON put right: commas behind the last item, None."""
-    marked = F.regexp_replace(F.concat(body, F.lit("\x01null")), _PYTHON, "$1$2")
-    return let(marked, lambda m: F.substring(m, F.lit(1), F.length(m) - 5))
+    without = F.regexp_replace(body, _COMMAS, "$1")
+    words = F.transform(F.regexp_extract_all(without, F.lit(_WORDS), F.lit(0)), lambda w: F.when(w == "None", "null").otherwise(w))
+    return F.array_join(words, "")
 
 
 def with_defaults(link: Column) -> list[Column]:
@@ -41,7 +44,7 @@ def parse_outputs(raw: DataFrame, out: str = "llm_out") -> tuple[DataFrame, Data
     """
     keys = [c for c in raw.columns if c != out]
     body = raw.select(*keys, out, bracketed(strip_think(F.col(out))).alias("__body"))
-    # JSON has no other letters outside its strings than those of three words and of numbers
+    # a repair is tried only where there is something to mend
     tried = body.withColumn("__json", F.coalesce(json_tlinks(F.col("__body")), F.when(F.col("__body").rlike(r"None\b|,\s*[\]}]"), json_tlinks(repaired(F.col("__body"))))))
     read = tried.withColumn("__literal", literal_tlinks(F.when(F.col("__json").isNull(), F.col("__body"))))
     read = read.select(*keys, out, F.coalesce("__json", "__literal").alias("links"))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,12 +14,21 @@ from ..schemas import DOC, FAILED
 
 @dataclass(frozen=True)
 class Config:
-    """What may be exchanged; every plug-in is a function from DataFrames to a DataFrame."""
+    """What may be exchanged or added; every plug-in is a function from DataFrames to a DataFrame.
 
+    ``prepare`` are steps that the notes go through before they are split, ``derive`` makes
+    further tables of a run, which stand in its ``derived`` by their names.  ``keep`` gets
+    the tables that several results read, a model's outputs before all, and their names; it
+    may store them (``sinks.files.keeper``), so that each is made once.
+    """
+
+    prepare: tuple[Callable[[DataFrame], DataFrame], ...] = ()
     split: Callable[[DataFrame], DataFrame] = sections.whole_sections
     meta: Callable[[DataFrame], DataFrame] = header.doc_meta
     matching: align.Matching | None = field(default_factory=align.Matching)
     as_of: Column | None = None
+    derive: Mapping[str, Callable[[Plan], DataFrame]] = field(default_factory=dict)
+    keep: Callable[[DataFrame, str], DataFrame] = lambda table, name: table
 
 
 @dataclass(frozen=True)
@@ -37,19 +46,22 @@ class Plan:
     mention_rows: DataFrame
     timeline: DataFrame
     patients: DataFrame
+    derived: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
 def plan(notes: DataFrame, extract: Callable[[DataFrame], DataFrame], config: Config = Config()) -> Plan:
     """``extract`` turns sections into (doc key, section_id, llm_out)."""
+    for step in config.prepare:
+        notes = notes.transform(step)
     parts = config.split(notes)
     meta = header.anchor(config.meta(parts), notes, config.as_of)
-    raw = extract(parts)
+    raw = config.keep(extract(parts), "outputs")
     tlinks, errors = parse.parse_outputs(raw)
-    tlinks = relations.number_tlinks(parse.guard_sections(tlinks, raw, parts, DOC))
-    found = align.mentions(tlinks, parts, config.matching)
+    tlinks = config.keep(relations.number_tlinks(parse.guard_sections(tlinks, raw, parts, DOC)), "triplets")
+    found = config.keep(align.mentions(tlinks, parts, config.matching), "mentions")
     times = relations.normalize_mentions(found, meta)
-    normals = relations.time_normals(relations.relations(tlinks), times)
-    return Plan(
+    normals = config.keep(relations.time_normals(relations.relations(tlinks), times), "normals")
+    run = Plan(
         meta=meta,
         sections=parts,
         tlinks=tlinks,
@@ -62,6 +74,7 @@ def plan(notes: DataFrame, extract: Callable[[DataFrame], DataFrame], config: Co
         timeline=timeline.resolve(timeline.instants(normals)),
         patients=notes.select("patient_id").distinct(),
     )
+    return replace(run, derived={name: make(run) for name, make in config.derive.items()})
 
 
 def counters(run: Plan) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -40,6 +41,22 @@ def write_documents(tables: DataFrame, folder: str, suffix: str, form: str) -> D
     return tables.select("patient_id", "doc_id", "content").mapInPandas(run, "path string")
 
 
+def keeper(folder: str) -> Callable[[DataFrame, str], DataFrame]:
+    """A function that stores a table under its name in a folder and reads it from there."""
+
+    def keep(table: DataFrame, name: str) -> DataFrame:
+        table.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return table.sparkSession.read.schema(table.schema).parquet(f"{folder}/{name}")
+
+    return keep
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any Hadoop file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def write_tables(rows: DataFrame, folder: str, columns: list[str], sep: str = "|") -> None:
     """One separated table for the corpus, written in parallel."""
     rows.select(*columns).write.option("sep", sep).option("header", True).option("emptyValue", "").csv(folder)
@@ -87,4 +104,4 @@ def write_corpus_json(entries: DataFrame, path: str) -> None:
     finally:
         out.close()
         fs.setWriteChecksum(True)
-    fs.delete(source, True)
+    remove(spark, parts)

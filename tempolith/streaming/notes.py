@@ -8,6 +8,7 @@ are written under the batch's number, so a batch that is run again leaves nothin
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import timeline
 from ..plans.notes_to_timeline import Config, counters, plan
 from ..schemas import STOP
+from ..sinks import files
 from . import timelines
 
 MESSAGE = "kind string, corpus string, patient_id string, doc_id string, mtime timestamp, text string"
@@ -37,19 +39,24 @@ def route(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def start(stream: DataFrame, extract: Callable[[DataFrame], DataFrame], store: str, checkpoint: str, config: Config = Config()) -> StreamingQuery:
-    """Run notes (``sources.notes.stream_notes``) or messages (``stream_messages``) into ``store``: everything there is, then stop."""
+    """Run notes (``sources.notes.stream_notes``) or messages (``stream_messages``) into ``store``: everything there is, then stop.
+
+    A batch asks the model once: its outputs are stored before anything reads them.
+    """
 
     def take(batch: DataFrame, batch_id: int) -> None:
         notes = batch
         if "line" in batch.columns:
             notes, malformed = route(batch)
             malformed.write.mode("overwrite").text(f"{store}/malformed/batch={batch_id}")
-        run = plan(notes, extract, config)
+        work = f"{store}/work/batch={batch_id}"
+        run = plan(notes, extract, replace(config, keep=files.keeper(work)))
         links = timeline.instants(run.normals)
         timelines.add(links, store, batch_id)
         added = timelines.stored(notes.sparkSession, store).where(F.col("batch") == batch_id)
         timelines.refresh(added, store, batch_id)
         run.errors.write.mode("overwrite").parquet(f"{store}/errors/batch={batch_id}")
         counters(run).write.mode("overwrite").parquet(f"{store}/counters/batch={batch_id}")
+        files.remove(notes.sparkSession, work)
 
     return stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -300,7 +300,7 @@ Taxol was begun on January 2, 2024. taxol and Taxol again on January 2, 2024.
 Completed radiation yesterday; took aspirin for 6 months, or so.
 """
 GOLDEN_LINKS = [("Taxol", "BEGINS-ON", "January 2, 2024"), ("radiation", "ENDS-ON", "yesterday"), ("aspirin", "CONTAINS-1", "6 months"), ("aspirin", "CONTAINS-1", "or so"), ("Taxol", "CONTAINS-1", "January 2, 2024")]
-#: begins of the mentions, counted by hand: Taxol 102 and 148, dates 121 and 163, radiation 190, yesterday 200, aspirin 216, 6 months 228, or so 238
+#: rows and their order by hand, places by search in the note
 GOLDEN_SPANS = """ Medication Normal | Medication Text | Medication Span | Temporal Relation | Normalized Time | Time Text | Time Span | Time Type | TimeNorm ISO 
 Taxol|Taxol|{t1}|BEGINS-ON|2024-01-02 00:00|January 2, 2024|{d1}|INSTANT|2024-01-02
 Taxol|Taxol|{t1}|BEGINS-ON|2024-01-02 00:00|January 2, 2024|{d2}|INSTANT|2024-01-02
@@ -331,6 +331,7 @@ def test_command_line_writes_whole_files(spark, tmp_path):
     want = GOLDEN_SPANS.format(t1=at("Taxol"), t2=at("Taxol", 2), d1=at("January 2, 2024"), d2=at("January 2, 2024", 2), a=at("aspirin"), m=at("6 months"), o=at("or so"), r=at("radiation"), y=at("yesterday"))
     assert (tmp_path / "out" / "p1" / "g1_medTimeSpans.bsv").read_text() == want
     assert (tmp_path / "out" / "corpus_medTlinks.json").read_text() == '{\n  "p1": [\n    ["Taxol", "BEGINS-ON", "2024-01-02"],\n    ["radiation", "ENDS-ON", "2024-01-14"]\n  ]\n}\n'
+    assert sorted(os.listdir(tmp_path / "out")) == ["corpus_medTlinks.json", "p1"]
     assert sorted(os.listdir(tmp_path / "out" / "p1")) == sorted(f"g1_{k}.{f}" for k in ("medTimes", "medTimeSpans", "medTimeMentions") for f in ("bsv", "csv"))
 
 
@@ -372,6 +373,42 @@ def test_stream_of_notes_equals_batch(spark, corpus, run, tmp_path):
     assert dict(map(tuple, counted))["documents"] == 4
 
 
+def test_plug_ins(spark, corpus, tmp_path, monkeypatch):
+    """Steps before the plan, tables derived from it, a form of one's own for files."""
+    monkeypatch.setitem(render.FORMS, "list", render.Form(lambda columns: F.concat_ws(";", *columns), lambda names: f"{len(names)} columns\n", foot="\nend\n"))
+    config = Config(
+        prepare=(lambda notes: notes.where("patient_id = 'p 1' and doc_id = 'n1'"), lambda notes: notes.withColumn("text", F.upper("text"))),
+        derive={"drugs": lambda run: run.normals.groupBy("med_text").count()},
+        meta=lambda parts: header.doc_meta(parts, "Clinic"),
+        matching=None,
+    )
+    recorded = spark.createDataFrame([("p 1", "n1", 0, output([("CISPLATIN", "BEGINS-ON", "JANUARY 2, 2024")]))], RECORDED)
+    made = plan(sources.read_notes(spark, corpus), lambda s: extract.recorded(s, recorded), config)
+    assert [tuple(r) for r in made.derived["drugs"].collect()] == [("CISPLATIN", 1)]
+    assert {r.institution for r in made.meta.collect()} == {"Clinic"}
+    content = render.document_tables(made.table_rows, "list", ("a", "b"), ["med", "relation"], ["patient_id", "doc_id"]).first().content
+    assert content == "2 columns\nCISPLATIN;BEGINS-ON\nend\n"
+
+
+def test_a_model_is_asked_once(spark, corpus, tmp_path):
+    """With tables kept, results that share a model's outputs don't ask it again."""
+    asked = str(tmp_path / "asked")
+
+    def load_model():
+        def model(asks):
+            with open(asked, "a") as f:
+                f.write("x" * len(asks))
+            return ["[]" for _ in asks]
+
+        return model
+
+    take = lambda parts: extract.by_model(parts, "P:", load_model)
+    made = plan(sources.read_notes(spark, corpus), take, Config(matching=None, keep=files.keeper(str(tmp_path / "work"))))
+    assert made.timeline.isEmpty() and made.errors.isEmpty() and counters(made).count() == 7
+    with open(asked) as f:
+        assert len(f.read()) == 4
+
+
 def test_messages(spark):
     rows = [("note", "p", "d", "text", None, "l1"), ("STOP", None, None, None, None, "l2"), (None, None, None, None, "{x", "l3"), ("note", "p", None, "text", None, "l4")]
     messages = spark.createDataFrame(rows, "kind string, patient_id string, doc_id string, text string, malformed string, line string").selectExpr("*", "'c' as corpus", "cast(null as timestamp) as mtime")
