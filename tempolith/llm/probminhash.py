@@ -23,6 +23,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -87,7 +89,7 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, docs: i
 
 
 def sign(docs: DataFrame, shingle: int = SHINGLE, registers: int = REGISTERS, weighted: bool = False) -> DataFrame:
-    """(doc_id, n, sig): distinct shingles, and the signature as little-endian u32; empty where a text has no word."""
+    """(doc_id, n, sig, text_key): distinct shingles, the signature as little-endian u32, empty where a text has no word, and the text's SHA-256."""
 
     @tk.tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,10 +99,12 @@ def sign(docs: DataFrame, shingle: int = SHINGLE, registers: int = REGISTERS, we
                 sig = signatures(doc, h, count.astype(float) if weighted else np.ones(len(h)), block.size, registers)
                 some = np.bincount(doc, minlength=block.size)
                 rows = [s.tobytes() if x else b"" for s, x in zip(sig.astype("<u4"), some, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.size), pa.array(some), pa.array(rows, pa.binary())], names=["doc_id", "n", "sig"])
+                raw, cuts = memoryview(block.data.tobytes()), block.bounds.tolist()
+                keys = [hashlib.sha256(raw[i:j]).digest() for i, j in itertools.pairwise(cuts)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.size), pa.array(some), pa.array(rows, pa.binary()), pa.array(keys, pa.binary())], names=["doc_id", "n", "sig", "text_key"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n bigint, sig binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n bigint, sig binary, text_key binary")
 
 
 def _agree(pairs: DataFrame, least: float, registers: int) -> DataFrame:
@@ -229,30 +233,30 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     Nothing in ``docs`` but doc_id and text is read.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    key = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
-    keys = materialise(docs.select("doc_id", key.alias("text_key")), "keys")
+    signed = materialise(sign(docs, shingle, registers, weighted), "signed")
+    keys = signed.select("doc_id", "text_key")
     first = materialise(keys.groupBy("text_key").agg(F.min("doc_id").alias("rep")), "first")
     member = materialise(keys.join(first, "text_key").select("doc_id", "rep"), "member")
-    release(keys, first)
-    reps = sign(docs, shingle, registers, weighted).where("n > 0").join(member.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
+    reps = signed.where("n > 0").select("doc_id", "n", "sig").join(member.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
     reps = materialise(reps, "reps")
+    release(signed, first)
     width = 4 * rows
     bands = reps.select(F.col("doc_id").alias("id"), F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(registers // rows - 1)), lambda i: F.substring("sig", (i * width + 1).cast("int"), F.lit(width)))).alias("band", "part"))
     bands = bands.select("id", F.xxhash64("band", "part").alias("bucket"))
     ends = materialise(bands.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("bucket", "low"), "ends")
     buckets = materialise(bands.join(ends, "bucket"), "buckets")
     release(ends)
-    # only texts in some bucket go on
-    texts = materialise(docs.join(buckets.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), "texts")
+    # only texts in some bucket go on, a small part of all, so they are gathered in fewer files than they come from
+    texts = materialise(docs.join(buckets.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").hint("rebalance"), "texts")
     # signatures may be off by five standard deviations
     least = similarity - 5 * math.sqrt(similarity * (1 - similarity) / registers)
     sig_a, sig_b = (reps.select(F.col("doc_id").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "ab")
 
     def checked(pairs: DataFrame) -> DataFrame:
         pairs = materialise(pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct(), "pairs")
-        close = materialise(_agree(pairs.join(sig_b, "b").join(sig_a, "a"), least, registers), "close")
+        close = _agree(pairs.join(sig_b, "b").join(sig_a, "a"), least, registers)
         found = materialise(verify(close, texts, shingle, similarity, weighted), "found")
-        release(pairs, close)
+        release(pairs)
         return found
 
     def classes(links: DataFrame) -> DataFrame:

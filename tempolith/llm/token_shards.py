@@ -171,10 +171,10 @@ def read_table(spark: SparkSession, layout: Layout) -> DataFrame:
         return spark.createDataFrame([], "first int, slot bigint, ids binary")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(layout.folder)
     shard = F.col("first").cast("int") + F.regexp_extract("path", r"part-([0-9]+)[^/]*$", 1).cast("int")
-    row = F.explode(F.sequence(F.lit(0), (F.col("length") / layout.stride).cast("int") - 1))
-    rows = files.select(F.col("first").cast("int").alias("first"), shard.alias("shard"), "content", row.alias("row"))
-    record = F.substring("content", (F.col("row") * layout.stride + 1).cast("int"), F.lit(layout.stride))
-    return rows.select("first", (F.col("shard").cast("long") * layout.shard_rows + F.col("row")).alias("slot"), record.alias("ids"))
+    last = (F.col("length") / layout.stride).cast("int") - 1
+    records = F.transform(F.sequence(F.lit(0), last), lambda i: F.substring("content", (i * layout.stride + 1).cast("int"), F.lit(layout.stride)))
+    rows = files.select(F.col("first").cast("int").alias("first"), shard.alias("shard"), F.posexplode(records).alias("row", "ids"))
+    return rows.select("first", (F.col("shard").cast("long") * layout.shard_rows + F.col("row")).alias("slot"), "ids")
 
 
 def read_slots(layout: Layout, start: int = 0, count: int | None = None) -> Iterator[np.ndarray]:
