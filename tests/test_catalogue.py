@@ -2,11 +2,14 @@
 
 import glob
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
 
 from tempolith.plans.catalogue import ORACLE, QUERIES
+from tests.conftest import ROOT
 
 
 def rows(frame):
@@ -38,3 +41,11 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.mark.parametrize("missing", ["sentencepiece", "public_tokenizers", "tempolith.llm"])
+def test_entry_without_the_llm_operators(missing):
+    """Where a library of theirs, or they themselves, are missing, the engine's queries are still offered."""
+    code = f"import sys; sys.modules['{missing}'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    said = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True).stdout
+    assert said.split() == [str(len(QUERIES)), str(len(ORACLE))]
