@@ -17,8 +17,11 @@
    one may resemble a member that is not the pivot.  They are joined to the members of such
    buckets by an exact prefix filter: with shingles ordered from the rarest on, two similar
    texts share one among the first fifth of each one's weight, in the smaller of two sets
-   among the first ninth, and the places where it stands there bound their similarity.  A version of a text that differs too much starts with shingles of its
-   own and so meets nobody.  What passes is verified as well, so no link is lost.
+   among the first ninth, and the places where it stands there bound their similarity.
+   Sketches of one bit for each register keep apart, within the join, what shares shingles
+   without being alike (of pairs at the least similarity one in a million is lost by this).
+   A version of a text that differs too much starts with shingles of its own and so meets
+   nobody.  What passes is verified as well.
 """
 
 from __future__ import annotations
@@ -88,8 +91,26 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, docs: i
     return (owner >> U(32)).astype(np.uint32).reshape(docs, registers)
 
 
+def sketches(sig: np.ndarray) -> np.ndarray:
+    """One bit of each of the first 128 registers, as two signed longs for each row; unequal registers give equal bits half the time."""
+    places = np.arange(1, sig.shape[1] + 1).astype(U) * U(0x9E3779B97F4A7C15)
+    bits = np.zeros((len(sig), 128), np.uint8)
+    some = (tk.mix(sig.astype(U) + places) & U(1))[:, :128]
+    bits[:, : some.shape[1]] = some
+    return np.packbits(bits, axis=1).view("<i8")
+
+
+def reach(bits: int, similarity: float, miss: float = 1e-6) -> int:
+    """So many of ``bits`` differ at most between two sketches at ``similarity``, save for a share ``miss``."""
+    p, total, k = (1 - similarity) / 2, 0.0, -1
+    while total < 1 - miss:
+        k += 1
+        total += math.comb(bits, k) * p**k * (1 - p) ** (bits - k)
+    return k
+
+
 def sign(docs: DataFrame, shingle: int = SHINGLE, registers: int = REGISTERS, weighted: bool = False) -> DataFrame:
-    """(doc_id, n, sig, text_key): distinct shingles, the signature as little-endian u32, empty where a text has no word, and the text's SHA-256."""
+    """(doc_id, n, sig, s0, s1, text_key): distinct shingles, the signature as little-endian u32, empty where a text has no word, its sketch, and the text's SHA-256."""
 
     @tk.tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,10 +122,12 @@ def sign(docs: DataFrame, shingle: int = SHINGLE, registers: int = REGISTERS, we
                 rows = [s.tobytes() if x else b"" for s, x in zip(sig.astype("<u4"), some, strict=True)]
                 raw, cuts = memoryview(block.data.tobytes()), block.bounds.tolist()
                 keys = [hashlib.sha256(raw[i:j]).digest() for i, j in itertools.pairwise(cuts)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.size), pa.array(some), pa.array(rows, pa.binary()), pa.array(keys, pa.binary())], names=["doc_id", "n", "sig", "text_key"])
+                s0, s1 = sketches(sig).T
+                columns = [pa.array(some), pa.array(rows, pa.binary()), pa.array(s0), pa.array(s1), pa.array(keys, pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.size), *columns], names=["doc_id", "n", "sig", "s0", "s1", "text_key"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n bigint, sig binary, text_key binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n bigint, sig binary, s0 bigint, s1 bigint, text_key binary")
 
 
 def _agree(pairs: DataFrame, least: float, registers: int) -> DataFrame:
@@ -186,7 +209,7 @@ def _tokens(texts: DataFrame, shingle: int, weighted: bool) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, f"id {kind}, h bigint, w bigint")
 
 
-def _leftovers(buckets: DataFrame, part: DataFrame, texts: DataFrame, shingle: int, similarity: float, weighted: bool) -> DataFrame:
+def _leftovers(buckets: DataFrame, part: DataFrame, reps: DataFrame, texts: DataFrame, shingle: int, similarity: float, registers: int, weighted: bool) -> DataFrame:
     """Pairs (id, pivot) of different classes that may be similar, one outside the largest class of a bucket they may share."""
     of = buckets.select("bucket", "id").join(part.select(F.col("node").alias("id"), "component"), "id", "left")
     of = materialise(of.select("bucket", "id", F.coalesce("component", "id").alias("component")), "of")
@@ -203,10 +226,13 @@ def _leftovers(buckets: DataFrame, part: DataFrame, texts: DataFrame, shingle: i
     ranked = tokens.join(often, "h").select("id", "h", F.sum("w").over(own).alias("n"), F.coalesce(F.sum("w").over(upto), F.lit(0)).alias("before"))
     ranked = ranked.select("id", "h", "n", (F.col("n") - F.col("before")).alias("left"))
     first = ranked.where(F.col("left") >= similarity * F.col("n") - 1e-6)
-    first = materialise(first.join(open_, "id"), "prefixes")
+    sketch = reps.join(open_.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "s0", "s1")
+    first = materialise(first.join(open_.join(sketch, "id"), "id"), "prefixes")
     release(tokens, often, open_)
     x, y = F.col("x.n"), F.col("y.n")
     fits = (F.col("x.h") == F.col("y.h")) & (F.col("x.component") != F.col("y.component"))
+    apart = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in ("s0", "s1")), F.lit(0))
+    fits &= apart <= reach(min(registers, 128), similarity)
     if weighted:
         small = first.where("outside")
     else:
@@ -237,7 +263,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     keys = signed.select("doc_id", "text_key")
     first = materialise(keys.groupBy("text_key").agg(F.min("doc_id").alias("rep")), "first")
     member = materialise(keys.join(first, "text_key").select("doc_id", "rep"), "member")
-    reps = signed.where("n > 0").select("doc_id", "n", "sig").join(member.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
+    reps = signed.where("n > 0").select("doc_id", "n", "sig", "s0", "s1").join(member.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
     reps = materialise(reps, "reps")
     release(signed, first)
     width = 4 * rows
@@ -264,7 +290,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
 
     links = checked(buckets.where("id <> low").select("id", F.col("low").alias("pivot")))
     part = classes(links)
-    more = checked(_leftovers(buckets, part, texts, shingle, similarity, weighted))
+    more = checked(_leftovers(buckets, part, reps, texts, shingle, similarity, registers, weighted))
     release(texts, buckets, reps)
     if not more.isEmpty():
         links = links.union(more).distinct()

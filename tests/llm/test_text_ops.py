@@ -491,3 +491,21 @@ def test_recall_of_links_against_brute_force(spark, weighted):
     for i, c in got.items():
         families[c].add(i // 7)
     assert all(len(f) == 1 for f in families.values())
+
+
+def test_sketches_tell_unlike_texts_apart():
+    """Bits of unequal registers are fair coins, also where few shingles fill all registers; at 0.8 the reach loses nothing."""
+    rng = np.random.default_rng(3)
+    assert probminhash.reach(96, 0.8) == 26
+    far, near = [], []
+    for n, common in ((300, 100), (5, 4), (45, 40)):  # Jaccard 0.2, 0.8 and 0.89
+        for _ in range(150):
+            pool = rng.integers(1, 1 << 62, 2 * n).astype(np.uint64)
+            x, y = pool[:n], np.concatenate([pool[:common], pool[n : 2 * n - common] if n == 300 else pool[:0]])
+            doc = np.repeat([0, 1], [len(x), len(y)])
+            sig = probminhash.signatures(doc, np.concatenate([x, y]), np.ones(len(doc)), 2)
+            a, b = probminhash.sketches(sig)
+            apart = sum(((int(i) ^ int(j)) & (1 << 64) - 1).bit_count() for i, j in zip(a, b, strict=True))
+            like = len({*x.tolist()} & {*y.tolist()}) / len({*x.tolist()} | {*y.tolist()})
+            (near if like >= 0.8 else far).append(apart)
+    assert max(near) <= 26 and abs(np.mean(far) - 96 * 0.4) < 1 and np.mean([f > 26 for f in far]) > 0.95
