@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from . import quality, url_filter
+from . import divergence, fill_in_middle, quality, url_filter
 
 
 def _rules(host: str, path: str, field: str) -> str:
@@ -98,3 +98,51 @@ fences as (select lang, source, metric, q3 + {quality.REACH} * greatest(q3 - q1,
 over as (select m.doc_id from measured m join fences f using (lang, source) group by m.doc_id, {", ".join(f"m.{m}" for m in quality.METRICS)} having {_BEYOND})
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and doc_id not in (select doc_id from over) kept from f
 """
+
+_LETTERS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _share(count: str, total: str, kept: str) -> str:
+    return f"1 + cast({divergence.SCALE} as hugeint) * ({count} + 2) // ({total} + 2 * {kept})"
+
+
+SOURCE_DIVERGENCE = f"""
+with docs as (select row_number() over () id, coalesce(text, '') t, coalesce(lang, '') lang, coalesce(source, '') source from documents),
+w as (select id, lang, source, translate(unnest(regexp_extract_all(t, '{_LETTERS}')), '{string.ascii_uppercase}', '{string.ascii_lowercase}') term from docs),
+kept as (select lang, term, count(*) n from w group by all having count(distinct id) >= {divergence.MIN_DOCS}),
+langs as (select lang, count(*) v, sum(n) n from kept group by all),
+counts as (select lang, source, term, count(*) n from w join kept using (lang, term) group by all),
+totals as (select lang, source, sum(n) n from counts group by all),
+groups as (select distinct lang, source from docs),
+p as (select g.lang, g.source, k.term, coalesce(c.n, 0) c, {_share("coalesce(c.n, 0)", "coalesce(t.n, 0)", "l.v")} p, {_share("k.n", "l.n", "l.v")} q
+  from groups g join kept k using (lang) join langs l using (lang) left join totals t on (t.lang = g.lang and t.source = g.source) left join counts c on (c.lang = g.lang and c.source = g.source and c.term = k.term)),
+sums as (select a.lang, a.source, b.source item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) f from p a join p b on (a.lang = b.lang and a.term = b.term and a.source <> b.source) group by all),
+found as (
+  select a.lang, a.source, 'pair' part, b.source item, coalesce(f, 0) f from groups a join groups b on (a.lang = b.lang and a.source <> b.source) left join sums s on (s.lang = a.lang and s.source = a.source and s.item = b.source)
+  union all select lang, source, 'term', term, (p - q) * (p - q) // (p + q) from p where c > 0 and p > q)
+select lang, source, part, item, cast(f as bigint) as value, cast(row_number() over (partition by lang, source, part order by f desc, item) as int) as rank
+from found qualify part = 'pair' or rank <= {divergence.TOP}
+"""
+
+_P, _S, _M = fill_in_middle.PREFIX, fill_in_middle.SUFFIX, fill_in_middle.MIDDLE
+
+
+def _draw(i: int) -> str:
+    return f"cast('0x' || substr(h, {8 * i - 7}, 8) as bigint)"
+
+
+FILL_IN_MIDDLE = f"""
+with drawn as (select doc_id, coalesce(text, '') t, cast(length(coalesce(text, '')) as bigint) n, sha256('{fill_in_middle.SALT}:' || coalesce(cast(doc_id as varchar), '')) h from documents),
+cuts as (select doc_id, t, n, least({_draw(1)} % (n + 1), {_draw(2)} % (n + 1)) i, greatest({_draw(1)} % (n + 1), {_draw(2)} % (n + 1)) j,
+  case when n = 0 or contains(t, '{_P}') or contains(t, '{_S}') or contains(t, '{_M}') or {_draw(3)} % 100 >= {fill_in_middle.CUT} then 'plain' when {_draw(4)} % 100 < {fill_in_middle.SUFFIX_FIRST} then 'spm' else 'psm' end form from drawn),
+pieces as (select *, substr(t, 1, i) a, substr(t, i + 1, j - i) b, substr(t, j + 1) c from cuts)
+select doc_id, n, form, case when form <> 'plain' then i end as prefix_chars, case when form <> 'plain' then j - i end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '{_P}' || a || '{_S}' || c || '{_M}' || b else '{_S}' || c || '{_P}' || a || '{_M}' || b end) as output_sha256, sha256(t) as restored_sha256
+from pieces
+"""
+
+DIGEST_INDEX = """
+select doc_id, max(doc_id) over (partition by coalesce(text, '')) as keep_id, count(*) over (partition by coalesce(text, '')) as group_size,
+  doc_id = max(doc_id) over (partition by coalesce(text, '')) as kept, sha256(coalesce(text, '')) as text_sha256
+from documents
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, oracles, probminhash, pseudonyms, quality, secrets, sentencepiece_codec, sharding, spaced_seeds, storage, token_shards, url_filter
+from . import divergence, exact_dedup, fill_in_middle, langid, oracles, probminhash, pseudonyms, quality, secrets, sentencepiece_codec, sharding, spaced_seeds, storage, token_shards, url_filter
 
 MODEL = "piece_bpe_32k.model"
 #: the key of the pseudonyms in these queries; a deployment passes its own secret
@@ -62,6 +62,18 @@ def op10_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.report(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.report(table(spark, sf_dir, "documents"))
+
+
+def op13_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.report(table(spark, sf_dir, "documents"), storage.fresh_path(spark, "digest-index"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_training_shards": op2_training_shards,
@@ -73,9 +85,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_credential_linking": op8_credential_linking,
     "op9_adaptive_quality": op9_adaptive_quality,
     "op10_rank_profiles": op10_rank_profiles,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_digest_index": op13_digest_index,
 }
 
 ORACLE: dict[str, str] = {
     "op4_redirect_equivalence": oracles.REDIRECT_EQUIVALENCE,
     "op9_adaptive_quality": oracles.ADAPTIVE_QUALITY,
+    "op11_source_divergence": oracles.SOURCE_DIVERGENCE,
+    "op12_fill_in_middle": oracles.FILL_IN_MIDDLE,
+    "op13_digest_index": oracles.DIGEST_INDEX,
 }

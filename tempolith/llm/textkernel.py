@@ -117,15 +117,13 @@ def span_hash(total: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((total[end] - total[start]) * down[start] + (end - start).astype(U))
 
 
-def words(block: Block) -> Words:
-    """Positions, documents and 64-bit hashes of all words of a block."""
-    data, n = block.data, len(block.data)
+def runs(inner: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each maximal run of true values that crosses none of ``bounds``."""
+    n = len(inner)
     if not n:
-        none = np.zeros(0, np.int64)
-        return Words(none, none, none, np.zeros(0, U), np.zeros(block.size + 1, np.int64), np.zeros(1, U))
-    inner = ~IS_SPACE[data]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     edge = np.zeros(n + 1, dtype=bool)
-    edge[block.bounds] = True
+    edge[bounds] = True
     before = np.empty(n, dtype=bool)
     before[0] = True
     np.logical_or(~inner[:-1], edge[1:n], out=before[1:])
@@ -133,7 +131,16 @@ def words(block: Block) -> Words:
     after = np.empty(n, dtype=bool)
     after[-1] = True
     np.logical_or(~inner[1:], edge[1:n], out=after[:-1])
-    end = np.flatnonzero(inner & after) + 1
+    return start, np.flatnonzero(inner & after) + 1
+
+
+def words(block: Block) -> Words:
+    """Positions, documents and 64-bit hashes of all words of a block."""
+    data, n = block.data, len(block.data)
+    if not n:
+        none = np.zeros(0, np.int64)
+        return Words(none, none, none, np.zeros(0, U), np.zeros(block.size + 1, np.int64), np.zeros(1, U))
+    start, end = runs(~IS_SPACE[data], block.bounds)
     up, _ = _power_tables(n)
     total = np.empty(n + 1, dtype=U)
     total[0] = 0
