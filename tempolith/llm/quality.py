@@ -75,9 +75,9 @@ def block_features(block: tk.Block) -> dict[str, np.ndarray]:
     worded = np.searchsorted(w.start, stop) > np.searchsorted(w.start, start)
     lines = np.bincount(line_doc[worded], minlength=block.size)
     # of equal lines of a document all but the first
-    where, h = line_doc[worded], tk.span_hash(w.total, start[worded], stop[worded])
-    order = np.lexsort((h, where))
-    again = (h[order][1:] == h[order][:-1]) & (where[order][1:] == where[order][:-1])
+    where, (code, _) = line_doc[worded], tk.coded(data, start[worded], stop[worded])
+    order = np.lexsort((code, where))
+    again = (code[order][1:] == code[order][:-1]) & (where[order][1:] == where[order][:-1])
     dup = np.bincount(where[order][1:][again], minlength=block.size)
     return {"n_words": n_words, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": dup, "n_repeat_words": repeats, "n_lines": lines}
 

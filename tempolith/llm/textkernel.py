@@ -14,12 +14,12 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
 U = np.uint64
 _MULT = U(0x9E3779B97F4A7C15)
-_INV = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -35,23 +35,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=U) * _MULT)
-_powers = (np.ones(1, dtype=U), np.ones(1, dtype=U))
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _powers
-    if len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES * 2)
-        up, down = np.full(size, _MULT, dtype=U), np.full(size, _INV, dtype=U)
-        up[0] = down[0] = U(1)
-        tables = (np.multiply.accumulate(up), np.multiply.accumulate(down))
-        if size > BLOCK_BYTES * 4:  # one very long document: don't keep its tables
-            return tables
-        _powers = tables
-    return _powers
-
-
 def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``run``, giving freed memory back to the system at its end: Python workers outlive their tasks."""
 
@@ -107,14 +90,26 @@ class Words:
     hash: np.ndarray
     #: first word of each document, and one past the last of the block
     first: np.ndarray
-    #: running sums of the block's bytes, from which the hash of any span follows
-    total: np.ndarray
 
 
-def span_hash(total: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of spans of a block; equal bytes have equal hashes wherever they stand."""
-    _, down = _power_tables(len(total) - 1)
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(U))
+def coded(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Codes of spans, equal exactly where their bytes are, and the distinct spans the codes stand for.
+
+    Spans are in order and don't overlap.
+    """
+    size = end - start
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    mark = np.zeros(len(data) + 1, dtype=np.int8)
+    mark[start] += 1
+    mark[end] -= 1
+    raw = data[np.cumsum(mark[:-1], dtype=np.int8).view(bool)]
+    found = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(raw)]).dictionary_encode()
+    return found.indices.to_numpy(), found.dictionary
+
+
+def hashes(values: pa.Array) -> np.ndarray:
+    """SipHash of each value, the same in every process; its structure makes no collisions that a text could aim at by its form."""
+    return pd.util.hash_array(np.array(values.to_pylist(), dtype=object), categorize=False)
 
 
 def runs(inner: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,16 +134,13 @@ def words(block: Block) -> Words:
     data, n = block.data, len(block.data)
     if not n:
         none = np.zeros(0, np.int64)
-        return Words(none, none, none, np.zeros(0, U), np.zeros(block.size + 1, np.int64), np.zeros(1, U))
+        return Words(none, none, none, np.zeros(0, U), np.zeros(block.size + 1, np.int64))
     start, end = runs(~IS_SPACE[data], block.bounds)
-    up, _ = _power_tables(n)
-    total = np.empty(n + 1, dtype=U)
-    total[0] = 0
-    np.cumsum(_BYTE[data] * up[:n], out=total[1:])
-    hashed = span_hash(total, start, end)
+    code, distinct_words = coded(data, start, end)
+    hashed = hashes(distinct_words)[code]
     first = np.searchsorted(start, block.bounds, "left")
     doc = np.repeat(np.arange(block.size), np.diff(first))
-    return Words(start, end, doc, hashed, first, total)
+    return Words(start, end, doc, hashed, first)
 
 
 def windows(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
