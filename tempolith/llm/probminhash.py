@@ -33,13 +33,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import textkernel as tk
 from .components import connected_components
-from .storage import materialise, release
+from .storage import materialise, quoted, release, unused
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -159,14 +159,13 @@ def probability_jaccard(x: np.ndarray, a: np.ndarray, y: np.ndarray, b: np.ndarr
     return float((1 / ((after + a.sum() - own_a.sum()) / own_a + (before + b.sum() - own_b.sum()) / own_b)).sum())
 
 
-def verify(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, weighted: bool = False) -> DataFrame:
-    """Pairs (a, b) whose whole texts have, by their word shingles, a Jaccard similarity of at least ``similarity``.
+def verify(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, weighted: bool = False) -> DataFrame:
+    """Pairs (a, b) whose whole texts (id, text) have, by their word shingles, a Jaccard similarity of at least ``similarity``.
 
     Of the sets, or ``weighted`` the probability Jaccard similarity of how often each occurs.
     """
-    text = docs.select("doc_id", "text")
-    with_b = pairs.join(text.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    whole = with_b.join(text.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
+    with_b = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    whole = with_b.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
 
     def sets(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for block in tk.blocks(column):
@@ -205,8 +204,8 @@ def _tokens(texts: DataFrame, shingle: int, weighted: bool) -> DataFrame:
                     here = slice(i, i + 100_000)
                     yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc[here])), pa.array(h[here].view(np.int64)), pa.array(weight[here])], names=["id", "h", "w"])
 
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.select("doc_id", "text").mapInArrow(run, f"id {kind}, h bigint, w bigint")
+    kind = texts.schema["id"].dataType.simpleString()
+    return texts.select("id", "text").mapInArrow(run, f"id {kind}, h bigint, w bigint")
 
 
 def _leftovers(buckets: DataFrame, part: DataFrame, reps: DataFrame, texts: DataFrame, shingle: int, similarity: float, registers: int, weighted: bool) -> DataFrame:
@@ -218,7 +217,7 @@ def _leftovers(buckets: DataFrame, part: DataFrame, reps: DataFrame, texts: Data
     open_ = of.join(materialise(split.select("bucket", F.col("main.component").alias("main")), "split"), "bucket")
     open_ = materialise(open_.groupBy("id", "component").agg(F.max(F.col("component") != F.col("main")).alias("outside")), "open")
     release(of)
-    tokens = materialise(_tokens(texts.join(open_.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), shingle, weighted), "tokens")
+    tokens = materialise(_tokens(texts.join(open_.select("id"), "id", "left_semi"), shingle, weighted), "tokens")
     often = materialise(tokens.groupBy("h").agg(F.count("*").alias("df")), "often")
     own = Window.partitionBy("id")
     upto = own.orderBy("df", "h").rowsBetween(Window.unboundedPreceding, -1)
@@ -226,7 +225,7 @@ def _leftovers(buckets: DataFrame, part: DataFrame, reps: DataFrame, texts: Data
     ranked = tokens.join(often, "h").select("id", "h", F.sum("w").over(own).alias("n"), F.coalesce(F.sum("w").over(upto), F.lit(0)).alias("before"))
     ranked = ranked.select("id", "h", "n", (F.col("n") - F.col("before")).alias("left"))
     first = ranked.where(F.col("left") >= similarity * F.col("n") - 1e-6)
-    sketch = reps.join(open_.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "s0", "s1")
+    sketch = reps.join(open_.select("id"), "id", "left_semi").select("id", "s0", "s1")
     first = materialise(first.join(open_.join(sketch, "id"), "id"), "prefixes")
     release(tokens, often, open_)
     x, y = F.col("x.n"), F.col("y.n")
@@ -246,37 +245,43 @@ def _leftovers(buckets: DataFrame, part: DataFrame, reps: DataFrame, texts: Data
     return met.select(F.col("x.id").alias("id"), F.col("y.id").alias("pivot"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, registers: int = REGISTERS, rows: int = ROWS, weighted: bool = False) -> DataFrame:
-    """(doc_id, class_id, n_links) for every row of ``docs`` (doc_id, text).
+def classes(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, registers: int = REGISTERS, rows: int = ROWS, weighted: bool = False) -> DataFrame:
+    """(doc_id, text_key, class_id, n_links, place) for every row of ``docs`` (doc_id, text).
 
-    A class is a connected component of texts that are equal or similar; it bears its
-    least doc_id.  n_links counts the verified links of a text's row in the search, equal
-    texts apart.  A null text counts as empty; texts without words are alike only if equal.
-    Rows with the same doc_id count as one document's versions and share its class.
-    ``weighted`` takes probability Jaccard similarity of how often shingles occur.
-    Texts are compared whole, however long.  A row without doc_id has the class of the equal
-    texts that have one, else null.
-    Nothing in ``docs`` but doc_id and text is read.
+    text_key is the text's SHA-256, so a row is named by its id and its text: where a
+    doc_id stands for several texts, each has its own class.  place is ``first`` for one row
+    of each class, that of the least doc_id, ``repeat`` for rows with that row's id and text,
+    and ``other`` for the rest.  See ``near_duplicates`` for everything else.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    signed = materialise(sign(docs, shingle, registers, weighted), "signed")
-    keys = signed.select("doc_id", "text_key")
-    first = materialise(keys.groupBy("text_key").agg(F.min("doc_id").alias("rep")), "first")
-    member = materialise(keys.join(first, "text_key").select("doc_id", "rep"), "member")
-    reps = signed.where("n > 0").select("doc_id", "n", "sig", "s0", "s1").join(member.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
+    # a table, so that the number of a row is the same wherever it is read
+    signed = materialise(sign(docs, shingle, registers, weighted).withColumn("row", F.monotonically_increasing_id()), "signed")
+    keys = signed.select("doc_id", "row", "text_key")
+    # a text's node is its first row: the least doc_id, null last
+    least_row = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    first = materialise(keys.groupBy("text_key").agg(least_row.alias("f")).select("text_key", F.col("f.row").alias("node"), F.col("f.doc_id").alias("rep_id")), "first")
+    member = materialise(keys.join(first, "text_key").select("doc_id", "text_key", "row", "node", "rep_id"), "member")
+    reps = signed.where("n > 0").select(F.col("row").alias("id"), "doc_id", "text_key", "n", "sig", "s0", "s1").join(member.where("row = node").select(F.col("row").alias("id")), "id", "left_semi")
     reps = materialise(reps, "reps")
-    release(signed, first)
+    release(signed)
     width = 4 * rows
-    bands = reps.select(F.col("doc_id").alias("id"), F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(registers // rows - 1)), lambda i: F.substring("sig", (i * width + 1).cast("int"), F.lit(width)))).alias("band", "part"))
+    bands = reps.select("id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(registers // rows - 1)), lambda i: F.substring("sig", (i * width + 1).cast("int"), F.lit(width)))).alias("band", "part"))
     bands = bands.select("id", F.xxhash64("band", "part").alias("bucket"))
     ends = materialise(bands.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("bucket", "low"), "ends")
     buckets = materialise(bands.join(ends, "bucket"), "buckets")
     release(ends)
     # only texts in some bucket go on, a small part of all, so they are gathered in fewer files than they come from
-    texts = materialise(docs.join(buckets.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").hint("rebalance"), "texts")
+    wanted = materialise(reps.join(buckets.select("id").distinct(), "id", "left_semi").select("id", F.col("doc_id").alias("of"), "text_key"), "wanted")
+    keyed = docs.withColumn("text_key", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+    texts = keyed.join(wanted, (keyed["text_key"] == wanted["text_key"]) & keyed["doc_id"].eqNullSafe(wanted["of"])).select("id", "text")
+    again = member.where(F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("row") != F.col("node")))
+    repeated = not again.isEmpty()
+    if repeated:  # rows of the same id and text: one of them is enough
+        texts = texts.dropDuplicates(["id"])
+    texts = materialise(texts.hint("rebalance"), "texts")
     # signatures may be off by five standard deviations
     least = similarity - 5 * math.sqrt(similarity * (1 - similarity) / registers)
-    sig_a, sig_b = (reps.select(F.col("doc_id").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "ab")
+    sig_a, sig_b = (reps.select(F.col("id").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "ab")
 
     def checked(pairs: DataFrame) -> DataFrame:
         pairs = materialise(pairs.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct(), "pairs")
@@ -285,17 +290,62 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
         release(pairs)
         return found
 
-    def classes(links: DataFrame) -> DataFrame:
+    def components(links: DataFrame) -> DataFrame:
         return materialise(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "part")
 
     links = checked(buckets.where("id <> low").select("id", F.col("low").alias("pivot")))
-    part = classes(links)
+    part = components(links)
     more = checked(_leftovers(buckets, part, reps, texts, shingle, similarity, registers, weighted))
-    release(texts, buckets, reps)
+    release(texts, buckets, reps, wanted)
     if not more.isEmpty():
         links = links.union(more).distinct()
-        part = classes(links)
+        part = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    found = part.join(degree, "node", "left").select(F.col("node").alias("rep"), "component", "n_links")
-    joined = member.join(materialise(found, "classes"), "rep", "left")
-    return joined.select("doc_id", F.coalesce("component", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    of = part.join(first.select("node", "rep_id"), "node")
+    # a class bears the least doc_id of its texts, and its first row is that text's
+    head = of.groupBy("component").agg(F.min(F.struct(F.col("rep_id").isNull().alias("none"), "rep_id", "node")).alias("h"))
+    found = part.join(head, "component").join(degree, "node", "left").select("node", F.col("h.node").alias("head"), F.col("h.rep_id").alias("class_id"), "n_links")
+    joined = member.join(materialise(found, "classes"), "node", "left")
+    joined = joined.select("doc_id", "text_key", "row", F.coalesce("head", "node").alias("head"), "node", F.when(F.col("head").isNull(), F.col("rep_id")).otherwise(F.col("class_id")).alias("class_id"), "n_links")
+    same = (F.col("node") == F.col("head")) & F.col("doc_id").eqNullSafe(F.col("class_id"))
+    place = F.when(F.col("row") == F.col("head"), "first").when(same, "repeat").otherwise("other")
+    return joined.select("doc_id", "text_key", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), place.alias("place"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, registers: int = REGISTERS, rows: int = ROWS, weighted: bool = False) -> DataFrame:
+    """(doc_id, class_id, n_links) for every row of ``docs`` (doc_id, text).
+
+    A class is a connected component of texts that are equal or similar; it bears its
+    least doc_id.  n_links counts the verified links of a text's row in the search, equal
+    texts apart.  A null text counts as empty; texts without words are alike only if equal.
+    Rows with the same doc_id are documents like any others, each in the class of its text.
+    ``weighted`` takes probability Jaccard similarity of how often shingles occur.
+    Texts are compared whole, however long.  A row without doc_id has the class of its text,
+    null if no document of that class has a doc_id.
+    Nothing in ``docs`` but doc_id and text is read.
+    """
+    return classes(docs, shingle, similarity, registers, rows, weighted).select("doc_id", "class_id", "n_links")
+
+
+def thinned(docs: DataFrame, weighted: bool = False) -> DataFrame:
+    """``docs`` with one row of each class of near duplicates, all columns as they are.
+
+    The row with the least doc_id stays, and one of its repeats.  Rows are told apart by
+    doc_id and text together, so of a doc_id that stands for several texts only those go whose
+    own class has another row.  A row without doc_id can't be named and stays.
+    """
+    found = materialise(classes(docs, weighted=weighted).select(F.col("doc_id").alias("of"), "text_key", "place"), "places")
+    name = unused("__key", docs.columns)
+    columns = quoted(docs.columns)
+    keyed = docs.withColumn(name, F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
+
+    def meets(other: DataFrame) -> Column:
+        return (keyed[name] == other["text_key"]) & (keyed["doc_id"] == other["of"])
+
+    gone = materialise(found.where("place = 'other'").select("of", "text_key").distinct(), "gone")
+    kept = keyed.join(gone, meets(gone), "left_anti")
+    often = materialise(found.where("place = 'repeat'").select("of", "text_key").distinct(), "repeated")
+    if often.isEmpty():
+        return kept.select(columns)
+    once = kept.join(often, meets(often), "left_semi").dropDuplicates(["doc_id", name])
+    return kept.join(often, meets(often), "left_anti").select(columns).union(once.select(columns))

@@ -12,6 +12,7 @@ overlap of the whole item is missed.
 from __future__ import annotations
 
 import functools
+import hashlib
 import itertools
 import math
 from collections.abc import Iterator
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .storage import materialise, quoted
+from .storage import materialise, quoted, unused
 
 #: used positions of a mask are 1; each uses six words.  Chosen one after the other, each the one that
 #: fits most of the stretches of 16 words with four replaced that none before it fits; together they
@@ -200,7 +201,7 @@ class Index:
         return matched, low + diagonal + start, low + diagonal + end - 1
 
 
-def _scan(docs: DataFrame, index: Index, item_type: str) -> tuple[DataFrame, Broadcast]:
+def _scan(docs: DataFrame, index: Index, item_type: str, keyed: bool) -> tuple[DataFrame, Broadcast]:
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     @tk.tidied
@@ -217,13 +218,15 @@ def _scan(docs: DataFrame, index: Index, item_type: str) -> tuple[DataFrame, Bro
                 if best:
                     doc_ids = batch.column(0).take(pa.array([block.first + d for d, _ in best]))
                     rows = list(zip(*best.values(), strict=True))
-                    yield pa.RecordBatch.from_arrays(
-                        [doc_ids, pa.array([index.ids[i] for _, i in best]), pa.array([int(index.first[i + 1] - index.first[i]) for _, i in best]), *(pa.array(list(r), pa.int64()) for r in rows)],
-                        names=["doc_id", "item_id", "item_words", "matched_words", "first_word", "last_word"],
-                    )
+                    columns = [doc_ids, pa.array([index.ids[i] for _, i in best]), pa.array([int(index.first[i + 1] - index.first[i]) for _, i in best]), *(pa.array(list(r), pa.int64()) for r in rows)]
+                    if keyed:
+                        keys = {d: hashlib.sha256(block.data[block.bounds[d] : block.bounds[d + 1]]).digest() for d in {d for d, _ in best}}
+                        columns.append(pa.array([keys[d] for d, _ in best], pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = f"doc_id {kind}, item_id {item_type}, item_words bigint, matched_words bigint, first_word bigint, last_word bigint"
+    out = f"doc_id {kind}, item_id {item_type}, item_words bigint, matched_words bigint, first_word bigint, last_word bigint" + (", text_key binary" if keyed else "")
+    names = ["doc_id", "item_id", "item_words", "matched_words", "first_word", "last_word", *(["text_key"] if keyed else [])]
     return docs.select("doc_id", "text").mapInArrow(run, out), shared
 
 
@@ -234,12 +237,12 @@ def _index_bytes(text: Column) -> Column:
     return F.octet_length(text) + n * (8 + 16 * len(MASKS)) + F.when(n < SHORT, 16 * short).otherwise(0)
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, max_broadcast: int = MAX_BROADCAST_BYTES) -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, max_broadcast: int = MAX_BROADCAST_BYTES, keyed: bool = False) -> DataFrame:
     """One row for each (document, item) whose texts overlap, substitutions allowed.
 
     Columns: doc_id, item_id, item_words, matched_words, first_word and last_word (the
     best stretch, in words of the document from 0: the one with most matched words, of
-    such the last).  Items of equal text stand under their least item_id.  Null and empty
+    such the last), and, if ``keyed``, text_key, the SHA-256 of the document's text.  Items of equal text stand under their least item_id.  Null and empty
     texts overlap with nothing; texts of any length are searched whole.  A repeated row of
     ``docs`` has rows of its own; columns besides doc_id, text and item_id are not read.
 
@@ -258,21 +261,25 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
     for i in range(blocks):
         part = (items.where(F.col("block") == i) if blocks > 1 else items).orderBy("item_id").collect()
         if part:
-            found, shared = _scan(docs, Index.build([(r["item_id"], r["text"]) for r in part], masks), kind)
+            found, shared = _scan(docs, Index.build([(r["item_id"], r["text"]) for r in part], masks), kind, keyed)
             if blocks > 1:
                 found = materialise(found, "overlaps")
                 shared.destroy()
             parts.append(found)
     if not parts:
-        return _scan(docs.limit(0), Index.build([(0, "")], masks), kind)[0]
+        return _scan(docs.limit(0), Index.build([(0, "")], masks), kind, keyed)[0]
     return functools.reduce(DataFrame.union, parts)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without those that overlap with an item; a row without doc_id can't be named and stays.
+    """``docs`` without those that overlap with an item, all columns as they are.
 
-    Where a doc_id stands for several texts, all of them go with the one that overlaps.
+    A document is told by its doc_id and text together: where a doc_id stands for several
+    texts, those that overlap go and the others stay.  A row without doc_id can't be named
+    and stays.
     """
     # a table, whose size tells the join whether it may be sent out
-    found = materialise(overlaps(docs, benchmark).select("doc_id").distinct(), "found")
-    return docs.join(found, "doc_id", "left_anti").select(quoted(docs.columns))
+    found = materialise(overlaps(docs, benchmark, keyed=True).select(F.col("doc_id").alias("of"), "text_key").distinct(), "found")
+    name = unused("__key", docs.columns)
+    keyed = docs.withColumn(name, F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
+    return keyed.join(found, (keyed[name] == found["text_key"]) & (keyed["doc_id"] == found["of"]), "left_anti").select(quoted(docs.columns))
