@@ -40,12 +40,16 @@ _KNOWN = "|".join(f"(?:{'|'.join(names.split())})[0-9]{{2}}{_iban_form(n)}" for
 #: by the country's length, so that no token behind it is taken in; other countries and lengths as long as they go
 _IBAN = rf"(?<![0-9A-Za-z])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_KNOWN}|[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)(?![0-9A-Za-z])"
 _NANP = r"\+1[ .-]?(?:\([2-9][0-9]{2}\)|[2-9][0-9]{2})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+#: without a plus: area and exchange codes begin with 2 to 9 and one separator stands twice, or the area code
+#: stands in brackets, or the number begins with a trunk 0
+_HOME = r"[2-9][0-9]{2}(?: [2-9][0-9]{2} |-[2-9][0-9]{2}-|\.[2-9][0-9]{2}\.)[0-9]{4}|\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{4}|0[0-9]{1,3}[ .-][0-9]{3,4}[ .-][0-9]{4}"
+_OTHER = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?|[0-9]{2,4}[ .-][0-9]{3,4}[ .-])[0-9]{4}"
 #: international form: at most 15 digits, with or without separators
 _ABROAD = r"\+(?=[2-9])(?=(?:[ .()-]{0,2}[0-9]){8,15}(?![0-9A-Za-z]))[0-9](?:[ .-]?(?:\([0-9]{1,4}\)|[0-9])){6,14}"
-#: calling code: one digit, one of the pairs, or three digits
-_CALLING = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}|[0-9]{1,2})[ .-]?"
+#: what stays of a phone number: a trunk 0, or the calling code, that is one digit, one of the pairs, or three digits
+_CALLING = r"^(?:\(?0|\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}|[0-9]{1,2})[ .-]?)"
 #: months by their English names, behind the day or before it
-_MONTH = "(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:tember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)"
+_MONTH = "(?:Jan(?:uary|[.])?|Feb(?:ruary|[.])?|Mar(?:ch|[.])?|Apr(?:il|[.])?|May|Jun(?:e|[.])?|Jul(?:y|[.])?|Aug(?:ust|[.])?|Sep(?:tember|t?[.]|t)?|Oct(?:ober|[.])?|Nov(?:ember|[.])?|Dec(?:ember|[.])?)"
 _WRITTEN = rf"(?:{_MONTH} [0-9]{{1,2}},? |[0-9]{{1,2}} {_MONTH},? )(?:19|20)[0-9]{{2}}"
 #: kind: pattern; where two fit at one place, the first of the list is tried first
 PATTERNS = {
@@ -54,7 +58,7 @@ PATTERNS = {
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|3[47][0-9]{2}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z-])",
     "date": rf"(?<![0-9A-Za-z./-])(?:(?:19|20)[0-9]{{2}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{1,2}}([./])[0-9]{{1,2}}\2(?:19|20)[0-9]{{2}}|{_WRITTEN})(?![0-9A-Za-z]|[./-][0-9])",
-    "phone": rf"(?<![0-9A-Za-z])(?:{_NANP}|{_ABROAD}|(?:\+[0-9]{{1,3}}[ .-]?)?(?:\([0-9]{{2,4}}\)[ .-]?[0-9]{{3,4}}[ .-]?|[0-9]{{2,4}}[ .-][0-9]{{3,4}}[ .-])[0-9]{{4}})(?![0-9A-Za-z])",
+    "phone": rf"(?<![0-9A-Za-z])(?:{_NANP}|{_ABROAD}|{_OTHER}|{_HOME})(?![0-9A-Za-z])",
     "ip": rf"(?<![0-9A-Za-z.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z]|\.[0-9])",
 }
 #: a line that can hold none of them is passed over by this
@@ -192,38 +196,69 @@ def _ssn(m: Column, key: str) -> Column:
     return _let(permute_index(_let(_digits(m), rank), 898 * 99 * 9999, key, F.lit("ssn")), form)
 
 
+def _late(day: Column) -> Column:
+    """Whether the day of the month is over 12, so that it can't be read as a month."""
+    return F.dayofmonth(F.date_add(F.to_date(F.lit(_FIRST_DAY)), day.cast("int"))) > 12
+
+
+def permute_day(day: Column, key: str) -> Column:
+    """Keyed permutation of the days from 1900 to 2099.
+
+    Days over the 12th of a month and others are permuted among themselves: whichever of day
+    and month a form puts first, the pseudonym is read as the value was, in every form.
+    """
+    return _let(day, lambda d: permute_index(d, _DAYS, key, F.lit("day"), inside=lambda v: _late(v) == _late(d)))
+
+
 def _date(m: Column, key: str) -> Column:
     first = F.to_date(F.lit(_FIRST_DAY))
+    # what a month's abbreviation may have besides its three letters
+    plain = F.regexp_replace(F.regexp_replace(m, "Sept(?!e)", "Sep"), "(?<=[A-Za-z])[.]|,", "")
+    written, lead = m.rlike("[A-Z]"), m.rlike("^[0-9]")
+    #: (where it may stand, the form read, its numbers with leading zeros); with strokes the day comes first where that is a date
+    forms = [
+        (m.contains("-"), "yyyy-MM-dd"),
+        *((~written & m.contains(mark) & ((F.length(m) == 10) == F.lit(form.startswith(("dd", "MM")))), form) for mark, form in ((".", "dd.MM.yyyy"), (".", "d.M.yyyy"), ("/", "dd/MM/yyyy"), ("/", "d/M/yyyy"), ("/", "MM/dd/yyyy"), ("/", "M/d/yyyy"))),
+        *((written & (lead if form.startswith("d") else ~lead), form) for form in ("d MMMM yyyy", "MMMM d yyyy", "d MMM yyyy", "MMM d yyyy")),
+    ]
+
+    def read(i: int, fits: Column, form: str) -> Column:
+        day = F.datediff(F.to_date(F.try_to_timestamp(F.when(fits, plain), F.lit(form))), first)
+        return _let(day, lambda d: F.when(d.isNotNull(), F.struct(d.alias("day"), F.lit(i).alias("form"))))
 
-    def in_form(form: str, tweak: str, inside=None) -> Column:
-        day = F.datediff(F.to_date(F.try_to_timestamp(m, F.lit(form))), first)
-        moved = permute_index(day, _DAYS, key, F.lit(tweak), inside)
-        return F.when(day.isNotNull(), F.date_format(F.date_add(first, moved.cast("int")), form))
-
-    late = lambda v: F.dayofmonth(F.date_add(first, v.cast("int"))) > 12
-    out = in_form("yyyy-MM-dd", "iso")
-    # a form with single digits is the same day as the one with two, so it moves alike
-    for mark, forms in ((".", (("d.M.yyyy", "dotted", None),)), ("/", (("d/M/yyyy", "slashed", None), ("M/d/yyyy", "month first", late)))):
-        # with strokes the day comes first where that is a date; else the month does, and then the day is over 12
-        padded = F.coalesce(*(in_form(f.replace("d", "dd").replace("M", "MM"), *how) for f, *how in forms))
-        plain = F.coalesce(*(in_form(f, *how) for f, *how in forms))
-        out = F.when(m.contains(mark), F.when(F.length(m) == 10, padded).otherwise(plain)).otherwise(out)
-    comma, lead = F.when(m.contains(","), ",").otherwise(""), m.rlike("^[0-9]")
-    written = None
-    for month in ("MMMM", "MMM"):
-        for front, form in ((True, f"d {month} yyyy"), (False, f"{month} d yyyy")):
-            fits = lead if front else ~lead
-            day = F.datediff(F.to_date(F.try_to_timestamp(F.when(fits, F.regexp_replace(m, ",", "")), F.lit(form))), first)
-            moved = permute_index(day, _DAYS, key, F.lit("written"))
-            date = F.date_add(first, moved.cast("int"))
-            text = F.when(day.isNotNull(), F.concat(F.date_format(date, form.removesuffix(" yyyy")), comma, F.lit(" "), F.date_format(date, "yyyy")))
-            written = text if written is None else F.coalesce(written, text)
-    return F.coalesce(F.when(m.rlike("[A-Z]"), written).otherwise(out), m)
+    def rendered(form: str, date: Column) -> Column:
+        text = F.date_format(date, form)
+        if not form.endswith(" yyyy"):
+            return text
+        # a full stop or comma stands where it stood
+        text = F.regexp_replace(text, "([A-Za-z]+)", F.concat(F.lit("$1"), F.when(m.contains("."), ".").otherwise("")))
+        return F.when(m.contains(","), F.regexp_replace(text, " (?=[0-9]{4}$)", ", ")).otherwise(text)
+
+    def moved(found: Column) -> Column:
+        def written_out(date: Column) -> Column:
+            out = F.lit(None).cast("string")
+            for i, (_, form) in enumerate(forms):
+                out = F.when(found["form"] == i, rendered(form, date)).otherwise(out)
+            return out
+
+        return F.when(found.isNotNull(), _let(F.date_add(first, permute_day(found["day"], key).cast("int")), written_out))
+
+    return F.coalesce(_let(F.coalesce(*(read(i, *f) for i, f in enumerate(forms))), moved), m)
+
+
+def _subscriber(digits: Column) -> Column:
+    """Whether ten digits, as a number, have area and exchange codes as North American numbers have."""
+    return ((digits / 1_000_000_000).cast("bigint") > 1) & (((digits / 1_000_000).cast("bigint") % 10) > 1)
 
 
 def _phone(m: Column, key: str) -> Column:
+    def moved(digits: Column) -> Column:
+        # ten digits that are a North American number become one, others others
+        ten = _let(digits.cast("bigint"), lambda v: permute_index(v, 10**10, key, F.lit("phone"), inside=lambda x: _subscriber(x) == _subscriber(v)))
+        return F.when(F.length(digits) == 10, F.lpad(ten.cast("string"), 10, "0")).otherwise(permute_digits(digits, key, F.lit("phone")))
+
     prefix = F.regexp_extract(m, _CALLING, 0)
-    return _let(prefix, lambda p: _let(F.substring(m, F.length(p) + 1, F.length(m)), lambda rest: F.concat(p, _refill(rest, permute_digits(_digits(rest), key, F.lit("phone"))))))
+    return _let(prefix, lambda p: _let(F.substring(m, F.length(p) + 1, F.length(m)), lambda rest: F.concat(p, _refill(rest, moved(_digits(rest))))))
 
 
 def _ip(m: Column, key: str) -> Column:
@@ -265,9 +300,9 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | Non
     """``docs`` with pseudonyms in ``text`` and a new column ``count`` of how many stand there, if it is named.
 
     Nothing but the matches changes; a null text stays null and has none.  Texts of any
-    length are read whole, and repeated rows get the same pseudonyms.  An input column
-    named ``count`` is replaced, all others stay.  Where two kinds fit at one place, the
-    first of PATTERNS is meant.
+    length are read whole, and repeated rows get the same pseudonyms.  Where ``docs`` has a
+    column named ``count``, the new one has underscores before its name.  Where two kinds fit
+    at one place, the first of PATTERNS is meant.
     """
     body, there, new = F.col(text), unused("__found", docs.columns), unused("__new", docs.columns)
     found = docs.withColumn(there, F.when(body.rlike("[0-9@]"), F.regexp_extract_all(body, F.lit(_ANY), F.lit(0))))
@@ -277,5 +312,5 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | Non
     changed = F.size(F.filter(F.zip_with(there, new, lambda a, b: a != b), lambda x: x))
     out = found.withColumn(text, F.when(F.col(new).isNotNull(), whole).otherwise(body))
     if count is not None:
-        out = out.withColumn(count, F.when(F.col(new).isNotNull(), changed).otherwise(0).cast("long"))
+        out = out.withColumn(unused(count, docs.columns), F.when(F.col(new).isNotNull(), changed).otherwise(0).cast("long"))
     return out.drop(there, new)
