@@ -2,9 +2,9 @@
 
 Base secrets are found by pattern alone.  Weaker candidates (an identifier, a short or
 unprefixed secret, an endpoint) are reported only where complementary parts stand within
-one scope: an interval join per document brings together a secret and an identifier that
-are at most ``SCOPE`` code points apart, and the endpoints near such a secret.  A base
-access key may stand for the identifier, a base assignment or hex string for the secret.
+one scope: an interval join per document brings together a secret and the identifiers and
+endpoints that are at most ``SCOPE`` code points away from it.  A base access key may stand
+for the identifier, a base assignment or hex string for the secret.
 """
 
 from __future__ import annotations
@@ -106,19 +106,18 @@ def _apart(left: DataFrame, right: DataFrame, scope: int) -> DataFrame:
 def link(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Weak spans (row, kind, start, end) whose complementary parts co-occur within ``scope``.
 
-    A secret needs an identifier beside it; identifiers and endpoints are reported where
-    they are near such a secret.  An endpoint makes the link a stronger one.  Parts that
-    overlap are no complements: a weak secret within a base span is that span's, and an
-    identifier is no company for the string that is its own value.
+    A secret needs an identifier or an endpoint beside it; identifiers and endpoints are
+    reported where they are near such a secret.  Parts that overlap are no complements: a
+    weak secret within a base span is that span's, and an identifier is no company for the
+    string that is its own value.
     """
     of = {k: i for i, k in enumerate(KINDS)}
-    identifier = spans.where(F.col("kind").isin(of["identifier"], of["access"]))
+    company = spans.where(F.col("kind").isin(of["identifier"], of["access"], of["endpoint"]))
     base = spans.where(F.col("kind").isin(of["assign"], of["hex"]))
     weak = _apart(spans.where(F.col("kind") == of["weak_secret"]), spans.where(F.col("kind") < len(BASE)), scope)
     secret = base.union(weak.select(base.columns))
-    endpoint = spans.where(F.col("kind") == of["endpoint"])
-    whole = materialise(_near(secret, identifier, scope), "linked")
-    parts = _near(endpoint, whole, scope).union(_near(identifier, whole, scope)).union(whole)
+    whole = materialise(_near(secret, company, scope), "linked")
+    parts = _near(company, whole, scope).union(whole)
     return parts.where(F.col("kind") >= len(BASE))
 
 

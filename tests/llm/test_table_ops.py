@@ -173,6 +173,31 @@ def test_forms_of_one_day_stay_linked(spark):
         assert r.n_private == 2
 
 
+def test_all_forms_of_a_day_are_one_day(spark):
+    days = ["2020-12-31", "2020-02-05", "1999-10-22", "2021-09-30", "1987-06-01"]
+    forms = ["%Y-%m-%d", "%d.%m.%Y", "%d/%m/%Y", "%m/%d/%Y", "%B %d, %Y", "%d %B %Y", "%d %b. %Y", "%b %d %Y"]
+    rows = [(i * 100 + j, datetime.date.fromisoformat(d).strftime(f)) for i, d in enumerate(days) for j, f in enumerate(forms) if f != "%m/%d/%Y" or int(d[-2:]) > 12]
+    got = {r.doc_id: r.text for r in pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    for i, d in enumerate(days):
+        found = {datetime.datetime.strptime(got[k].replace(".", "") if "b" in f else got[k], f.replace(".", "") if "b" in f else f).date() for k, _ in rows if k // 100 == i for f in [forms[k % 100]]}
+        assert len(found) == 1 and found != {datetime.date.fromisoformat(d)} and (found.pop().day > 12) == (int(d[-2:]) > 12)
+
+
+def test_days_are_permuted(spark):
+    got = spark.range(73049).select("id", pseudonyms.permute_day(F.col("id"), "k").alias("v")).toPandas()
+    assert sorted(got.v) == list(range(73049))
+
+
+def test_months_and_phones_by_their_rules(spark):
+    texts = ["on Sept 5, 2020", "on 5 Sept. 2020", "on Sep. 5 2020", "call 415-555-2671", "call 0171 234 5678", "order 2019 1234 5678", "v 10.20 3000 4000", "sum 115 555 2671"]
+    got = {r.doc_id: r for r in pseudonyms.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "key").collect()}
+    assert [got[i].n_private for i in range(len(texts))] == [1, 1, 1, 1, 1, 0, 0, 0]
+    assert re.fullmatch(r"call [2-9]\d\d-[2-9]\d\d-\d{4}", got[3].text) and got[4].text.startswith("call 0")
+    row = pseudonyms.pseudonymise(spark.createDataFrame([(1, "+1 415 555 2671, 415-555-2671")], "doc_id long, text string"), "key").first().text
+    a, b = row.split(", ")
+    assert re.sub("[^0-9]", "", a) == "1" + re.sub("[^0-9]", "", b)
+
+
 def brute_private(text):
     """Values that must not stay, found one word border at a time, without the operator's patterns."""
     found = set()
@@ -239,7 +264,8 @@ def test_pseudonyms_change_nothing_else(spark, sf_dir, docs):
 
 def test_pseudonyms_of_odd_rows(spark):
     got = pseudonyms.pseudonymise(odd_rows(spark), "key")
-    assert set(got.columns) == set(odd_rows(spark).columns) and {r.text for r in got.collect()} == {*ODD}
+    # the caller's own n_private stays
+    assert set(got.columns) == {*odd_rows(spark).columns, "_n_private"} and {r.n_private for r in got.collect()} == {r.n_private for r in odd_rows(spark).collect()} and {r.text for r in got.collect()} == {*ODD}
     assert pseudonyms.pseudonymise(odd_rows(spark).limit(0), "key").count() == 0
 
 
@@ -415,7 +441,8 @@ def test_linked_credentials(spark):
     }
     got = {r.doc_id: r.spans for r in secrets.report(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
     assert got[1] == "identifier:2:10,weak_secret:11:20,endpoint:21:40"
-    assert got[2] == got[3] == ""
+    assert got[2] == ""
+    assert got[3] == "weak_secret:310:319,endpoint:320:332"
     assert got[4] == "access:0:20,assign:21:45,endpoint:46:70"
     assert got[5] == "identifier:0:8,weak_secret:9:18,endpoint:19:31"
 
@@ -429,8 +456,9 @@ def brute_links(spans, scope=secrets.SCOPE):
     base = [s for s in spans if s[0] < 3]
     weak = [s for s in spans if name(s) == "weak_secret" and all(gap(s, b) >= 0 for b in base)]
     identifiers = [s for s in spans if name(s) in ("identifier", "access")]
-    whole = [s for s in [*weak, *(b for b in base if name(b) != "access")] if any(near(s, i) for i in identifiers)]
-    parts = [s for s in identifiers + [s for s in spans if name(s) == "endpoint"] if any(near(s, w) for w in whole)]
+    company = identifiers + [s for s in spans if name(s) == "endpoint"]
+    whole = [s for s in [*weak, *(b for b in base if name(b) != "access")] if any(near(s, c) for c in company)]
+    parts = [s for s in company if any(near(s, w) for w in whole)]
     return sorted({s for s in whole + parts if s[0] >= 3} | set(base), key=lambda s: (s[1], s[0]))
 
 
