@@ -18,7 +18,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -36,7 +35,7 @@ WIDTH, DEPTH = 1 << 21, 4
 CHUNK = 1 << 16
 BLOCK_BYTES = 4 << 20
 #: rows of partial counts that a task holds before it hands them on
-HELD = 1 << 19
+HELD = 1 << 20
 _SALTS = 64
 U = np.uint64
 
@@ -51,11 +50,8 @@ def terms(block: tk.Block) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(document, code) of every term of a block, and the distinct terms the codes stand for."""
     start, end = tk.runs(IS_TERM[block.data], block.bounds)
     doc = np.searchsorted(block.bounds, start, "right") - 1
-    raw = _LOWER[block.data[IS_TERM[block.data]]]
-    offsets = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
-    plain = pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
-    coded = plain.dictionary_encode()
-    return doc, coded.indices.to_numpy(), coded.dictionary
+    code, words = tk.coded(_LOWER[block.data], start, end)
+    return doc, code, words.cast(pa.large_string())
 
 
 def per_document(doc: np.ndarray, code: np.ndarray, many: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -71,10 +67,6 @@ def _cells(lang: np.ndarray, term: np.ndarray, width: int, depth: int) -> Iterat
         yield (tk.mix(both + step) % U(width)).astype(np.int64) + row * width
 
 
-def _hashes(values: pa.Array) -> np.ndarray:
-    return pd.util.hash_array(np.array(values.to_pylist(), dtype=object), categorize=False)
-
-
 def _coded(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
     coded = column.dictionary_encode()
     return coded.indices.to_numpy(), coded.dictionary
@@ -104,7 +96,7 @@ def sketch(docs: DataFrame, least: int = MIN_DOCS, width: int = WIDTH, depth: in
         cells = np.zeros(width * depth, np.uint8)
         for batch in batches:
             lang, langs = _coded(batch.column(0))
-            lang_hash = _hashes(langs)
+            lang_hash = tk.hashes(langs)
             for block in tk.blocks(batch.column(1), BLOCK_BYTES):
                 doc, code, words = terms(block)
                 if not len(code):
@@ -112,7 +104,7 @@ def sketch(docs: DataFrame, least: int = MIN_DOCS, width: int = WIDTH, depth: in
                 d, c, _ = per_document(doc, code, len(words))
                 of = lang[block.first : block.first + block.size][d].astype(np.int64)
                 key, n = np.unique(of * len(words) + c, return_counts=True)
-                for at in _cells(lang_hash[key // len(words)], _hashes(words)[key % len(words)], width, depth):
+                for at in _cells(lang_hash[key // len(words)], tk.hashes(words)[key % len(words)], width, depth):
                     added(cells, at, n)
         yield chunks(cells)
 
@@ -154,7 +146,7 @@ def counted(docs: DataFrame, shared: Broadcast, least: int = MIN_DOCS, width: in
         for batch in batches:
             lang, langs = _coded(batch.column(0))
             source, sources = _coded(batch.column(1))
-            lang_hash = _hashes(langs)
+            lang_hash = tk.hashes(langs)
             group = lang.astype(np.int64) * len(sources) + source
             for block in tk.blocks(batch.column(2), BLOCK_BYTES):
                 doc, code, words = terms(block)
@@ -168,7 +160,7 @@ def counted(docs: DataFrame, shared: Broadcast, least: int = MIN_DOCS, width: in
                 np.add.at(total, back, n)
                 of, word = key // many, key % many
                 passed = np.ones(len(key), dtype=bool)
-                for at in _cells(lang_hash[of // len(sources)], _hashes(words)[word], width, depth):
+                for at in _cells(lang_hash[of // len(sources)], tk.hashes(words)[word], width, depth):
                     passed &= cells[at] >= least
                 of, word = of[passed], word[passed]
                 columns = [langs.take(pa.array(of // len(sources))), sources.take(pa.array(of % len(sources))), words.cast(pa.string()).take(pa.array(word)), pa.array(total[passed]), pa.array(df[passed])]
