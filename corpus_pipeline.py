@@ -1,7 +1,8 @@
 """Corpus cleaning in five stages; each takes (spark, docs, sf_dir) and returns a DataFrame.
 
-All stages but the last return the columns they were given.  A row without doc_id can't be
-named by a verdict and stays; a null text counts as empty, which has no language and goes.
+All stages but the last return the columns they were given.  A row is named by its doc_id and
+text together, so a doc_id may stand for several texts; a row without doc_id can't be named by a
+verdict and stays; a null text counts as empty, which has no language and goes.
 """
 
 from __future__ import annotations
@@ -27,18 +28,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates the document with the least id; of its repeated rows (same id and text) one."""
-    classes = probminhash.near_duplicates(docs)
-    gone = storage.materialise(classes.where("doc_id <> class_id").select("doc_id").distinct(), "gone")
-    columns = storage.quoted(docs.columns)
-    kept = docs.join(gone, "doc_id", "left_anti").select(columns)
-    key, name = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256), storage.unused("__key", docs.columns)
-    often = docs.where("doc_id is not null").groupBy("doc_id", key.alias(name)).agg(F.count("*").alias("n")).where("n > 1")
-    often = storage.materialise(often.select("doc_id", name), "repeated")
-    if often.isEmpty():
-        return kept
-    keyed = kept.withColumn(name, key)
-    once = keyed.join(often, ["doc_id", name], "left_semi").dropDuplicates(["doc_id", name])
-    return keyed.join(often, ["doc_id", name], "left_anti").select(columns).union(once.select(columns))
+    return probminhash.thinned(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
