@@ -39,7 +39,7 @@ def op4_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return probminhash.near_duplicates(table(spark, sf_dir, "documents"), weighted=True)
 
 
 def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:

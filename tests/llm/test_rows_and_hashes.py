@@ -1,9 +1,11 @@
-"""Rows told apart by id and text; texts that a polynomial hash would take for equal."""
+"""Rows told apart by id and text; texts that a polynomial hash would take for equal; the weighted measure on the tables."""
+
+import collections
 
 import pyarrow as pa
 import pytest
 
-from tempolith.llm import probminhash, quality, spaced_seeds
+from tempolith.llm import probminhash, quality, queries, spaced_seeds
 from tempolith.llm import textkernel as tk
 
 
@@ -56,3 +58,39 @@ def test_overlaps_of_repeated_and_very_long_rows(spark):
     docs = spark.createDataFrame([(1, A), (1, A), (2, long), (3, "x" * 200_000), (None, None)], "doc_id long, text string").selectExpr("*", "1 as matched_words", "2 as `a.b`")
     got = sorted((r.doc_id, r.matched_words, r.first_word) for r in spaced_seeds.overlaps(docs, spark.createDataFrame([(1, A)], "item_id long, text string")).collect())
     assert got == [(1, 40, 0), (1, 40, 0), (2, 40, 240_000)]
+
+
+def test_query_equals_brute_force_probability_jaccard(spark, sf_dir):
+    """Classes and links of the query, from all pairs of different texts that share a shingle."""
+    rows = [(r.doc_id, r.text or "") for r in queries.table(spark, sf_dir, "documents").select("doc_id", "text").collect()]
+    first = {}
+    for i, t in sorted(rows):
+        first.setdefault(t, i)
+    weights, by, parent, links = {}, collections.defaultdict(set), {i: i for i, _ in rows}, collections.Counter()
+    for t, i in first.items():
+        w = t.translate(str.maketrans("\t\n\v\f\r", "     ")).split(" ")
+        w = [x for x in w if x]
+        weights[i] = collections.Counter(tuple(w[j : j + 5]) for j in range(len(w) - 4)) if len(w) >= 5 else collections.Counter([tuple(w)] if w else [])
+        for s in weights[i]:
+            by[s].add(i)
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    def similarity(a, b):
+        x, y = weights[a], weights[b]
+        both = [*x.keys() | y.keys()]
+        return sum(1 / sum(max(x[j] / x[i], y[j] / y[i]) for j in both) for i in x.keys() & y.keys())
+
+    for a, b in {(a, b) for ids in by.values() for a in ids for b in ids if a < b}:
+        common, union = sum((weights[a] & weights[b]).values()), sum((weights[a] | weights[b]).values())
+        if common < 0.5 * union:  # far below; the full sum is costly
+            continue
+        if similarity(a, b) >= 0.8 - 1e-9:
+            links.update((a, b))
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in queries.op5_probminhash(spark, sf_dir).collect()}
+    assert got == {i: (find(first[t]), links[first[t]]) for i, t in rows}
