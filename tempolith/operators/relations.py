@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.iso import date_fields, date_iso, duration_fields, normal_text, time_class, time_fields
-from ..functions.timenorm import normalize
 from ..schemas import DOC, DURATION, INSTANT
+from .times import read_times
 
 
 def number_tlinks(tlinks: DataFrame) -> DataFrame:
@@ -44,12 +44,13 @@ def normalize_mentions(mentions: DataFrame, meta: DataFrame) -> DataFrame:
     """TIME mentions with iso, time_class and the structs that fit their class.
 
     Each distinct (text, document date) is normalized once; a document without date
-    still has its absolute expressions read.
+    still has its absolute expressions read.  first_day and last_day are the days an
+    expression names, time_kind, about and readings tell how it was read.
     """
     times = mentions.where("kind = 'TIME'").join(meta.select(*DOC, "doc_ts", "doc_date"), list(DOC), "left")
-    texts = times.select("covered_text", "doc_date").distinct().withColumn("iso", normalize(F.col("covered_text"), F.col("doc_date")))
+    texts = read_times(times.select("covered_text", "doc_date"))
     same = (times["covered_text"] == texts["covered_text"]) & times["doc_date"].eqNullSafe(texts["doc_date"])
-    out = times.join(texts, same).select(times["*"], texts["iso"]).withColumn("time_class", time_class(F.col("iso")))
+    out = times.join(texts, same).select(times["*"], *(texts[c] for c in ("iso", "first_day", "last_day", "time_kind", "about", "readings"))).withColumn("time_class", time_class(F.col("iso")))
     iso, kind, ts = F.col("iso"), F.col("time_class"), F.col("doc_ts")
     return out.withColumns({
         "time": time_fields(iso, ts),

@@ -739,3 +739,6 @@ def stream_of_messages(spark, d):
     malformed = spark.read.text(f"{root}/store/malformed").agg(F.count("*").alias("n")).select(F.lit("malformed").alias("name"), "n")
     rows = timelines.current(spark, f"{root}/store").agg(F.count("*").alias("n")).select(F.lit("timeline rows").alias("name"), "n")
     return shown.unionByName(malformed).unionByName(rows)
+
+
+from . import catalogue_times  # noqa: E402, F401  more queries, which register themselves
