@@ -665,8 +665,10 @@ def covering(begin: Column, end: Column, grain: Column | None = None) -> Column:
     week = (_week_begin(begin) == _week_begin(end)) & (F.year(begin) == F.year(end))
     month = F.trunc(begin, "month") == F.trunc(end, "month")
     exact_week = (_week_begin(begin) == begin) & (end == _week_end(begin))
+    of_week = F.lit(False) if grain is None else F.coalesce(grain == "w", F.lit(False))
     return (
-        F.when(begin == end, day)
+        F.when(of_week & exact_week, week_of(begin))
+        .when(begin == end, day)
         .when(week & exact_week, week_of(begin))
         .when(month, F.date_format(begin, "yyyy-MM"))
         .when(week, week_of(begin))
@@ -748,7 +750,7 @@ def resolved(item: Column, anchor: Column) -> Column:
 
     # a point that was moved is as fine as the step
     step_grain = F.when(item["su"] == "year", "y").when(item["su"].isin("day", "week"), "d").otherwise("m")
-    fine = F.when(item["sn"].isNotNull(), step_grain).otherwise(g)
+    fine = F.when(item["sn"].isNotNull(), step_grain).when(g == "r", coarse).otherwise(g)
 
     def opened(s: Column) -> Column:
         iso = F.when((g == "n") & item["sn"].isNull(), F.date_format(anchor, "yyyy-MM-dd")).otherwise(covering(s["begin"], s["end"], fine))
