@@ -232,14 +232,22 @@ def _leftovers(buckets: DataFrame, part: DataFrame, reps: DataFrame, texts: Data
     fits = (F.col("x.h") == F.col("y.h")) & (F.col("x.component") != F.col("y.component"))
     apart = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in ("s0", "s1")), F.lit(0))
     fits &= apart <= reach(min(registers, 128), similarity)
+    fits &= F.col("x.outside") | F.col("y.outside")
     if weighted:
-        small = first.where("outside")
+        # With P and Q the shares of both texts' weights that lie on common shingles, probability Jaccard is at
+        # most 1 / (1 / P + 1 / Q - 1): its terms are at most 1 / (a / p_i + b / q_i) with a = 1 - (1 - c) P and
+        # b = 1 - c Q for any c of 0 to 1, a concave function of p_i and q_i.  At the first common shingle what is left
+        # bounds P and Q, and one of them must be as near to 1 as half the sum demands.
+        sums = 1 + 1 / similarity + 1e-6
+        small = first.where(F.col("n") <= sums / 2 * F.col("left"))
+        fits &= x / F.col("x.left") + y / F.col("y.left") <= sums
+        fits &= (y > sums / 2 * F.col("y.left")) | (F.col("x.id") < F.col("y.id"))
     else:
         # of sets, at least this many of both are common: the shared shingle must stand early enough in the
         # smaller text for a partner of its own size, so a shingle that is early in none meets nobody
         common = similarity / (1 + similarity)
         small = first.where(F.col("left") >= 2 * common * F.col("n") - 1e-6)
-        fits &= (x <= y) & (F.col("x.outside") | F.col("y.outside"))
+        fits &= x <= y
         fits &= F.least(F.col("x.left"), F.col("y.left")) >= common * (x + y) - 1e-6
     met = small.alias("x").join(first.alias("y"), fits)
     return met.select(F.col("x.id").alias("id"), F.col("y.id").alias("pivot"))
