@@ -7,7 +7,7 @@ import difflib
 import functools
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -154,20 +154,25 @@ def align(pairs: DataFrame, how: Matching = Matching(), text: str = "text", quot
     return source.mapInPandas(run, schema)
 
 
-def mentions(tlinks: DataFrame, sections: DataFrame, how: Matching | None = Matching()) -> DataFrame:
+def mentions(tlinks: DataFrame, sections: DataFrame, how: Matching | None = Matching(), keep: Callable[[DataFrame, str], DataFrame] = lambda table, name: table) -> DataFrame:
     """Mentions of every text of the triplets in its own section.
 
     (doc key, section_id, kind, concept_text, begin, end, covered_text, confidence, status)
-    with offsets in the document.  ``how=None`` looks for exact ones only, in the JVM.
+    with offsets in the document.  ``how=None`` looks for exact ones only.  Exact mentions stay
+    in the JVM either way; of near ones Python sees the windows that ``fuzzy`` lets pass.
     """
+    from . import fuzzy  # it builds on this module
+
     keys = ["patient_id", "doc_id", "section_id"]
     texts = tlinks.select(*keys, F.explode(F.array(F.struct(F.lit("MED").alias("kind"), F.col("sact").alias("quote")), F.struct(F.lit("TIME").alias("kind"), F.col("time").alias("quote")))).alias("q"))
-    pairs = texts.select(*keys, "q.kind", "q.quote").where("quote is not null and quote <> ''").distinct().join(sections.select(*keys, F.col("begin").alias("base"), "text"), keys)
+    own = ["kind", "quote"]
+    pairs = texts.select(*keys, F.col("q.kind"), F.col("q.quote")).where("quote <> ''").distinct()
     if how is None:
-        found = exact_spans(pairs, [*keys, "kind", "quote", "base"])
-        found = found.join(sections.select(*keys, "text"), keys).withColumns({"score": F.lit(1.0), "status": F.lit(EXACT)})
+        found = exact_spans(pairs.join(sections.select(*keys, "text"), keys), [*keys, *own])
+        found = found.withColumns({"score": F.lit(1.0), "status": F.lit(EXACT)})
     else:
-        found = align(pairs, how).select(*keys, "kind", "quote", "base", "text", F.explode("mentions").alias("m")).select("*", "m.*")
+        found = fuzzy.near_spans(pairs.withColumn("concept", F.col("quote")), sections, keys, ["kind", "concept"], how, keep=keep).withColumnRenamed("concept", "quote")
+    found = found.join(sections.select(*keys, F.col("begin").alias("base"), "text"), keys)
     return found.select(
         *keys,
         "kind",

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import iso as iso_fn
 from ..functions import text as text_fn
 from ..functions.timenorm import normalize
-from ..operators import align, extract, header, parse, relations, sections, tables, timeline
+from ..operators import align, extract, fuzzy, header, parse, relations, sections, tables, timeline
 from ..schemas import SPAN_HEADER, TABLE_HEADER
 from ..sinks import files, render
 from ..sources import notes as notes_source
@@ -413,6 +413,22 @@ def align_mentions(spark, d):
     return align.mentions(asked, parts, None).drop("confidence")
 
 
+@query("""with found as (select d.doc_id, b.item_id, instr(d.text, b.text) - 1 p, length(b.text) q, length(d.text) n from documents d join benchmark b on contains(d.text, b.text)),
+ w as (select doc_id, item_id, p, q, least(n - i, q + 64) size, i from (select *, unnest(generate_series(0, n - q, greatest(8, q // 4))) i from found)),
+ near as (select doc_id, item_id, p, q, max(cast(2 * (q - 1) as double) / (q + size)) score from w where i <= p and i + size >= p + q group by all)
+ select doc_id, item_id, 'as it is' form, cast(p as int) "begin", cast(p + q as int) "end", cast(1 as double) score, 'match_exact' status from found
+ union all select doc_id, item_id, 'edited', cast(p as int), cast(p + q as int), score, 'match_fuzzy' from near where score >= 0.85""")
+def align_near_passages(spark, d):
+    """Passages of the benchmark in the documents that hold them, as they are and with a character in their middle replaced."""
+    docs, bench = table(spark, d, "documents"), table(spark, d, "benchmark")
+    held = align.contained(docs, bench).select("doc_id", "item_id").join(bench, "item_id")
+    middle = F.floor(F.length("text") / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), middle), F.lit("§"), F.substring(F.col("text"), middle + 2, F.length("text")))
+    forms = F.array(F.struct(F.lit("as it is").alias("form"), F.col("text").alias("quote")), F.struct(F.lit("edited").alias("form"), edited.alias("quote")))
+    quotes = held.select("doc_id", "item_id", F.explode(forms).alias("f")).select("doc_id", "item_id", "f.*")
+    return fuzzy.near_spans(quotes, docs, ["doc_id"], ["item_id", "form"])
+
+
 _HEX = " || ".join(f"md5('{c}' || c_custkey)" for c in "abcdefghijkl")
 
 

@@ -58,7 +58,7 @@ def plan(notes: DataFrame, extract: Callable[[DataFrame], DataFrame], config: Co
     raw = config.keep(extract(parts), "outputs")
     tlinks, errors = parse.parse_outputs(raw)
     tlinks = config.keep(relations.number_tlinks(parse.guard_sections(tlinks, raw, parts, DOC)), "triplets")
-    found = config.keep(align.mentions(tlinks, parts, config.matching), "mentions")
+    found = config.keep(align.mentions(tlinks, parts, config.matching, config.keep), "mentions")
     times = relations.normalize_mentions(found, meta)
     normals = config.keep(relations.time_normals(relations.relations(tlinks), times), "normals")
     run = Plan(
