@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+SPACES = " \t\n\x0b\f\r"
+
+
 def let(value: Column, body) -> Column:
     """``body`` of a value that is evaluated once: keeps nested expressions from doubling in size."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -24,7 +27,7 @@ def find_last(text: Column, char: str) -> Column:
 
 def strip(text: Column) -> Column:
     """Without any leading and trailing white space."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def strip_think(out: Column) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import let
+from .text import let, strip
 
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 DAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
@@ -60,7 +60,7 @@ def _shifted(anchor: Column, n: Column, unit: Column) -> Column:
 
 def normalize(text: Column, anchor: Column) -> Column:
     """ISO form of a time expression, or an empty string; null and blank texts give one too."""
-    raw = F.regexp_replace(text, r"^\s+|\s+$", "")
+    raw = strip(text)
     both = F.struct(raw.alias("raw"), F.regexp_replace(F.lower(raw), r"\s+", " ").alias("t"))
     return let(both, lambda x: _read(x["raw"], x["t"], anchor))
 

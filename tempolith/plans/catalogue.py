@@ -757,4 +757,4 @@ def stream_of_messages(spark, d):
     return shown.unionByName(malformed).unionByName(rows)
 
 
-from . import catalogue_times  # noqa: E402, F401  more queries, which register themselves
+from . import catalogue_sentences, catalogue_times  # noqa: E402, F401  more queries, which register themselves
