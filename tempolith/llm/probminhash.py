@@ -273,10 +273,12 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILAR
     reps = materialise(reps, "reps")
     release(signed)
     width = 4 * rows
-    bands = reps.select("id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(registers // rows - 1)), lambda i: F.substring("sig", (i * width + 1).cast("int"), F.lit(width)))).alias("band", "part"))
-    bands = bands.select("id", F.xxhash64("band", "part").alias("bucket"))
-    ends = materialise(bands.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("bucket", "low"), "ends")
-    buckets = materialise(bands.join(ends, "bucket"), "buckets")
+    bands = reps.select("id", "doc_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(registers // rows - 1)), lambda i: F.substring("sig", (i * width + 1).cast("int"), F.lit(width)))).alias("band", "part"))
+    bands = bands.select("id", "doc_id", F.xxhash64("band", "part").alias("bucket"))
+    # the pivot is the text of the least doc_id, which in a collection that grows is the oldest version
+    ends = bands.groupBy("bucket").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "id")).alias("low"), F.count("*").alias("many")).where("many > 1")
+    ends = materialise(ends.select("bucket", F.col("low.id").alias("low")), "ends")
+    buckets = materialise(bands.select("id", "bucket").join(ends, "bucket"), "buckets")
     release(ends)
     # only texts in some bucket go on, a small part of all, so they are gathered in fewer files than they come from
     wanted = materialise(reps.join(buckets.select("id").distinct(), "id", "left_semi").select("id", F.col("doc_id").alias("of"), "text_key"), "wanted")

@@ -60,8 +60,8 @@ def test_overlaps_of_repeated_and_very_long_rows(spark):
     assert got == [(1, 40, 0), (1, 40, 0), (2, 40, 240_000)]
 
 
-def test_query_equals_brute_force_probability_jaccard(spark, sf_dir):
-    """Classes and links of the query, from all pairs of different texts that share a shingle."""
+def test_classes_equal_brute_force_probability_jaccard(spark, sf_dir):
+    """Classes and links by counts as weights over the whole table, from all pairs of different texts that share a shingle."""
     rows = [(r.doc_id, r.text or "") for r in queries.table(spark, sf_dir, "documents").select("doc_id", "text").collect()]
     first = {}
     for i, t in sorted(rows):
@@ -92,5 +92,5 @@ def test_query_equals_brute_force_probability_jaccard(spark, sf_dir):
             links.update((a, b))
             x, y = find(a), find(b)
             parent[max(x, y)] = min(x, y)
-    got = {r.doc_id: (r.class_id, r.n_links) for r in queries.op5_probminhash(spark, sf_dir).collect()}
+    got = {r.doc_id: (r.class_id, r.n_links) for r in probminhash.near_duplicates(queries.table(spark, sf_dir, "documents"), weighted=True).collect()}
     assert got == {i: (find(first[t]), links[first[t]]) for i, t in rows}
