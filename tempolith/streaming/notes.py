@@ -41,7 +41,8 @@ def route(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 def start(stream: DataFrame, extract: Callable[[DataFrame], DataFrame], store: str, checkpoint: str, config: Config = Config()) -> StreamingQuery:
     """Run notes (``sources.notes.stream_notes``) or messages (``stream_messages``) into ``store``: everything there is, then stop.
 
-    A batch asks the model once: its outputs are stored before anything reads them.
+    A batch asks the model once: its outputs are stored before anything reads them.  Its links
+    then go to the states of their patients, under a checkpoint of their own beside the first.
     """
 
     def take(batch: DataFrame, batch_id: int) -> None:
@@ -53,8 +54,7 @@ def start(stream: DataFrame, extract: Callable[[DataFrame], DataFrame], store: s
         run = plan(notes, extract, replace(config, keep=files.keeper(work)))
         links = timeline.instants(run.normals)
         timelines.add(links, store, batch_id)
-        added = timelines.stored(notes.sparkSession, store).where(F.col("batch") == batch_id)
-        timelines.refresh(added, store, batch_id)
+        timelines.follow(notes.sparkSession, store, f"{checkpoint}-timelines")
         run.errors.write.mode("overwrite").parquet(f"{store}/errors/batch={batch_id}")
         counters(run).write.mode("overwrite").parquet(f"{store}/counters/batch={batch_id}")
         files.remove(notes.sparkSession, work)
