@@ -39,7 +39,7 @@ from pyspark.sql.window import Window
 
 from . import textkernel as tk
 from .components import connected_components
-from .storage import materialise, quoted, release, unused
+from .storage import materialise, quoted, release, text_key, unused, without
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -282,7 +282,9 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILAR
     release(ends)
     # only texts in some bucket go on, a small part of all, so they are gathered in fewer files than they come from
     wanted = materialise(reps.join(buckets.select("id").distinct(), "id", "left_semi").select("id", F.col("doc_id").alias("of"), "text_key"), "wanted")
-    keyed = docs.withColumn("text_key", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+    # by id first, a column that is small to send; the few rows left are then told apart by their texts
+    named = docs.join(wanted.select("of").distinct(), docs["doc_id"].eqNullSafe(F.col("of")), "left_semi")
+    keyed = named.withColumn("text_key", text_key(F.col("text")))
     texts = keyed.join(wanted, (keyed["text_key"] == wanted["text_key"]) & keyed["doc_id"].eqNullSafe(wanted["of"])).select("id", "text")
     again = member.where(F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("row") != F.col("node")))
     repeated = not again.isEmpty()
@@ -345,17 +347,13 @@ def thinned(docs: DataFrame, weighted: bool = False) -> DataFrame:
     own class has another row.  A row without doc_id can't be named and stays.
     """
     found = materialise(classes(docs, weighted=weighted).select(F.col("doc_id").alias("of"), "text_key", "place"), "places")
-    name = unused("__key", docs.columns)
-    columns = quoted(docs.columns)
-    keyed = docs.withColumn(name, F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
-
-    def meets(other: DataFrame) -> Column:
-        return (keyed[name] == other["text_key"]) & (keyed["doc_id"] == other["of"])
-
-    gone = materialise(found.where("place = 'other'").select("of", "text_key").distinct(), "gone")
-    kept = keyed.join(gone, meets(gone), "left_anti")
+    kept = without(docs, found.where("place = 'other'").select("of", "text_key").distinct())
     often = materialise(found.where("place = 'repeat'").select("of", "text_key").distinct(), "repeated")
     if often.isEmpty():
-        return kept.select(columns)
-    once = kept.join(often, meets(often), "left_semi").dropDuplicates(["doc_id", name])
-    return kept.join(often, meets(often), "left_anti").select(columns).union(once.select(columns))
+        return kept
+    name = unused("__key", docs.columns)
+    keyed = kept.withColumn(name, text_key(F.col("text")))
+    same = (keyed[name] == often["text_key"]) & (keyed["doc_id"] == often["of"])
+    columns = quoted(docs.columns)
+    once = keyed.join(often, same, "left_semi").dropDuplicates(["doc_id", name])
+    return keyed.join(often, same, "left_anti").select(columns).union(once.select(columns))

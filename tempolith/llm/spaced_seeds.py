@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .storage import materialise, quoted, unused
+from .storage import materialise, without
 
 #: used positions of a mask are 1; each uses six words.  Chosen one after the other, each the one that
 #: fits most of the stretches of 16 words with four replaced that none before it fits; together they
@@ -278,8 +278,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts, those that overlap go and the others stay.  A row without doc_id can't be named
     and stays.
     """
-    # a table, whose size tells the join whether it may be sent out
-    found = materialise(overlaps(docs, benchmark, keyed=True).select(F.col("doc_id").alias("of"), "text_key").distinct(), "found")
-    name = unused("__key", docs.columns)
-    keyed = docs.withColumn(name, F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
-    return keyed.join(found, (keyed[name] == found["text_key"]) & (keyed["doc_id"] == found["of"]), "left_anti").select(quoted(docs.columns))
+    return without(docs, overlaps(docs, benchmark, keyed=True).select(F.col("doc_id").alias("of"), "text_key").distinct())

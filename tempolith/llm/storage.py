@@ -87,6 +87,27 @@ def unused(name: str, taken: Iterable[str]) -> str:
     return name
 
 
+def text_key(text: Column) -> Column:
+    """SHA-256 of a text, null as the empty one."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text and any others) without the rows whose id and text ``gone`` (of, text_key) names.
+
+    Rows whose doc_id isn't named at all, nearly all as a rule, are told by their id, a column
+    that is small to send; the others are then told by id and text.  Both joins deal the rows
+    out alike, so where they are shuffled it is done once.  A row without doc_id stays.
+    """
+    gone = materialise(gone, "gone")
+    ids = materialise(gone.select("of").distinct(), "ids")  # a table, whose size tells the join whether it may be sent out
+    key, columns = unused("__key", docs.columns), quoted(docs.columns)
+    here = docs["doc_id"] == ids["of"]
+    named = docs.join(ids, here, "left_semi").withColumn(key, text_key(F.col("text")))
+    others = named.join(gone, (named[key] == gone["text_key"]) & (named["doc_id"] == gone["of"]), "left_anti")
+    return docs.join(ids, here, "left_anti").select(columns).union(others.select(columns))
+
+
 def mapped(docs: DataFrame, keep: Iterable[str], value: Column, run: Callable, added: dict[str, str]) -> DataFrame:
     """``keep`` columns of any name, and columns ``added`` (name: type) that ``run`` makes of ``value``.
 
