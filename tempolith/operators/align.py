@@ -154,7 +154,7 @@ def align(pairs: DataFrame, how: Matching = Matching(), text: str = "text", quot
     return source.mapInPandas(run, schema)
 
 
-def mentions(tlinks: DataFrame, sections: DataFrame, how: Matching | None = Matching(), keep: Callable[[DataFrame, str], DataFrame] = lambda table, name: table) -> DataFrame:
+def mentions(tlinks: DataFrame, sections: DataFrame, how: Matching | None = Matching(), keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """Mentions of every text of the triplets in its own section.
 
     (doc key, section_id, kind, concept_text, begin, end, covered_text, confidence, status)

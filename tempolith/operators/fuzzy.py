@@ -38,17 +38,29 @@ def _least_matched(q: Column, w: Column, how: Matching) -> Column:
     return F.ceil(how.threshold * (q + w) / 2 - 1e-9)
 
 
-def windows(open_: DataFrame, ids: list[str], how: Matching) -> DataFrame:
-    """(ids, k, step, start, size, least): the windows that a quote's length allows behind ``rest``, and the grams they must share.
-
-    ``open_`` has ids, q (the quote's length), n (the section's) and rest.
-    """
+def _stepped(open_: DataFrame, how: Matching) -> DataFrame:
+    """``open_`` with step, first and last of the windows whose length may do; rows without any go."""
     q, behind = F.col("q"), F.col("n") - F.col("rest")
     step = F.greatest(F.lit(how.min_step), F.floor(q / how.step_fraction))
     longest = F.floor(q * (2 - how.threshold) / how.threshold + 1e-9)
     first = F.when(q + how.padding <= longest, 0).otherwise(F.greatest(F.lit(0), F.ceil((behind - longest) / step)))
     last = F.floor((F.greatest(F.lit(1), behind - q + 1) - 1) / step)
     some = open_.withColumns({"step": step.cast("int"), "first": first.cast("int"), "last": last.cast("int")}).where("first <= last")
+    return some
+
+
+def _able(open_: DataFrame, how: Matching) -> DataFrame:
+    """Quotes that have a window at all."""
+    return _stepped(open_, how).drop("step", "first", "last")
+
+
+def windows(open_: DataFrame, ids: list[str], how: Matching) -> DataFrame:
+    """(ids, k, step, start, size, least): the windows that a quote's length allows behind ``rest``, and the grams they must share.
+
+    ``open_`` has ids, q (the quote's length), n (the section's) and rest.
+    """
+    q = F.col("q")
+    some = _stepped(open_, how)
     each = some.select(*ids, "q", "n", "rest", "step", F.explode(F.sequence("first", "last")).alias("k"))
     placed = each.withColumn("start", F.col("rest") + F.col("k") * F.col("step"))
     placed = placed.withColumn("size", F.least(F.col("n") - F.col("start"), q + how.padding).cast("int"))
@@ -133,15 +145,18 @@ def near_spans(
     keys: list[str],
     own: list[str],
     how: Matching = Matching(),
-    rounds: int = ROUNDS,
-    keep: Callable[[DataFrame, str], DataFrame] = lambda table, name: table,
+    rounds: int | None = None,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """(keys, own, begin, end, score, status) of all mentions of quotes in the section of their keys.
 
     ``pairs`` has keys, own and quote, keys and own naming one row; ``sections`` has keys and
-    text, keys naming one.  Null and empty quotes and texts have none.  ``keep`` may store the
-    tables that the next round reads twice.
+    text, keys naming one.  Null and empty quotes and texts have none.  ``keep`` stores the tables
+    that the next round reads several times; without it a plan of several rounds is long, so
+    there are none then unless ``rounds`` says so: quotes that a window's length allows at all
+    go on text by text.
     """
+    rounds = (ROUNDS if keep else 0) if rounds is None else rounds
     names, sections = [*keys, *own], sections.select(*(F.col(c).alias(f"key{i}") for i, c in enumerate(keys)), "text")
     pairs = pairs.select(*(F.col(c).alias(f"key{i}") for i, c in enumerate(keys)), *(F.col(c).alias(f"own{i}") for i, c in enumerate(own)), "quote")
     keys, own = [f"key{i}" for i in range(len(keys))], [f"own{i}" for i in range(len(own))]
@@ -150,18 +165,24 @@ def near_spans(
     exact = exact_spans(some, ids).select(*ids, "begin", "end", F.lit(1.0).alias("score"))
     gaps = F.split("text", literal(F.col("quote")), F.lit(-1))
     last = F.when(F.contains("text", "quote"), F.length("text") - F.length(F.element_at(gaps, -1))).otherwise(0)
-    open_ = some.select(*ids, "quote", F.length("quote").alias("q"), F.length("text").alias("n"), last.cast("int").alias("rest")).where("rest < n")
-    open_ = keep(open_, "open-0")
+    open_ = some.select(*ids, "quote", F.length("quote").alias("q"), F.length("text").alias("n"), last.cast("int").alias("rest"), *([] if rounds else ["text"])).where("rest < n")
+    stored = keep is not None
+    keep = keep or (lambda table, name: table)
+    open_ = keep(_able(open_, how), "open-0") if rounds else open_
     found = [exact]
     for i in range(rounds):
+        if stored and open_.isEmpty():  # the usual case: all quotes are short
+            break
         left = candidates(open_, sections, keys, own, how).join(open_.select(*ids, "quote", "rest"), ids)
         cut = left.join(sections.select(*keys, "text"), keys).select(*ids, "start", "quote", F.substring("text", F.col("start") + 1, F.col("size")).alias("window"))
         best = scored(cut, ids, how).groupBy(*ids).agg(F.max(F.struct("score", (-F.col("start")).alias("first"), "begin")).alias("b"))
         near = best.join(open_, ids).select(*ids, "quote", "q", "n", F.greatest(F.col("rest"), F.col("b.begin") - F.col("b.first")).alias("begin"), "b.score")
         near = keep(near.withColumn("end", F.col("begin") + F.col("q")), f"near-{i}")
         found.append(near.select(*ids, "begin", "end", "score"))
-        open_ = near.select(*ids, "quote", "q", "n", F.col("end").alias("rest")).where("rest < n")
-    behind = _behind(open_.join(sections.select(*keys, "text"), keys), ids, how)
+        open_ = _able(near.select(*ids, "quote", "q", "n", F.col("end").alias("rest")).where("rest < n"), how)
+    if rounds:
+        open_ = open_.join(sections.select(*keys, "text"), keys)
+    behind = _behind(_able(open_, how), ids, how)
     every = exact
     for part in [*found[1:], behind]:
         every = every.union(part)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,7 +42,7 @@ def with_mentions(edges: DataFrame, concepts: DataFrame) -> DataFrame:
     return edges
 
 
-def normalize_mentions(mentions: DataFrame, meta: DataFrame) -> DataFrame:
+def normalize_mentions(mentions: DataFrame, meta: DataFrame, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """TIME mentions with iso, time_class and the structs that fit their class.
 
     Each distinct (text, document date) is normalized once; a document without date
@@ -48,7 +50,7 @@ def normalize_mentions(mentions: DataFrame, meta: DataFrame) -> DataFrame:
     expression names, time_kind, about and readings tell how it was read.
     """
     times = mentions.where("kind = 'TIME'").join(meta.select(*DOC, "doc_ts", "doc_date"), list(DOC), "left")
-    texts = read_times(times.select("covered_text", "doc_date"))
+    texts = read_times(times.select("covered_text", "doc_date"), keep=keep)
     same = (times["covered_text"] == texts["covered_text"]) & times["doc_date"].eqNullSafe(texts["doc_date"])
     out = times.join(texts, same).select(times["*"], *(texts[c] for c in ("iso", "first_day", "last_day", "time_kind", "about", "readings"))).withColumn("time_class", time_class(F.col("iso")))
     iso, kind, ts = F.col("iso"), F.col("time_class"), F.col("doc_ts")

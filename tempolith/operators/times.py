@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,19 +30,34 @@ def interval(iso: Column, anchor: Column) -> Column:
     return F.when(is_present(iso), F.struct(anchor.alias("begin"), anchor.alias("end"))).otherwise(let(begin, lambda b: F.when(b.isNotNull(), ended(b))))
 
 
-def read_times(expressions: DataFrame, text: str = "covered_text", anchor: str = "doc_date") -> DataFrame:
+def _once(value: Column) -> Column:
+    """``value`` as a column that the optimizer neither copies into what uses it nor reasons about: it is large."""
+    return F.when(F.rand(0) >= 0, value)
+
+
+def read_times(expressions: DataFrame, text: str = "covered_text", anchor: str = "doc_date", keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """``expressions`` (text, anchor), distinct, with iso, first_day, last_day, time_kind, about and readings.
 
-    The closed forms of ``normalize`` come first; what they leave goes to the grammar, whose
-    chart doesn't need the date and so is made once for each distinct text.  iso is empty and
-    readings 0 for what neither reads, null and blank texts among it.  An interval that is
+    The closed forms of ``normalize`` come first; what they leave goes to the grammar.  Each
+    distinct text and date is read once.  iso is empty and readings 0 for what neither reads, null and blank texts among it.  An interval that is
     open on one side has no day there.
     """
     plain = expressions.select(F.col(text).alias("text"), F.col(anchor).alias("anchor")).distinct()
     closed = plain.withColumn("iso", normalize(F.col("text"), F.col("anchor")))
+    left = (F.col("iso") == "") & (F.trim("text") != "")
+    if keep is not None:
+        closed = keep(closed, "times")
+        if closed.where(left).isEmpty():
+            none = F.lit(None).cast("struct<iso:string,begin:date,end:date,kind:string,about:boolean,readings:int>")
+            return _told(closed.withColumn("r", none), text, anchor)
     chart, against = reading_of("text", "anchor")
-    open_ = closed.where("iso = '' and text is not null").select("text").distinct().select("text", chart.alias("found"))
-    joined = closed.join(open_, "text", "left").withColumn("r", F.when(F.col("found").isNotNull(), against)).withColumn("days", F.when(F.col("iso") != "", interval(F.col("iso"), F.col("anchor"))))
+    charted = closed.withColumn("found", _once(F.when(left, chart)))
+    return _told(charted.withColumn("r", _once(F.when(F.col("found").isNotNull(), against))), text, anchor)
+
+
+def _told(read: DataFrame, text: str, anchor: str) -> DataFrame:
+    """Results of the closed forms, else of the grammar (``r``)."""
+    joined = read.withColumn("days", F.when(F.col("iso") != "", interval(F.col("iso"), F.col("anchor"))))
     done = F.col("iso") != ""
     kind = F.when(F.col("iso").startswith("P") & ~is_present(F.col("iso")), "duration").otherwise("point")
     return joined.select(

@@ -12,6 +12,10 @@ from ..operators import align, header, parse, relations, sections, tables, timel
 from ..schemas import DOC, FAILED
 
 
+def as_is(table: DataFrame, name: str) -> DataFrame:
+    return table
+
+
 @dataclass(frozen=True)
 class Config:
     """What may be exchanged or added; every plug-in is a function from DataFrames to a DataFrame.
@@ -28,7 +32,7 @@ class Config:
     matching: align.Matching | None = field(default_factory=align.Matching)
     as_of: Column | None = None
     derive: Mapping[str, Callable[[Plan], DataFrame]] = field(default_factory=dict)
-    keep: Callable[[DataFrame, str], DataFrame] = lambda table, name: table
+    keep: Callable[[DataFrame, str], DataFrame] = as_is
 
 
 @dataclass(frozen=True)
@@ -58,8 +62,9 @@ def plan(notes: DataFrame, extract: Callable[[DataFrame], DataFrame], config: Co
     raw = config.keep(extract(parts), "outputs")
     tlinks, errors = parse.parse_outputs(raw)
     tlinks = config.keep(relations.number_tlinks(parse.guard_sections(tlinks, raw, parts, DOC)), "triplets")
-    found = config.keep(align.mentions(tlinks, parts, config.matching, config.keep), "mentions")
-    times = relations.normalize_mentions(found, meta)
+    keep = None if config.keep is as_is else config.keep
+    found = config.keep(align.mentions(tlinks, parts, config.matching, keep), "mentions")
+    times = relations.normalize_mentions(found, meta, keep)
     normals = config.keep(relations.time_normals(relations.relations(tlinks), times), "normals")
     run = Plan(
         meta=meta,

@@ -91,7 +91,7 @@ def test_without_a_date_only_what_needs_none_is_read(read):
     assert [got[t].iso for t in ("early 2023", "October 15", "a few weeks ago", "every 3 weeks")] == ["2023", "", "", "P3W"]
 
 
-def test_the_chart_is_made_once_for_each_text(spark):
+def test_each_text_and_date_is_read_once(spark):
     frame = spark.createDataFrame([("early 2023", ANCHOR - datetime.timedelta(i)) for i in range(20)] * 3, "covered_text string, doc_date date")
     assert read_times(frame).count() == 20
 
