@@ -52,7 +52,8 @@ def read_times(expressions: DataFrame, text: str = "covered_text", anchor: str =
             return _told(closed.withColumn("r", none), text, anchor)
     chart, against = reading_of("text", "anchor")
     charted = closed.withColumn("found", _once(F.when(left, chart)))
-    return _told(charted.withColumn("r", _once(F.when(F.col("found").isNotNull(), against))), text, anchor)
+    # cached: what stands above reads it several times, and the grammar is planned once for all of it
+    return _told(charted.withColumn("r", _once(F.when(F.col("found").isNotNull(), against))), text, anchor).persist()
 
 
 def _told(read: DataFrame, text: str, anchor: str) -> DataFrame:
