@@ -281,7 +281,7 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILAR
     buckets = materialise(bands.select("id", "bucket").join(ends, "bucket"), "buckets")
     release(ends)
     # only texts in some bucket go on, a small part of all, so they are gathered in fewer files than they come from
-    wanted = materialise(reps.join(buckets.select("id").distinct(), "id", "left_semi").select("id", F.col("doc_id").alias("of"), "text_key"), "wanted")
+    wanted = materialise(reps.join(buckets.select("id").distinct(), "id", "left_semi").select("id", F.col("doc_id").alias("of"), "text_key").hint("rebalance"), "wanted")
     # by id first, a column that is small to send; the few rows left are then told apart by their texts
     named = docs.join(wanted.select("of").distinct(), docs["doc_id"].eqNullSafe(F.col("of")), "left_semi")
     keyed = named.withColumn("text_key", text_key(F.col("text")))
@@ -346,7 +346,7 @@ def thinned(docs: DataFrame, weighted: bool = False) -> DataFrame:
     doc_id and text together, so of a doc_id that stands for several texts only those go whose
     own class has another row.  A row without doc_id can't be named and stays.
     """
-    found = materialise(classes(docs, weighted=weighted).select(F.col("doc_id").alias("of"), "text_key", "place"), "places")
+    found = materialise(classes(docs, weighted=weighted).select(F.col("doc_id").alias("of"), "text_key", "place").where("place <> 'first'").hint("rebalance"), "places")
     kept = without(docs, found.where("place = 'other'").select("of", "text_key").distinct())
     often = materialise(found.where("place = 'repeat'").select("of", "text_key").distinct(), "repeated")
     if often.isEmpty():
