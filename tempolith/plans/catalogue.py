@@ -426,7 +426,10 @@ def align_near_passages(spark, d):
     edited = F.concat(F.substring("text", F.lit(1), middle), F.lit("§"), F.substring(F.col("text"), middle + 2, F.length("text")))
     forms = F.array(F.struct(F.lit("as it is").alias("form"), F.col("text").alias("quote")), F.struct(F.lit("edited").alias("form"), edited.alias("quote")))
     quotes = held.select("doc_id", "item_id", F.explode(forms).alias("f")).select("doc_id", "item_id", "f.*")
-    return fuzzy.near_spans(quotes, docs, ["doc_id"], ["item_id", "form"], keep=files.keeper(_folder(spark, "near")))
+    keep = files.keeper(_folder(spark, "near"))
+    quotes = keep(quotes, "quotes")
+    held = docs.join(quotes.select("doc_id").distinct(), "doc_id", "left_semi")
+    return fuzzy.near_spans(quotes, keep(held.select("doc_id", "text"), "sections"), ["doc_id"], ["item_id", "form"], keep=keep)
 
 
 _HEX = " || ".join(f"md5('{c}' || c_custkey)" for c in "abcdefghijkl")
