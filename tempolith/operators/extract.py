@@ -67,11 +67,27 @@ def generated(ids: Column, mask: Column) -> Column:
 _models: dict[str, Callable] = {}
 
 
+def _asked(model: Callable[..., list[str]], asks: list[str], more: dict) -> list[tuple[str | None, str | None]]:
+    """(output, error) of each instruction; a batch that fails is halved until those that fail stand alone."""
+    try:
+        outputs = list(model(asks, **more))
+        if len(outputs) != len(asks):
+            raise ValueError(f"{len(outputs)} outputs of {len(asks)} instructions")
+        return [(o, None) for o in outputs]
+    except Exception as e:  # noqa: BLE001  whatever a model raises concerns its sections only
+        if len(asks) == 1:
+            return [(None, f"{type(e).__name__}: {e}")]
+    half = len(asks) // 2
+    return _asked(model, asks[:half], more) + _asked(model, asks[half:], more)
+
+
 def by_model(sections: DataFrame, prompt: str, load: Callable[[], Callable[..., list[str]]], size: int = 4, max_new_tokens: int = MAX_NEW_TOKENS, limited: bool = False) -> DataFrame:
-    """Outputs of a model, asked ``size`` sections at a time.
+    """Outputs of a model, asked ``size`` sections at a time: (doc key, section_id, llm_out, error).
 
     ``load`` makes the model once in each Python worker: a callable from a list of
     instructions, and with ``limited`` from ``max_new_tokens`` too, to a list of outputs.
+    Sections for which the model raises have no output but the error, which the parser puts
+    into quarantine; all others go on.  A model that can't be loaded ends the job.
     """
     asked = sections.select(*DOC, "section_id", instruction(prompt, F.col("text")).alias("ask"))
     token = uuid.uuid4().hex
@@ -84,6 +100,7 @@ def by_model(sections: DataFrame, prompt: str, load: Callable[[], Callable[...,
         for frame in frames:
             for i in range(0, len(frame), size):
                 part = frame.iloc[i : i + size]
-                yield part.drop(columns="ask").assign(llm_out=_models[token](part["ask"].tolist(), **more))
+                found = _asked(_models[token], part["ask"].tolist(), more)
+                yield part.drop(columns="ask").assign(llm_out=[o for o, _ in found], error=[e for _, e in found])
 
-    return asked.mapInPandas(run, "patient_id string, doc_id string, section_id int, llm_out string")
+    return asked.mapInPandas(run, "patient_id string, doc_id string, section_id int, llm_out string, error string")

@@ -40,17 +40,19 @@ def parse_outputs(raw: DataFrame, out: str = "llm_out") -> tuple[DataFrame, Data
 
     One pass in the JVM: lists are read as JSON, else as JSON after a repair of what Python
     spells otherwise.  Only texts that are neither go to Python, where they may still be
-    literals; what is none is quarantined and its document goes on.
+    literals; what is none is quarantined and its document goes on.  A column ``error`` of
+    ``raw`` goes with the quarantine.
     """
-    keys = [c for c in raw.columns if c != out]
-    body = raw.select(*keys, out, bracketed(strip_think(F.col(out))).alias("__body"))
+    keys = [c for c in raw.columns if c not in (out, "error")]
+    told = ["error"] if "error" in raw.columns else []
+    body = raw.select(*keys, *told, out, bracketed(strip_think(F.col(out))).alias("__body"))
     # a repair is tried only where there is something to mend
     tried = body.withColumn("__json", F.coalesce(json_tlinks(F.col("__body")), F.when(F.col("__body").rlike(r"None\b|,\s*[\]}]"), json_tlinks(repaired(F.col("__body"))))))
     read = tried.withColumn("__literal", literal_tlinks(F.when(F.col("__json").isNull(), F.col("__body"))))
-    read = read.select(*keys, out, F.coalesce("__json", "__literal").alias("links"))
+    read = read.select(*keys, *told, out, F.coalesce("__json", "__literal").alias("links"))
     # outer, so that the list isn't read once more to filter empty ones
     each = read.select(*keys, F.posexplode_outer("links").alias("pos", "link")).where("pos is not null")
-    return each.select(*keys, "pos", *with_defaults(F.col("link"))), read.where("links is null").select(*keys, out)
+    return each.select(*keys, "pos", *with_defaults(F.col("link"))), read.where("links is null").select(*keys, out, *told)
 
 
 def section_counts(tlinks: DataFrame, keys: tuple[str, ...] = (*DOC, "section_id")) -> DataFrame:
