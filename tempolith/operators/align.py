@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import collections
-import difflib
 import functools
-import re
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -78,6 +76,42 @@ def _common_bound(quote: str, window: str) -> int:
     return len(quote) - row.bit_count()
 
 
+def _longest(a: str, alo: int, ahi: int, b: str, blo: int, bhi: int) -> tuple[int, int, int]:
+    """(place in a, place in b, size) of the longest common stretch of two parts; of equal ones the first in a, then in b."""
+    best, size = (alo, blo), 0
+    for i in range(alo, ahi):
+        if i + size >= ahi:  # what is left of a is no longer
+            break
+        j = b.find(a[i : i + size + 1], blo, bhi)
+        while j >= 0:
+            best, size = (i, j), size + 1
+            while i + size < ahi and j + size < bhi and a[i + size] == b[j + size]:
+                size += 1
+            j = b.find(a[i : i + size + 1], j + 1, bhi) if i + size < ahi else -1
+    return (*best, size)
+
+
+def compared(quote: str, window: str) -> tuple[float, int]:
+    """Share of the characters of both in common blocks, and where the quote would begin in the window by the longest one.
+
+    The blocks are those of ``difflib.SequenceMatcher`` without junk: the longest common one,
+    then the longest ones on its left and on its right, and so on.
+    """
+    total = len(quote) + len(window)
+    if not total:
+        return 1.0, 0
+    first = _longest(quote, 0, len(quote), window, 0, len(window))
+    matched, open_ = 0, [(0, len(quote), 0, len(window), first)]
+    while open_:
+        alo, ahi, blo, bhi, (i, j, size) = open_.pop()
+        matched += size
+        if size:
+            for part in ((alo, i, blo, j), (i + size, ahi, j + size, bhi)):
+                if part[0] < part[1] and part[2] < part[3]:
+                    open_.append((*part, _longest(quote, part[0], part[1], window, part[2], part[3])))
+    return 2.0 * matched / total, first[1] - first[0]
+
+
 def nearest(text: str, quote: str, how: Matching = Matching()) -> tuple[int, float] | None:
     """Begin and score of the stretch of a text that resembles a quote most, if it is near enough.
 
@@ -110,11 +144,9 @@ def nearest(text: str, quote: str, how: Matching = Matching()) -> tuple[int, flo
         most = 2 * _common_bound(quote, window) / (q + len(window))
         if most < how.threshold or (best and (most, -begin) < best[:2]):
             continue
-        pair = difflib.SequenceMatcher(None, quote, window, autojunk=False)
-        score = pair.ratio()
+        score, shift = compared(quote, window)
         if score >= how.threshold and (best is None or (score, -begin) > best[:2]):
-            block = pair.find_longest_match()
-            best = score, -begin, max(0, begin + block.b - block.a)
+            best = score, -begin, max(0, begin + shift)
     return (best[2], best[0]) if best else None
 
 
@@ -127,8 +159,10 @@ def spans(text: str | None, quote: str | None, how: Matching = Matching()) -> li
     if not text or not quote:
         return []
     size = len(quote)
-    exact = [m.start() for m in re.finditer(re.escape(quote), text)]
-    found = [(b, b + size, 1.0, EXACT) for b in exact]
+    found, at = [], text.find(quote)
+    while at >= 0:
+        found.append((at, at + size, 1.0, EXACT))
+        at = text.find(quote, at + size)
     rest = found[-1][1] if found else 0
     while rest < len(text) and (near := nearest(text[rest:], quote, how)):
         begin, score = rest + near[0], near[1]
@@ -140,10 +174,12 @@ def spans(text: str | None, quote: str | None, how: Matching = Matching()) -> li
 def align(pairs: DataFrame, how: Matching = Matching(), text: str = "text", quote: str = "quote") -> DataFrame:
     """``pairs`` with ``mentions``: array of struct(begin, end, score, status).
 
-    Python sees only the pairs, so make them distinct first.
+    Python sees only the pairs, so make them distinct first.  They are dealt out before, in a
+    fixed number of parts, as few bytes may stand for much work.
     """
     names = [c for c in pairs.columns if c != "mentions"]
-    source = pairs.select(*names)
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    source = pairs.select(*names).repartition(parts, text, quote)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields) + f", mentions {MENTION}"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

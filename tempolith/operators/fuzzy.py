@@ -13,14 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import difflib
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import EXACT, FUZZY
-from .align import Matching, _common_bound, exact_spans, literal, nearest
+from .align import Matching, _common_bound, compared, exact_spans, literal, nearest
 
 GRAM = 3
 #: near mentions of one quote in one section that are found by joins; what lies behind is searched text by text
@@ -112,9 +110,8 @@ def scored(windows: DataFrame, ids: list[str], how: Matching) -> DataFrame:
                 if 2 * _common_bound(quote, window) < how.threshold * total:
                     found.append((0, -1.0))
                     continue
-                pair = difflib.SequenceMatcher(None, quote, window, autojunk=False)
-                block = pair.find_longest_match()
-                found.append((block.b - block.a, pair.ratio()))
+                score, shift = compared(quote, window)
+                found.append((shift, score))
             out = frame[[*ids, "start"]].assign(begin=[b for b, _ in found], score=[s for _, s in found])
             yield out[out["score"] >= how.threshold]
 

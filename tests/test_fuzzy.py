@@ -1,8 +1,10 @@
 """Near mentions by joins against the search text by text."""
 
+import difflib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tempolith.operators import align, fuzzy
 
@@ -60,3 +62,21 @@ def test_exact_mentions_need_no_python(spark):
     texts = spark.createDataFrame([(1, "xx ab ab")], "doc long, text string")
     found = fuzzy.near_spans(pairs, texts, ["doc"], [], rounds=1)
     assert sorted((r.begin, r.status) for r in found.collect()) == [(3, "match_exact"), (6, "match_exact")]
+
+
+def test_blocks_are_difflibs():
+    rng = random.Random(3)
+    for letters in ("ab", "abcdef", "0123456789abcdef§𝄞"):
+        for _ in range(150):
+            window = "".join(rng.choice(letters) for _ in range(rng.randint(0, 60)))
+            at = rng.randrange(len(window) + 1)
+            quote = edited(rng, window[at : at + rng.randint(0, 40)], 0.1)
+            pair = difflib.SequenceMatcher(None, quote, window, autojunk=False)
+            block = pair.find_longest_match()
+            assert align.compared(quote, window) == (pair.ratio(), block.b - block.a)
+
+
+def test_pairs_of_one_file_are_dealt_out(spark):
+    """A hundred thousand pairs of one split are not left to one task."""
+    pairs = spark.range(0, 100_000, 1, 1).select("id", F.concat(F.repeat(F.lit("ab "), 20), F.col("id").cast("string")).alias("text"), F.col("id").cast("string").alias("quote"))
+    assert align.align(pairs).rdd.getNumPartitions() > 1
