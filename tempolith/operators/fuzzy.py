@@ -4,7 +4,9 @@ The same mentions as ``align.spans`` finds text by text: the exact ones first, t
 behind them, each behind the one before.  Exact ones and the places of windows are Column
 expressions.  A window that is near enough must share a number of q-grams with its quote,
 which follows from the threshold: each character of the quote without a partner breaks at
-most q of its grams, each stretch put in between breaks q - 1.  Grams of quotes and of the
+most q of its grams, each stretch put in between breaks q - 1.  A gram that is kept stands no
+further back in the quote than in the window by more than the quote's characters without a
+partner, nor further ahead by more than the window's.  Grams of quotes and of the
 parts of sections where windows stand meet in an equi-join by section and gram; windows that
 share too few are gone before Python sees them, and of the others it sees their own text.
 """
@@ -27,9 +29,8 @@ ROUNDS = 2
 
 def _grams(text: Column) -> Column:
     """The grams of a text, in the order of their places; none for a shorter text."""
-    chars = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
-    parts = F.transform(chars, lambda c, i: F.concat(c, *(F.get(chars, i + k) for k in range(1, GRAM))))
-    return F.filter(parts, lambda g: g.isNotNull())
+    # one pass: a match takes one character and looks at those behind it
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{GRAM}}}))."), F.lit(1))
 
 
 def _least_matched(q: Column, w: Column, how: Matching) -> Column:
@@ -80,14 +81,21 @@ def candidates(open_: DataFrame, sections: DataFrame, keys: list[str], own: list
     part = sections.select(*keys, "text").join(region, keys)
     there = part.select(*keys, "low", F.posexplode(_grams(F.substring(F.col("text"), F.col("low") + 1, F.col("high") - F.col("low")))).alias("i", "gram"))
     there = there.select(*keys, (F.col("low") + F.col("i")).alias("at"), "gram")
-    wanted = open_.select(*ids, "q", "rest", F.explode(_grams(F.col("quote"))).alias("gram")).groupBy(*ids, "q", "rest", "gram").agg(F.count("*").alias("wanted"))
+    grams = open_.select(*ids, "q", "rest", F.posexplode(_grams(F.col("quote"))).alias("i", "gram"))
+    wanted = grams.groupBy(*ids, "q", "rest", "gram").agg(F.count("*").alias("wanted"), F.min("i").alias("head"), F.max("i").alias("tail"))
     hits = wanted.join(there, [*keys, "gram"])
-    # a place lies in a few windows, whose numbers follow from it
-    step = F.greatest(F.lit(how.min_step), F.floor(F.col("q") / how.step_fraction))
-    high = F.floor((F.col("at") - F.col("rest")) / step)
-    low = F.greatest(F.lit(0), F.ceil((F.col("at") + GRAM - F.col("q") - how.padding - F.col("rest")) / step))
-    each = hits.withColumns({"low": low.cast("int"), "high": high.cast("int")}).where("low <= high").select(*ids, "gram", "wanted", "at", F.explode(F.sequence("low", "high")).alias("k"))
+    # a place lies in a few windows, whose numbers follow from it and from the gram's places in the quote
+    q, at = F.col("q"), F.col("at") - F.col("rest")
+    step = F.greatest(F.lit(how.min_step), F.floor(q / how.step_fraction))
+    alone = q - F.ceil(q * how.threshold / (2 - how.threshold) - 1e-9)  # the shortest window that may do leaves most of the quote without a partner
+    spare = q + how.padding - _least_matched(q, q + how.padding, how)  # the longest one has most characters to spare
+    high = F.floor(F.least(at, at - F.col("head") + alone) / step)
+    low = F.greatest(F.lit(0), F.ceil(F.greatest(at + GRAM - q - how.padding, at - F.col("tail") - spare) / step))
+    each = hits.withColumns({"low": low.cast("int"), "high": high.cast("int")}).where("low <= high")
+    each = each.select(*ids, "q", "gram", "wanted", "head", "tail", "at", F.explode(F.sequence("low", "high")).alias("k"))
     inside = each.join(placed.where("least > 0"), [*ids, "k"]).where(F.col("at") + GRAM <= F.col("start") + F.col("size"))
+    matched, shift = _least_matched(q, F.col("size"), how), F.col("at") - F.col("start")
+    inside = inside.where((shift - F.col("tail") <= F.col("size") - matched) & (shift - F.col("head") >= matched - q))
     counted = inside.groupBy(*ids, "k", "start", "size", "least", "gram").agg(F.least(F.count("*"), F.max("wanted")).alias("shared"))
     enough = counted.groupBy(*ids, "k", "start", "size", "least").agg(F.sum("shared").alias("shared")).where("shared >= least")
     few = placed.where("least <= 0")  # a bound that says nothing: short quotes, at the end of their sections only

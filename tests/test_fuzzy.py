@@ -80,3 +80,10 @@ def test_pairs_of_one_file_are_dealt_out(spark):
     """A hundred thousand pairs of one split are not left to one task."""
     pairs = spark.range(0, 100_000, 1, 1).select("id", F.concat(F.repeat(F.lit("ab "), 20), F.col("id").cast("string")).alias("text"), F.col("id").cast("string").alias("quote"))
     assert align.align(pairs).rdd.getNumPartitions() > 1
+
+
+def test_grams_take_one_pass(spark):
+    """Grams of a long text, characters outside the basic plane among them; they took time by the square of its length."""
+    text = "".join(random.Random(5).choice("abc \n𝄞é") for _ in range(50_000))
+    found = spark.createDataFrame([(text,), ("ab",), ("",)], "text string").select(fuzzy._grams(F.col("text")).alias("g")).collect()
+    assert [r.g for r in found] == [[text[i : i + 3] for i in range(len(text) - 2)], [], []]
