@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 ABBREVIATION, STARTER = 0.3, 30.0
 #: more learned types than this are refused, as the model goes to every task
 MAX_TYPES = 1_000_000
-_WORD = r"[^\x20\x09-\x0D]+"
+_SPACE = r"[\x20\x09-\x0D]+"
 _OPEN, _CLOSE = r"""^[("'\[{]+""", r"""[)"'\]}]+$"""
 
 
@@ -39,16 +39,22 @@ def _bare(word: Column) -> Column:
 
 
 def _types(docs: DataFrame) -> DataFrame:
-    """(type, dotted, next, upper): each word, whether a period ends it, and the word behind it."""
-    words = F.transform(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)), _bare)
-    each = docs.select(words.alias("w")).select(F.explode(F.transform("w", lambda x, i: F.struct(x.alias("word"), F.get("w", i + 1).alias("next")))).alias("x")).select("x.*")
+    """(type, dotted, next, upper, n): how often each word stands before which one, whether a period ends it.
+
+    Spellings are counted first, those without a period whatever follows, so that patterns run once for each of them.
+    """
+    each = docs.select(F.split("text", _SPACE).alias("w")).select(F.inline(F.arrays_zip(F.col("w").alias("word"), F.slice("w", F.lit(2), F.greatest(F.size("w") - 1, F.lit(0))).alias("next"))))
+    raw = each.select("word", F.when(F.contains("word", F.lit(".")), F.col("next")).alias("next")).groupBy("word", "next").agg(F.count("*").alias("n"))
+    bare = raw.select(_bare(F.col("word")).alias("word"), _bare(F.col("next")).alias("next"), "n")
     dotted = F.col("word").rlike(r"[^.]\.$")
     plain = lambda c: F.lower(F.regexp_replace(c, r"[.,;:!?]+$", ""))
-    return each.select(
-        F.when(dotted, F.lower(F.expr("substring(word, 1, length(word) - 1)"))).otherwise(plain(F.col("word"))).alias("type"),
+    kind = F.when(dotted, F.lower(F.expr("substring(word, 1, length(word) - 1)"))).otherwise(plain(F.col("word")))
+    return bare.select(
+        F.when(F.col("n") > 0, kind).alias("type"),  # always so; it keeps filters by type behind the counts
         dotted.alias("dotted"),
         plain(F.col("next")).alias("next"),
         F.col("next").rlike(r"^\p{Lu}").alias("upper"),
+        "n",
     ).where("type <> ''")
 
 
@@ -57,7 +63,7 @@ def abbreviation_scores(docs: DataFrame) -> DataFrame:
 
     Null texts have no words.
     """
-    counts = _types(docs).groupBy("type").agg(F.count_if("dotted").alias("with_period"), F.count_if(~F.col("dotted")).alias("alone"))
+    counts = _types(docs).groupBy("type").agg(*(F.sum(F.when(kind, F.col("n")).otherwise(0)).alias(name) for kind, name in ((F.col("dotted"), "with_period"), (~F.col("dotted"), "alone"))))
     total = counts.agg(F.sum("with_period").alias("dots"), F.sum(F.col("with_period") + F.col("alone")).alias("words"))
     k, n = F.col("with_period"), F.col("with_period") + F.col("alone")
     p = F.col("dots") / F.col("words")
@@ -73,9 +79,9 @@ def abbreviation_scores(docs: DataFrame) -> DataFrame:
 def starter_scores(docs: DataFrame, abbreviations: DataFrame) -> DataFrame:
     """(type, after, total, score): how strongly word types draw to the place behind a period that is no abbreviation's."""
     words = _types(docs)
-    follows = words.where("dotted and upper and next <> ''").groupBy("type", "next").agg(F.count("*").alias("n"))
+    follows = words.where("dotted and upper and next <> ''").groupBy("type", "next").agg(F.sum("n").alias("n"))
     after = follows.join(abbreviations.select("type"), "type", "left_anti").groupBy(F.col("next").alias("type")).agg(F.sum("n").alias("after"))
-    total = words.groupBy("type").agg(F.count("*").alias("total"))
+    total = words.groupBy("type").agg(F.sum("n").alias("total"))
     sums = total.agg(F.sum("total").alias("words")).crossJoin(F.broadcast(after.agg(F.sum("after").alias("ends"))))
     both = after.join(total, "type").crossJoin(F.broadcast(sums))
     a, t, e, w = (F.col(c).cast("double") for c in ("after", "total", "ends", "words"))
@@ -94,13 +100,17 @@ def learn(docs: DataFrame) -> Model:
     """The abbreviations and starters of ``docs`` (text): counts over all of them, of which only what passes the scores reaches the driver."""
     short = abbreviation_scores(docs).where(F.col("score") >= ABBREVIATION)
     first = starter_scores(docs, short).where((F.col("score") >= STARTER) & F.col("type").rlike(r"^\p{L}"))
-    found = [frozenset(r["type"] for r in df.select("type").limit(MAX_TYPES + 1).collect()) for df in (short, first)]
+    # one job, in which the counts that both stand on are made once
+    kinds = [df.select(F.lit(i).alias("kind"), "type").limit(MAX_TYPES + 1) for i, df in enumerate((short, first))]
+    rows = kinds[0].union(kinds[1]).collect()
+    found = [frozenset(r["type"] for r in rows if r["kind"] == i) for i in (0, 1)]
     if max(map(len, found)) > MAX_TYPES:
         raise ValueError(f"more than {MAX_TYPES} types; raise the scores")
     return Model(*found)
 
 
-_END = re.compile(r"""[^\x20\x09-\x0D]*[.!?][.!?)"'\]}]*(?=[\x20\x09-\x0D]+([^\x20\x09-\x0D]+)|[\x20\x09-\x0D]*\Z)""")
+#: from the beginning of a word, so that a word without a mark is tried once
+_END = re.compile(r"""(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]*[.!?][.!?)"'\]}]*(?=[\x20\x09-\x0D]+([^\x20\x09-\x0D]+)|[\x20\x09-\x0D]*\Z)""")
 _STRIP_OPEN, _STRIP_CLOSE = re.compile(_OPEN), re.compile(_CLOSE)
 
 

@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import re
+import time
 
 import pytest
 
@@ -87,3 +88,22 @@ def test_pieces_need_no_shuffle(spark):
 def test_long_runs_of_spaces(spark):
     notes = spark.createDataFrame([("p", "d", "a" + " " * 200_000 + "b." + " " * 200_000)], "patient_id string, doc_id string, text string")
     assert [(r.begin, r.text) for r in sections.tokens(notes).collect()] == [(0, "a"), (200_001, "b"), (200_002, ".")]
+
+
+def test_counts_are_made_once_and_before_patterns(spark, tmp_path):
+    """All counts of a model stand on one pass, in which spellings are counted; patterns run once for each of them."""
+    spark.createDataFrame([(1, "a b.\x0bC\td. E\r\n\ff. G  ")], "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    short = sentences.abbreviation_scores(docs).where("score >= 1e9")
+    found = sentences.starter_scores(docs, short)
+    assert {(r.type, r.after, r.total) for r in found.collect()} == {("c", 1, 1), ("e", 1, 1), ("g", 1, 1)}
+    plan = sentences._types(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("regexp_replace") < plan.index("Exchange") < plan.index("Generate")  # from the last step to the first
+
+
+def test_long_words_take_one_try():
+    """A word without a mark is tried once; it was tried from each of its characters, by the square of its length."""
+    model = sentences.Model(frozenset(), frozenset())
+    begun = time.perf_counter()
+    assert sentences.ends("x" * 200_000 + " a. b", model) == [200_003, 200_005]
+    assert time.perf_counter() - begun < 5
