@@ -17,7 +17,7 @@ LINK = ("med_text", "relation", "time_normal")
 MERGED = "contains-1"
 
 
-def _folded(names: tuple[str, ...] = LINK) -> list[Column]:
+def folded(names: tuple[str, ...] = LINK) -> list[Column]:
     return [F.lower(n).alias(f"__{n}") for n in names]
 
 
@@ -31,7 +31,7 @@ def instants(normals: DataFrame) -> DataFrame:
 def distinct_links(links: DataFrame) -> DataFrame:
     """Distinct links of each patient, with the order of the first."""
     order = F.struct("doc_id", "tlink_id", *LINK)
-    first = links.groupBy("patient_id", *_folded()).agg(F.min(order).alias("first"))
+    first = links.groupBy("patient_id", *folded()).agg(F.min(order).alias("first"))
     return first.select("patient_id", "first.*").select("patient_id", *LINK, "doc_id", "tlink_id")
 
 
@@ -63,8 +63,8 @@ def union_links(a: DataFrame, b: DataFrame) -> DataFrame:
 def except_links(links: DataFrame, removed: DataFrame) -> DataFrame:
     """``links`` without those that equal one of ``removed``."""
     names = [f"__{n}" for n in LINK]
-    gone = removed.select("patient_id", *_folded()).distinct()
-    return links.select("*", *_folded()).join(gone, ["patient_id", *names], "left_anti").drop(*names)
+    gone = removed.select("patient_id", *folded()).distinct()
+    return links.select("*", *folded()).join(gone, ["patient_id", *names], "left_anti").drop(*names)
 
 
 def patient_entries(timeline: DataFrame, patients: DataFrame | None = None) -> DataFrame:

@@ -1,24 +1,20 @@
 """Timelines with one state for each patient: a batch costs what its own patients' links cost.
 
-The state of a patient is the set of the distinct links seen so far, each with the place of
-its first document, kept in RocksDB under the query's checkpoint.  A batch's links are added
-to the states of their patients, and only those patients' links come out, to be resolved by
-the same plan as everywhere.  The order in which documents come plays no part; a link that
-comes again changes nothing; a batch that broke off starts from the states before it.
+The state of a patient is the set of the links seen so far, an aggregate of Spark's own that
+is kept in RocksDB under the query's checkpoint; no Python runs for a patient.  A batch's
+links are added to the states of their patients, and only those patients' links come out, to
+be resolved by the same plan as everywhere.  The order in which documents come plays no part;
+a link that comes again changes nothing; a batch that broke off starts from the states before
+it.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.timeline import LINK, resolve
+from ..operators.timeline import LINK, folded, resolve
 
 _ORDER = ("doc_id", "tlink_id", *LINK)
 _OUT = "patient_id string, doc_id string, tlink_id bigint, med_text string, relation string, time_normal string, added boolean"
@@ -26,38 +22,28 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _rank(link: list) -> tuple:
-    """Nulls first, as in a comparison of structs."""
-    return tuple((x is not None, x) for x in link)
-
+def merged(links: DataFrame, dated: bool = False) -> DataFrame:
+    """(patient_id, links, now): all links of the patients in a batch of a stream, and the batch's time.
 
-def _merge(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Add a batch's links to a patient's state, and give all of the patient's links."""
-    known = dict(json.loads(state.get[0])) if state.exists else {}
-    before = set(known)
-    for frame in frames:
-        plain = frame.astype(object).where(frame.notna(), None)
-        for fold, *link in plain[["fold", *_ORDER]].itertuples(index=False):
-            link[1] = None if link[1] is None else int(link[1])
-            if fold not in known or _rank(link) < _rank(known[fold]):
-                known[fold] = link
-    state.update((json.dumps(list(known.items())),))
-    rows = [(key[0], *link, fold not in before) for fold, link in known.items()]
-    yield pd.DataFrame(rows, columns=["patient_id", *_ORDER, "added"]).astype({"tlink_id": "Int64"})
+    Each link is (doc_id, tlink_id, event, relation, time, since).  since is the time of the
+    batch it came in if the links are ``dated``, when it has one element for each such batch;
+    else it is null.
+    """
+    now = F.current_timestamp()
+    since = now if dated else F.lit(None).cast("timestamp")
+    each = links.select("patient_id", *_ORDER, since.alias("since"))
+    return each.groupBy("patient_id").agg(F.collect_set(F.struct(*_ORDER, "since")).alias("links")).withColumn("now", now)
 
 
-def merged(links: DataFrame) -> DataFrame:
-    """(patient_id, doc_id, tlink_id, event, relation, time, added): all distinct links of the patients in a batch of a stream.
+def distinct(states: DataFrame) -> DataFrame:
+    """(patient_id, doc_id, tlink_id, event, relation, time, added): the distinct links of ``merged``.
 
-    added marks links whose event, relation and time, letter case apart, are new.
+    added marks links whose event, relation and time, letter case apart, came in this batch first.
     """
+    each = states.select("patient_id", "now", F.inline("links"))
     # letter case is folded here, so that it is folded as in every other place
-    fold = F.to_json(F.array(*(F.lower(c) for c in LINK)))
-    return (
-        links.select("patient_id", *_ORDER, fold.alias("fold"))
-        .groupBy("patient_id")
-        .applyInPandasWithState(_merge, _OUT, "links string", "update", GroupStateTimeout.NoTimeout)
-    )
+    first = each.groupBy("patient_id", *folded()).agg(F.min(F.struct(*_ORDER)).alias("first"), (F.min("since") >= F.max("now")).alias("added"))
+    return first.select("patient_id", "first.*", "added")
 
 
 def start(links: DataFrame, store: str, checkpoint: str, add=None) -> StreamingQuery:
@@ -67,11 +53,12 @@ def start(links: DataFrame, store: str, checkpoint: str, add=None) -> StreamingQ
     with each batch's links that are new and its number.
     """
     spark = links.sparkSession
+    states = merged(links, dated=add is not None)
 
     def take(batch: DataFrame, batch_id: int) -> None:
         own = batch.sparkSession
         touched = f"{store}/touched/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(touched)  # the states are read and written once
+        distinct(batch).write.mode("overwrite").parquet(touched)  # the states are read and written once
         rows = own.read.schema(_OUT).parquet(touched)
         if add is not None:
             add(rows.where("added").drop("added"), batch_id)
@@ -82,7 +69,7 @@ def start(links: DataFrame, store: str, checkpoint: str, add=None) -> StreamingQ
     before = spark.conf.get(_PROVIDER)
     spark.conf.set(_PROVIDER, _ROCKS)
     try:
-        return merged(links).writeStream.outputMode("update").foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        return states.writeStream.outputMode("update").foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     finally:
         spark.conf.set(_PROVIDER, before)
 

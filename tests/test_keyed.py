@@ -71,3 +71,17 @@ def test_work_of_a_batch_follows_its_own_patients(spark, tmp_path, monkeypatch,
     own = [len({tuple(str(x).lower() for x in r[3:]) for r in b}) for b in batches]
     assert seen == own
     assert table(timelines.current(spark, store)) == table(resolve(spark.createDataFrame([r for b in batches for r in b], timelines.LINKS)))
+
+
+def test_states_need_no_python(spark, tmp_path):
+    """Patients cost no call each: the states are an aggregate of Spark's own; new links go to the store once."""
+    first = [(f"p{i}", "d2", 1, "Taxol", "CONTAINS-1", "2024") for i in range(300)]
+    later = [(f"p{i}", "d1", 1, "taxol", "contains-1", "2024") for i in range(300)] + [("p0", "d3", 1, "new", "CONTAINS-1", "2024")]
+    stream = feed(spark, [first, later], str(tmp_path / "in"))
+    plan = keyed.merged(stream())._jdf.queryExecution().logical().toString()
+    assert "Aggregate" in plan and "Pandas" not in plan and "Python" not in plan
+    store = str(tmp_path / "store")
+    timelines.start(stream(), store, str(tmp_path / "state"), keep_timelines=True).awaitTermination()
+    want = {(f"p{i}", "taxol", "contains-1", "2024") for i in range(300)} | {("p0", "new", "CONTAINS-1", "2024")}
+    assert table(timelines.current(spark, store)) == want
+    assert table(timelines.stored(spark, store).drop("bucket")) == {(*r, 0) for r in first} | {(*later[-1], 1)}
