@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import snippet
 from ..schemas import DOC, DURATION, FAILED, INSTANT
@@ -39,15 +40,25 @@ def table_rows(normals: DataFrame) -> DataFrame:
 
 
 def span_rows(normals: DataFrame, mentions: DataFrame) -> DataFrame:
-    """Nine columns for each mention of the event and of the time, each row once."""
+    """Nine columns for each mention of the event and of the time, each row once.
+
+    What would repeat a row goes from both sides before the join, so that nothing is gathered
+    behind it: of a row's sort keys the least has the least tlink_id and the least span.  One
+    shuffle by the keys of the join and one sort of each side, where they come first, serve all.
+    """
+    first = lambda table, of, order: table.withColumn("n", F.row_number().over(Window.partitionBy(*of).orderBy(*order))).where("n = 1").drop("n")
+    keys = [*DOC, "med_text"]
+    of_time = ["category", "time_normal", "timex", "timex_span", "time_type", "iso"]
+    edges = first(normals.select(*keys, *of_time, "tlink_id").repartition(*keys), [*keys, *of_time], ["tlink_id"])
     meds = mentions.where("kind = 'MED'").select(*DOC, F.col("concept_text").alias("med_text"), F.col("begin").alias("b"), F.col("end").alias("e"), F.col("covered_text").alias("covered"))
-    rows = normals.join(meds, [*DOC, "med_text"])
-    rows = rows.select(
+    meds = first(meds.withColumn("span", _span(F.col("b"), F.col("e"))).repartition(*keys), [*keys, "covered", "span"], ["b", "e"])
+    rows = edges.join(meds, keys)
+    return rows.select(
         *DOC,
         F.struct("med_text", "category", "tlink_id", "b", "e", _class_order(F.col("time_type")).alias("c"), "time_normal", "timex_span").alias("sort_key"),
         F.col("med_text").alias("med_normal"),
         F.col("covered").alias("med_text"),
-        _span(F.col("b"), F.col("e")).alias("med_span"),
+        F.col("span").alias("med_span"),
         F.col("category").alias("relation"),
         "time_normal",
         "timex",
@@ -55,7 +66,6 @@ def span_rows(normals: DataFrame, mentions: DataFrame) -> DataFrame:
         "time_type",
         "iso",
     )
-    return rows.groupBy(*DOC, *ROW9).agg(F.min("sort_key").alias("sort_key")).select(*DOC, "sort_key", *ROW9)
 
 
 def mention_rows(normals: DataFrame, mentions: DataFrame, notes: DataFrame) -> DataFrame:

@@ -436,3 +436,16 @@ def test_header_choices(spark):
     assert all(r.doc_ts is None and r.institution == "Clinic" for r in meta.collect())
     anchored = header.anchor(meta, notes, F.lit("2024-05-06").cast("date"))
     assert {str(r.doc_date) for r in anchored.collect()} == {"2024-05-06"}
+
+
+def test_span_rows_are_distinct_before_the_join(spark):
+    """Each row once with its least sort key, nulls first; nothing is gathered or shuffled behind the join."""
+    normals = [("p", "d", n, "med", "r", "on", "INSTANT", "t", "i", "x", "1,2") for n in (7, None, 3)] + [("p", "d", 1, "med", "r2", "on", "INSTANT", "t", "i", "x", "1,2")]
+    normals = spark.createDataFrame(normals, "patient_id string, doc_id string, tlink_id long, med_text string, category string, time_text string, time_type string, time_normal string, iso string, timex string, timex_span string")
+    found = spark.createDataFrame([("p", "d", "MED", "med", b, e, "Med") for b, e in ((4, 9), (4, 9), (9, None), (None, 9))], "patient_id string, doc_id string, kind string, concept_text string, begin int, end int, covered_text string")
+    rows = tables.span_rows(normals, found)
+    got = sorted((r.relation, r.med_span, r.sort_key.tlink_id, r.sort_key.b, r.sort_key.e) for r in rows.collect())
+    assert got == [("r", "4,9", None, 4, 9), ("r", "9", None, None, 9), ("r2", "4,9", 1, 4, 9), ("r2", "9", 1, None, 9)]
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    above = plan[: plan.index("Join")]
+    assert "Aggregate" not in above and "Exchange" not in above
