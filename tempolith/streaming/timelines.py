@@ -31,7 +31,8 @@ def bucket(patient: Column, buckets: int = BUCKETS) -> Column:
 def add(links: DataFrame, store: str, batch_id: int) -> None:
     """Add one micro-batch of links; the same batch again takes its own place."""
     named = links.select(*_COLUMNS, bucket(F.col("patient_id")).alias("bucket"))
-    named.write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/links/batch={batch_id}")
+    # rebalanced: a file or a few for each bucket, not one for each bucket of each task
+    named.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/links/batch={batch_id}")
 
 
 def refresh(links: DataFrame, store: str, batch_id: int) -> None:

@@ -85,3 +85,10 @@ def test_states_need_no_python(spark, tmp_path):
     want = {(f"p{i}", "taxol", "contains-1", "2024") for i in range(300)} | {("p0", "new", "CONTAINS-1", "2024")}
     assert table(timelines.current(spark, store)) == want
     assert table(timelines.stored(spark, store).drop("bucket")) == {(*r, 0) for r in first} | {(*later[-1], 1)}
+
+
+def test_buckets_are_written_by_few_tasks(spark, tmp_path):
+    rows = spark.createDataFrame([(f"p{i}", "d", 0, "med", "BEGINS-ON", "2024") for i in range(640)], timelines.LINKS).repartition(8)
+    timelines.add(rows, str(tmp_path), 0)
+    written = [f for _, _, names in os.walk(tmp_path / "links") for f in names if f.endswith(".parquet")]
+    assert len(written) <= timelines.BUCKETS and timelines.stored(spark, str(tmp_path)).count() == 640
