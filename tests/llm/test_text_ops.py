@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -509,3 +510,14 @@ def test_sketches_tell_unlike_texts_apart():
             like = len({*x.tolist()} & {*y.tolist()}) / len({*x.tolist()} | {*y.tolist()})
             (near if like >= 0.8 else far).append(apart)
     assert max(near) <= 26 and abs(np.mean(far) - 96 * 0.4) < 1 and np.mean([f > 26 for f in far]) > 0.95
+
+
+def test_encoder_works_on_small_blocks():
+    """Blocks of whole texts stay small, so that a worker's memory does, and change nothing in the result."""
+    texts = pa.array([f"word{i} " * 2000 + "\n" for i in range(400)] + [None, ""], pa.string())
+    parts = list(sentencepiece_codec.text_blocks(texts))
+    assert max(pc.sum(pc.binary_length(p)).as_py() for p in parts) <= 1 << 20 and sum(map(len, parts)) == len(texts)
+    codec = sentencepiece_codec.chunk_table(MODEL)
+    ids, decoded = codec.encode(texts)
+    told = [codec.encode(p) for p in parts]
+    assert pa.concat_arrays([x for x, _ in told]).equals(ids) and pa.concat_arrays([x for _, x in told]).equals(decoded)
