@@ -11,6 +11,8 @@ from ..schemas import RECORDED
 #: Spark passes over files of no bytes, so a note has at least one
 _OPTIONS = {"recursiveFileLookup": "true", "pathGlobFilter": "*.txt"}
 _SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+#: what opening a note counts beside its length when files are dealt out to tasks; Spark's 4 MB put a few notes into each task
+_OPEN_COST = 32 << 10
 
 
 def _named(files: DataFrame, corpus: str) -> DataFrame:
@@ -35,8 +37,19 @@ def corpus_name(folder: str) -> str:
 
 
 def read_notes(spark: SparkSession, folder: str) -> DataFrame:
-    """(corpus, patient_id, doc_id, path, mtime, text): one row for each ``patient/doc.txt`` below a folder."""
-    return _named(spark.read.format("binaryFile").options(**_OPTIONS).load(folder), corpus_name(folder))
+    """(corpus, patient_id, doc_id, path, mtime, text): one row for each ``patient/doc.txt`` below a folder.
+
+    Spark's executors list the files where a folder has more than 32 others in it, as most have with one for
+    each patient.  How files are dealt out is a setting of the session that loads them, so they are
+    loaded in one of their own; the empty frame before them, which no plan keeps, brings the rows back into the caller's.
+    """
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.files."):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.files.openCostInBytes", _OPEN_COST)
+    notes = own.read.format("binaryFile").options(**_OPTIONS).load(folder)
+    return _named(spark.createDataFrame([], notes.schema).limit(0).union(notes), corpus_name(folder))
 
 
 def stream_notes(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:

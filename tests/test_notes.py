@@ -11,6 +11,7 @@ from tempolith.operators import align, extract, header, parse, sections, tables,
 from tempolith.__main__ import main
 from tempolith.functions.literals import read_literal
 from tempolith.plans import script
+from tempolith.plans.catalogue import QUERIES
 from tempolith.plans.notes_to_timeline import Config, counters, plan
 from tempolith.schemas import RECORDED, SPAN_HEADER
 from tempolith.sinks import files, render
@@ -64,6 +65,26 @@ def test_source(spark, corpus):
     assert rows["p 1", "n1"].text == NOTE and rows["p 1", "n1"].corpus == "corpus" and rows["p3", "n1"].text == "\n"
 
 
+def test_small_notes_are_read_by_few_tasks(spark, tmp_path):
+    """Six hundred notes make as many tasks as there are cores, and the session's own settings stay."""
+    for i in range(600):
+        (tmp_path / f"p{i % 7}").mkdir(exist_ok=True)
+        (tmp_path / f"p{i % 7}" / f"n{i}.txt").write_text(f"note {i}")
+    before = spark.conf.getAll
+    notes = sources.read_notes(spark, str(tmp_path))
+    assert notes.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism + 1
+    assert notes.sparkSession is spark and spark.conf.getAll == before
+    notes.createOrReplaceTempView("small_notes")  # a name of the caller's session
+    rows = spark.sql("select patient_id, doc_id, text from small_notes").collect()
+    assert {tuple(r) for r in rows} == {(f"p{i % 7}", f"n{i}", f"note {i}") for i in range(600)} and len(rows) == 600
+
+
+def test_scanned_notes_lie_in_folders_that_tasks_list(spark, sf_dir):
+    """More than 32 folders side by side: the executors list them, not the driver alone."""
+    paths = QUERIES["scan_notes"](spark, sf_dir).inputFiles()
+    assert len({p.split("/")[-3] for p in paths}) > 32
+
+
 def test_prompt_and_corpus_name(spark, tmp_path):
     (tmp_path / "prompt.txt").write_text("Say é.\n", encoding="utf-8")
     assert sources.read_prompt(str(tmp_path / "prompt.txt")) == "Say é.\n"
