@@ -20,13 +20,19 @@ from ..schemas import EXACT, FUZZY, MENTION, NOT_FOUND
 
 @dataclass(frozen=True)
 class Matching:
-    """How near a quote must be."""
+    """How near a quote must be.
+
+    Windows may cut the quote: a shorter one that leaves out a few of its characters can resemble it
+    more than one that holds it all.  With ``whole`` only windows count that hold the place they tell from
+    its begin to its end, and a near mention is every such place, with the score of its best window.
+    """
 
     threshold: float = 0.85
     exact: float = 0.999
     min_step: int = 8
     step_fraction: int = 4
     padding: int = 64
+    whole: bool = False
 
 
 def first_span(text: Column, quote: Column) -> Column:
@@ -112,6 +118,22 @@ def compared(quote: str, window: str) -> tuple[float, int]:
     return 2.0 * matched / total, first[1] - first[0]
 
 
+def _bounded(text: str, quote: str, how: Matching) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and sizes of the windows whose length may do, and bounds of their scores by the characters they share with the quote."""
+    q, n = len(quote), len(text)
+    starts = np.arange(0, max(1, n - q + 1), max(how.min_step, q // how.step_fraction))
+    sizes = np.minimum(n - starts, q + how.padding)
+    able = 2 * np.minimum(q, sizes) >= how.threshold * (q + sizes)
+    starts, sizes = starts[able], sizes[able]
+    shared = np.zeros(len(starts), np.int64)
+    if len(starts):
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        for c, wanted in collections.Counter(quote).items():
+            seen = np.concatenate([[0], np.cumsum(codes == ord(c))])
+            shared += np.minimum(wanted, seen[starts + sizes] - seen[starts])
+    return starts, sizes, 2 * shared / (q + sizes)
+
+
 def nearest(text: str, quote: str, how: Matching = Matching()) -> tuple[int, float] | None:
     """Begin and score of the stretch of a text that resembles a quote most, if it is near enough.
 
@@ -122,19 +144,8 @@ def nearest(text: str, quote: str, how: Matching = Matching()) -> tuple[int, flo
     it shares with the quote and by their order; only windows that can still win are
     compared block by block, the most promising first.
     """
-    q, n = len(quote), len(text)
-    starts = np.arange(0, max(1, n - q + 1), max(how.min_step, q // how.step_fraction))
-    sizes = np.minimum(n - starts, q + how.padding)
-    able = 2 * np.minimum(q, sizes) >= how.threshold * (q + sizes)
-    starts, sizes = starts[able], sizes[able]
-    if not len(starts):
-        return None
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    shared = np.zeros(len(starts), np.int64)
-    for c, wanted in collections.Counter(quote).items():
-        seen = np.concatenate([[0], np.cumsum(codes == ord(c))])
-        shared += np.minimum(wanted, seen[starts + sizes] - seen[starts])
-    bound = 2 * shared / (q + sizes)
+    q = len(quote)
+    starts, sizes, bound = _bounded(text, quote, how)
     best: tuple[float, int, int] | None = None
     for k in np.lexsort((starts, -bound)):
         if bound[k] < how.threshold or (best and bound[k] < best[0]):
@@ -150,11 +161,36 @@ def nearest(text: str, quote: str, how: Matching = Matching()) -> tuple[int, flo
     return (best[2], best[0]) if best else None
 
 
+def places(text: str, quote: str, how: Matching) -> list[tuple[int, float]]:
+    """Begin and score of all places that near enough windows hold whole, left to right, each with its best window's score."""
+    found: dict[int, float] = {}
+    for begin, size, bound in zip(*(x.tolist() for x in _bounded(text, quote, how)), strict=True):
+        window = text[begin : begin + size]
+        if min(bound, 2 * _common_bound(quote, window) / (len(quote) + size)) >= how.threshold:
+            score, shift = compared(quote, window)
+            if score >= how.threshold and 0 <= shift <= size - len(quote):
+                found[begin + shift] = max(score, found.get(begin + shift, 0.0))
+    return sorted(found.items())
+
+
+def near_behind(text: str, quote: str, rest: int, how: Matching) -> list[tuple[int, int, float]]:
+    """(begin, end, score) of the near mentions behind ``rest``: each behind the one before, or all places that windows hold whole."""
+    size = len(quote)
+    if how.whole:
+        return [(rest + begin, rest + begin + size, score) for begin, score in places(text[rest:], quote, how)] if rest < len(text) else []
+    found = []
+    while rest < len(text) and (near := nearest(text[rest:], quote, how)):
+        begin, score = rest + near[0], near[1]
+        rest = begin + size
+        found.append((begin, rest, score))
+    return found
+
+
 def spans(text: str | None, quote: str | None, how: Matching = Matching()) -> list[tuple[int, int, float, str]]:
     """All mentions of a quote in a text: (begin, end, score, status), left to right.
 
     The exact ones first, none overlapping; what is left behind the last is then searched
-    for near ones, each behind the one before, as long as there are any.
+    for near ones, each behind the one before, as long as there are any (for all at once with ``how.whole``).
     """
     if not text or not quote:
         return []
@@ -164,11 +200,7 @@ def spans(text: str | None, quote: str | None, how: Matching = Matching()) -> li
         found.append((at, at + size, 1.0, EXACT))
         at = text.find(quote, at + size)
     rest = found[-1][1] if found else 0
-    while rest < len(text) and (near := nearest(text[rest:], quote, how)):
-        begin, score = rest + near[0], near[1]
-        rest = begin + size
-        found.append((begin, rest, score, EXACT if score >= how.exact else FUZZY))
-    return found
+    return found + [(begin, end, score, EXACT if score >= how.exact else FUZZY) for begin, end, score in near_behind(text, quote, rest, how)]
 
 
 def align(pairs: DataFrame, how: Matching = Matching(), text: str = "text", quote: str = "quote") -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import EXACT, FUZZY
-from .align import Matching, _common_bound, compared, exact_spans, literal, nearest
+from .align import Matching, _common_bound, compared, exact_spans, literal, near_behind
 
 GRAM = 3
 #: near mentions of one quote in one section that are found by joins; what lies behind is searched text by text
@@ -119,7 +119,8 @@ def scored(windows: DataFrame, ids: list[str], how: Matching) -> DataFrame:
                     found.append((0, -1.0))
                     continue
                 score, shift = compared(quote, window)
-                found.append((shift, score))
+                told = not how.whole or 0 <= shift <= len(window) - len(quote)
+                found.append((shift, score if told else -1.0))
             out = frame[[*ids, "start"]].assign(begin=[b for b, _ in found], score=[s for _, s in found])
             yield out[out["score"] >= how.threshold]
 
@@ -135,10 +136,7 @@ def _behind(open_: DataFrame, ids: list[str], how: Matching) -> DataFrame:
         for frame in frames:
             rows = []
             for key, quote, text, rest in zip(frame[ids].itertuples(index=False), frame["quote"], frame["text"], frame["rest"], strict=True):
-                while rest < len(text) and (near := nearest(text[rest:], quote, how)):
-                    begin, score = rest + near[0], near[1]
-                    rest = begin + len(quote)
-                    rows.append((*key, begin, rest, score))
+                rows += [(*key, *found) for found in near_behind(text, quote, rest, how)]
             yield pd.DataFrame(rows, columns=[*ids, "begin", "end", "score"])
 
     return source.mapInPandas(run, schema)
@@ -159,7 +157,7 @@ def near_spans(
     text, keys naming one.  Null and empty quotes and texts have none.  ``keep`` stores the tables
     that the next round reads several times; without it a plan of several rounds is long, so
     there are none then unless ``rounds`` says so: quotes that a window's length allows at all
-    go on text by text.
+    go on text by text.  With ``how.whole`` one round finds all places.
     """
     rounds = (ROUNDS if keep else 0) if rounds is None else rounds
     names, sections = [*keys, *own], sections.select(*(F.col(c).alias(f"key{i}") for i, c in enumerate(keys)), "text")
@@ -180,16 +178,22 @@ def near_spans(
             break
         left = candidates(open_, sections, keys, own, how).join(open_.select(*ids, "quote", "rest"), ids)
         cut = left.join(sections.select(*keys, "text"), keys).select(*ids, "start", "quote", F.substring("text", F.col("start") + 1, F.col("size")).alias("window"))
-        best = scored(cut, ids, how).groupBy(*ids).agg(F.max(F.struct("score", (-F.col("start")).alias("first"), "begin")).alias("b"))
+        near = scored(cut, ids, how)
+        if how.whole:  # all places at once, so nothing is left to search behind them
+            place = (F.col("start") + F.col("begin")).alias("begin")
+            told = near.groupBy(*ids, place).agg(F.max("score").alias("score")).join(open_.select(*ids, "q"), ids)
+            found.append(told.select(*ids, "begin", (F.col("begin") + F.col("q")).alias("end"), "score"))
+            break
+        best = near.groupBy(*ids).agg(F.max(F.struct("score", (-F.col("start")).alias("first"), "begin")).alias("b"))
         near = best.join(open_, ids).select(*ids, "quote", "q", "n", F.greatest(F.col("rest"), F.col("b.begin") - F.col("b.first")).alias("begin"), "b.score")
         near = keep(near.withColumn("end", F.col("begin") + F.col("q")), f"near-{i}")
         found.append(near.select(*ids, "begin", "end", "score"))
         open_ = _able(near.select(*ids, "quote", "q", "n", F.col("end").alias("rest")).where("rest < n"), how)
-    if rounds:
-        open_ = open_.join(sections.select(*keys, "text"), keys)
-    behind = _behind(_able(open_, how), ids, how)
+    if not (rounds and how.whole):
+        behind = open_.join(sections.select(*keys, "text"), keys) if rounds else open_
+        found.append(_behind(_able(behind, how), ids, how))
     every = exact
-    for part in [*found[1:], behind]:
+    for part in found[1:]:
         every = every.union(part)
     told = every.withColumn("status", F.when(F.col("score") >= how.exact, EXACT).otherwise(FUZZY))
     return told.select(*(F.col(i).alias(c) for i, c in zip(ids, names, strict=True)), "begin", "end", "score", "status")

@@ -3,10 +3,12 @@
 import difflib
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tempolith.operators import align, fuzzy
+from tempolith.plans.catalogue import ORACLE, QUERIES
 
 WORDS = "the patient started ended therapy with carboplatin paclitaxel on in march and after cycle was given §é𝄞 no yes".split()
 
@@ -87,3 +89,32 @@ def test_grams_take_one_pass(spark):
     text = "".join(random.Random(5).choice("abc \n𝄞é") for _ in range(50_000))
     found = spark.createDataFrame([(text,), ("ab",), ("",)], "text string").select(fuzzy._grams(F.col("text")).alias("g")).collect()
     assert [r.g for r in found] == [[text[i : i + 3] for i in range(len(text) - 2)], [], []]
+
+
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_whole_places_are_what_the_search_finds(spark, rounds):
+    how, rng = align.Matching(threshold=0.8, padding=30, whole=True), random.Random(7)
+    rows = [*cases(rng, 90), (1000, None, "a"), (1001, "a", None), (1002, "", "a"), (1003, "a", "")]
+    pairs = spark.createDataFrame([(i, 0, q) for i, _, q in rows], "doc long, n int, quote string")
+    texts = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc long, text string")
+    got = sorted((r.doc, r.begin, r.end, round(r.score, 9), r.status) for r in fuzzy.near_spans(pairs, texts, ["doc"], ["n"], how, rounds).collect())
+    assert got == sorted((i, b, e, round(s, 9), x) for i, t, q in rows for b, e, s, x in align.spans(t, q, how))
+    assert any(x == "match_fuzzy" for *_, x in got)
+
+
+def test_windows_that_cut_a_passage_dont_count_as_whole(spark, tmp_path):
+    """Passages at the end of documents, where a short window that cuts them is nearer, and twice in one, against the SQL."""
+    rng = random.Random(11)
+    passage = {i: "".join(rng.choice("abcdefghij klmnop") for _ in range(size)) for i, size in enumerate((81, 120, 208, 310, 394))}
+    docs = []
+    for i, text in passage.items():
+        for behind in (0, 9, 40, 300):
+            docs += ["q" * rng.randrange(400) + text + "z" * behind, "q" * rng.randrange(400) + (text + "z" * behind) * 2 + text]
+    spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(list(passage.items()), "item_id long, text string").coalesce(1).write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = sorted(tuple(r) for r in QUERIES["align_near_passages"](spark, str(tmp_path)).collect())
+    db = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        db.execute(f"create view {name} as from '{tmp_path}/{name}.parquet/*.parquet'")
+    want = sorted(db.execute(ORACLE["align_near_passages"]).fetchall())
+    assert got == want and {"as it is", "edited"} == {r[2] for r in got}
