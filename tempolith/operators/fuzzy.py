@@ -58,15 +58,27 @@ def windows(open_: DataFrame, ids: list[str], how: Matching) -> DataFrame:
 
     ``open_`` has ids, q (the quote's length), n (the section's) and rest.
     """
-    q = F.col("q")
-    some = _stepped(open_, how)
-    each = some.select(*ids, "q", "n", "rest", "step", F.explode(F.sequence("first", "last")).alias("k"))
+    each = _stepped(open_, how).select(*ids, "q", "n", "rest", "step", F.explode(F.sequence("first", "last")).alias("k"))
+    return _placed(each, how).select(*ids, "k", "step", "start", "size", "least")
+
+
+def _placed(each: DataFrame, how: Matching) -> DataFrame:
+    """``each`` (q, n, rest, step, k) with start, size and least of its windows; those whose length doesn't do go."""
+    q, size = F.col("q"), F.col("size")
     placed = each.withColumn("start", F.col("rest") + F.col("k") * F.col("step"))
     placed = placed.withColumn("size", F.least(F.col("n") - F.col("start"), q + how.padding).cast("int"))
-    able = placed.where(2 * F.least("q", "size") >= how.threshold * (F.col("q") + F.col("size")))
-    matched = _least_matched(F.col("q"), F.col("size"), how)
-    least = (F.col("q") - GRAM + 1) - GRAM * (F.col("q") - matched) - (GRAM - 1) * (F.col("size") - matched)
-    return able.select(*ids, "k", "step", "start", "size", least.cast("int").alias("least"))
+    matched = _least_matched(q, size, how)
+    least = (q - GRAM + 1) - GRAM * (q - matched) - (GRAM - 1) * (size - matched)
+    return placed.where(2 * F.least("q", "size") >= how.threshold * (q + size)).withColumn("least", least.cast("int"))
+
+
+def _met(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """An inner join by sorted parts.
+
+    A small file may stand for many rows, of texts that come again or of the grams or windows made from
+    them; Spark's planner goes by the file and would gather and send out such a side by way of the driver.
+    """
+    return left.hint("merge").join(right, on)
 
 
 def candidates(open_: DataFrame, sections: DataFrame, keys: list[str], own: list[str], how: Matching) -> DataFrame:
@@ -74,31 +86,31 @@ def candidates(open_: DataFrame, sections: DataFrame, keys: list[str], own: list
 
     ``open_`` (keys, own, quote, q, n, rest) are the quotes still to be searched for, ``sections`` (keys, text) where.
     """
-    ids = [*keys, *own]
-    placed = windows(open_, ids, how)
+    ids, q = [*keys, *own], F.col("q")
+    stepped = _stepped(open_, how)
     # only the parts of sections in which windows stand are cut into grams
-    region = placed.groupBy(*keys).agg(F.min("start").alias("low"), F.max(F.col("start") + F.col("size")).alias("high"))
-    part = sections.select(*keys, "text").join(region, keys)
+    upto = F.least(F.col("n"), F.col("rest") + F.col("last") * F.col("step") + q + how.padding)
+    region = stepped.groupBy(*keys).agg(F.min(F.col("rest") + F.col("first") * F.col("step")).alias("low"), F.max(upto).alias("high"))
+    part = _met(sections.select(*keys, "text"), region, keys)
     there = part.select(*keys, "low", F.posexplode(_grams(F.substring(F.col("text"), F.col("low") + 1, F.col("high") - F.col("low")))).alias("i", "gram"))
     there = there.select(*keys, (F.col("low") + F.col("i")).alias("at"), "gram")
-    grams = open_.select(*ids, "q", "rest", F.posexplode(_grams(F.col("quote"))).alias("i", "gram"))
-    wanted = grams.groupBy(*ids, "q", "rest", "gram").agg(F.count("*").alias("wanted"), F.min("i").alias("head"), F.max("i").alias("tail"))
-    hits = wanted.join(there, [*keys, "gram"])
+    grams = open_.select(*ids, "q", "n", "rest", F.posexplode(_grams(F.col("quote"))).alias("i", "gram"))
+    wanted = grams.groupBy(*ids, "q", "n", "rest", "gram").agg(F.count("*").alias("wanted"), F.min("i").alias("head"), F.max("i").alias("tail"))
+    hits = _stepped(_met(wanted, there, [*keys, "gram"]), how)
     # a place lies in a few windows, whose numbers follow from it and from the gram's places in the quote
-    q, at = F.col("q"), F.col("at") - F.col("rest")
-    step = F.greatest(F.lit(how.min_step), F.floor(q / how.step_fraction))
+    at, step = F.col("at") - F.col("rest"), F.col("step")
     alone = q - F.ceil(q * how.threshold / (2 - how.threshold) - 1e-9)  # the shortest window that may do leaves most of the quote without a partner
     spare = q + how.padding - _least_matched(q, q + how.padding, how)  # the longest one has most characters to spare
-    high = F.floor(F.least(at, at - F.col("head") + alone) / step)
-    low = F.greatest(F.lit(0), F.ceil(F.greatest(at + GRAM - q - how.padding, at - F.col("tail") - spare) / step))
+    high = F.least(F.col("last"), F.floor(F.least(at, at - F.col("head") + alone) / step))
+    low = F.greatest(F.col("first"), F.ceil(F.greatest(at + GRAM - q - how.padding, at - F.col("tail") - spare) / step))
     each = hits.withColumns({"low": low.cast("int"), "high": high.cast("int")}).where("low <= high")
-    each = each.select(*ids, "q", "gram", "wanted", "head", "tail", "at", F.explode(F.sequence("low", "high")).alias("k"))
-    inside = each.join(placed.where("least > 0"), [*ids, "k"]).where(F.col("at") + GRAM <= F.col("start") + F.col("size"))
+    each = each.select(*ids, "q", "n", "rest", "step", "gram", "wanted", "head", "tail", "at", F.explode(F.sequence("low", "high")).alias("k"))
+    inside = _placed(each, how).where((F.col("least") > 0) & (F.col("at") + GRAM <= F.col("start") + F.col("size")))
     matched, shift = _least_matched(q, F.col("size"), how), F.col("at") - F.col("start")
     inside = inside.where((shift - F.col("tail") <= F.col("size") - matched) & (shift - F.col("head") >= matched - q))
     counted = inside.groupBy(*ids, "k", "start", "size", "least", "gram").agg(F.least(F.count("*"), F.max("wanted")).alias("shared"))
     enough = counted.groupBy(*ids, "k", "start", "size", "least").agg(F.sum("shared").alias("shared")).where("shared >= least")
-    few = placed.where("least <= 0")  # a bound that says nothing: short quotes, at the end of their sections only
+    few = windows(open_, ids, how).where("least <= 0")  # a bound that says nothing: short quotes, at the end of their sections only
     return enough.select(*ids, "k", "start", "size").union(few.select(*ids, "k", "start", "size"))
 
 
@@ -164,7 +176,7 @@ def near_spans(
     pairs = pairs.select(*(F.col(c).alias(f"key{i}") for i, c in enumerate(keys)), *(F.col(c).alias(f"own{i}") for i, c in enumerate(own)), "quote")
     keys, own = [f"key{i}" for i in range(len(keys))], [f"own{i}" for i in range(len(own))]
     ids = [*keys, *own]
-    some = pairs.select(*ids, "quote").where("quote <> ''").join(sections.select(*keys, "text"), keys).where("text <> ''")
+    some = _met(sections.select(*keys, "text"), pairs.select(*ids, "quote").where("quote <> ''"), keys).where("text <> ''")
     exact = exact_spans(some, ids).select(*ids, "begin", "end", F.lit(1.0).alias("score"))
     gaps = F.split("text", literal(F.col("quote")), F.lit(-1))
     last = F.when(F.contains("text", "quote"), F.length("text") - F.length(F.element_at(gaps, -1))).otherwise(0)
@@ -176,21 +188,21 @@ def near_spans(
     for i in range(rounds):
         if stored and open_.isEmpty():  # the usual case: all quotes are short
             break
-        left = candidates(open_, sections, keys, own, how).join(open_.select(*ids, "quote", "rest"), ids)
-        cut = left.join(sections.select(*keys, "text"), keys).select(*ids, "start", "quote", F.substring("text", F.col("start") + 1, F.col("size")).alias("window"))
+        left = _met(candidates(open_, sections, keys, own, how), open_.select(*ids, "quote", "rest"), ids)
+        cut = _met(left, sections.select(*keys, "text"), keys).select(*ids, "start", "quote", F.substring("text", F.col("start") + 1, F.col("size")).alias("window"))
         near = scored(cut, ids, how)
         if how.whole:  # all places at once, so nothing is left to search behind them
             place = (F.col("start") + F.col("begin")).alias("begin")
-            told = near.groupBy(*ids, place).agg(F.max("score").alias("score")).join(open_.select(*ids, "q"), ids)
+            told = _met(near.groupBy(*ids, place).agg(F.max("score").alias("score")), open_.select(*ids, "q"), ids)
             found.append(told.select(*ids, "begin", (F.col("begin") + F.col("q")).alias("end"), "score"))
             break
         best = near.groupBy(*ids).agg(F.max(F.struct("score", (-F.col("start")).alias("first"), "begin")).alias("b"))
-        near = best.join(open_, ids).select(*ids, "quote", "q", "n", F.greatest(F.col("rest"), F.col("b.begin") - F.col("b.first")).alias("begin"), "b.score")
+        near = _met(best, open_, ids).select(*ids, "quote", "q", "n", F.greatest(F.col("rest"), F.col("b.begin") - F.col("b.first")).alias("begin"), "b.score")
         near = keep(near.withColumn("end", F.col("begin") + F.col("q")), f"near-{i}")
         found.append(near.select(*ids, "begin", "end", "score"))
         open_ = _able(near.select(*ids, "quote", "q", "n", F.col("end").alias("rest")).where("rest < n"), how)
     if not (rounds and how.whole):
-        behind = open_.join(sections.select(*keys, "text"), keys) if rounds else open_
+        behind = _met(open_, sections.select(*keys, "text"), keys) if rounds else open_
         found.append(_behind(_able(behind, how), ids, how))
     every = exact
     for part in found[1:]:

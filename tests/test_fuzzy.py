@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tempolith.operators import align, fuzzy
 from tempolith.plans.catalogue import ORACLE, QUERIES
+from tempolith.sinks.files import keeper
 
 WORDS = "the patient started ended therapy with carboplatin paclitaxel on in march and after cycle was given §é𝄞 no yes".split()
 
@@ -118,3 +119,14 @@ def test_windows_that_cut_a_passage_dont_count_as_whole(spark, tmp_path):
         db.execute(f"create view {name} as from '{tmp_path}/{name}.parquet/*.parquet'")
     want = sorted(db.execute(ORACLE["align_near_passages"]).fetchall())
     assert got == want and {"as it is", "edited"} == {r[2] for r in got}
+
+
+def test_no_side_of_grams_or_windows_goes_by_way_of_the_driver(spark, tmp_path):
+    """Small files of quotes stand for many grams and windows, which the planner took for small and broadcast."""
+    keep = keeper(str(tmp_path))
+    open_ = keep(spark.createDataFrame([(1, "ab" * 50, 100, 400, 0)], "doc long, quote string, q int, n int, rest int"), "open")
+    texts = keep(spark.createDataFrame([(1, "ab" * 200)], "doc long, text string"), "texts")
+    pairs = keep(spark.createDataFrame([(1, "ab" * 49 + "a§")], "doc long, quote string"), "pairs")
+    for found in (fuzzy.candidates(open_, texts, ["doc"], [], align.Matching()), fuzzy.near_spans(pairs, texts, ["doc"], [], align.Matching(whole=True), keep=keep)):
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+        assert found.count()
