@@ -470,3 +470,25 @@ def test_span_rows_are_distinct_before_the_join(spark):
     plan = rows._jdf.queryExecution().sparkPlan().toString()
     above = plan[: plan.index("Join")]
     assert "Aggregate" not in above and "Exchange" not in above
+
+
+def test_many_notes_are_listed_and_read_by_tasks(spark, tmp_path):
+    """The same rows as Spark's own reader gives, without a list of files in the driver's plan."""
+    names = ["a/n1.txt", "a/b c/n+2.txt", "a/deep/er/and/é%20%.txt", "top.txt", "_hidden.txt", ".dot/n.txt", "_tmp/n.txt", "_k=v/n.txt", "a/none.txt", "a/n.text", "_metadata.txt", "a/n._COPYING_"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"" if "none" in name else f"note é {name}".encode() + b"\xff\r\n")
+    (tmp_path / "linked").symlink_to(tmp_path / "a" / "deep")
+    own = sources.read_notes(spark, f"file:{tmp_path}", most_listed=0)
+    assert own.inputFiles() == [] and own.sparkSession is spark
+    usual = sources.read_notes(spark, str(tmp_path))
+    assert usual.inputFiles() and own.schema == usual.schema
+    rows = sorted(map(tuple, own.collect()))
+    assert rows == sorted(map(tuple, usual.collect())) and len(rows) == 6
+
+
+def test_notes_are_handed_over_in_batches(spark, tmp_path, monkeypatch):
+    for i in range(50):
+        (tmp_path / f"n{i}.txt").write_text("x" * (i + 1))
+    monkeypatch.setattr(sources, "_BATCH", 20)
+    assert {(r.doc_id, r.text) for r in sources.read_notes(spark, str(tmp_path), most_listed=49).collect()} == {(f"n{i}", "x" * (i + 1)) for i in range(50)}
